@@ -8,9 +8,8 @@ from tidemark.functions import deletion_variants
 
 
 def _distinct_names(df: DataFrame, name: Column) -> DataFrame:
-    """Each name once, with the number of rows that carry it."""
-    named = df.select(name.alias("name")).where(F.col("name").isNotNull())
-    return named.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    """Each name once, with the number of rows that carry it; a NULL name has no variant to meet."""
+    return df.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def match_names(

@@ -25,28 +25,38 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def upsert_frame(
-    target: DataFrame, staging: DataFrame, keys: Sequence[str], *, keys_nullable: bool = True
-) -> DataFrame:
-    """Rows of ``target`` replaced by, and extended with, rows of ``staging``.
+def upsert_frame(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a stored ``target`` replaced by, and extended with, rows of ``staging``.
 
     A row whose key holds a NULL never conflicts, so it is kept on the target side and added from
     the staging side. Those rows skip the join: they would all hash to one partition and match
-    nothing. Where the keys cannot be NULL, ``keys_nullable=False`` saves the second read.
+    nothing.
 
     No broadcast is forced. Staging keys go through Spark's own size check; past it the join is a
     shuffle on the key, which is unique on the target side and so cannot be skewed.
     """
     staging = align_by_name(staging, target.columns)
     staged_keys = staging.select(*keys)
-    if not keys_nullable:
-        return target.join(staged_keys, list(keys), "left_anti").unionByName(staging)
     null_key = _any_null(keys)
     kept = target.where(~null_key).join(staged_keys.where(~null_key), list(keys), "left_anti")
     kept = kept.select(*target.columns)
     return kept.unionByName(target.where(null_key)).unionByName(staging)
 
 
+def overlay(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same upsert for two frames that are computed, with unique keys that are never NULL.
+
+    Each side's plan runs once. An anti join would run the staging plan a second time for its keys,
+    and Spark would move that join below the target's aggregation, onto every source row.
+    """
+    staging = align_by_name(staging, target.columns)
+    old = target.select(*keys, F.struct(*target.columns).alias("_old"))
+    new = staging.select(*keys, F.struct(*target.columns).alias("_new"))
+    merged = old.join(new, list(keys), "full_outer")
+    # The staged row as a whole, so that a staged NULL replaces a value.
+    return merged.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames; a column absent from a frame is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

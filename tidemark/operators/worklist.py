@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _calendar(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -14,25 +14,34 @@ def _calendar(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
     return bounds.select(F.explode(days).alias("day"))
 
 
-def distinct_days(df: DataFrame, column: str) -> DataFrame:
-    day = F.to_date(F.col(column))
-    return df.where(F.col(column).isNotNull()).select(day.alias("day")).distinct()
-
-
 def missing_dates(
     loaded: DataFrame, column: str, *, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Days in a range that have no row in ``loaded``.
 
-    The range defaults to the first and last loaded day. The distinct days are a per-task
-    reduction, so the table is read once and only day values move.
+    The range defaults to the first and last loaded day. The table is read once and reduced to
+    distinct days in each task; the days between two neighbours are the gaps. The window holds
+    days of the calendar, not rows of the table.
     """
-    days = distinct_days(loaded, column)
-    bounds = days.agg(
-        (F.lit(start).cast("date") if start else F.min("day")).alias("first"),
-        (F.lit(end).cast("date") if end else F.max("day")).alias("last"),
+    days = loaded.where(F.col(column).isNotNull()).select(F.to_date(F.col(column)).alias("day"))
+    before, after = (F.date_sub(F.lit(start), 1), F.date_add(F.lit(end), 1))
+    if start:
+        days = days.where(F.col("day") >= before)
+    if end:
+        days = days.where(F.col("day") <= after)
+    if start or end:
+        # The days just outside the range stand for its ends.
+        fences = [before] if start else []
+        fences += [after] if end else []
+        fence = loaded.sparkSession.range(1).select(F.explode(F.array(*fences)).alias("day"))
+        if start and end:
+            fence = fence.where(before < after)
+        days = days.unionByName(fence)
+    following = F.lead("day").over(Window.orderBy("day"))
+    pairs = days.distinct().select(
+        F.date_add("day", 1).alias("first"), F.date_sub(following, 1).alias("last")
     )
-    return _calendar(bounds, F.col("first"), F.col("last")).join(days, "day", "left_anti")
+    return _calendar(pairs, F.col("first"), F.col("last"))
 
 
 def high_watermark(loaded: DataFrame, column: str) -> DataFrame:
@@ -78,9 +87,13 @@ def request_flags(
 
 
 def pending_ids(entities: DataFrame, key: str, loaded: DataFrame, id_column: str) -> DataFrame:
-    """Distinct keys of ``entities`` without a row in ``loaded``."""
+    """Distinct keys of ``entities`` without a row in ``loaded``.
+
+    Both sides are distinct before the join; a key with a third of all detail rows could not be
+    split on the right side of an anti join.
+    """
     keys = entities.select(key).where(F.col(key).isNotNull()).distinct()
-    return keys.join(loaded.select(F.col(id_column).alias(key)), key, "left_anti")
+    return keys.join(loaded_ids(loaded, id_column, key), key, "left_anti")
 
 
 def request_tuples(df: DataFrame, **columns: Column | str) -> DataFrame:

@@ -119,13 +119,21 @@ class CrawlJob:
     open_client: Callable[[], Fetch]
     load_documents: Step = _same
     parallelism: int = 8
+    attempts: int = 3
+    wait: float = 0.5
     partition_by: str | None = None
     how: How = "append"
 
     def run(self, worklist: DataFrame, warehouse: Warehouse, landing: str) -> DataFrame:
         """Returns the requests that failed, with their error."""
         requests = with_requests(worklist, self.url, self.file_name)
-        fetched = fetch_documents(requests, self.open_client, parallelism=self.parallelism)
+        fetched = fetch_documents(
+            requests,
+            self.open_client,
+            parallelism=self.parallelism,
+            attempts=self.attempts,
+            wait=self.wait,
+        )
         landed = land_documents(fetched, landing, self.partition_by)
         good = landed.where(landed["error"].isNull())
         warehouse.load(self.load_documents(good), self.target, self.how)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import day_of
 from tidemark.operators.merge import latest_per_key
+from tidemark.session import cut
 
 
 def daily_join(
@@ -74,7 +75,7 @@ def snapshot_totals(snapshots: DataFrame, key: str, group: str, measure: Column)
 
 
 def one_big_table(
-    entities: DataFrame, key: str, attributes: Mapping[str, tuple[DataFrame, str]]
+    entities: DataFrame, attributes: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
     """One row per entity with every attribute table attached by left join.
 
@@ -89,6 +90,26 @@ def one_big_table(
     return wide
 
 
+def include_related(
+    bounded: DataFrame, attributes: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """``one_big_table`` for a frame of a few rows, such as a top-k.
+
+    An attribute table is first cut down to the keys the frame holds, by a broadcast that is as
+    short as the frame. However big the table, it is filtered while it is scanned, not shuffled.
+    The frame is computed once, into the checkpoint folder. A table reached through another
+    attribute is joined as it is.
+    """
+    bounded = cut(bounded)
+    reduced = {}
+    for column, (table, unique) in attributes.items():
+        if column in bounded.columns:
+            keys = F.broadcast(bounded.select(F.col(column).alias("_wanted")).distinct())
+            table = table.join(keys, table[unique] == keys["_wanted"], "left_semi")
+        reduced[column] = (table, unique)
+    return one_big_table(bounded, reduced)
+
+
 def top_ranked(
     listing: DataFrame, score: str, tie_break: str, take: int, where: Column | None = None
 ) -> DataFrame:

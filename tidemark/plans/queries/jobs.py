@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import fill_template
 from tidemark.operators import summary
 from tidemark.operators.quality import Check
 from tidemark.operators.worklist import missing_dates, pending_ids
@@ -68,7 +69,8 @@ def _energy_job(feed: DataFrame, end: str) -> IncrementalJob:
 
     def extract(days: DataFrame) -> DataFrame:
         day = F.to_date(feed["ts"])
-        wanted = feed.join(days, day == days["day"], "left_semi")
+        # Days of the range, so never more than its length.
+        wanted = feed.join(F.broadcast(days), day == days["day"], "left_semi")
         return land_documents(wanted, scratch_dir(feed.sparkSession, "readings"))
 
     return IncrementalJob(
@@ -81,8 +83,8 @@ def _energy_job(feed: DataFrame, end: str) -> IncrementalJob:
             DAILY: lambda rows: summary.daily_summary(rows, "ts", "value", F.col("k")),
         },
         archive_table=ARCHIVE,
-        to_archive=lambda rows: rows.select(
-            F.concat(F.col("event_id").cast("string"), F.lit(".json")).alias("file_name"),
+        to_archive=lambda rows: rows.withColumn("day", F.to_date("ts")).select(
+            fill_template("{day}/{event_id}.json").alias("file_name"),
             F.to_json(F.struct("event_id", "ts", "value", "k")).alias("content"),
         ),
     )
@@ -174,13 +176,13 @@ def staged_crawl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             file_name="game_{game_id}.json",
             target="raw.game_details",
             open_client=_detail_client(run, failing),
+            wait=0.0,
             load_documents=lambda landed: landed.select(
                 F.from_json("body", "game_id bigint, run int").alias("doc")
             ).select("doc.*"),
         )
         return Stage(job, pending, f"{landing}/{run}")
 
-    # One attempt is enough to tell a failed request from a good one here.
     with working_area(spark) as warehouse:
         games = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("game_id"))
         warehouse.load(games, "raw.games")

@@ -151,7 +151,6 @@ def one_big_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     wide = marts.one_big_table(
         table(spark, sf_dir, "customer"),
-        "c_custkey",
         {
             "c_custkey": (per_customer, "o_custkey"),
             "c_nationkey": (table(spark, sf_dir, "nation"), "n_nationkey"),
@@ -185,9 +184,8 @@ def topk_with_includes(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = (F.col("o_orderdate") >= "1997-01-01") & (F.col("o_orderdate") < "1998-01-01")
     orders = table(spark, sf_dir, "orders")
     top = marts.top_ranked(orders, "o_totalprice", "o_orderkey", 700, status & year)
-    wide = marts.one_big_table(
+    wide = marts.include_related(
         top,
-        "o_orderkey",
         {
             "o_custkey": (table(spark, sf_dir, "customer"), "c_custkey"),
             "c_nationkey": (table(spark, sf_dir, "nation"), "n_nationkey"),

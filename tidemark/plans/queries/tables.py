@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.merge import upsert_frame
+from tidemark.operators.merge import overlay
 from tidemark.operators.quality import Check, check_report as report_checks
 from tidemark.operators.quality import duplicate_keys as find_duplicates
 from tidemark.operators.quality import row_counts
@@ -45,7 +45,7 @@ def split_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 @register(HOURLY_UPSERT_SQL)
 def hourly_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, staging = (hourly(df, "ts", "value") for df in split_events(spark, sf_dir))
-    merged = upsert_frame(target, staging, ["datetime"], keys_nullable=False)
+    merged = overlay(target, staging, ["datetime"])
     return merged.select("datetime", F.round("energy", 2).alias("energy"))
 
 

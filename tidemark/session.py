@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for tests and the benchmark. On a cluster the session is given.
 LOCAL_CONF = {
@@ -43,10 +43,17 @@ def shared_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder; later steps read the copy."""
+    shared_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.sinks.tables import Warehouse
 
-ARCHIVE_SCHEMA = "key string, file_name string, length bigint, content binary"
+ARCHIVE_SCHEMA = "key string, file_name string, length bigint, content binary, folder string"
 
 
 def archive_documents(
@@ -20,16 +20,18 @@ def archive_documents(
 ) -> None:
     """Store ``file_name, content`` rows under ``prefix + file_name``, replacing a key sent again.
 
-    Only names that end in ``suffix``, in that case, are taken.
+    Only names that end in ``suffix``, in that case, are taken. The archive is partitioned by the
+    folder part of the key, and only folders that receive a document are rewritten; names with a
+    date folder keep a daily delivery from touching the older days.
     """
-    warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"])
+    warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition="folder")
     rows = documents.where(F.col("file_name").endswith(suffix)).select(
         F.concat(F.lit(prefix), "file_name").alias("key"),
         "file_name",
         F.octet_length("content").cast("long").alias("length"),
         F.col("content").cast("binary").alias("content"),
     )
-    warehouse.upsert(rows, table)
+    warehouse.upsert_partitions(rows, table, lambda: F.regexp_extract("key", "^(.*)/", 1))
 
 
 def unloaded_files(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -112,6 +112,21 @@ class Warehouse:
     def _point_to(self, table: str, path: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION '{path}'")
 
+    def expire(self, table: str, keep: int = 2) -> int:
+        """Delete old content folders of an unpartitioned table; returns how many.
+
+        The current one and the ``keep - 1`` newest others stay, for readers that still hold them.
+        """
+        jvm = self.spark.sparkContext._jvm
+        current = jvm.org.apache.hadoop.fs.Path(self.location(table))
+        fs = current.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        folders = sorted(fs.listStatus(current.getParent()), key=lambda s: -s.getModificationTime())
+        others = [s.getPath() for s in folders if s.getPath().getName() != current.getName()]
+        old = others[keep - 1 :]
+        for path in old:
+            fs.delete(path, True)
+        return len(old)
+
     # Definition
 
     def create_table(

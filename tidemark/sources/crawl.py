@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,16 +22,28 @@ def with_requests(worklist: DataFrame, url: str, file_name: str) -> DataFrame:
     )
 
 
-def _retrying(fetch: Fetch, url: str, attempts: int, wait: float) -> tuple[str | None, str | None]:
-    failure = None
-    for attempt in range(attempts):
-        try:
-            return fetch(url), None
-        except Exception as error:  # noqa: BLE001 - any failure of one request stays with its row
-            failure = f"{type(error).__name__}: {error}"
-            if attempt + 1 < attempts:
-                time.sleep(wait * 2**attempt)
-    return None, failure
+def _answer(fetch: Fetch, url: str) -> tuple[str | None, str | None]:
+    try:
+        return fetch(url), None
+    except Exception as error:  # noqa: BLE001 - any failure of one request stays with its row
+        return None, f"{type(error).__name__}: {error}"
+
+
+def _fetch_batch(
+    fetch: Fetch, urls: list[str], pool: ThreadPoolExecutor, attempts: int, wait: float
+) -> list[tuple[str | None, str | None]]:
+    """Answers in the order of ``urls``. Failures are asked again together, so the growing waits
+    are paid once per round and not once per URL."""
+    answers = list(pool.map(lambda url: _answer(fetch, url), urls))
+    for attempt in range(1, attempts):
+        failed = [i for i, (_, error) in enumerate(answers) if error is not None]
+        if not failed:
+            break
+        time.sleep(wait * 2 ** (attempt - 1))
+        again = pool.map(lambda i: _answer(fetch, urls[i]), failed)
+        for i, answer in zip(failed, list(again)):
+            answers[i] = answer
+    return answers
 
 
 def fetch_documents(
@@ -38,14 +51,16 @@ def fetch_documents(
     open_client: Callable[[], Fetch],
     *,
     parallelism: int,
+    in_flight: int = 8,
     attempts: int = 3,
     wait: float = 0.5,
 ) -> DataFrame:
     """``body`` and ``error`` for every request row.
 
     ``open_client`` runs once per task and returns the fetch function, so a connection is shared by
-    the task's requests. ``parallelism`` bounds the open clients; the requests are spread over them
-    by URL. A request that keeps failing has its error in the row and does not stop the others.
+    the task's requests; the function is called from ``in_flight`` threads. ``parallelism`` bounds
+    the tasks, and with ``in_flight`` the load on the remote side; requests are spread by URL. A
+    request that keeps failing has its error in the row and does not stop the others.
     """
     schema = StructType(
         requests.schema.fields
@@ -53,9 +68,10 @@ def fetch_documents(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetch = open_client()
-        for batch in batches:
-            done = [_retrying(fetch, url, attempts, wait) for url in batch["url"]]
-            yield batch.assign(body=[b for b, _ in done], error=[e for _, e in done])
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                done = _fetch_batch(fetch, list(batch["url"]), pool, attempts, wait)
+                yield batch.assign(body=[b for b, _ in done], error=[e for _, e in done])
 
     return requests.repartition(parallelism, "url").mapInPandas(run, schema)
 

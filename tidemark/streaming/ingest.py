@@ -43,9 +43,14 @@ def ingest_files(
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
+    batches = 0
+
     def load(batch: DataFrame, _: int) -> None:
+        nonlocal batches
+        batches += 1
         # Several tables read one batch; without the copy each would parse the files.
-        batch.persist()
+        if len(derive) > 1:
+            batch.persist()
         try:
             for table, rows_of in derive.items():
                 rows = rows_of(batch)
@@ -64,4 +69,4 @@ def ingest_files(
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return batches
