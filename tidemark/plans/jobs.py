@@ -5,12 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import union_by_name
 from tidemark.operators.quality import Check, require_valid
 from tidemark.operators.shape import as_text
+from tidemark.session import run_together
 from tidemark.sinks.archive import archive_documents
 from tidemark.sinks.export import export_all
 from tidemark.sinks.tables import How, Warehouse
@@ -95,18 +97,19 @@ class IncrementalJob:
             return False
         documents = self.extract(missing)
         if self.archive_table:
+            # Kept before anything is derived, so a failed run can be rebuilt.
             archive_documents(self.to_archive(documents), warehouse, self.archive_table)
         self.publish(documents, warehouse)
         return True
 
     def publish(self, documents: DataFrame, warehouse: Warehouse) -> None:
-        for table, rows_of in self.derive.items():
+        """Upsert every target; also the whole of a rebuild from archived documents."""
+
+        def upsert(table: str, rows_of: Step) -> None:
             columns = warehouse.read(table).columns
             warehouse.upsert(as_text(rows_of(documents).select(*columns)), table)
 
-    def rebuild(self, warehouse: Warehouse, documents: DataFrame) -> None:
-        """The same tables from archived documents, in one go."""
-        self.publish(documents, warehouse)
+        run_together([partial(upsert, table, rows_of) for table, rows_of in self.derive.items()])
 
 
 @dataclass(frozen=True)
@@ -178,7 +181,8 @@ class MartRefresh:
         if tag is not None and tag not in self.tags:
             raise ValueError(f"unknown tag {tag!r}")
         names = list(self.marts) if tag is None else self.tags[tag]
-        return {n: warehouse.refresh(self.marts[n](warehouse), n) for n in names}
+        refresh = [lambda n=n: warehouse.refresh(self.marts[n](warehouse), n) for n in names]
+        return dict(zip(names, run_together(refresh)))
 
     def export(self, warehouse: Warehouse, directory: str, **options) -> DataFrame:
         tables = {n.split(".")[1]: (lambda n=n: warehouse.read(n)) for n in self.marts}

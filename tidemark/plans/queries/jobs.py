@@ -136,7 +136,7 @@ def rebuild_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             warehouse.truncate(name)
         archived = warehouse.read(ARCHIVE).select(F.col("content").cast("string").alias("text"))
         readings = archived.select(F.from_json("text", READING).alias("doc")).select("doc.*")
-        _energy_job(_feed(spark, sf_dir), "2024-01-30").rebuild(warehouse, readings)
+        _energy_job(_feed(spark, sf_dir), "2024-01-30").publish(readings, warehouse)
         return _energy_rows(warehouse)
 
 

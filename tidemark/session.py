@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def run_together(steps: Sequence[Callable[[], object]], at_once: int = 4) -> list:
+    """Results of independent steps, each submitting its own Spark jobs. All are tried; then the
+    first failure, if any, is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        started = [pool.submit(step) for step in steps]
+    return [future.result() for future in started]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"

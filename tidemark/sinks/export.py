@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from tidemark.session import run_together
+
 REPORT_SCHEMA = "table_name string, n_rows bigint, path string, error string"
 
 
@@ -65,17 +68,19 @@ def export_all(
 
     The report has one row per table. If any failed, it is raised after all were tried.
     """
-    report = []
-    for name, open_table in tables.items():
+
+    def export(name: str, open_table: Callable[[], DataFrame]) -> tuple:
         try:
             df = open_table()
             # Counted while it is written, without a second pass.
             seen = Observation()
             counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
             path = export_csv(counted, f"{directory.rstrip('/')}/{name}.csv", separator)
-            report.append((name, seen.get["n_rows"], path, None))
+            return name, seen.get["n_rows"], path, None
         except Exception as error:  # noqa: BLE001 - reported per table, raised below
-            report.append((name, None, None, f"{type(error).__name__}: {error}"))
+            return name, None, None, f"{type(error).__name__}: {error}"
+
+    report = run_together([partial(export, name, opened) for name, opened in tables.items()])
     if raise_at_end and any(error for *_, error in report):
         raise ExportFailed(report)
     return spark.createDataFrame(report, REPORT_SCHEMA)

@@ -71,13 +71,12 @@ class Warehouse:
         return self.spark.read.schema(self.read(table).schema).parquet(self.location(table))
 
     def location(self, table: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}")
-        return rows.where(F.col("col_name") == "Location").first()["data_type"]
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
     def _property(self, table: str, name: str) -> list[str]:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}")
-        found = rows.where(F.col("key") == name).first()
-        return found["value"].split(",") if found else []
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").collect()
+        return next((r["value"].split(",") for r in rows if r["key"] == name), [])
 
     def key(self, table: str) -> list[str]:
         return self._property(table, KEY_PROPERTY)
@@ -276,10 +275,14 @@ class Warehouse:
             # Too many to list: the same rows through a join.
             same = current[partition].eqNullSafe(touched[partition])
             current = current.join(touched, same, "left_semi")
-        merged = upsert_frame(current, staged, keys)
-        path = self._new_version(f"{table}__merged")
-        merged.write.parquet(path)
-        rewritten = self.spark.read.schema(staged.schema).parquet(path)
+        if current.isEmpty():
+            # Only new partitions, the usual case of a dated delivery: nothing to merge with.
+            rewritten = staged
+        else:
+            # Spark cannot overwrite the files it reads, so the merge is written aside first.
+            path = self._new_version(f"{table}__merged")
+            upsert_frame(current, staged, keys).write.parquet(path)
+            rewritten = self.spark.read.schema(staged.schema).parquet(path)
         (
             # Rows of one partition gather in few files; a partition past the advisory size is
             # split over several tasks at run time.
@@ -289,9 +292,18 @@ class Warehouse:
             .partitionBy(partition)
             .parquet(self.location(table))
         )
-        self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
+        self._add_partitions(table, partition, values)
         return len(values) if len(values) <= MAX_LISTED_PARTITIONS else touched.count()
 
+    def _add_partitions(self, table: str, partition: str, values: list[str | None]) -> None:
+        """Make written partitions known; a complete list saves a look at the whole folder."""
+        if None in values or len(values) > MAX_LISTED_PARTITIONS:
+            self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
+        elif values:
+            escaped = [str(v).replace("\\", "\\\\").replace("'", "\\'") for v in values]
+            specs = " ".join(f"PARTITION (`{partition}`='{v}')" for v in escaped)
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {specs}")
+
 
 def _nullable(field):
     return type(field)(field.name, field.dataType, True, field.metadata)
