@@ -136,7 +136,7 @@ def _files_by_header(spark: SparkSession, glob: str) -> dict[str, list[str]] | N
     Lines of a split come in order within a task, so the least row number among a file's first
     split marks its header, the first line that is not blank. Only one line per file leaves the executors.
     """
-    lines = or_none(lambda: spark.read.option("encoding", "UTF-8").text(glob))
+    lines = or_none(lambda: spark.read.text(glob))
     if lines is None:
         return None
     numbered = lines.select(
@@ -213,10 +213,11 @@ def read_documents(
     """Raw documents as ``payload VARIANT, source_filename, raw``.
 
     A text that is not JSON has a NULL payload and keeps its text in ``raw``; it neither stops the
-    load nor vanishes. ``whole_file=False`` takes one document per line.
+    load nor vanishes. Spark's parser ends with the document, so text behind it is not an error.
+    ``whole_file=False`` takes one document per line.
     """
-    reader = spark.read.option("wholetext", whole_file)
-    lines = or_none(lambda: reader.text(f"{directory.rstrip('/')}/{pattern}"))
+    path = f"{directory.rstrip('/')}/{pattern}"
+    lines = or_none(lambda: spark.read.text(path, wholetext=whole_file))
     if lines is None:
         log.warning("no files %s in %s", pattern, directory)
         return None
