@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import Check, GateFailed
 from tidemark.operators.summary import hourly
 from tidemark.operators.worklist import missing_dates
-from tidemark.plans.catalog import EXPORTED_MARTS, KEYED_TABLES, REFRESH_TARGETS
-from tidemark.plans.jobs import IncrementalJob, JobConfig, MartRefresh, RefreshJob, batch_load
+from tidemark.plans.catalog import EXPORTED_MARTS, KEYED_TABLES
+from tidemark.plans.jobs import (
+    IncrementalJob,
+    JobConfig,
+    MartRefresh,
+    RefreshJob,
+    batch_load,
+    consolidate,
+    refresh_jobs,
+)
 from tidemark.streaming.ingest import ingest_files
 
 
@@ -51,9 +59,23 @@ def test_refresh_job_stops_at_a_failed_check(config, warehouse, rows):
     assert rows(warehouse.read("raw.people")) == [(1, "a"), (2, "b")]
 
 
-def test_ten_refresh_targets_and_eight_marts():
-    assert len(set(REFRESH_TARGETS.values())) == 10
+def test_refresh_jobs_of_the_catalog(warehouse, tmp_path, rows):
+    folder = tmp_path / "ecidadania" / "status"
+    folder.mkdir(parents=True)
+    (folder / "senado_status_consolidado.csv").write_text("id;status\n1;open\n")
+    jobs = refresh_jobs(str(tmp_path), {"raw.raw_senado_status": [Check("unique", "id")]})
+    assert len(jobs) == 10
     assert len(EXPORTED_MARTS) == 8
+    assert jobs["raw.raw_senado_status"].run(warehouse) == 1
+    assert rows(warehouse.read("raw.raw_senado_status")) == [(1, "open")]
+
+
+def test_consolidate(spark, tmp_path):
+    assert consolidate(spark, str(tmp_path), "csv", str(tmp_path / "out")) is None
+    (tmp_path / "1.csv").write_text("a;b\n1;x\n")
+    (tmp_path / "2.csv").write_text("b;a\nx;1\n")
+    path = consolidate(spark, str(tmp_path), "csv", str(tmp_path / "out"))
+    assert spark.read.csv(path, sep=";", header=True).count() == 2
 
 
 def test_keyed_tables_can_be_created(warehouse):

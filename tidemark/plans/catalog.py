@@ -30,19 +30,59 @@ WEATHER_DOCUMENT = (
     "pressure struct<afternoon: double>, wind struct<max: struct<speed: double, direction: double>>"
 )
 
-# Full-refresh jobs: staging file stem to target table.
-REFRESH_TARGETS = {
-    "stg_parlamento_deputados": "raw.raw_parlamento_deputados",
-    "stg_parlamento_senadores_raw": "raw.raw_parlamento_senadores",
-    "stg_radar_governismo_deputados_raw": "raw.raw_radar_governismo_deputados",
-    "stg_radar_governismo_senadores": "raw.raw_radar_governismo_senadores",
-    "stg_radar_parlamentares": "raw.raw_radar_parlamentares",
-    "stg_ranking_parlamentares": "raw.raw_ranking_parlamentares",
-    "stg_ecidadania_bignumbers_raw": "raw.raw_ecidadania_bignumbers",
-    "stg_ecidadania_mais_votados_raw": "raw.raw_ecidadania_mais_votados",
-    "stg_ecidadania_paginas_raw": "raw.raw_ecidadania_paginas",
-    "stg_senado_status_raw": "raw.raw_senado_status",
-}
+# Full-refresh jobs: staging table, target table, bronze CSV below the bronze root.
+REFRESH_TABLES = (
+    (
+        "stg_parlamento_deputados",
+        "raw.raw_parlamento_deputados",
+        "camara/deputados/parlamento_deputados.csv",
+    ),
+    (
+        "stg_parlamento_senadores_raw",
+        "raw.raw_parlamento_senadores",
+        "senado/senadores/senadores_senadores.csv",
+    ),
+    (
+        "stg_radar_governismo_deputados_raw",
+        "raw.raw_radar_governismo_deputados",
+        "radar_congresso/governismo/radar_governismo_deputados.csv",
+    ),
+    (
+        "stg_radar_governismo_senadores",
+        "raw.raw_radar_governismo_senadores",
+        "radar_congresso/governismo/radar_governismo_senadores.csv",
+    ),
+    (
+        "stg_radar_parlamentares",
+        "raw.raw_radar_parlamentares",
+        "radar_congresso/parlamentares/radar_parlamentares.csv",
+    ),
+    (
+        "stg_ranking_parlamentares",
+        "raw.raw_ranking_parlamentares",
+        "ranking/parlamentares/ranking_parlamentares.csv",
+    ),
+    (
+        "stg_ecidadania_bignumbers_raw",
+        "raw.raw_ecidadania_bignumbers",
+        "ecidadania/big_numbers/ecidadania_bignumbers_consolidado.csv",
+    ),
+    (
+        "stg_ecidadania_mais_votados_raw",
+        "raw.raw_ecidadania_mais_votados",
+        "ecidadania/mais_votados/ecidadania_mais_votados_consolidado.csv",
+    ),
+    (
+        "stg_ecidadania_paginas_raw",
+        "raw.raw_ecidadania_paginas",
+        "ecidadania/paginas/ecidadania_paginas_consolidado.csv",
+    ),
+    (
+        "stg_senado_status_raw",
+        "raw.raw_senado_status",
+        "ecidadania/status/senado_status_consolidado.csv",
+    ),
+)
 
 # Directory loads: target table to the file type.
 BATCH_TARGETS = {

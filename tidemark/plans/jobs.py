@@ -14,10 +14,11 @@ from tidemark.operators.quality import Check, require_valid
 from tidemark.operators.shape import as_text
 from tidemark.session import run_together
 from tidemark.sinks.archive import archive_documents
-from tidemark.sinks.export import export_all
+from tidemark.plans.catalog import REFRESH_TABLES
+from tidemark.sinks.export import export_all, export_csv
 from tidemark.sinks.tables import How, Warehouse
 from tidemark.sources.crawl import Fetch, fetch_documents, land_documents, with_requests
-from tidemark.sources.files import read_csv_dir, read_json_dir, read_typed_csv
+from tidemark.sources.files import LINEAGE, read_csv_dir, read_json_dir, read_typed_csv
 
 log = logging.getLogger(__name__)
 
@@ -74,6 +75,20 @@ class RefreshJob:
         return warehouse.refresh(staging, self.target)
 
 
+def refresh_jobs(
+    bronze_root: str, checks: Mapping[str, Sequence[Check]] | None = None
+) -> dict[str, RefreshJob]:
+    """The full-refresh jobs of the catalog by target table, with the checks given per target."""
+    jobs = {}
+    for staging, target, path in REFRESH_TABLES:
+        folder, _, name = path.rpartition("/")
+        config = JobConfig(
+            db_table=staging, bronze_dir=f"{bronze_root.rstrip('/')}/{folder}", bronze_file=name
+        )
+        jobs[target] = RefreshJob(config, target, checks=(checks or {}).get(target, ()))
+    return jobs
+
+
 @dataclass(frozen=True)
 class IncrementalJob:
     """Find what is missing, get its documents, derive rows per table, upsert, archive.
@@ -143,6 +158,35 @@ class CrawlJob:
         return landed.where(landed["error"].isNotNull())
 
 
+def read_landing(
+    spark: SparkSession, directory: str, file_type: str, separator: str = ";", *, multi_line: bool
+) -> DataFrame | None:
+    """All files of one type in a directory, with the file name; None without files."""
+    if file_type == "csv":
+        return read_csv_dir(spark, directory, separator, multi_line=multi_line)
+    if file_type == "json":
+        return read_json_dir(spark, directory, multi_line=multi_line)
+    raise ValueError(f"unknown file type {file_type!r}")
+
+
+def consolidate(
+    spark: SparkSession,
+    directory: str,
+    file_type: str,
+    path: str,
+    *,
+    separator: str = ";",
+    unique: bool = False,
+    multi_line: bool = True,
+) -> str | None:
+    """Dated landing files as one CSV data set; ``unique`` drops rows that repeat as a whole."""
+    rows = read_landing(spark, directory, file_type, separator, multi_line=multi_line)
+    if rows is None:
+        return None
+    rows = rows.drop(LINEAGE)
+    return export_csv(rows.distinct() if unique else rows, path, separator)
+
+
 def batch_load(
     warehouse: Warehouse,
     directory: str,
@@ -156,12 +200,7 @@ def batch_load(
     """All files of a directory into one table, with the file name; None and no change without
     files."""
     spark = warehouse.spark
-    if file_type == "csv":
-        rows = read_csv_dir(spark, directory, separator, multi_line=multi_line)
-    elif file_type == "json":
-        rows = read_json_dir(spark, directory, multi_line=multi_line)
-    else:
-        raise ValueError(f"unknown file type {file_type!r}")
+    rows = read_landing(spark, directory, file_type, separator, multi_line=multi_line)
     if rows is None:
         return None
     loaded = warehouse.load(rows, table, how)

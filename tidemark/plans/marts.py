@@ -50,13 +50,18 @@ def price_change(prices: DataFrame, product: str, day: str, price: Column) -> Da
     window runs over months, after the aggregation, so even a product with a third of all price
     rows has one row per month in it.
     """
-    month = F.substring(day_of(F.col(day)).cast("string"), 1, 7).alias("month")
-    monthly = prices.where(F.col(day).isNotNull()).groupBy(product, month).agg(
+    first_day = F.trunc(day_of(F.col(day)), "month").alias("first_day")
+    monthly = prices.where(F.col(day).isNotNull()).groupBy(product, first_day).agg(
         F.avg(price).cast("double").alias("mean_price")
     )
-    before = F.lag("mean_price").over(Window.partitionBy(product).orderBy("month"))
-    return monthly.withColumn("previous_price", before).withColumn(
-        "change", F.col("mean_price") / F.nullif(F.col("previous_price"), F.lit(0.0)) - 1
+    before = F.lag("mean_price").over(Window.partitionBy(product).orderBy("first_day"))
+    change = F.col("mean_price") / F.nullif(F.col("previous_price"), F.lit(0.0)) - 1
+    return monthly.withColumn("previous_price", before).select(
+        product,
+        F.substring(F.col("first_day").cast("string"), 1, 7).alias("month"),
+        "mean_price",
+        "previous_price",
+        change.alias("change"),
     )
 
 

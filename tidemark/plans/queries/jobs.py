@@ -20,6 +20,7 @@ from tidemark.plans.jobs import (
     RefreshJob,
     Stage,
     batch_load,
+    consolidate,
     staged_crawl,
 )
 from tidemark.plans.queries.registry import register, table, working_area
@@ -28,6 +29,7 @@ from tidemark.session import scratch_dir
 from tidemark.sinks.export import export_csv
 from tidemark.sinks.tables import Warehouse
 from tidemark.sources.crawl import land_documents
+from tidemark.sources.files import read_typed_csv
 
 
 @register("SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier")
@@ -209,6 +211,22 @@ def batch_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.snapshot("raw.people").select("id", "name", "balance", "nation")
 
 
+@register("SELECT DISTINCT conv_id, role, CASE WHEN role = 'user' THEN turn END AS turn FROM conversations")
+def consolidated_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files with different fields, one of them sent twice, as one CSV without repeats."""
+    turns = table(spark, sf_dir, "conversations")
+    landing = scratch_dir(spark, "snapshots")
+    asked = turns.where(F.col("role") == "user").select("conv_id", "role", "turn")
+    answered = turns.where(F.col("role") != "user").select("conv_id", "role")
+    for rows in (asked, answered, answered):
+        rows.write.mode("append").json(landing)
+    path = consolidate(
+        spark, landing, "json", scratch_dir(spark, "bronze"), unique=True, multi_line=False
+    )
+    schema = "conv_id bigint, role string, turn bigint"
+    return read_typed_csv(spark, path, schema, multi_line=False)
+
+
 def _marts() -> MartRefresh:
     def price(warehouse: Warehouse) -> DataFrame:
         listed = F.col("l_extendedprice").cast("decimal(18,2)")

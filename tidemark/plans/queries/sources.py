@@ -198,6 +198,10 @@ _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>"""
 
 
+def _stripped(sql: str) -> str:
+    return rf"regexp_replace({sql}, '^\s+|\s+$', '', 'g')"
+
+
 def _unescaped(sql: str) -> str:
     for reference, character in (
         ("&lt;", "<"),
@@ -222,7 +226,7 @@ WITH visible AS (
   FROM visible
 )
 SELECT page_id, CAST(position AS INTEGER) AS position, {_unescaped("href")} AS href,
-  {_unescaped("trim(regexp_replace(label, '(?s)<[^>]*>', '', 'g'))")} AS label
+  {_unescaped(_stripped("regexp_replace(label, '(?s)<[^>]*>', '', 'g')"))} AS label
 FROM found
 """
 )
@@ -233,7 +237,7 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     rf"""
 SELECT page_id, url,
-  {_unescaped("trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1))")} AS title
+  {_unescaped(_stripped("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"))} AS title
 FROM pages
 """
 )

@@ -22,7 +22,8 @@ def archive_documents(
 
     Only names that end in ``suffix``, in that case, are taken. The archive is partitioned by the
     folder part of the key, and only folders that receive a document are rewritten; names with a
-    date folder keep a daily delivery from touching the older days.
+    date folder keep a daily delivery from touching the older days. ``documents`` must be a read of
+    landed files: it is read for the key check, where only the names matter, and for the write.
     """
     warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition="folder")
     rows = documents.where(F.col("file_name").endswith(suffix)).select(
@@ -31,7 +32,8 @@ def archive_documents(
         F.octet_length("content").cast("long").alias("length"),
         F.col("content").cast("binary").alias("content"),
     )
-    warehouse.upsert_partitions(rows, table, lambda: F.regexp_extract("key", "^(.*)/", 1))
+    folder = F.regexp_extract("key", "^(.*)/", 1)
+    warehouse.upsert_partitions(rows, table, lambda: folder, copy=False)
 
 
 def unloaded_files(files: DataFrame, manifest: DataFrame) -> DataFrame:

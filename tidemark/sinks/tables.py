@@ -215,12 +215,19 @@ class Warehouse:
             self._register(table, staging.schema, path)
         return rows
 
-    def _stage(self, staging: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-        """Staging written once and checked; the merge and the check read the copy."""
-        columns = self.read(table).columns
-        path = self._new_version(f"{table}__staging")
-        align_by_name(staging, columns).write.parquet(path)
-        staged = self.spark.read.schema(self.read(table).schema).parquet(path)
+    def _stage(
+        self, staging: DataFrame, table: str, keys: Sequence[str], copy: bool
+    ) -> DataFrame:
+        """Staging in the table's columns, its keys checked.
+
+        With ``copy`` it is written once, and the check and the merge read the copy.
+        """
+        schema = self.read(table).schema
+        staged = align_by_name(staging, schema.names)
+        if copy:
+            path = self._new_version(f"{table}__staging")
+            staged.write.parquet(path)
+            staged = self.spark.read.schema(schema).parquet(path)
         return require_unique(staged, keys, f"staging for {table}")
 
     def upsert(
@@ -230,17 +237,19 @@ class Warehouse:
         keys: Sequence[str] = (),
         *,
         reject_null_keys: bool = False,
+        copy: bool = True,
     ) -> None:
         """Update the rows whose key is staged and insert the rest.
 
         A key that is staged twice raises before the table changes. NULL keys never conflict and
         are inserted; where a batch may be replayed, ``reject_null_keys`` refuses them. Values are
-        taken as staged, also NULL.
+        taken as staged, also NULL. ``copy=False`` is for a staging frame that is a plain read of
+        written files, where computing it again costs less than a copy.
         """
         keys = list(keys) or self.key(table)
         if not keys:
             raise ValueError(f"{table} has no declared key")
-        staged = self._stage(staging, table, keys)
+        staged = self._stage(staging, table, keys, copy)
         if reject_null_keys:
             require_keys(staged, keys, f"staging for {table}")
         path = self._new_version(table)
@@ -253,6 +262,8 @@ class Warehouse:
         table: str,
         partition_of: Callable[[], Column],
         keys: Sequence[str] = (),
+        *,
+        copy: bool = True,
     ) -> int:
         """An upsert that reads and rewrites only the partitions staging falls into.
 
@@ -262,7 +273,7 @@ class Warehouse:
         """
         keys = list(keys) or self.key(table)
         (partition,) = self._property(table, PARTITION_PROPERTY)
-        staged = self._stage(staging.withColumn(partition, partition_of()), table, keys)
+        staged = self._stage(staging.withColumn(partition, partition_of()), table, keys, copy)
         touched = staged.select(partition).distinct()
         values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
         current = self.read(table)

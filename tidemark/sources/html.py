@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 TAG = r"(?s)<[^>]*>"
+EDGE_SPACE = r"^\s+|\s+$"
 # The named references that HTML shares with XML. The ampersand goes last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -18,27 +19,29 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def stripped(text: Column) -> Column:
+    """Without white space, line breaks included, at both ends."""
+    return F.regexp_replace(text, EDGE_SPACE, "")
+
+
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per link: its position on the page, target and visible text."""
+    """One row per link: its position on the page, target and visible text.
+
+    The page is searched once for whole anchors; target and text come from the short matches.
+    """
     visible = F.regexp_replace(F.col(html), HIDDEN, "")
     rest = [c for c in pages.columns if c != html]
-    matched = pages.select(
-        *rest,
-        F.arrays_zip(
-            F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(1)).alias("href"),
-            F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(2)).alias("label"),
-        ).alias("found"),
-    )
-    rows = matched.select(*rest, F.posexplode("found").alias("position", "link"))
-    label = F.trim(F.regexp_replace(F.col("link.label"), TAG, ""))
+    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
+    rows = pages.select(*rest, F.posexplode(anchors).alias("position", "anchor"))
+    label = stripped(F.regexp_replace(F.regexp_extract("anchor", ANCHOR, 2), TAG, ""))
     return rows.select(
         *rest,
         "position",
-        unescape(F.col("link.href")).alias("href"),
+        unescape(F.regexp_extract("anchor", ANCHOR, 1)).alias("href"),
         unescape(label).alias("label"),
     )
 
 
 def page_title(html: Column) -> Column:
     """The text of the first title element, empty where there is none."""
-    return unescape(F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
+    return unescape(stripped(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
