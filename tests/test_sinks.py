@@ -16,11 +16,13 @@ def written(path) -> str:
 def test_csv_export_format(spark, tmp_path):
     df = spark.sql(
         "SELECT 1 AS id, CAST(NULL AS string) AS a, '' AS b, 'x;y' AS c, 'say \"hi\"' AS d, true AS e, "
-        "timestamp_ntz'2024-01-02 03:04:05' AS f, ' pad ' AS g, 1.5D AS h"
+        "timestamp_ntz'2024-01-02 03:04:05' AS f, ' pad ' AS g, 1.5D AS h, "
+        "timestamp'2024-01-02 03:04:05.123456' AS i"
     )
     path = export_csv(df, str(tmp_path / "t.csv"))
     assert written(path) == (
-        'id;a;b;c;d;e;f;g;h\n1;;;"x;y";"say ""hi""";True;2024-01-02 03:04:05; pad ;1.5\n'
+        'id;a;b;c;d;e;f;g;h;i\n1;;;"x;y";"say ""hi""";True;2024-01-02 03:04:05; pad ;1.5;'
+        "2024-01-02 03:04:05.123456\n"
     )
 
 

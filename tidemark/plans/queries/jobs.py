@@ -59,10 +59,13 @@ READING = "event_id bigint, ts timestamp_ntz, value double, k double"
 
 ENERGY_SQL = """
 SELECT 'hourly' AS table_name, strftime(ts, '%Y-%m-%d %H:00:00') AS key,
-  round(sum(value), 2) AS energy
+  round(sum(value), 2) AS energy, NULL::BIGINT AS duration, NULL::DOUBLE AS co2
 FROM events GROUP BY 2
 UNION ALL
-SELECT 'daily', strftime(ts, '%Y-%m-%d'), round(sum(value), 2) FROM events GROUP BY 2
+SELECT 'daily', strftime(ts, '%Y-%m-%d'), round(sum(value), 2),
+  (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000,
+  sum(CAST(json_extract_string(props, '$.k') AS DOUBLE))
+FROM events GROUP BY 2
 """
 
 
@@ -87,7 +90,10 @@ def _energy_job(feed: DataFrame, end: str) -> IncrementalJob:
         archive_table=ARCHIVE,
         to_archive=lambda rows: rows.withColumn("day", F.to_date("ts")).select(
             fill_template("{day}/{event_id}.json").alias("file_name"),
-            F.to_json(F.struct("event_id", "ts", "value", "k")).alias("content"),
+            F.to_json(
+                # The default format keeps milliseconds only.
+                F.struct("event_id", F.col("ts").cast("string").alias("ts"), "value", "k")
+            ).alias("content"),
         ),
     )
 
@@ -103,9 +109,21 @@ def _energy_rows(warehouse: Warehouse) -> DataFrame:
     hours = warehouse.snapshot(HOURLY).select(
         F.lit("hourly").alias("table_name"), F.col("datetime").alias("key"), "energy"
     )
-    days = warehouse.snapshot(DAILY).select(F.lit("daily"), "date", "total")
-    rows = hours.union(days)
-    return rows.withColumn("energy", F.round(F.col("energy").try_cast("double"), 2))
+    days = warehouse.snapshot(DAILY).select(
+        F.lit("daily").alias("table_name"),
+        F.col("date").alias("key"),
+        F.col("total").alias("energy"),
+        "duration",
+        "co2",
+    )
+    rows = hours.unionByName(days, allowMissingColumns=True)
+    return rows.withColumns(
+        {
+            "energy": F.round(F.col("energy").try_cast("double"), 2),
+            "duration": F.col("duration").try_cast("bigint"),
+            "co2": F.col("co2").try_cast("double"),
+        }
+    )
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:

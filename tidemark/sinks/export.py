@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructField
 
 from tidemark.session import run_together
 
@@ -21,29 +22,30 @@ class ExportFailed(RuntimeError):
         self.report = report
 
 
+def _cell(field: StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    kind = field.dataType.simpleString()
+    if kind == "boolean":
+        return F.initcap(value.cast("string")).alias(field.name)
+    if kind.startswith("timestamp"):
+        # A format would cut or pad the fraction of a second.
+        return value.cast("string").alias(field.name)
+    return value
+
+
 def export_csv(df: DataFrame, path: str, separator: str = ";") -> str:
     """Write ``df`` as CSV with a header, replacing what was at ``path``.
 
     ``path`` becomes a folder of part files, one per task, so the export is not squeezed through one
     writer. NULL and empty text are both empty cells; booleans are ``True`` and ``False``.
     """
-    shown = df.select(
-        *[
-            F.initcap(F.col(f"`{f.name}`").cast("string")).alias(f.name)
-            if f.dataType.simpleString() == "boolean"
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
     (
-        shown.write.mode("overwrite")
+        df.select(*[_cell(f) for f in df.schema.fields]).write.mode("overwrite")
         .option("header", True)
         .option("sep", separator)
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         # Blanks at the ends of a text belong to it.
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

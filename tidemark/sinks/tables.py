@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import align_by_name, upsert_frame
@@ -22,6 +22,9 @@ How = Literal["replace", "append", "fail"]
 KEY_PROPERTY = "tidemark.key"
 PARTITION_PROPERTY = "tidemark.partition"
 
+# Beside a table's own folder: staged rows, and merged rows on their way into partitions.
+SIDE_FOLDERS = ("__staging", "__merged")
+
 # A touched-partition list up to this length is pushed into the scan as values.
 MAX_LISTED_PARTITIONS = 10_000
 
@@ -112,19 +115,25 @@ class Warehouse:
         self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION '{path}'")
 
     def expire(self, table: str, keep: int = 2) -> int:
-        """Delete old content folders of an unpartitioned table; returns how many.
+        """Delete old content and staging folders of a table; returns how many.
 
-        The current one and the ``keep - 1`` newest others stay, for readers that still hold them.
+        The current content and the ``keep - 1`` newest others stay, for readers that still hold
+        them. Not to be run while the table is being written.
         """
-        jvm = self.spark.sparkContext._jvm
-        current = jvm.org.apache.hadoop.fs.Path(self.location(table))
+        path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        current = path_of(self.location(table))
         fs = current.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        folders = sorted(fs.listStatus(current.getParent()), key=lambda s: -s.getModificationTime())
-        others = [s.getPath() for s in folders if s.getPath().getName() != current.getName()]
-        old = others[keep - 1 :]
-        for path in old:
-            fs.delete(path, True)
-        return len(old)
+        home = current.getParent()
+        removed = 0
+        for folder in (home, *(home.suffix(side) for side in SIDE_FOLDERS)):
+            if not fs.exists(folder):
+                continue
+            newest = sorted(fs.listStatus(folder), key=lambda s: -s.getModificationTime())
+            others = [s.getPath() for s in newest if s.getPath().getName() != current.getName()]
+            for path in others[keep - 1 if folder.equals(home) else 0 :]:
+                fs.delete(path, True)
+                removed += 1
+        return removed
 
     # Definition
 
@@ -182,13 +191,14 @@ class Warehouse:
         if present and how == "fail":
             raise ValueError(f"{table} exists")
         if present and how == "append":
-            df = align_by_name(df, self.read(table).columns)
+            aligned = align_by_name(df, self.read(table).columns)
+            seen = Observation()
+            counted = aligned.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+            counted.write.insertInto(self.full_name(table))
+            return seen.get["n_rows"]
         path, rows = self._write_version(df, table)
         if not present:
             self._register(table, df.schema, path)
-        elif how == "append":
-            # The written rows go in as one insert, so a failed load adds nothing.
-            self.spark.read.schema(df.schema).parquet(path).write.insertInto(self.full_name(table))
         elif [(f.name, f.dataType) for f in df.schema] == [
             (f.name, f.dataType) for f in self.read(table).schema
         ]:
