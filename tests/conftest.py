@@ -18,7 +18,14 @@ from tidemark.sinks.tables import Warehouse  # noqa: E402
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
     session = local_session(
-        "*", **{"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/warehouse"}
+        "*",
+        **{
+            "spark.checkpoint.dir": shared,
+            "spark.sql.warehouse.dir": f"{shared}/warehouse",
+            # Fixtures are a handful of rows.
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
+        },
     )
     yield session
     session.stop()

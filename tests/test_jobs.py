@@ -10,6 +10,7 @@ from tidemark.operators.summary import hourly
 from tidemark.operators.worklist import missing_dates
 from tidemark.plans.catalog import EXPORTED_MARTS, KEYED_TABLES
 from tidemark.plans.jobs import (
+    CrawlJob,
     IncrementalJob,
     JobConfig,
     MartRefresh,
@@ -18,6 +19,8 @@ from tidemark.plans.jobs import (
     consolidate,
     refresh_jobs,
 )
+from tidemark.sources.crawl import single_request
+from tidemark.sources.files import read_latest_partition
 from tidemark.streaming.ingest import ingest_files
 
 
@@ -118,6 +121,50 @@ def test_batch_load_json(warehouse, tmp_path, rows):
     assert rows(warehouse.read("raw.home"), "title", "price", "source_filename") == [("A", 1.5, "home.json")]
 
 
+def test_crawl_of_a_single_document(warehouse, spark, tmp_path, rows):
+    def client():
+        return lambda url: '{"id": 1, "url": "%s"}' % url
+
+    job = CrawlJob(
+        url="{url}",
+        file_name="{file_name}",
+        target="raw.summary",
+        open_client=client,
+        load_documents=lambda landed: landed.selectExpr("file_name", "get_json_object(body, '$.id') AS id"),
+        how="replace",
+    )
+    request = single_request(spark, "https://x.invalid/games", "games.json")
+    assert job.run(request, warehouse, str(tmp_path / "landing")).isEmpty()
+    assert rows(warehouse.read("raw.summary")) == [("games.json", "1")]
+
+
+def test_crawl_lands_by_season(warehouse, spark, tmp_path, rows):
+    def client():
+        def fetch(url):
+            if url.endswith("9"):
+                raise OSError("closed")
+            return url[-1]
+
+        return fetch
+
+    log = spark.createDataFrame([(1, "20232024"), (2, "20242025"), (9, "20242025")], "player int, season string")
+    landing = str(tmp_path / "log")
+    job = CrawlJob(
+        url="https://x.invalid/{season}/{player}",
+        file_name="{player}.json",
+        target="raw.log",
+        open_client=client,
+        load_documents=lambda landed: landed.select("player", "body"),
+        wait=0.0,
+        partition_by="season",
+    )
+    failed = job.run(log, warehouse, landing)
+    assert rows(failed, "player", "error") == [(9, "OSError: closed")]
+    assert rows(warehouse.read("raw.log")) == [(1, "1"), (2, "2")]
+    latest = read_latest_partition(spark, landing, "season", "player int, body string, season string")
+    assert rows(latest, "player", "season") == [(2, "20242025"), (9, "20242025")]
+
+
 def test_marts_by_tag(warehouse, spark):
     refresh = MartRefresh(
         marts={"marts.a": lambda w: w.spark.range(1), "marts.b": lambda w: w.spark.range(2)},

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions import fill_template
 from tidemark.operators import summary
 from tidemark.operators.quality import Check
-from tidemark.operators.worklist import missing_dates, pending_ids
+from tidemark.operators.shape import flatten
+from tidemark.operators.worklist import missing_dates, pending_ids, request_flags
 from tidemark.plans import marts
-from tidemark.plans.catalog import KEYED_TABLES
+from tidemark.plans.catalog import KEYED_TABLES, WEATHER_DOCUMENT
 from tidemark.plans.jobs import (
     CrawlJob,
     IncrementalJob,
@@ -23,13 +24,15 @@ from tidemark.plans.jobs import (
     consolidate,
     staged_crawl,
 )
+from tidemark.plans.queries.marts import SHIFT, climate_days, energy_days
 from tidemark.plans.queries.registry import register, table, working_area
-from tidemark.plans.queries.sources import landed_people
+from tidemark.plans.queries.sources import WEATHER_SQL, day_documents, landed_people
+from tidemark.plans.queries.worklists import offline_client
 from tidemark.session import scratch_dir
 from tidemark.sinks.export import export_csv
 from tidemark.sinks.tables import Warehouse
-from tidemark.sources.crawl import land_documents
-from tidemark.sources.files import read_typed_csv
+from tidemark.sources.crawl import days_to_requests, fetch_documents, land_documents
+from tidemark.sources.files import LINEAGE, read_json_dir, read_typed_csv
 
 
 @register("SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier")
@@ -245,35 +248,145 @@ def consolidated_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_typed_csv(spark, path, schema, multi_line=False)
 
 
-def _marts() -> MartRefresh:
-    def price(warehouse: Warehouse) -> DataFrame:
-        listed = F.col("l_extendedprice").cast("decimal(18,2)")
-        return marts.price_change(warehouse.read("raw.lineitem"), "l_partkey", "l_shipdate", listed)
+WEATHER = "raw.openweather_daily"
 
-    aligned = F.col("o_orderstatus") == "F"
-    return MartRefresh(
-        marts={
-            "marts.mrt_energia_hora": lambda w: summary.hour_profile(
-                w.read("raw.events"), "ts", "value"
-            ),
-            "marts.mrt_inflation": price,
-            "marts.mrt_governismo_parlamentares": lambda w: marts.alignment_rate(
-                w.read("raw.orders"), "o_custkey", aligned
+
+@register(WEATHER_SQL)
+def weather_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested day documents of the missing dates, flattened and upserted, in two runs."""
+    landing = scratch_dir(spark, "weather")
+    day_documents(table(spark, sf_dir, "events")).write.json(landing)
+    documents = read_json_dir(spark, landing, WEATHER_DOCUMENT, multi_line=False).drop(LINEAGE)
+
+    def job(end: str) -> IncrementalJob:
+        return IncrementalJob(
+            worklist=lambda warehouse: missing_dates(
+                warehouse.read(WEATHER), "date", start="2024-01-01", end=end
             ),
-            "marts.mrt_governismo_parlamentares_trimestral": lambda w: (
-                marts.alignment_rate_by_quarter(
-                    w.read("raw.orders"), "o_custkey", "o_orderdate", aligned
-                )
+            extract=lambda days: documents.join(
+                F.broadcast(days.select(F.col("day").cast("string").alias("date"))),
+                "date",
+                "left_semi",
             ),
-        },
-        tags={"energia": ["marts.mrt_energia_hora"], "inflation": ["marts.mrt_inflation"]},
+            derive={WEATHER: flatten},
+        )
+
+    with working_area(spark) as warehouse:
+        columns, key = KEYED_TABLES[WEATHER]
+        warehouse.create_table(WEATHER, columns, key=key)
+        for end in ("2024-01-12", "2024-01-30"):
+            job(end).run(warehouse)
+        stored = warehouse.snapshot(WEATHER)
+    return stored.select(
+        "date", *[F.col(c).try_cast("double").alias(c) for c in stored.columns if c != "date"]
     )
 
 
 @register(
     """
-SELECT 'mrt_energia_hora' AS mart, count(DISTINCT hour(ts)) AS n_rows,
-  round(sum(value), 2) AS total FROM events
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
+missing AS (
+  SELECT CAST(day AS VARCHAR) AS date FROM (
+    SELECT CAST(unnest(generate_series(
+      DATE '1994-12-25', DATE '2001-08-10', INTERVAL 1 DAY)) AS DATE) AS day
+  ) WHERE day NOT IN (SELECT day FROM days)
+)
+SELECT date, 'https://weather.invalid/day?date=' || date AS url, date || '.json' AS file_name,
+  '{"url": "https://weather.invalid/day?date=' || date || '", "status": 200}' AS body
+FROM missing
+"""
+)
+def missing_day_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per day without an order, fetched and landed."""
+    orders = table(spark, sf_dir, "orders")
+    days = missing_dates(orders, "o_orderdate", start="1994-12-25", end="2001-08-10")
+    requests = days_to_requests(days, "https://weather.invalid/day?date={date}", "{date}.json")
+    fetched = fetch_documents(requests, offline_client, parallelism=4, wait=0.0)
+    return land_documents(fetched, scratch_dir(spark, "days")).drop("error")
+
+
+def _listed_price():
+    return F.col("l_extendedprice").cast("decimal(18,2)")
+
+
+def _aligned():
+    return F.col("o_orderstatus") == "F"
+
+
+def _per_customer(orders: DataFrame) -> DataFrame:
+    return orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("turnover")
+    )
+
+
+# Mart, its plan, and the measure that is summed to compare it.
+MARTS = {
+    "marts.mrt_energia_clima": (
+        lambda w: marts.daily_join(
+            energy_days(w.read("raw.events")), climate_days(w.read("raw.orders"), SHIFT)
+        ),
+        "energy",
+    ),
+    "marts.mrt_energia_hora": (
+        lambda w: summary.hour_profile(w.read("raw.events"), "ts", "value"),
+        "total",
+    ),
+    "marts.mrt_inflation": (
+        lambda w: marts.price_change(
+            w.read("raw.lineitem"), "l_partkey", "l_shipdate", _listed_price()
+        ),
+        "mean_price",
+    ),
+    "marts.mrt_governismo_parlamentares": (
+        lambda w: marts.alignment_rate(w.read("raw.orders"), "o_custkey", _aligned()),
+        "votes",
+    ),
+    "marts.mrt_governismo_parlamentares_trimestral": (
+        lambda w: marts.alignment_rate_by_quarter(
+            w.read("raw.orders"), "o_custkey", "o_orderdate", _aligned()
+        ),
+        "votes",
+    ),
+    "marts.mrt_obt_parlamentares": (
+        lambda w: marts.one_big_table(
+            w.read("raw.customer"), {"c_custkey": (_per_customer(w.read("raw.orders")), "o_custkey")}
+        ),
+        "turnover",
+    ),
+    "marts.mrt_ecidadania_bignumbers": (
+        lambda w: marts.snapshot_totals(
+            w.read("raw.conversations"), "conv_id", "role", F.length("text")
+        ),
+        "total",
+    ),
+    "marts.mrt_ecidadania_proposicoes": (
+        lambda w: marts.latest_snapshot(w.read("raw.conversations"), "conv_id", ["turn"]),
+        "turn",
+    ),
+    "marts.vw_stg_request_games_id": (
+        lambda w: request_flags(
+            w.read("raw.orders").select("o_orderkey"),
+            "o_orderkey",
+            {"has_games_details": (w.read("raw.lineitem"), "l_orderkey")},
+        ),
+        "has_games_details",
+    ),
+}
+
+MART_TAGS = {
+    "energia": ["marts.mrt_energia_clima", "marts.mrt_energia_hora"],
+    "inflation": ["marts.mrt_inflation"],
+    "nhl": ["marts.vw_stg_request_games_id"],
+}
+
+
+@register(
+    f"""
+SELECT 'mrt_energia_clima' AS mart, count(*) AS n_rows, round(sum(energy), 2) AS total FROM (
+  SELECT CAST(ts AS DATE) AS day, sum(value) AS energy FROM events GROUP BY 1
+) WHERE day IN (SELECT CAST(o_orderdate AS DATE) + {SHIFT} FROM orders)
+UNION ALL
+SELECT 'mrt_energia_hora', count(DISTINCT hour(ts)), round(sum(value), 2) FROM events
 UNION ALL
 SELECT 'mrt_inflation', count(*), round(sum(mean_price), 2) FROM (
   SELECT avg(l_extendedprice) AS mean_price FROM lineitem
@@ -284,29 +397,36 @@ SELECT 'mrt_governismo_parlamentares', count(DISTINCT o_custkey), count(*)::DOUB
 UNION ALL
 SELECT 'mrt_governismo_parlamentares_trimestral',
   count(DISTINCT (o_custkey, year(o_orderdate), quarter(o_orderdate))), count(*)::DOUBLE FROM orders
+UNION ALL
+SELECT 'mrt_obt_parlamentares', (SELECT count(*) FROM customer), round(sum(o_totalprice), 2)
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)
+UNION ALL
+SELECT 'mrt_ecidadania_bignumbers', count(DISTINCT role), sum(length(text))::DOUBLE
+FROM conversations
+UNION ALL
+SELECT 'mrt_ecidadania_proposicoes', count(*), sum(turn)::DOUBLE FROM (
+  SELECT conv_id, max(turn) AS turn FROM conversations GROUP BY 1
+)
+UNION ALL
+SELECT 'vw_stg_request_games_id', count(*),
+  (count(*) FILTER (WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)))::DOUBLE FROM orders
 """
 )
 def marts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources published, marts refreshed by tag and as a whole, all exported, then counted."""
-    measures = {
-        "mrt_energia_hora": "total",
-        "mrt_inflation": "mean_price",
-        "mrt_governismo_parlamentares": "votes",
-        "mrt_governismo_parlamentares_trimestral": "votes",
-    }
-    refresh = _marts()
+    refresh = MartRefresh({name: plan for name, (plan, _) in MARTS.items()}, MART_TAGS)
     with working_area(spark) as warehouse:
-        for name in ("events", "orders", "lineitem"):
+        for name in ("events", "orders", "lineitem", "customer", "conversations"):
             warehouse.load(table(spark, sf_dir, name), f"raw.{name}")
         refresh.run(warehouse, "energia")
         refresh.run(warehouse)
         refresh.export(warehouse, scratch_dir(spark, "gold"))
         totals = [
-            warehouse.snapshot(f"marts.{mart}").agg(
-                F.lit(mart).alias("mart"),
+            warehouse.snapshot(name).agg(
+                F.lit(name.split(".")[1]).alias("mart"),
                 F.count(F.lit(1)).alias("n_rows"),
                 F.round(F.sum(F.col(measure).cast("double")), 2).alias("total"),
             )
-            for mart, measure in measures.items()
+            for name, (_, measure) in MARTS.items()
         ]
         return reduce(DataFrame.unionByName, totals)

@@ -152,8 +152,7 @@ def day_documents(events: DataFrame) -> DataFrame:
     )
 
 
-@register(
-    """
+WEATHER_SQL = """
 SELECT strftime(ts, '%Y-%m-%d') AS date,
   count(*) FILTER (WHERE hour(ts) BETWEEN 12 AND 17 AND event_type = 'view')::DOUBLE
     AS cloud_cover_afternoon,
@@ -170,7 +169,9 @@ SELECT strftime(ts, '%Y-%m-%d') AS date,
   min(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS wind_max_direction
 FROM events GROUP BY 1
 """
-)
+
+
+@register(WEATHER_SQL)
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     directory = scratch_dir(spark, "weather")
     day_documents(table(spark, sf_dir, "events")).write.json(directory)
