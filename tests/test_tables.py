@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -75,6 +77,32 @@ def test_upsert_needs_a_key(spark, warehouse):
         warehouse.upsert(spark.createDataFrame([], DAYS), "raw.free")
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_upserts_equal_a_dictionary(spark, warehouse, rows, seed):
+    """Random deliveries, with NULL keys, against a plain dictionary and a list."""
+    rng = random.Random(seed)
+    schema = "date string, total bigint, month string"
+    warehouse.create_table("raw.flat", DAYS, key=["date"])
+    warehouse.create_table("raw.cut", schema, key=["date"], partition="month")
+    keyed, unkeyed = {}, []
+    for _ in range(3):
+        names = rng.sample([f"{m}-{d}" for m in "abc" for d in range(4)], rng.randint(0, 8))
+        delivery = [(n, rng.choice([None, rng.randint(0, 99)])) for n in names]
+        nulls = [(None, rng.randint(0, 99)) for _ in range(rng.randint(0, 2))]
+        keyed.update(delivery)
+        unkeyed += nulls
+        staging = spark.createDataFrame(delivery + nulls, DAYS)
+        warehouse.upsert(staging, "raw.flat")
+        warehouse.upsert_partitions(
+            staging, "raw.cut", lambda: F.substring("date", 1, 1), copy=rng.random() < 0.5
+        )
+    expected = sorted(
+        [*keyed.items(), *unkeyed], key=lambda r: [(v is not None, str(v)) for v in r]
+    )
+    assert rows(warehouse.read("raw.flat")) == expected
+    assert rows(warehouse.read("raw.cut"), "date", "total") == expected
+
+
 def test_partitioned_upsert_rewrites_touched_partitions_only(spark, warehouse, rows, tmp_path):
     schema = "date string, total bigint, month string"
     warehouse.create_table("raw.months", schema, key=["date"], partition="month")

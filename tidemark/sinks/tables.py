@@ -226,16 +226,22 @@ class Warehouse:
         return rows
 
     def _stage(
-        self, staging: DataFrame, table: str, keys: Sequence[str], copy: bool
+        self,
+        staging: DataFrame,
+        table: str,
+        keys: Sequence[str],
+        copy: bool,
+        path: str | None = None,
     ) -> DataFrame:
         """Staging in the table's columns, its keys checked.
 
-        With ``copy`` it is written once, and the check and the merge read the copy.
+        With ``copy`` it is written once, to ``path`` or aside, and the check and the merge read
+        the copy.
         """
         schema = self.read(table).schema
         staged = align_by_name(staging, schema.names)
         if copy:
-            path = self._new_version(f"{table}__staging")
+            path = path or self._new_version(f"{table}__staging")
             staged.write.parquet(path)
             staged = self.spark.read.schema(schema).parquet(path)
         return require_unique(staged, keys, f"staging for {table}")
@@ -259,11 +265,15 @@ class Warehouse:
         keys = list(keys) or self.key(table)
         if not keys:
             raise ValueError(f"{table} has no declared key")
-        staged = self._stage(staging, table, keys, copy)
+        target = self.read(table)
+        # Into an empty table the staged copy is the new content, and no merge is written.
+        first = copy and target.isEmpty()
+        path = self._new_version(table)
+        staged = self._stage(staging, table, keys, copy, path if first else None)
         if reject_null_keys:
             require_keys(staged, keys, f"staging for {table}")
-        path = self._new_version(table)
-        upsert_frame(self.read(table), staged, keys).write.parquet(path)
+        if not first:
+            upsert_frame(target, staged, keys).write.parquet(path)
         self._point_to(table, path)
 
     def upsert_partitions(

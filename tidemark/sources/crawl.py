@@ -59,8 +59,9 @@ def fetch_documents(
 
     ``open_client`` runs once per task and returns the fetch function, so a connection is shared by
     the task's requests; the function is called from ``in_flight`` threads. ``parallelism`` bounds
-    the tasks, and with ``in_flight`` the load on the remote side; requests are spread by URL. A
-    request that keeps failing has its error in the row and does not stop the others.
+    the tasks, and with ``in_flight`` the load on the remote side; requests are dealt out evenly,
+    also where one URL repeats. A request that keeps failing has its error in the row and does not
+    stop the others.
     """
     schema = StructType(
         requests.schema.fields
@@ -73,7 +74,7 @@ def fetch_documents(
                 done = _fetch_batch(fetch, list(batch["url"]), pool, attempts, wait)
                 yield batch.assign(body=[b for b, _ in done], error=[e for _, e in done])
 
-    return requests.repartition(parallelism, "url").mapInPandas(run, schema)
+    return requests.repartition(parallelism).mapInPandas(run, schema)
 
 
 def land_documents(documents: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
