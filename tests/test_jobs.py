@@ -232,6 +232,21 @@ def test_stream_orders_two_files_of_one_batch(spark, warehouse, tmp_path, rows):
         )
 
 
+def test_stream_into_a_partitioned_table(spark, warehouse, tmp_path, rows):
+    landing = tmp_path / "landing"
+    by_day = ("day", "substring(datetime, 1, 10)")
+    warehouse.create_table("raw.h", HOURS, key=["datetime"], partition=by_day)
+    drop(landing, "1.json", ("2024-01-01T00:10:00", 1.0, 1), ("2024-01-02T01:10:00", 2.0, 1))
+    drop(landing, "2.json", ("2024-01-02T01:20:00", 7.0, 2))
+    batches = ingest_files(
+        spark, str(landing), SCHEMA, str(tmp_path / "c"), warehouse, {"raw.h": by_hour}, max_files=1
+    )
+    assert batches == 2
+    first, second = rows(warehouse.read("raw.h"))
+    assert first == ("2024-01-01 00:00:00", 1.0, "2024-01-01")
+    assert second[0] == "2024-01-02 01:00:00" and second[1] in (2.0, 7.0)
+
+
 def test_stream_refuses_null_keys(spark, warehouse, tmp_path, rows):
     landing = tmp_path / "landing"
     warehouse.create_table("raw.h", HOURS, key=["datetime"])

@@ -30,6 +30,14 @@ def test_upsert_goes_by_column_name(spark, days, rows):
     assert rows(days.read("raw.days")) == [("d1", 1), ("d2", 20)]
 
 
+def test_upsert_takes_the_types_of_the_table(spark, days, warehouse, rows):
+    days.upsert(spark.createDataFrame([("d2", "20")], "date string, total string"), "raw.days")
+    assert rows(days.read("raw.days")) == [("d1", 1), ("d2", 20)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        days.upsert(spark.createDataFrame([("d2", "many")], "date string, total string"), "raw.days")
+    assert rows(days.read("raw.days")) == [("d1", 1), ("d2", 20)]
+
+
 def test_upsert_null_keys_never_conflict(spark, days, rows):
     staging = spark.createDataFrame([(None, 7)], DAYS)
     days.upsert(staging, "raw.days")
@@ -81,9 +89,8 @@ def test_upsert_needs_a_key(spark, warehouse):
 def test_upserts_equal_a_dictionary(spark, warehouse, rows, seed):
     """Random deliveries, with NULL keys, against a plain dictionary and a list."""
     rng = random.Random(seed)
-    schema = "date string, total bigint, month string"
     warehouse.create_table("raw.flat", DAYS, key=["date"])
-    warehouse.create_table("raw.cut", schema, key=["date"], partition="month")
+    warehouse.create_table("raw.cut", DAYS, key=["date"], partition=("m", "substr(date, 1, 1)"))
     keyed, unkeyed = {}, []
     for _ in range(3):
         names = rng.sample([f"{m}-{d}" for m in "abc" for d in range(4)], rng.randint(0, 8))
@@ -93,9 +100,7 @@ def test_upserts_equal_a_dictionary(spark, warehouse, rows, seed):
         unkeyed += nulls
         staging = spark.createDataFrame(delivery + nulls, DAYS)
         warehouse.upsert(staging, "raw.flat")
-        warehouse.upsert_partitions(
-            staging, "raw.cut", lambda: F.substring("date", 1, 1), copy=rng.random() < 0.5
-        )
+        warehouse.upsert(staging, "raw.cut", copy=rng.random() < 0.5)
     expected = sorted(
         [*keyed.items(), *unkeyed], key=lambda r: [(v is not None, str(v)) for v in r]
     )
@@ -104,14 +109,10 @@ def test_upserts_equal_a_dictionary(spark, warehouse, rows, seed):
 
 
 def test_partitioned_upsert_rewrites_touched_partitions_only(spark, warehouse, rows, tmp_path):
-    schema = "date string, total bigint, month string"
-    warehouse.create_table("raw.months", schema, key=["date"], partition="month")
-
-    def month():
-        return F.substring("date", 1, 7)
-
+    by_month = ("month", "substring(date, 1, 7)")
+    warehouse.create_table("raw.months", DAYS, key=["date"], partition=by_month)
     first = spark.createDataFrame([("2024-01-01", 1), ("2024-02-01", 2), ("2024-02-02", 3)], DAYS)
-    assert warehouse.upsert_partitions(first, "raw.months", month) == 2
+    warehouse.upsert(first, "raw.months")
 
     def files():
         found = warehouse.read("raw.months").select("month", "_metadata.file_path").distinct()
@@ -119,7 +120,7 @@ def test_partitioned_upsert_rewrites_touched_partitions_only(spark, warehouse, r
 
     before = files()
     second = spark.createDataFrame([("2024-02-02", 30), ("2024-03-01", 4)], DAYS)
-    assert warehouse.upsert_partitions(second, "raw.months", month) == 2
+    warehouse.upsert(second, "raw.months")
     after = files()
     assert after["2024-01"] == before["2024-01"]
     assert after["2024-02"] != before["2024-02"]
@@ -129,16 +130,39 @@ def test_partitioned_upsert_rewrites_touched_partitions_only(spark, warehouse, r
 
 
 def test_partition_values_with_quotes_and_null(spark, warehouse, rows):
-    schema = "date string, total bigint, part string"
-    warehouse.create_table("raw.odd", schema, key=["date"], partition="part")
-    staging = spark.createDataFrame([("it's", 1), ("a/b\\c", 2)], DAYS)
-    warehouse.upsert_partitions(staging, "raw.odd", lambda: F.col("date"))
-    warehouse.upsert_partitions(
-        spark.createDataFrame([("it's", 5), (None, 6)], DAYS), "raw.odd", lambda: F.col("date")
-    )
+    warehouse.create_table("raw.odd", DAYS, key=["date"], partition=("part", "concat(date, '\\'')"))
+    warehouse.upsert(spark.createDataFrame([("it's", 1), ("a/b\\c", 2)], DAYS), "raw.odd")
+    warehouse.upsert(spark.createDataFrame([("it's", 5), (None, 6)], DAYS), "raw.odd")
     assert rows(warehouse.read("raw.odd"), "date", "total") == [(None, 6), ("a/b\\c", 2), ("it's", 5)]
 
 
+def test_partitioned_table_takes_every_write(spark, warehouse, rows):
+    by_month = ("month", "substring(date, 1, 7)")
+    warehouse.create_table("raw.p", DAYS, key=["date"], partition=by_month)
+    warehouse.load(spark.createDataFrame([("2024-01-01", 1)], DAYS), "raw.p", "append")
+    assert rows(warehouse.read("raw.p")) == [("2024-01-01", 1, "2024-01")]
+    two = spark.createDataFrame([("2024-02-01", 2), ("2024-03-01", 3)], DAYS)
+    assert warehouse.refresh(two, "raw.p") == 2
+    assert rows(warehouse.read("raw.p"), "date", "month") == [
+        ("2024-02-01", "2024-02"), ("2024-03-01", "2024-03"),
+    ]
+    warehouse.upsert(spark.createDataFrame([("2024-02-01", 9)], DAYS), "raw.p")
+    assert rows(warehouse.read("raw.p"), "date", "total") == [("2024-02-01", 9), ("2024-03-01", 3)]
+    assert warehouse.expire("raw.p") > 0
+    assert warehouse.read("raw.p").count() == 2
+    warehouse.truncate("raw.p")
+    assert warehouse.read("raw.p").isEmpty()
+    assert warehouse.key("raw.p") == ["date"]
+    assert warehouse.partition("raw.p") == by_month
+    assert warehouse.load(two, "raw.p", "replace") == 2
+    assert warehouse.read("raw.p").columns == ["date", "total"]
+
+
+def test_partition_must_follow_from_the_key(warehouse):
+    with pytest.raises(AnalysisException):
+        warehouse.create_table("raw.bad", DAYS, key=["date"], partition=("p", "total % 2"))
+
+
 def test_overlay_equals_upsert(spark, rows):
     target = spark.createDataFrame([("d1", 1), ("d2", 2)], DAYS)
     staging = spark.createDataFrame([("d2", None), ("d3", 3)], DAYS)

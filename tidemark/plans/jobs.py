@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import union_by_name
 from tidemark.operators.quality import Check, require_valid
-from tidemark.operators.shape import as_text
 from tidemark.session import run_together
 from tidemark.sinks.archive import archive_documents
 from tidemark.plans.catalog import REFRESH_TABLES
@@ -121,8 +120,8 @@ class IncrementalJob:
         """Upsert every target; also the whole of a rebuild from archived documents."""
 
         def upsert(table: str, rows_of: Step) -> None:
-            columns = warehouse.read(table).columns
-            warehouse.upsert(as_text(rows_of(documents).select(*columns)), table)
+            # The table's own types, text as a rule, are applied on the way in.
+            warehouse.upsert(rows_of(documents), table)
 
         run_together([partial(upsert, table, rows_of) for table, rows_of in self.derive.items()])
 

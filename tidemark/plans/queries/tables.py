@@ -152,15 +152,12 @@ def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = per_day(orders.where(F.col("o_orderdate") >= "1998-01-01"))
     new = new.withColumn("total", F.col("total") * 2)
 
-    def year():
-        return F.substring("date", 1, 4)
-
     with working_area(spark) as warehouse:
         name = "raw.order_days"
-        schema = "date string, total double, orders bigint, year string"
-        warehouse.create_table(name, schema, key=["date"], partition="year")
-        warehouse.upsert_partitions(old, name, year)
-        warehouse.upsert_partitions(new, name, year)
+        by_year = ("year", "substring(date, 1, 4)")
+        warehouse.create_table(name, old.schema, key=["date"], partition=by_year)
+        warehouse.upsert(old, name)
+        warehouse.upsert(new, name)
         return warehouse.snapshot(name).withColumn("total", F.round("total", 2))
 
 

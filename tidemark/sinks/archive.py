@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.sinks.tables import Warehouse
 
-ARCHIVE_SCHEMA = "key string, file_name string, length bigint, content binary, folder string"
+ARCHIVE_SCHEMA = "key string, file_name string, length bigint, content binary"
+BY_FOLDER = ("folder", "regexp_extract(key, '^(.*)/', 1)")
 
 
 def archive_documents(
@@ -25,15 +26,14 @@ def archive_documents(
     date folder keep a daily delivery from touching the older days. ``documents`` must be a read of
     landed files: it is read for the key check, where only the names matter, and for the write.
     """
-    warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition="folder")
+    warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition=BY_FOLDER)
     rows = documents.where(F.col("file_name").endswith(suffix)).select(
         F.concat(F.lit(prefix), "file_name").alias("key"),
         "file_name",
         F.octet_length("content").cast("long").alias("length"),
         F.col("content").cast("binary").alias("content"),
     )
-    folder = F.regexp_extract("key", "^(.*)/", 1)
-    warehouse.upsert_partitions(rows, table, lambda: folder, copy=False)
+    warehouse.upsert(rows, table, copy=False)
 
 
 def unloaded_files(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ new ones, and a write that fails leaves the old ones in place. Parquet tables ha
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import align_by_name, upsert_frame
@@ -21,6 +21,7 @@ How = Literal["replace", "append", "fail"]
 
 KEY_PROPERTY = "tidemark.key"
 PARTITION_PROPERTY = "tidemark.partition"
+PARTITION_EXPRESSION_PROPERTY = "tidemark.partition.expression"
 
 # Beside a table's own folder: staged rows, and merged rows on their way into partitions.
 SIDE_FOLDERS = ("__staging", "__merged")
@@ -53,7 +54,8 @@ class Warehouse:
     def create_database(self, name: str) -> None:
         """Create the database if it is absent."""
         full = self.database(name)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {full} LOCATION '{self.root}/db/{full}'")
+        path = f"{self.root}/db/{full}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {full} LOCATION {_literal(path)}")
         if full not in self._databases:
             self._databases.append(full)
 
@@ -77,12 +79,20 @@ class Warehouse:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}").collect()
         return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
-    def _property(self, table: str, name: str) -> list[str]:
+    def _properties(self, table: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").collect()
-        return next((r["value"].split(",") for r in rows if r["key"] == name), [])
+        return {r["key"]: r["value"] for r in rows}
 
     def key(self, table: str) -> list[str]:
-        return self._property(table, KEY_PROPERTY)
+        declared = self._properties(table).get(KEY_PROPERTY)
+        return declared.split(",") if declared else []
+
+    def partition(self, table: str) -> tuple[str, str] | None:
+        """The partition column and its expression, None for an unpartitioned table."""
+        found = self._properties(table)
+        if PARTITION_PROPERTY not in found:
+            return None
+        return found[PARTITION_PROPERTY], found[PARTITION_EXPRESSION_PROPERTY]
 
     def _new_version(self, table: str) -> str:
         database, name = table.split(".")
@@ -94,25 +104,35 @@ class Warehouse:
         schema: StructType,
         path: str,
         key: Sequence[str] = (),
-        partition: str | None = None,
+        partition: tuple[str, str] | None = None,
     ) -> None:
         database = table.split(".")[0]
         self.create_database(database)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        properties = []
-        if key:
-            properties.append(f"'{KEY_PROPERTY}'='{','.join(key)}'")
+        properties = {KEY_PROPERTY: ",".join(key)} if key else {}
         if partition:
-            properties.append(f"'{PARTITION_PROPERTY}'='{partition}'")
+            properties[PARTITION_PROPERTY] = partition[0]
+            properties[PARTITION_EXPRESSION_PROPERTY] = partition[1]
+        listed = ", ".join(f"{_literal(k)}={_literal(v)}" for k, v in properties.items())
         self.spark.sql(
             f"CREATE TABLE {self.full_name(table)} ({columns}) USING parquet"
-            + (f" PARTITIONED BY (`{partition}`)" if partition else "")
-            + f" LOCATION '{path}'"
-            + (f" TBLPROPERTIES ({', '.join(properties)})" if properties else "")
+            + (f" PARTITIONED BY (`{partition[0]}`)" if partition else "")
+            + f" LOCATION {_literal(path)}"
+            + (f" TBLPROPERTIES ({listed})" if listed else "")
         )
 
     def _point_to(self, table: str, path: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION '{path}'")
+        """Make the folder the table's content."""
+        partition = self.partition(table)
+        if partition is None:
+            location = _literal(path)
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION {location}")
+            return
+        # Partitions have locations of their own, so the entry is made anew.
+        schema, key = self.read(table).schema, self.key(table)
+        self.drop(table)
+        self._register(table, schema, path, key, partition)
+        self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
 
     def expire(self, table: str, keep: int = 2) -> int:
         """Delete old content and staging folders of a table; returns how many.
@@ -142,15 +162,24 @@ class Warehouse:
         table: str,
         schema: StructType | str,
         key: Sequence[str] = (),
-        partition: str | None = None,
+        partition: tuple[str, str] | None = None,
     ) -> None:
-        """An empty typed table with a declared unique key, if it is absent."""
+        """An empty typed table with a declared unique key, if it is absent.
+
+        ``partition`` names one more column and gives the SQL expression that computes it from the
+        key columns, so a key cannot sit in two partitions. Upserts then touch only the partitions
+        they fall into.
+        """
         if self.exists(table):
             return
         empty = self.spark.createDataFrame([], schema)
+        if partition:
+            name, expression = partition
+            # Fails here if the expression uses anything but the key.
+            empty.select(*key).select(F.expr(expression))
+            empty = empty.withColumn(name, F.expr(expression).cast("string"))
         path = self._new_version(table)
-        writer = empty.write.partitionBy(partition) if partition else empty.write
-        writer.parquet(path)
+        self._write(empty, path, partition)
         self._register(table, empty.schema, path, key, partition)
 
     def clone_schema(self, table: str, like: DataFrame, key: Sequence[str] = ()) -> None:
@@ -164,21 +193,43 @@ class Warehouse:
     def truncate(self, table: str) -> None:
         """Remove all rows, keep the definition."""
         path = self._new_version(table)
-        self.read(table).limit(0).write.parquet(path)
+        self._write(self.read(table).limit(0), path, self.partition(table))
         self._point_to(table, path)
 
     # Writes
 
-    def _write_version(self, df: DataFrame, table: str) -> tuple[str, int]:
+    def _write(self, df: DataFrame, path: str, partition: tuple[str, str] | None) -> None:
+        if partition:
+            # Rows of one partition gather in few files; a partition past the advisory size is
+            # split over several tasks at run time.
+            df.hint("rebalance", partition[0]).write.partitionBy(partition[0]).parquet(path)
+        else:
+            df.write.parquet(path)
+
+    def _write_version(
+        self, df: DataFrame, table: str, partition: tuple[str, str] | None = None
+    ) -> tuple[str, int]:
         """Write ``df`` to a new folder; returns the folder and the rows found in it.
 
         The count comes from the file footers, so it is what was written, without running ``df``
         again.
         """
         path = self._new_version(table)
-        df.write.parquet(path)
+        self._write(df, path, partition)
         return path, self.spark.read.schema(df.schema).parquet(path).count()
 
+    def _in_table_form(self, df: DataFrame, table: str) -> DataFrame:
+        """The table's columns in the table's order and types, the partition column computed.
+
+        A value that does not fit its column's type raises.
+        """
+        schema, partition = self.read(table).schema, self.partition(table)
+        name = partition[0] if partition else None
+        given = [f for f in schema.fields if f.name != name]
+        aligned = align_by_name(df.drop(name) if name else df, [f.name for f in given])
+        typed = aligned.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in given])
+        return typed.withColumn(name, F.expr(partition[1]).cast("string")) if name else typed
+
     def load(self, df: DataFrame, table: str, how: How = "replace") -> int:
         """Write a whole frame; returns the number of rows loaded.
 
@@ -191,35 +242,39 @@ class Warehouse:
         if present and how == "fail":
             raise ValueError(f"{table} exists")
         if present and how == "append":
-            aligned = align_by_name(df, self.read(table).columns)
             seen = Observation()
-            counted = aligned.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+            counted = self._in_table_form(df, table).observe(
+                seen, F.count(F.lit(1)).alias("n_rows")
+            )
             counted.write.insertInto(self.full_name(table))
             return seen.get["n_rows"]
         path, rows = self._write_version(df, table)
-        if not present:
-            self._register(table, df.schema, path)
-        elif [(f.name, f.dataType) for f in df.schema] == [
-            (f.name, f.dataType) for f in self.read(table).schema
-        ]:
+        if present and self.partition(table) is None and self._same_columns(df, table):
             self._point_to(table, path)
-        else:
+            return rows
+        if present:
             self.drop(table)
-            self._register(table, df.schema, path)
+        self._register(table, df.schema, path)
         return rows
 
+    def _same_columns(self, df: DataFrame, table: str) -> bool:
+        ours = [(f.name, f.dataType) for f in df.schema.fields]
+        return ours == [(f.name, f.dataType) for f in self.read(table).schema.fields]
+
     def refresh(self, staging: DataFrame, table: str) -> int:
         """Replace all rows with ``staging``, by column name.
 
         An empty staging raises and leaves the table as it is. Staging is computed once: the count
         is checked on the written folder, before the table points to it.
         """
-        if self.exists(table):
-            staging = align_by_name(staging, self.read(table).columns)
-        path, rows = self._write_version(staging, table)
+        present = self.exists(table)
+        partition = None
+        if present:
+            staging, partition = self._in_table_form(staging, table), self.partition(table)
+        path, rows = self._write_version(staging, table, partition)
         if rows == 0:
             raise GateFailed(f"staging for {table} is empty, the table was not touched")
-        if self.exists(table):
+        if present:
             self._point_to(table, path)
         else:
             self._register(table, staging.schema, path)
@@ -239,7 +294,7 @@ class Warehouse:
         the copy.
         """
         schema = self.read(table).schema
-        staged = align_by_name(staging, schema.names)
+        staged = self._in_table_form(staging, table)
         if copy:
             path = path or self._new_version(f"{table}__staging")
             staged.write.parquet(path)
@@ -261,51 +316,44 @@ class Warehouse:
         are inserted; where a batch may be replayed, ``reject_null_keys`` refuses them. Values are
         taken as staged, also NULL. ``copy=False`` is for a staging frame that is a plain read of
         written files, where computing it again costs less than a copy.
+
+        A partitioned table has only the partitions that staging falls into read and rewritten,
+        each replaced as a whole, by directory. An unpartitioned one is written anew.
         """
         keys = list(keys) or self.key(table)
         if not keys:
             raise ValueError(f"{table} has no declared key")
-        target = self.read(table)
+        target, partition = self.read(table), self.partition(table)
         # Into an empty table the staged copy is the new content, and no merge is written.
-        first = copy and target.isEmpty()
+        first = copy and partition is None and target.isEmpty()
         path = self._new_version(table)
         staged = self._stage(staging, table, keys, copy, path if first else None)
         if reject_null_keys:
             require_keys(staged, keys, f"staging for {table}")
+        if partition:
+            self._merge_partitions(staged, table, partition, keys)
+            return
         if not first:
             upsert_frame(target, staged, keys).write.parquet(path)
         self._point_to(table, path)
 
-    def upsert_partitions(
-        self,
-        staging: DataFrame,
-        table: str,
-        partition_of: Callable[[], Column],
-        keys: Sequence[str] = (),
-        *,
-        copy: bool = True,
-    ) -> int:
-        """An upsert that reads and rewrites only the partitions staging falls into.
-
-        For a table created with ``partition=``. ``partition_of`` computes the partition value from
-        the key columns alone, so a key cannot sit in two partitions. Returns the number of
-        partitions rewritten; each is replaced as a whole, by directory.
-        """
-        keys = list(keys) or self.key(table)
-        (partition,) = self._property(table, PARTITION_PROPERTY)
-        staged = self._stage(staging.withColumn(partition, partition_of()), table, keys, copy)
-        touched = staged.select(partition).distinct()
+    def _merge_partitions(
+        self, staged: DataFrame, table: str, partition: tuple[str, str], keys: Sequence[str]
+    ) -> None:
+        column = partition[0]
+        touched = staged.select(column).distinct()
         values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
         current = self.read(table)
         if len(values) <= MAX_LISTED_PARTITIONS:
-            hit = F.col(partition).isin(values)
+            hit = F.col(column).isin(values)
             if None in values:
-                hit = hit | F.col(partition).isNull()
+                hit = hit | F.col(column).isNull()
             current = current.where(hit)
         else:
             # Too many to list: the same rows through a join.
-            same = current[partition].eqNullSafe(touched[partition])
-            current = current.join(touched, same, "left_semi")
+            current = current.join(
+                touched, current[column].eqNullSafe(touched[column]), "left_semi"
+            )
         if current.isEmpty():
             # Only new partitions, the usual case of a dated delivery: nothing to merge with.
             rewritten = staged
@@ -315,26 +363,28 @@ class Warehouse:
             upsert_frame(current, staged, keys).write.parquet(path)
             rewritten = self.spark.read.schema(staged.schema).parquet(path)
         (
-            # Rows of one partition gather in few files; a partition past the advisory size is
-            # split over several tasks at run time.
-            rewritten.hint("rebalance", partition)
+            rewritten.hint("rebalance", column)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
+            .partitionBy(column)
             .parquet(self.location(table))
         )
-        self._add_partitions(table, partition, values)
-        return len(values) if len(values) <= MAX_LISTED_PARTITIONS else touched.count()
+        self._add_partitions(table, column, values)
 
     def _add_partitions(self, table: str, partition: str, values: list[str | None]) -> None:
         """Make written partitions known; a complete list saves a look at the whole folder."""
         if None in values or len(values) > MAX_LISTED_PARTITIONS:
             self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
         elif values:
-            escaped = [str(v).replace("\\", "\\\\").replace("'", "\\'") for v in values]
-            specs = " ".join(f"PARTITION (`{partition}`='{v}')" for v in escaped)
+            specs = " ".join(f"PARTITION (`{partition}`={_literal(v)})" for v in values)
             self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {specs}")
 
 
+def _literal(text: str) -> str:
+    """``text`` as a SQL string."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _nullable(field):
     return type(field)(field.name, field.dataType, True, field.metadata)

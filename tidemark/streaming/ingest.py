@@ -56,7 +56,8 @@ def ingest_files(
                 rows = rows_of(batch)
                 if order_by:
                     rows = latest_per_key(rows, warehouse.key(table), order_by)
-                    rows = rows.select(*warehouse.read(table).columns)
+                    known = warehouse.read(table).columns
+                    rows = rows.select(*[c for c in rows.columns if c in known])
                 warehouse.upsert(rows, table, reject_null_keys=True)
         finally:
             batch.unpersist()
