@@ -153,7 +153,7 @@ def test_partitioned_table_takes_every_write(spark, warehouse, rows):
     warehouse.truncate("raw.p")
     assert warehouse.read("raw.p").isEmpty()
     assert warehouse.key("raw.p") == ["date"]
-    assert warehouse.partition("raw.p") == by_month
+    assert warehouse.definition("raw.p").partition == by_month
     assert warehouse.load(two, "raw.p", "replace") == 2
     assert warehouse.read("raw.p").columns == ["date", "total"]
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -30,6 +31,28 @@ SIDE_FOLDERS = ("__staging", "__merged")
 MAX_LISTED_PARTITIONS = 10_000
 
 
+@dataclass(frozen=True)
+class Definition:
+    """Columns, unique key, and the partition column with its expression, if there is one."""
+
+    schema: StructType
+    key: list[str]
+    partition: tuple[str, str] | None
+
+    def shape(self, df: DataFrame) -> DataFrame:
+        """The table's columns in the table's order and types, the partition column computed.
+
+        A value that does not fit its column's type raises.
+        """
+        name = self.partition[0] if self.partition else None
+        given = [f for f in self.schema.fields if f.name != name]
+        aligned = align_by_name(df.drop(name) if name else df, [f.name for f in given])
+        typed = aligned.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in given])
+        if name is None:
+            return typed
+        return typed.withColumn(name, F.expr(self.partition[1]).cast("string"))
+
+
 class Warehouse:
     """Tables under one root folder that all executors can reach.
 
@@ -79,20 +102,17 @@ class Warehouse:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}").collect()
         return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
-    def _properties(self, table: str) -> dict[str, str]:
+    def definition(self, table: str) -> Definition:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").collect()
-        return {r["key"]: r["value"] for r in rows}
+        found = {r["key"]: r["value"] for r in rows}
+        key = found[KEY_PROPERTY].split(",") if KEY_PROPERTY in found else []
+        partition = None
+        if PARTITION_PROPERTY in found:
+            partition = found[PARTITION_PROPERTY], found[PARTITION_EXPRESSION_PROPERTY]
+        return Definition(self.read(table).schema, key, partition)
 
     def key(self, table: str) -> list[str]:
-        declared = self._properties(table).get(KEY_PROPERTY)
-        return declared.split(",") if declared else []
-
-    def partition(self, table: str) -> tuple[str, str] | None:
-        """The partition column and its expression, None for an unpartitioned table."""
-        found = self._properties(table)
-        if PARTITION_PROPERTY not in found:
-            return None
-        return found[PARTITION_PROPERTY], found[PARTITION_EXPRESSION_PROPERTY]
+        return self.definition(table).key
 
     def _new_version(self, table: str) -> str:
         database, name = table.split(".")
@@ -123,15 +143,14 @@ class Warehouse:
 
     def _point_to(self, table: str, path: str) -> None:
         """Make the folder the table's content."""
-        partition = self.partition(table)
-        if partition is None:
+        old = self.definition(table)
+        if old.partition is None:
             location = _literal(path)
             self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION {location}")
             return
         # Partitions have locations of their own, so the entry is made anew.
-        schema, key = self.read(table).schema, self.key(table)
         self.drop(table)
-        self._register(table, schema, path, key, partition)
+        self._register(table, old.schema, path, old.key, old.partition)
         self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
 
     def expire(self, table: str, keep: int = 2) -> int:
@@ -193,7 +212,7 @@ class Warehouse:
     def truncate(self, table: str) -> None:
         """Remove all rows, keep the definition."""
         path = self._new_version(table)
-        self._write(self.read(table).limit(0), path, self.partition(table))
+        self._write(self.read(table).limit(0), path, self.definition(table).partition)
         self._point_to(table, path)
 
     # Writes
@@ -218,18 +237,6 @@ class Warehouse:
         self._write(df, path, partition)
         return path, self.spark.read.schema(df.schema).parquet(path).count()
 
-    def _in_table_form(self, df: DataFrame, table: str) -> DataFrame:
-        """The table's columns in the table's order and types, the partition column computed.
-
-        A value that does not fit its column's type raises.
-        """
-        schema, partition = self.read(table).schema, self.partition(table)
-        name = partition[0] if partition else None
-        given = [f for f in schema.fields if f.name != name]
-        aligned = align_by_name(df.drop(name) if name else df, [f.name for f in given])
-        typed = aligned.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in given])
-        return typed.withColumn(name, F.expr(partition[1]).cast("string")) if name else typed
-
     def load(self, df: DataFrame, table: str, how: How = "replace") -> int:
         """Write a whole frame; returns the number of rows loaded.
 
@@ -243,24 +250,20 @@ class Warehouse:
             raise ValueError(f"{table} exists")
         if present and how == "append":
             seen = Observation()
-            counted = self._in_table_form(df, table).observe(
-                seen, F.count(F.lit(1)).alias("n_rows")
-            )
+            shaped = self.definition(table).shape(df)
+            counted = shaped.observe(seen, F.count(F.lit(1)).alias("n_rows"))
             counted.write.insertInto(self.full_name(table))
             return seen.get["n_rows"]
         path, rows = self._write_version(df, table)
-        if present and self.partition(table) is None and self._same_columns(df, table):
-            self._point_to(table, path)
-            return rows
         if present:
+            old = self.definition(table)
+            if old.partition is None and _columns(old.schema) == _columns(df.schema):
+                self._point_to(table, path)
+                return rows
             self.drop(table)
         self._register(table, df.schema, path)
         return rows
 
-    def _same_columns(self, df: DataFrame, table: str) -> bool:
-        ours = [(f.name, f.dataType) for f in df.schema.fields]
-        return ours == [(f.name, f.dataType) for f in self.read(table).schema.fields]
-
     def refresh(self, staging: DataFrame, table: str) -> int:
         """Replace all rows with ``staging``, by column name.
 
@@ -270,7 +273,8 @@ class Warehouse:
         present = self.exists(table)
         partition = None
         if present:
-            staging, partition = self._in_table_form(staging, table), self.partition(table)
+            old = self.definition(table)
+            staging, partition = old.shape(staging), old.partition
         path, rows = self._write_version(staging, table, partition)
         if rows == 0:
             raise GateFailed(f"staging for {table} is empty, the table was not touched")
@@ -280,27 +284,6 @@ class Warehouse:
             self._register(table, staging.schema, path)
         return rows
 
-    def _stage(
-        self,
-        staging: DataFrame,
-        table: str,
-        keys: Sequence[str],
-        copy: bool,
-        path: str | None = None,
-    ) -> DataFrame:
-        """Staging in the table's columns, its keys checked.
-
-        With ``copy`` it is written once, to ``path`` or aside, and the check and the merge read
-        the copy.
-        """
-        schema = self.read(table).schema
-        staged = self._in_table_form(staging, table)
-        if copy:
-            path = path or self._new_version(f"{table}__staging")
-            staged.write.parquet(path)
-            staged = self.spark.read.schema(schema).parquet(path)
-        return require_unique(staged, keys, f"staging for {table}")
-
     def upsert(
         self,
         staging: DataFrame,
@@ -320,27 +303,32 @@ class Warehouse:
         A partitioned table has only the partitions that staging falls into read and rewritten,
         each replaced as a whole, by directory. An unpartitioned one is written anew.
         """
-        keys = list(keys) or self.key(table)
+        target, definition = self.read(table), self.definition(table)
+        keys = list(keys) or definition.key
         if not keys:
             raise ValueError(f"{table} has no declared key")
-        target, partition = self.read(table), self.partition(table)
         # Into an empty table the staged copy is the new content, and no merge is written.
-        first = copy and partition is None and target.isEmpty()
+        first = copy and definition.partition is None and target.isEmpty()
         path = self._new_version(table)
-        staged = self._stage(staging, table, keys, copy, path if first else None)
+        staged = definition.shape(staging)
+        if copy:
+            # Written once; the checks and the merge read the copy.
+            aside = path if first else self._new_version(f"{table}__staging")
+            staged.write.parquet(aside)
+            staged = self.spark.read.schema(definition.schema).parquet(aside)
+        require_unique(staged, keys, f"staging for {table}")
         if reject_null_keys:
             require_keys(staged, keys, f"staging for {table}")
-        if partition:
-            self._merge_partitions(staged, table, partition, keys)
+        if definition.partition:
+            self._merge_partitions(staged, table, definition.partition[0], keys)
             return
         if not first:
             upsert_frame(target, staged, keys).write.parquet(path)
         self._point_to(table, path)
 
     def _merge_partitions(
-        self, staged: DataFrame, table: str, partition: tuple[str, str], keys: Sequence[str]
+        self, staged: DataFrame, table: str, column: str, keys: Sequence[str]
     ) -> None:
-        column = partition[0]
         touched = staged.select(column).distinct()
         values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
         current = self.read(table)
@@ -380,6 +368,10 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {specs}")
 
 
+def _columns(schema: StructType) -> list[tuple]:
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
 def _literal(text: str) -> str:
     """``text`` as a SQL string."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
