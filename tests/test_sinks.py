@@ -56,6 +56,14 @@ def test_archive_takes_the_suffix_and_replaces_a_key(spark, warehouse, tmp_path,
     assert rows(stored) == [("bronze/a.json", 3, "two"), ("bronze/d/e.json", 3, "new")]
 
 
+def test_archive_without_folders(spark, warehouse, rows):
+    for text in ("one", "two"):
+        sent = spark.createDataFrame([("a.json", text)], "file_name string, content string")
+        archive_documents(sent, warehouse, "raw.flat", prefix="")
+    stored = warehouse.read("raw.flat").selectExpr("key", "cast(content AS string)", "folder")
+    assert rows(stored) == [("a.json", "two", None)]
+
+
 @pytest.mark.parametrize("with_json", [True, False])
 def test_loaded_files_are_moved_and_csv_removed(spark, tmp_path, with_json):
     staging, bronze = tmp_path / "staging", tmp_path / "bronze"

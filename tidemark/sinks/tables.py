@@ -11,10 +11,12 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Literal
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions import decoded_file_name
 from tidemark.operators.merge import align_by_name, upsert_frame
 from tidemark.operators.quality import GateFailed, require_keys, require_unique
 
@@ -24,12 +26,17 @@ KEY_PROPERTY = "tidemark.key"
 PARTITION_PROPERTY = "tidemark.partition"
 PARTITION_EXPRESSION_PROPERTY = "tidemark.partition.expression"
 
-# Beside a table's own folder: staged rows, and merged rows on their way into partitions.
-SIDE_FOLDERS = ("__staging", "__merged")
+# Staged rows lie beside a table's own folder.
+STAGING = "__staging"
 
-# A touched-partition list up to this length is pushed into the scan as values.
+# An upsert that touches more partitions than this rewrites the table as a whole.
 MAX_LISTED_PARTITIONS = 10_000
 
+# The characters Spark percent-encodes in the name of a partition folder, besides
+# control characters, and the folder name of a NULL.
+ENCODED_IN_FOLDERS = "\"#%'*/:=?\\{[]^\x7f"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class Definition:
@@ -48,9 +55,7 @@ class Definition:
         given = [f for f in self.schema.fields if f.name != name]
         aligned = align_by_name(df.drop(name) if name else df, [f.name for f in given])
         typed = aligned.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in given])
-        if name is None:
-            return typed
-        return typed.withColumn(name, F.expr(self.partition[1]).cast("string"))
+        return typed.withColumn(name, _partition_value(self.partition[1])) if name else typed
 
 
 class Warehouse:
@@ -96,7 +101,17 @@ class Warehouse:
 
     def snapshot(self, table: str) -> DataFrame:
         """The rows as of now, independent of the catalog entry."""
-        return self.spark.read.schema(self.read(table).schema).parquet(self.location(table))
+        definition = self.definition(table)
+        if definition.partition is None:
+            return self.spark.read.schema(definition.schema).parquet(self.location(table))
+        name, expression = definition.partition
+        stored = StructType([f for f in definition.schema.fields if f.name != name])
+        # Partitions lie in the folders of different writes.
+        folders = {unquote(f).rpartition("/")[0] for f in self.read(table).inputFiles()}
+        if not folders:
+            return self.spark.createDataFrame([], definition.schema)
+        rows = self.spark.read.schema(stored).parquet(*sorted(folders))
+        return rows.withColumn(name, _partition_value(expression))
 
     def location(self, table: str) -> str:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}").collect()
@@ -156,22 +171,39 @@ class Warehouse:
     def expire(self, table: str, keep: int = 2) -> int:
         """Delete old content and staging folders of a table; returns how many.
 
-        The current content and the ``keep - 1`` newest others stay, for readers that still hold
-        them. Not to be run while the table is being written.
+        What the table holds now stays, and so do the ``keep - 1`` newest folders before it, of each
+        partition where there are partitions, for readers that still hold them. Not to be run while
+        the table is being written.
         """
         path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        current = path_of(self.location(table))
-        fs = current.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        home = current.getParent()
+        definition = self.definition(table)
+        database, name = table.split(".")
+        home = path_of(f"{self.root}/tables/{self.database(database)}/{name}")
+        fs = home.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if definition.partition:
+            pattern = f"*/{definition.partition[0]}=*"
+            files = self.read(table).select(F.col("_metadata.file_path").alias("file"))
+            folder = F.regexp_replace(decoded_file_name(F.col("file")), "/[^/]*$", "")
+            current = {r[0] for r in files.select(folder).distinct().collect()}
+        else:
+            pattern = "*"
+            current = {self.location(table)}
+        in_use = {fs.makeQualified(path_of(p)).toString() for p in current}
+        kept: dict[str, int] = {}
         removed = 0
-        for folder in (home, *(home.suffix(side) for side in SIDE_FOLDERS)):
-            if not fs.exists(folder):
+        found = fs.globStatus(path_of(home, pattern)) or []
+        for status in sorted(found, key=lambda s: -s.getModificationTime()):
+            path = status.getPath()
+            if path.toString() in in_use:
                 continue
-            newest = sorted(fs.listStatus(folder), key=lambda s: -s.getModificationTime())
-            others = [s.getPath() for s in newest if s.getPath().getName() != current.getName()]
-            for path in others[keep - 1 if folder.equals(home) else 0 :]:
+            group = path.getName() if definition.partition else ""
+            kept[group] = kept.get(group, 0) + 1
+            if kept[group] >= keep:
                 fs.delete(path, True)
                 removed += 1
+        for status in fs.globStatus(path_of(home.suffix(STAGING), "*")) or []:
+            fs.delete(status.getPath(), True)
+            removed += 1
         return removed
 
     # Definition
@@ -196,7 +228,7 @@ class Warehouse:
             name, expression = partition
             # Fails here if the expression uses anything but the key.
             empty.select(*key).select(F.expr(expression))
-            empty = empty.withColumn(name, F.expr(expression).cast("string"))
+            empty = empty.withColumn(name, _partition_value(expression))
         path = self._new_version(table)
         self._write(empty, path, partition)
         self._register(table, empty.schema, path, key, partition)
@@ -300,8 +332,8 @@ class Warehouse:
         taken as staged, also NULL. ``copy=False`` is for a staging frame that is a plain read of
         written files, where computing it again costs less than a copy.
 
-        A partitioned table has only the partitions that staging falls into read and rewritten,
-        each replaced as a whole, by directory. An unpartitioned one is written anew.
+        A partitioned table has only the partitions that staging falls into read and written anew;
+        then each of them is moved to its new folder. An unpartitioned table is written anew.
         """
         target, definition = self.read(table), self.definition(table)
         keys = list(keys) or definition.key
@@ -313,59 +345,71 @@ class Warehouse:
         staged = definition.shape(staging)
         if copy:
             # Written once; the checks and the merge read the copy.
-            aside = path if first else self._new_version(f"{table}__staging")
+            aside = path if first else self._new_version(f"{table}{STAGING}")
             staged.write.parquet(aside)
             staged = self.spark.read.schema(definition.schema).parquet(aside)
         require_unique(staged, keys, f"staging for {table}")
         if reject_null_keys:
             require_keys(staged, keys, f"staging for {table}")
         if definition.partition:
-            self._merge_partitions(staged, table, definition.partition[0], keys)
+            self._merge_partitions(staged, table, definition, keys)
             return
         if not first:
             upsert_frame(target, staged, keys).write.parquet(path)
         self._point_to(table, path)
 
     def _merge_partitions(
-        self, staged: DataFrame, table: str, column: str, keys: Sequence[str]
+        self, staged: DataFrame, table: str, definition: Definition, keys: Sequence[str]
     ) -> None:
-        touched = staged.select(column).distinct()
-        values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+        column = definition.partition[0]
+        touched = staged.select(column).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+        values = [r[0] for r in touched]
+        listed = len(values) <= MAX_LISTED_PARTITIONS
         current = self.read(table)
-        if len(values) <= MAX_LISTED_PARTITIONS:
+        if listed:
             hit = F.col(column).isin(values)
             if None in values:
                 hit = hit | F.col(column).isNull()
             current = current.where(hit)
-        else:
-            # Too many to list: the same rows through a join.
-            current = current.join(
-                touched, current[column].eqNullSafe(touched[column]), "left_semi"
-            )
-        if current.isEmpty():
-            # Only new partitions, the usual case of a dated delivery: nothing to merge with.
-            rewritten = staged
-        else:
-            # Spark cannot overwrite the files it reads, so the merge is written aside first.
-            path = self._new_version(f"{table}__merged")
-            upsert_frame(current, staged, keys).write.parquet(path)
-            rewritten = self.spark.read.schema(staged.schema).parquet(path)
-        (
-            rewritten.hint("rebalance", column)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(self.location(table))
+        # A dated delivery falls into new partitions as a rule: nothing to merge with.
+        fresh = current.isEmpty()
+        path = self._new_version(table)
+        self._write(
+            staged if fresh else upsert_frame(current, staged, keys), path, definition.partition
         )
-        self._add_partitions(table, column, values)
-
-    def _add_partitions(self, table: str, partition: str, values: list[str | None]) -> None:
-        """Make written partitions known; a complete list saves a look at the whole folder."""
-        if None in values or len(values) > MAX_LISTED_PARTITIONS:
-            self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
+        if not listed:
+            self._point_to(table, path)
         elif values:
-            specs = " ".join(f"PARTITION (`{partition}`={_literal(v)})" for v in values)
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {specs}")
+            self._adopt(table, column, values, path, known=not fresh)
+
+    def _adopt(
+        self, table: str, column: str, values: list[str | None], path: str, known: bool
+    ) -> None:
+        """Make the partition folders below ``path`` the table's partitions, each in one step."""
+        name = self.full_name(table)
+        specs = []
+        for value in values:
+            shown = "null" if value is None else _literal(value)
+            location = _literal(f"{path}/{_folder(column, value)}")
+            specs.append((f"PARTITION (`{column}`={shown})", location))
+        added = " ".join(f"{spec} LOCATION {location}" for spec, location in specs)
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+        if known:
+            for spec, location in specs:
+                self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {location}")
+
+
+def _partition_value(expression: str) -> Column:
+    """The value of the partition column. Folders cannot tell an empty text from a NULL."""
+    return F.nullif(F.expr(expression).cast("string"), F.lit(""))
+
+
+def _folder(column: str, value: str | None) -> str:
+    """The folder name Spark gives a partition."""
+    if value is None:
+        return f"{column}={NULL_FOLDER}"
+    encoded = (f"%{ord(c):02X}" if c in ENCODED_IN_FOLDERS or c < " " else c for c in value)
+    return f"{column}={''.join(encoded)}"
 
 
 def _columns(schema: StructType) -> list[tuple]:
