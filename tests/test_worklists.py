@@ -56,8 +56,10 @@ def test_inverted_range_is_empty(loaded):
 
 
 def test_null_dates_are_ignored(spark):
-    df = spark.createDataFrame([("2024-01-01",), (None,), ("2024-01-03",)], "date string")
+    data = [("2024-01-01",), (None,), ("none",), ("2024-01-03 10:00:00",)]
+    df = spark.createDataFrame(data, "date string")
     assert listed(worklist.missing_dates(df, "date")) == [2]
+    assert listed(worklist.dates_since_watermark([(df, "date")], "2024-01-05")) == [4, 5]
 
 
 def test_watermark_takes_the_lowest_table(loaded):

@@ -7,7 +7,7 @@ from tidemark.functions.text import (
     normalise_text,
     template_fields,
 )
-from tidemark.functions.time import day_of, hour_label, seconds_between, shift_days
+from tidemark.functions.time import day_of, hour_label, seconds_between
 
 __all__ = [
     "NA_TOKENS",
@@ -19,6 +19,5 @@ __all__ = [
     "na_to_null",
     "normalise_text",
     "seconds_between",
-    "shift_days",
     "template_fields",
 ]

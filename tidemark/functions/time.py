@@ -23,7 +23,3 @@ def hour_label(day: Column, hour: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole elapsed seconds."""
     return F.call_function("div", end - start, F.expr("INTERVAL '1' SECOND"))
-
-
-def shift_days(day: Column, days: int) -> Column:
-    return F.date_add(day, days)

@@ -19,11 +19,11 @@ def missing_dates(
 ) -> DataFrame:
     """Days in a range that have no row in ``loaded``.
 
-    The range defaults to the first and last loaded day. The table is read once and reduced to
-    distinct days in each task; the days between two neighbours are the gaps. The window holds
-    days of the calendar, not rows of the table.
+    The range defaults to the first and last loaded day; a text that is no date is ignored. The
+    table is read once and reduced to distinct days in each task; the days between two neighbours
+    are the gaps. The window holds days of the calendar, not rows of the table.
     """
-    days = loaded.where(F.col(column).isNotNull()).select(F.to_date(F.col(column)).alias("day"))
+    days = loaded.select(F.col(column).try_cast("date").alias("day")).where("day IS NOT NULL")
     before, after = (F.date_sub(F.lit(start), 1), F.date_add(F.lit(end), 1))
     if start:
         days = days.where(F.col("day") >= before)
@@ -45,7 +45,7 @@ def missing_dates(
 
 
 def high_watermark(loaded: DataFrame, column: str) -> DataFrame:
-    return loaded.agg(F.to_date(F.max(column)).alias("mark"))
+    return loaded.agg(F.max(F.col(column).try_cast("date")).alias("mark"))
 
 
 def dates_since_watermark(

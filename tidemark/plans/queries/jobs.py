@@ -35,7 +35,11 @@ from tidemark.sources.crawl import days_to_requests, fetch_documents, land_docum
 from tidemark.sources.files import LINEAGE, read_json_dir, read_typed_csv
 
 
-@register("SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier")
+@register(
+    """
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier
+"""
+)
 def refresh_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze CSV, checks, gate, replacement."""
     bronze = scratch_dir(spark, "bronze")
@@ -232,7 +236,11 @@ def batch_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.snapshot("raw.people").select("id", "name", "balance", "nation")
 
 
-@register("SELECT DISTINCT conv_id, role, CASE WHEN role = 'user' THEN turn END AS turn FROM conversations")
+@register(
+    """
+SELECT DISTINCT conv_id, role, CASE WHEN role = 'user' THEN turn END AS turn FROM conversations
+"""
+)
 def consolidated_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files with different fields, one of them sent twice, as one CSV without repeats."""
     turns = table(spark, sf_dir, "conversations")
