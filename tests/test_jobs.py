@@ -138,6 +138,23 @@ def test_crawl_of_a_single_document(warehouse, spark, tmp_path, rows):
     assert rows(warehouse.read("raw.summary")) == [("games.json", "1")]
 
 
+def test_crawl_without_any_answer_keeps_the_table(warehouse, spark, tmp_path, rows):
+    def client():
+        def fetch(url):
+            raise OSError("down")
+
+        return fetch
+
+    warehouse.load(spark.createDataFrame([("old",)], "body string"), "raw.summary")
+    job = CrawlJob(
+        url="{url}", file_name="{file_name}", target="raw.summary", open_client=client,
+        load_documents=lambda landed: landed.select("body"), wait=0.0, how="replace",
+    )
+    failed = job.run(single_request(spark, "u", "f"), warehouse, str(tmp_path / "landing"))
+    assert rows(failed, "error") == [("OSError: down",)]
+    assert rows(warehouse.read("raw.summary")) == [("old",)]
+
+
 def test_crawl_lands_by_season(warehouse, spark, tmp_path, rows):
     def client():
         def fetch(url):

@@ -146,7 +146,7 @@ class CrawlJob:
     how: How = "append"
 
     def run(self, worklist: DataFrame, warehouse: Warehouse, landing: str) -> DataFrame:
-        """Returns the requests that failed, with their error."""
+        """Returns the requests that failed, with their error; if all did, nothing is loaded."""
         requests = with_requests(worklist, self.url, self.file_name)
         fetched = fetch_documents(
             requests,
@@ -157,7 +157,8 @@ class CrawlJob:
         )
         landed = land_documents(fetched, landing, self.partition_by)
         good = landed.where(landed["error"].isNull())
-        warehouse.load(self.load_documents(good), self.target, self.how)
+        if not good.isEmpty():
+            warehouse.load(self.load_documents(good), self.target, self.how)
         return landed.where(landed["error"].isNotNull())
 
 
