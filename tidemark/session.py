@@ -56,6 +56,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read again.
+
+    The lineage ends here, so a lost executor costs later steps no more than a re-read. Spark drops
+    the shuffle files of the write as soon as it is done: nothing refers to them any more.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_together(steps: Sequence[Callable[[], object]], at_once: int = 4) -> list:
     """Results of independent steps, each submitting its own Spark jobs. All are tried; then the
     first failure, if any, is raised."""
