@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import packing
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +33,19 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048
     )
+
+
+@register()
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return read_token_files(manifest, docs.schema["doc_id"].dataType)
+
+
+@register()
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.encode_pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    digests = packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(digests).withColumnRenamed("id", "doc_id")
