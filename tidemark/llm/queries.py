@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing
+from tidemark.llm import packing, substrings
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
 
@@ -49,3 +49,34 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     digests = packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(digests).withColumnRenamed("id", "doc_id")
+
+
+@register(
+    """
+    WITH w AS (
+      SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+      FROM documents
+    ), windows AS (
+      SELECT doc_id, i, words[i : i + 12] AS run
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)
+    ), owners AS (
+      SELECT run, min(doc_id) AS owner FROM windows GROUP BY run
+    ), lost AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+      FROM windows JOIN owners USING (run) WHERE owner < doc_id
+    ), lists AS (
+      SELECT doc_id, list(i) AS gone FROM lost GROUP BY doc_id
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+      sha256(array_to_string(
+        list_transform(
+          list_filter(range(1, len(words) + 1), lambda k: NOT list_contains(coalesce(gone, []), k)), lambda k: words[k]
+        ), ' ')) AS kept_sha256
+    FROM w LEFT JOIN lists USING (doc_id)
+    """
+)
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeated(docs).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
