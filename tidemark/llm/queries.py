@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import packing, substrings
+from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
 
@@ -80,3 +81,46 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated(docs).select(
         "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+_WORDS_8 = """list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+
+@register(
+    f"""
+    WITH d AS (SELECT doc_id, {_WORDS_8} AS words FROM documents),
+    b AS (SELECT item_id, {_WORDS_8} AS words FROM benchmark),
+    runs AS (
+      SELECT DISTINCT item_id, words[i : i + 12] AS run
+      FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM b WHERE len(words) > 0)
+    ), sizes AS (SELECT DISTINCT len(run) AS n FROM runs),
+    places AS (
+      SELECT doc_id, i, words[i : i + n - 1] AS run
+      FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, sizes WHERE len(words) >= n)
+    ), found AS (SELECT doc_id, i, run, item_id FROM places JOIN runs USING (run)),
+    hits AS (
+      SELECT doc_id, count(DISTINCT k) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + len(run))) AS k FROM found) GROUP BY doc_id
+    ), items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+      coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """
+)
+def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
