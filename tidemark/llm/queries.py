@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, substrings
+from tidemark.llm import chat, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -124,3 +124,73 @@ def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@register(
+    """
+    WITH p AS (
+      SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+      FROM pages
+    ), f AS (
+      SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN first < page_id THEN first END AS refers_to
+    FROM p LEFT JOIN f USING (payload_digest)
+    """
+)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write_archives(warc.captures_of(pages))
+    kind = pages.schema["page_id"].dataType
+    page = F.col("metadata.fields")["page-id"].cast(kind)
+    rows = warc.assemble(archives).select(
+        page.alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        # Of the payload itself where the archive has it.
+        F.coalesce(F.sha2("response.payload", 256), "response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.col("response.record_id").alias("record_id"),
+    )
+    # What a revisit refers to: by the metadata of the response it names.
+    named = warc.read_records(archives, "metadata").select(
+        F.col("concurrent_to").alias("response_id"), F.col("fields")["page-id"].cast(kind).alias("refers_to")
+    )
+    targets = (
+        warc.read_records(archives, "revisit")
+        .select("record_id", F.col("refers_to").alias("response_id"))
+        .join(named, "response_id")
+        .select("record_id", "refers_to")
+    )
+    return rows.join(targets, "record_id", "left").drop("record_id")
+
+
+def _escaped_length(column: str) -> str:
+    extra = " + ".join(
+        f"(length({column}) - length(replace({column}, '{s}', ''))) // {len(s)}" for s in ("\\", *chat.RESERVED)
+    )
+    return f"length({column}) + {extra}"
+
+
+@register(
+    f"""
+    WITH c AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]'))
+    )
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      sum(CASE WHEN role = 'assistant' THEN 7 ELSE 14 + {_escaped_length("role")} END
+        + {_escaped_length("text")})::BIGINT AS formatted_chars
+    FROM c GROUP BY conv_id
+    """
+)
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return chat.conversation_digests(chat.format_conversations(turns.unionByName(extra), tokenizer), tokenizer)
