@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, packing, substrings, warc
+from tidemark.llm import chat, language, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -194,3 +194,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return chat.conversation_digests(chat.format_conversations(turns.unionByName(extra), tokenizer), tokenizer)
+
+
+def held_out() -> Column:
+    """Rows that nothing is learned from: crc32 of the id as text, modulo 4, is 2."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+@register()
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = language.fit(docs.where(~held_out()))
+    found = language.identify(docs.select("doc_id", "text"), filters)
+    return found.select("row.doc_id", "lang_pred", "score", "known").withColumn("held_out", held_out())
