@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.encoding import text_bytes
 from tidemark.llm.words import mixed
+from tidemark.session import stored
 
 # N-grams of these lengths in letters; blanks at word ends count as a letter.
 SIZES = (2, 3, 4)
@@ -180,14 +181,18 @@ def fit(
                         )
 
     counts = drawn.mapInArrow(count, "lang string, gram long, size long, n long")
-    counts = counts.groupBy("lang", "gram", "size").agg(F.sum("n").alias("n"))
+    counts = stored(counts.groupBy("lang", "gram", "size").agg(F.sum("n").alias("n")), "grams")
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(totals), ["lang", "size"]).select(
         "lang", "gram", (F.col("n") / F.col("total")).alias("share")
     )
     top = shares.groupBy("gram").agg(F.max("share").alias("top"))
-    chosen = shares.where(F.col("share") >= LEAST_SHARE).join(top, "gram").where(
-        F.col("share") >= RELATIVE_SHARE * F.col("top")
+    chosen = stored(
+        shares.where(F.col("share") >= LEAST_SHARE)
+        .join(top, "gram")
+        .where(F.col("share") >= RELATIVE_SHARE * F.col("top"))
+        .select("lang", "gram", "share"),
+        "chosen-grams",
     )
     grams = {}
     for lang in sizes:
