@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, packing, substrings, warc
+from tidemark.llm import chat, language, near_duplicates, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -207,3 +207,35 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters = language.fit(docs.where(~held_out()))
     found = language.identify(docs.select("doc_id", "text"), filters)
     return found.select("row.doc_id", "lang_pred", "score", "known").withColumn("held_out", held_out())
+
+
+@register(
+    """
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+      FROM documents
+    ), shingles AS (
+      SELECT DISTINCT doc_id, words[i : i + 2] AS s
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS (
+      SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ), reached(doc_id, other) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION
+      SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+    ), least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM least LEFT JOIN sizes USING (doc_id)
+    """
+)
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = near_duplicates.components(docs, similarity=0.85, shingle=3)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
