@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, near_duplicates, packing, substrings, warc
+from tidemark.llm import chat, language, lookup_sketch, near_duplicates, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -239,3 +239,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = near_duplicates.components(docs, similarity=0.85, shingle=3)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@register()
+def op4_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup_sketch.compare_versions(table(spark, sf_dir, "documents"))
