@@ -113,7 +113,7 @@ class SuffixAutomaton:
                 matched = length[state]
             state = nexts[state].get(word, 0)
             matched = matched + 1 if state else 0
-            while length[link[state]] >= window:
+            while state and length[link[state]] >= window:
                 state = link[state]
             matched = min(matched, length[state])
             if i >= window - 1:
@@ -260,7 +260,7 @@ def repeated_windows(
         kind = pa.list_(pa.field("element", _arrow_id(id_type)))
         for shard in _shards(batches):
             automaton = SuffixAutomaton()
-            split = [(a, p.split(), o, d) for a, p, o, d in shard]
+            split = [(a, p.split(" "), o, d) for a, p, o, d in shard]
             for _, passage, owner, _ in split:
                 automaton.add(passage, owner)
             automaton.close()
