@@ -155,7 +155,8 @@ def test_partitioned_table_takes_every_write(spark, warehouse, rows):
     assert warehouse.key("raw.p") == ["date"]
     assert warehouse.definition("raw.p").partition == by_month
     assert warehouse.load(two, "raw.p", "replace") == 2
-    assert warehouse.read("raw.p").columns == ["date", "total"]
+    assert warehouse.read("raw.p").columns == ["date", "total", "month"]
+    assert warehouse.definition("raw.p").partition == by_month
 
 
 def test_partition_must_follow_from_the_key(warehouse):
@@ -252,3 +253,112 @@ def test_expire_keeps_the_current_content(spark, days, rows):
 def test_latest_per_key_breaks_ties_by_the_other_columns(spark, rows):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, "q")], "k string, t int, v string")
     assert rows(latest_per_key(df, ["k"], ["t"])) == [("a", 2, "z"), ("b", 1, "q")]
+
+
+def publish_steps(warehouse):
+    """Each way to change the content of a table, by name."""
+    spark = warehouse.spark
+    new = spark.createDataFrame([("2024-01-09", 9), ("2024-02-09", 9)], DAYS)
+    return {
+        "refresh": lambda: warehouse.refresh(new, "raw.t"),
+        "truncate": lambda: warehouse.truncate("raw.t"),
+        "upsert": lambda: warehouse.upsert(new, "raw.t"),
+        "replace": lambda: warehouse.load(new, "raw.t", "replace"),
+    }
+
+
+@pytest.mark.parametrize("partition", [None, ("month", "substring(date, 1, 7)")])
+@pytest.mark.parametrize("step", ["refresh", "truncate", "upsert", "replace"])
+def test_a_failure_at_any_step_leaves_the_old_rows(spark, warehouse, rows, monkeypatch, partition, step):
+    warehouse.create_table("raw.t", DAYS, key=["date"], partition=partition)
+    warehouse.upsert(spark.createDataFrame([("2024-01-01", 1), ("2024-02-01", 2)], DAYS), "raw.t")
+    before = rows(warehouse.read("raw.t"))
+    run_sql, at = spark.sql, 0
+    while True:
+        calls = 0
+
+        def failing(text, *args, **kwargs):
+            nonlocal calls
+            if text.lstrip().startswith(("CREATE", "ALTER", "DROP")):
+                calls += 1
+                if calls > at:
+                    raise OSError("injected")
+            # Readers see the table at every statement.
+            assert rows(run_sql(f"SELECT * FROM {warehouse.full_name('raw.t')}")) == before
+            return run_sql(text, *args, **kwargs)
+
+        monkeypatch.setattr(spark, "sql", failing)
+        try:
+            publish_steps(warehouse)[step]()
+            break
+        except OSError:
+            at += 1
+        finally:
+            monkeypatch.setattr(spark, "sql", run_sql)
+        assert rows(warehouse.read("raw.t")) == before
+    assert at >= 2
+    assert rows(warehouse.read("raw.t")) != before
+
+
+def test_many_touched_partitions_rewrite_only_those(spark, warehouse, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.tables.PARTITIONS_PER_STATEMENT", 7)
+    warehouse.create_table("raw.many", DAYS, key=["date"], partition=("part", "date"))
+    warehouse.upsert(spark.range(40).selectExpr("CAST(id AS STRING) AS date", "id AS total"), "raw.many")
+
+    def files():
+        found = warehouse.read("raw.many").select("part", "_metadata.file_path").distinct()
+        return {r["part"]: r["file_path"] for r in found.collect()}
+
+    before = files()
+    warehouse.upsert(spark.range(10, 45).selectExpr("CAST(id AS STRING) AS date", "-id AS total"), "raw.many")
+    after = files()
+    assert len(after) == 45
+    assert {p for p in before if before[p] == after[p]} == {str(i) for i in range(10)}
+    assert warehouse.read("raw.many").agg(F.sum("total")).first()[0] == sum(range(10)) - sum(range(10, 45))
+
+
+def test_partition_filters_reach_the_scan(spark, warehouse):
+    warehouse.create_table("raw.f", DAYS, key=["date"], partition=("part", "date"))
+    warehouse.upsert(spark.createDataFrame([("a", 1), ("b", 2)], DAYS), "raw.f")
+    for frame in (warehouse.read("raw.f"), spark.table(warehouse.full_name("raw.f"))):
+        plan = frame.where("part = 'a'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_a_read_keeps_its_rows_after_later_writes(spark, days, rows):
+    held = days.read("raw.days")
+    days.refresh(spark.createDataFrame([("d9", 9)], DAYS), "raw.days")
+    assert rows(held) == [("d1", 1), ("d2", 2)]
+
+
+def test_declared_keys_stay_unique(spark, days, rows):
+    twice = spark.createDataFrame([("k", 1), ("k", 2)], DAYS)
+    for how in (lambda: days.refresh(twice, "raw.days"), lambda: days.load(twice, "raw.days", "append"), lambda: days.load(twice, "raw.days")):
+        with pytest.raises(GateFailed, match="more than once"):
+            how()
+    with pytest.raises(GateFailed, match="there already"):
+        days.load(spark.createDataFrame([("d2", 5)], DAYS), "raw.days", "append")
+    assert rows(days.read("raw.days")) == [("d1", 1), ("d2", 2)]
+    days.load(spark.createDataFrame([(None, 5), (None, 6)], DAYS), "raw.days", "append")
+    assert days.read("raw.days").count() == 4
+
+
+def test_append_into_old_and_new_partitions(spark, warehouse, rows):
+    warehouse.create_table("raw.a", DAYS, key=["date"], partition=("part", "substr(date, 1, 1)"))
+    warehouse.upsert(spark.createDataFrame([("a1", 1), ("b1", 2)], DAYS), "raw.a")
+    warehouse.load(spark.createDataFrame([("a2", 3), ("c/1", 4), (None, 5)], DAYS), "raw.a", "append")
+    warehouse.upsert(spark.createDataFrame([("c/1", 40), ("a1", 10)], DAYS), "raw.a")
+    assert rows(warehouse.read("raw.a"), "date", "total") == [(None, 5), ("a1", 10), ("a2", 3), ("b1", 2), ("c/1", 40)]
+    warehouse.expire("raw.a", keep=1)
+    assert rows(warehouse.read("raw.a"), "date", "total") == [(None, 5), ("a1", 10), ("a2", 3), ("b1", 2), ("c/1", 40)]
+
+
+def test_odd_column_names(spark, warehouse, rows):
+    inner = spark.sql("SELECT named_struct('content-type', 'x', 'Location', 1) AS Location")
+    warehouse.load(inner, "raw.inner")
+    assert warehouse.read("raw.inner").select("Location.`content-type`").first()[0] == "x"
+    assert warehouse.location("raw.inner").startswith(warehouse.root)
+    warehouse.create_table("raw.dotted", "`a.b` string, v int", key=["a.b"])
+    for v in (1, 2):
+        warehouse.upsert(spark.createDataFrame([("k", v)], "`a.b` string, v int"), "raw.dotted")
+    assert rows(warehouse.read("raw.dotted")) == [("k", 2)]

@@ -22,7 +22,7 @@ def align_by_name(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
 
 
 def upsert_frame(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,10 +36,10 @@ def upsert_frame(target: DataFrame, staging: DataFrame, keys: Sequence[str]) ->
     shuffle on the key, which is unique on the target side and so cannot be skewed.
     """
     staging = align_by_name(staging, target.columns)
-    staged_keys = staging.select(*keys)
     null_key = _any_null(keys)
-    kept = target.where(~null_key).join(staged_keys.where(~null_key), list(keys), "left_anti")
-    kept = kept.select(*target.columns)
+    staged = staging.where(~null_key).select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"_key_{i}") for i, k in enumerate(keys)])
+    kept = target.where(~null_key).join(staged, same, "left_anti")
     return kept.unionByName(target.where(null_key)).unionByName(staging)
 
 

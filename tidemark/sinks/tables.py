@@ -1,22 +1,24 @@
 """Published tables: load by mode, gated full refresh, keyed upsert.
 
-A table is an external Parquet table of the Spark catalog. A new content is written to a new
-folder first and the table's location is moved to it last, so a reader sees the old rows or the
-new ones, and a write that fails leaves the old ones in place. Parquet tables have no MERGE.
+A published table is a view over its current version; a version is an external Parquet table of the
+Spark catalog with a name and a folder of its own. New content is written to a new folder and
+registered as a new version first; then one ``CREATE OR REPLACE VIEW`` makes it the table. So a
+reader sees the old rows or the new ones at any moment, and a write that fails anywhere leaves the
+old ones. The partitions of a version that did not change are its predecessor's folders; a small
+manifest beside each partitioned version names them. Parquet tables have no MERGE.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from typing import Literal
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from tidemark.functions import decoded_file_name
 from tidemark.operators.merge import align_by_name, upsert_frame
 from tidemark.operators.quality import GateFailed, require_keys, require_unique
 
@@ -25,12 +27,14 @@ How = Literal["replace", "append", "fail"]
 KEY_PROPERTY = "tidemark.key"
 PARTITION_PROPERTY = "tidemark.partition"
 PARTITION_EXPRESSION_PROPERTY = "tidemark.partition.expression"
+VERSION_PROPERTY = "tidemark.version"
+PATH_PROPERTY = "tidemark.path"
 
 # Staged rows lie beside a table's own folder.
 STAGING = "__staging"
 
-# An upsert that touches more partitions than this rewrites the table as a whole.
-MAX_LISTED_PARTITIONS = 10_000
+# Partitions that one catalog statement names; more take more statements.
+PARTITIONS_PER_STATEMENT = 500
 
 # The characters Spark percent-encodes in the name of a partition folder, besides
 # control characters, and the folder name of a NULL.
@@ -97,113 +101,150 @@ class Warehouse:
         return self.spark.catalog.tableExists(self.full_name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.full_name(table))
-
-    def snapshot(self, table: str) -> DataFrame:
-        """The rows as of now, independent of the catalog entry."""
-        definition = self.definition(table)
-        if definition.partition is None:
-            return self.spark.read.schema(definition.schema).parquet(self.location(table))
-        name, expression = definition.partition
-        stored = StructType([f for f in definition.schema.fields if f.name != name])
-        # Partitions lie in the folders of different writes.
-        folders = {unquote(f).rpartition("/")[0] for f in self.read(table).inputFiles()}
-        if not folders:
-            return self.spark.createDataFrame([], definition.schema)
-        rows = self.spark.read.schema(stored).parquet(*sorted(folders))
-        return rows.withColumn(name, _partition_value(expression))
+        """The rows as of now: later writes publish other versions and do not change this frame."""
+        return self.spark.table(self._properties(table)[VERSION_PROPERTY])
+
+    snapshot = read
 
     def location(self, table: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+        """The folder of the current version."""
+        return self._properties(table)[PATH_PROPERTY]
 
     def definition(self, table: str) -> Definition:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").collect()
-        found = {r["key"]: r["value"] for r in rows}
+        found = self._properties(table)
         key = found[KEY_PROPERTY].split(",") if KEY_PROPERTY in found else []
         partition = None
         if PARTITION_PROPERTY in found:
             partition = found[PARTITION_PROPERTY], found[PARTITION_EXPRESSION_PROPERTY]
-        return Definition(self.read(table).schema, key, partition)
+        return Definition(self.spark.table(found[VERSION_PROPERTY]).schema, key, partition)
 
     def key(self, table: str) -> list[str]:
         return self.definition(table).key
 
+    def _properties(self, table: str) -> dict[str, str]:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").collect()
+        return {r["key"]: r["value"] for r in rows}
+
     def _new_version(self, table: str) -> str:
         database, name = table.split(".")
         return f"{self.root}/tables/{self.database(database)}/{name}/{uuid.uuid4().hex}"
 
-    def _register(
+    def _versions(self, table: str) -> list[str]:
+        """Names of the registered versions, oldest first."""
+        database, name = table.split(".")
+        listed = self.spark.sql(f"SHOW TABLES IN {self.database(database)} LIKE '{name}__v*'").collect()
+        prefix = f"{name}__v"
+        names = [r["tableName"] for r in listed if r["tableName"].startswith(prefix)]
+        return sorted(f"{self.database(database)}.{n}" for n in names)
+
+    def _publish(
         self,
         table: str,
         schema: StructType,
         path: str,
         key: Sequence[str] = (),
         partition: tuple[str, str] | None = None,
+        folders: DataFrame | None = None,
     ) -> None:
-        database = table.split(".")[0]
+        """Register the folder as a version and make it the table's content in one step.
+
+        ``folders`` (value, folder) are the version's partitions; without it they are what was
+        written below ``path``.
+        """
+        database, name = table.split(".")
         self.create_database(database)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        properties = {KEY_PROPERTY: ",".join(key)} if key else {}
+        version = f"{self.database(database)}.{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
+        columns = ", ".join(f"`{f.name}` {_type_name(f.dataType)}" for f in schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE {version} ({columns}) USING parquet"
+            + (f" PARTITIONED BY (`{partition[0]}`)" if partition else "")
+            + f" LOCATION {_literal(path)} TBLPROPERTIES ({_literal(PATH_PROPERTY)}={_literal(path)})"
+        )
+        if partition:
+            if folders is None:
+                folders = self._written_folders(path, schema, partition[0])
+            folders.coalesce(1).write.parquet(_manifest(path))
+            self._add_partitions(version, partition[0], self._folders(path).toLocalIterator())
+        properties = {VERSION_PROPERTY: version, PATH_PROPERTY: path}
+        if key:
+            properties[KEY_PROPERTY] = ",".join(key)
         if partition:
             properties[PARTITION_PROPERTY] = partition[0]
             properties[PARTITION_EXPRESSION_PROPERTY] = partition[1]
         listed = ", ".join(f"{_literal(k)}={_literal(v)}" for k, v in properties.items())
         self.spark.sql(
-            f"CREATE TABLE {self.full_name(table)} ({columns}) USING parquet"
-            + (f" PARTITIONED BY (`{partition[0]}`)" if partition else "")
-            + f" LOCATION {_literal(path)}"
-            + (f" TBLPROPERTIES ({listed})" if listed else "")
+            f"CREATE OR REPLACE VIEW {self.full_name(table)} TBLPROPERTIES ({listed}) AS SELECT * FROM {version}"
         )
 
-    def _point_to(self, table: str, path: str) -> None:
-        """Make the folder the table's content."""
-        old = self.definition(table)
-        if old.partition is None:
-            location = _literal(path)
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION {location}")
-            return
-        # Partitions have locations of their own, so the entry is made anew.
-        self.drop(table)
-        self._register(table, old.schema, path, old.key, old.partition)
-        self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(table)}")
+    def _folders(self, path: str) -> DataFrame:
+        """Partition values and folders of the version at ``path``."""
+        return self.spark.read.schema("value string, folder string").parquet(_manifest(path))
+
+    def _written_folders(self, path: str, schema: StructType, column: str) -> DataFrame:
+        """Partition values found below ``path``; only directory names are read."""
+        values = self.spark.read.schema(schema).parquet(path).select(F.col(f"`{column}`").alias("value"))
+        return values.distinct().select("value", _folder_path(path, column).alias("folder"))
+
+    def _add_partitions(self, version: str, column: str, rows: Iterable) -> None:
+        specs: list[str] = []
+
+        def add() -> None:
+            if specs:
+                self.spark.sql(f"ALTER TABLE {version} ADD IF NOT EXISTS {' '.join(specs)}")
+                specs.clear()
+
+        for row in rows:
+            shown = "null" if row["value"] is None else _literal(row["value"])
+            specs.append(f"PARTITION (`{column}`={shown}) LOCATION {_literal(row['folder'])}")
+            if len(specs) == PARTITIONS_PER_STATEMENT:
+                add()
+        add()
+
+    def _file_system(self):
+        jvm = self.spark.sparkContext._jvm
+        path_of = jvm.org.apache.hadoop.fs.Path
+        return path_of, path_of(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _remove(self, path: str) -> None:
+        path_of, fs = self._file_system()
+        fs.delete(path_of(path), True)
 
     def expire(self, table: str, keep: int = 2) -> int:
-        """Delete old content and staging folders of a table; returns how many.
+        """Forget all but the ``keep`` newest versions and delete the folders that none of those
+        uses, staging folders included; returns how many folders went.
 
-        What the table holds now stays, and so do the ``keep - 1`` newest folders before it, of each
-        partition where there are partitions, for readers that still hold them. Not to be run while
-        the table is being written.
+        Not to be run while the table is being written.
         """
-        path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        definition = self.definition(table)
+        path_of, fs = self._file_system()
+        column = (self.definition(table).partition or (None,))[0]
+        versions = self._versions(table)
+        for version in versions[:-keep]:
+            self.spark.sql(f"DROP TABLE {version}")
+        in_use: set[str] = set()
+        for version in versions[-keep:]:
+            properties = self.spark.sql(f"SHOW TBLPROPERTIES {version}").collect()
+            path = next(r["value"] for r in properties if r["key"] == PATH_PROPERTY)
+            in_use.update((path, _manifest(path)))
+            if column:
+                in_use.update(r["folder"] for r in self._folders(path).toLocalIterator())
+        used = {fs.makeQualified(path_of(p)).toString() for p in in_use}
+        holding = {u.rpartition("/")[0] for u in used}
         database, name = table.split(".")
-        home = path_of(f"{self.root}/tables/{self.database(database)}/{name}")
-        fs = home.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if definition.partition:
-            pattern = f"*/{definition.partition[0]}=*"
-            files = self.read(table).select(F.col("_metadata.file_path").alias("file"))
-            folder = F.regexp_replace(decoded_file_name(F.col("file")), "/[^/]*$", "")
-            current = {r[0] for r in files.select(folder).distinct().collect()}
-        else:
-            pattern = "*"
-            current = {self.location(table)}
-        in_use = {fs.makeQualified(path_of(p)).toString() for p in current}
-        kept: dict[str, int] = {}
+        home = f"{self.root}/tables/{self.database(database)}/{name}"
         removed = 0
-        found = fs.globStatus(path_of(home, pattern)) or []
-        for status in sorted(found, key=lambda s: -s.getModificationTime()):
-            path = status.getPath()
-            if path.toString() in in_use:
-                continue
-            group = path.getName() if definition.partition else ""
-            kept[group] = kept.get(group, 0) + 1
-            if kept[group] >= keep:
-                fs.delete(path, True)
-                removed += 1
-        for status in fs.globStatus(path_of(home.suffix(STAGING), "*")) or []:
-            fs.delete(status.getPath(), True)
-            removed += 1
+
+        def clean(pattern: str) -> None:
+            nonlocal removed
+            for status in fs.globStatus(path_of(pattern)) or []:
+                path = status.getPath()
+                if path.toString() not in used and path.toString() not in holding:
+                    fs.delete(path, True)
+                    removed += 1
+
+        if column:
+            clean(f"{home}/*/{column}=*")
+        clean(f"{home}/*")
+        clean(f"{home}{STAGING}/*")
         return removed
 
     # Definition
@@ -231,21 +272,25 @@ class Warehouse:
             empty = empty.withColumn(name, _partition_value(expression))
         path = self._new_version(table)
         self._write(empty, path, partition)
-        self._register(table, empty.schema, path, key, partition)
+        self._publish(table, empty.schema, path, key, partition)
 
     def clone_schema(self, table: str, like: DataFrame, key: Sequence[str] = ()) -> None:
         """An empty table with the columns of ``like``, if it is absent."""
         self.create_table(table, StructType([_nullable(f) for f in like.schema.fields]), key)
 
     def drop(self, table: str, *, strict: bool = True) -> None:
-        """Remove the table; a strict drop of an absent table raises."""
-        self.spark.sql(f"DROP TABLE {'' if strict else 'IF EXISTS '}{self.full_name(table)}")
+        """Remove the table and its versions; a strict drop of an absent table raises."""
+        present = self.exists(table)
+        self.spark.sql(f"DROP VIEW {'' if strict else 'IF EXISTS '}{self.full_name(table)}")
+        if present:
+            for version in self._versions(table):
+                self.spark.sql(f"DROP TABLE {version}")
 
     def truncate(self, table: str) -> None:
         """Remove all rows, keep the definition."""
-        path = self._new_version(table)
-        self._write(self.read(table).limit(0), path, self.definition(table).partition)
-        self._point_to(table, path)
+        path, old = self._new_version(table), self.definition(table)
+        self._write(self.read(table).limit(0), path, old.partition)
+        self._publish(table, old.schema, path, old.key, old.partition)
 
     # Writes
 
@@ -272,8 +317,10 @@ class Warehouse:
     def load(self, df: DataFrame, table: str, how: How = "replace") -> int:
         """Write a whole frame; returns the number of rows loaded.
 
-        ``replace`` takes the frame's own columns, ``append`` goes by the table's column names and
-        ``fail`` refuses an existing table.
+        ``replace`` takes the frame's own columns and keeps a declared key and partition whose
+        columns it has; ``append`` goes by the table's column names; ``fail`` refuses an existing
+        table. A declared key stays unique: a frame that repeats one, or appends one that is there,
+        raises before the table changes. NULL keys never conflict.
         """
         if how not in ("replace", "append", "fail"):
             raise ValueError(f"unknown mode {how!r}")
@@ -281,39 +328,70 @@ class Warehouse:
         if present and how == "fail":
             raise ValueError(f"{table} exists")
         if present and how == "append":
-            seen = Observation()
-            shaped = self.definition(table).shape(df)
-            counted = shaped.observe(seen, F.count(F.lit(1)).alias("n_rows"))
-            counted.write.insertInto(self.full_name(table))
-            return seen.get["n_rows"]
-        path, rows = self._write_version(df, table)
+            return self._append(df, table)
+        key, partition = [], None
         if present:
             old = self.definition(table)
-            if old.partition is None and _columns(old.schema) == _columns(df.schema):
-                self._point_to(table, path)
-                return rows
-            self.drop(table)
-        self._register(table, df.schema, path)
+            if old.key and set(old.key) <= set(df.columns):
+                key, partition = old.key, old.partition
+        if partition:
+            df = df.drop(partition[0]).withColumn(partition[0], _partition_value(partition[1]))
+        path, rows = self._write_version(df, table, partition)
+        self._require_unique(path, df.schema, key, f"rows for {table}")
+        self._publish(table, df.schema, path, key, partition)
         return rows
 
+    def _append(self, df: DataFrame, table: str) -> int:
+        found, definition = self._properties(table), self.definition(table)
+        shaped, aside = definition.shape(df), None
+        if definition.key:
+            # Written once; the key checks and the append read the copy.
+            aside = self._new_version(f"{table}{STAGING}")
+            shaped.write.parquet(aside)
+            shaped = self.spark.read.schema(definition.schema).parquet(aside)
+            require_unique(shaped, definition.key, f"rows for {table}")
+            known = shaped.join(self.read(table).select(*map(_quoted, definition.key)), definition.key, "left_semi")
+            if not known.isEmpty():
+                raise GateFailed(f"rows for {table} have keys that are there already")
+        seen = Observation()
+        counted = shaped.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+        counted.write.insertInto(found[VERSION_PROPERTY])
+        if definition.partition:
+            # Spark has made the new partitions below the version's folder; the manifest follows.
+            self._republish(table, definition, shaped.select(_quoted(definition.partition[0])))
+        if aside:
+            self._remove(aside)
+        return seen.get["n_rows"]
+
+    def _republish(self, table: str, definition: Definition, touched: DataFrame) -> None:
+        """A version with the partitions that an append has added."""
+        path, column = self.location(table), definition.partition[0]
+        old = self._folders(path)
+        new = touched.select(F.col(f"`{column}`").alias("value")).distinct()
+        new = _without(new, old).select("value", _folder_path(path, column).alias("folder"))
+        fresh = self._new_version(table)
+        folders = old.unionByName(new)
+        self._publish(table, definition.schema, fresh, definition.key, definition.partition, folders)
+
+    def _require_unique(self, path: str, schema: StructType, key: Sequence[str], what: str) -> None:
+        if key:
+            require_unique(self.spark.read.schema(schema).parquet(path), key, what)
+
     def refresh(self, staging: DataFrame, table: str) -> int:
         """Replace all rows with ``staging``, by column name.
 
-        An empty staging raises and leaves the table as it is. Staging is computed once: the count
-        is checked on the written folder, before the table points to it.
+        An empty staging, or one that repeats a declared key, raises and leaves the table as it is.
+        Staging is computed once: the checks read the written folder, before it is published.
         """
-        present = self.exists(table)
-        partition = None
-        if present:
+        key, partition = [], None
+        if self.exists(table):
             old = self.definition(table)
-            staging, partition = old.shape(staging), old.partition
+            staging, key, partition = old.shape(staging), old.key, old.partition
         path, rows = self._write_version(staging, table, partition)
         if rows == 0:
             raise GateFailed(f"staging for {table} is empty, the table was not touched")
-        if present:
-            self._point_to(table, path)
-        else:
-            self._register(table, staging.schema, path)
+        self._require_unique(path, staging.schema, key, f"staging for {table}")
+        self._publish(table, staging.schema, path, key, partition)
         return rows
 
     def upsert(
@@ -332,8 +410,8 @@ class Warehouse:
         taken as staged, also NULL. ``copy=False`` is for a staging frame that is a plain read of
         written files, where computing it again costs less than a copy.
 
-        A partitioned table has only the partitions that staging falls into read and written anew;
-        then each of them is moved to its new folder. An unpartitioned table is written anew.
+        A partitioned table has only the partitions that staging falls into read and written anew,
+        whatever their number. An unpartitioned table is written anew.
         """
         target, definition = self.read(table), self.definition(table)
         keys = list(keys) or definition.key
@@ -353,50 +431,35 @@ class Warehouse:
             require_keys(staged, keys, f"staging for {table}")
         if definition.partition:
             self._merge_partitions(staged, table, definition, keys)
-            return
-        if not first:
-            upsert_frame(target, staged, keys).write.parquet(path)
-        self._point_to(table, path)
+        else:
+            if not first:
+                upsert_frame(target, staged, keys).write.parquet(path)
+            self._publish(table, definition.schema, path, definition.key)
+        if copy and not first:
+            self._remove(aside)
 
     def _merge_partitions(
         self, staged: DataFrame, table: str, definition: Definition, keys: Sequence[str]
     ) -> None:
+        """Merge the touched partitions into new folders; the others stay where they are."""
         column = definition.partition[0]
-        touched = staged.select(column).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-        values = [r[0] for r in touched]
-        listed = len(values) <= MAX_LISTED_PARTITIONS
-        current = self.read(table)
-        if listed:
-            hit = F.col(column).isin(values)
-            if None in values:
-                hit = hit | F.col(column).isNull()
-            current = current.where(hit)
+        old = self._folders(self.location(table))
+        touched = staged.select(F.col(f"`{column}`").alias("value")).distinct()
+        # Partition names, not rows: literals, so that the catalog prunes the scan.
+        values = [r["value"] for r in touched.collect()]
+        if not values:
+            return
+        hit = F.col(f"`{column}`").isin([v for v in values if v is not None])
+        if None in values:
+            hit = hit | F.col(f"`{column}`").isNull()
+        current = self.read(table).where(hit)
         # A dated delivery falls into new partitions as a rule: nothing to merge with.
-        fresh = current.isEmpty()
+        rows = staged if current.isEmpty() else upsert_frame(current, staged, keys)
         path = self._new_version(table)
-        self._write(
-            staged if fresh else upsert_frame(current, staged, keys), path, definition.partition
-        )
-        if not listed:
-            self._point_to(table, path)
-        elif values:
-            self._adopt(table, column, values, path, known=not fresh)
-
-    def _adopt(
-        self, table: str, column: str, values: list[str | None], path: str, known: bool
-    ) -> None:
-        """Make the partition folders below ``path`` the table's partitions, each in one step."""
-        name = self.full_name(table)
-        specs = []
-        for value in values:
-            shown = "null" if value is None else _literal(value)
-            location = _literal(f"{path}/{_folder(column, value)}")
-            specs.append((f"PARTITION (`{column}`={shown})", location))
-        added = " ".join(f"{spec} LOCATION {location}" for spec, location in specs)
-        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
-        if known:
-            for spec, location in specs:
-                self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {location}")
+        self._write(rows, path, definition.partition)
+        moved = touched.select("value", _folder_path(path, column).alias("folder"))
+        folders = _without(old, touched).unionByName(moved)
+        self._publish(table, definition.schema, path, definition.key, definition.partition, folders)
 
 
 def _partition_value(expression: str) -> Column:
@@ -404,16 +467,39 @@ def _partition_value(expression: str) -> Column:
     return F.nullif(F.expr(expression).cast("string"), F.lit(""))
 
 
-def _folder(column: str, value: str | None) -> str:
-    """The folder name Spark gives a partition."""
-    if value is None:
-        return f"{column}={NULL_FOLDER}"
-    encoded = (f"%{ord(c):02X}" if c in ENCODED_IN_FOLDERS or c < " " else c for c in value)
-    return f"{column}={''.join(encoded)}"
+def _folder_path(path: str, column: str) -> Column:
+    """The folder below ``path`` that Spark gives a partition ``value``."""
+    encoded = F.col("value")
+    # The sign of the encoding itself goes first.
+    for c in ["%", *(c for c in ENCODED_IN_FOLDERS if c != "%"), *map(chr, range(1, 32))]:
+        encoded = F.replace(encoded, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.concat(F.lit(f"{path}/{column}="), F.coalesce(encoded, F.lit(NULL_FOLDER)))
+
+
+def _without(folders: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows whose partition value, NULL included, is not among ``values``."""
+    other = values.select(F.col("value").alias("other"), F.lit(True).alias("there"))
+    same = F.col("value").eqNullSafe(F.col("other"))
+    return folders.join(other, same, "left").where("there IS NULL").drop("other", "there")
+
+
+def _manifest(path: str) -> str:
+    return f"{path}__partitions"
+
+
+def _quoted(column: str) -> Column:
+    return F.col(f"`{column}`")
 
 
-def _columns(schema: StructType) -> list[tuple]:
-    return [(f.name, f.dataType) for f in schema.fields]
+def _type_name(kind: DataType) -> str:
+    """The type in SQL, with the names of nested fields quoted."""
+    if isinstance(kind, StructType):
+        return "struct<" + ", ".join(f"`{f.name}`: {_type_name(f.dataType)}" for f in kind.fields) + ">"
+    if isinstance(kind, ArrayType):
+        return f"array<{_type_name(kind.elementType)}>"
+    if isinstance(kind, MapType):
+        return f"map<{_type_name(kind.keyType)}, {_type_name(kind.valueType)}>"
+    return kind.simpleString()
 
 
 def _literal(text: str) -> str:
