@@ -15,7 +15,7 @@ from tidemark.sources.files import (
     read_text_csv,
     read_typed_csv,
 )
-from tidemark.sources.html import links
+from tidemark.sources.html import links, page_title
 from tidemark.sources.tables import read_jdbc, scalar_row
 
 
@@ -150,3 +150,25 @@ def test_jdbc_arguments_are_checked(spark):
         read_jdbc(spark, "jdbc:none:x")
     with pytest.raises(ValueError, match="needs bounds"):
         read_jdbc(spark, "jdbc:none:x", "t", split_by="id")
+
+
+def test_links_written_in_every_way(spark, rows):
+    page = """<A class=x href="/it's">it's</a><a data-href="/w" href='/r"q'>r</a>
+<a title="a > b href='no'" href=/u>u</A ><a href = "/sp ace"
+ >multi
+line</a><a name="n">no target</a><!-- <a href="/hidden">h</a> --><area href="/area">
+<a href="/?a=1&amp;amp;b=&eacute;&nbsp;&#233;&#xE9;&#8364;&unknown;&#0;">&lt;b&gt; &Eacute;</a>"""
+    df = spark.createDataFrame([(1, page), (2, None), (3, "")], "id int, html string")
+    assert [r[2:] for r in rows(links(df))] == [
+        ("/it's", "it's"),
+        ('/r"q', "r"),
+        ("/u", "u"),
+        ("/sp ace", "multi\nline"),
+        ("/?a=1&amp;b=é\xa0éé€&unknown;&#0;", "<b> É"),
+    ]
+
+
+def test_title_outside_comments(spark, rows):
+    page = "<!-- <title>old</title> --><title lang=pt>\n Não &amp;lt; </title><title>second</title>"
+    df = spark.createDataFrame([(page,), ("none",)], "html string")
+    assert rows(df.select(page_title("html"))) == [("",), ("Não &lt;",)]

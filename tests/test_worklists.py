@@ -129,12 +129,34 @@ def test_failed_request_keeps_its_row(spark, rows):
     assert len(got) == 5
 
 
-def test_landing_replaces_only_its_partitions(spark, tmp_path, rows):
+def test_landing_keeps_every_document(spark, tmp_path, rows):
     path = str(tmp_path / "landing")
-    schema = "id int, season string"
-    crawl.land_documents(spark.createDataFrame([(1, "2023"), (2, "2024")], schema), path, "season")
-    again = crawl.land_documents(spark.createDataFrame([(3, "2024")], schema), path, "season")
-    assert rows(again) == [(1, "2023"), (3, "2024")]
+    schema = "file_name string, body string, season string"
+
+    def land(*documents):
+        done = [(*d, None if d[1] else "OSError: down") for d in documents]
+        return crawl.land_documents(spark.createDataFrame(done, f"{schema}, error string"), path, "season")
+
+    def landed():
+        return rows(crawl.read_landed(spark, path, schema, "season"))
+
+    assert landed() == []
+    land(("a", "1", "s1"), ("b", "1", "s1"), ("a", "1", "s2"))
+    failed = land(("z", "2", "s1"), ("a", "2", "s1"), ("b", None, "s1"))
+    assert rows(failed.where("error IS NOT NULL"), "file_name") == [("b",)]
+    assert landed() == [("a", "1", "s2"), ("a", "2", "s1"), ("b", "1", "s1"), ("z", "2", "s1")]
+    land(("a", None, "s1"), ("b", None, "s1"))
+    assert len(landed()) == 4
+
+
+def test_fetch_leaves_ids_alone_and_reports_missing_urls(spark, rows):
+    def client():
+        return lambda url: f"at {url}"
+
+    big = 9007199254740993
+    requests = spark.createDataFrame([(big, f"u/{big}"), (None, None)], "id bigint, url string")
+    df = crawl.fetch_documents(requests, client, parallelism=1, wait=0.0)
+    assert rows(df) == [(None, None, None, crawl.NO_URL), (big, f"u/{big}", f"at u/{big}", None)]
 
 
 def test_parameter_ids(spark, rows):

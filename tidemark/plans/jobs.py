@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import union_by_name
 from tidemark.operators.quality import Check, require_valid
-from tidemark.session import run_together, scratch_dir
+from tidemark.session import run_together, stored
 from tidemark.sinks.archive import archive_documents
 from tidemark.plans.catalog import REFRESH_TABLES
 from tidemark.sinks.export import export_all, export_csv
@@ -71,7 +71,7 @@ class RefreshJob:
         staging = self.staging(warehouse.spark)
         if self.checks:
             # Parsed once: the checks, each on its own columns, and the load read the copy.
-            staging = land_documents(staging, scratch_dir(warehouse.spark, "staging"))
+            staging = stored(staging, "staging")
             require_valid(staging, self.checks)
         if self.load:
             return self.load(staging, warehouse, self.target)

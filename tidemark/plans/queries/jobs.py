@@ -28,10 +28,16 @@ from tidemark.plans.queries.marts import SHIFT, climate_days, energy_days
 from tidemark.plans.queries.registry import register, table, working_area
 from tidemark.plans.queries.sources import WEATHER_SQL, day_documents, landed_people
 from tidemark.plans.queries.worklists import offline_client
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, stored
 from tidemark.sinks.export import export_csv
 from tidemark.sinks.tables import Warehouse
-from tidemark.sources.crawl import days_to_requests, fetch_documents, land_documents
+from tidemark.sources.crawl import (
+    days_to_requests,
+    fetch_documents,
+    land_documents,
+    read_landed,
+    with_requests,
+)
 from tidemark.sources.files import LINEAGE, read_json_dir, read_typed_csv
 
 
@@ -81,9 +87,11 @@ def _energy_job(feed: DataFrame, end: str) -> IncrementalJob:
 
     def extract(days: DataFrame) -> DataFrame:
         day = F.to_date(feed["ts"])
-        # Days of the range, so never more than its length.
-        wanted = feed.join(F.broadcast(days), day == days["day"], "left_semi")
-        return land_documents(wanted, scratch_dir(feed.sparkSession, "readings"))
+        # The range of the missing days prunes the scan; then the days, never more than its length.
+        first, last = days.agg(F.min("day"), F.max("day")).first()
+        near = feed.where((feed["ts"] >= F.lit(first)) & (feed["ts"] < F.date_add(F.lit(last), 1)))
+        wanted = near.join(F.broadcast(days), day == days["day"], "left_semi")
+        return stored(wanted, "readings")
 
     return IncrementalJob(
         worklist=lambda warehouse: missing_dates(
@@ -313,6 +321,34 @@ def missing_day_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_documents(fetched, scratch_dir(spark, "days")).drop("error")
 
 
+@register(
+    """
+SELECT o_orderkey AS player, CAST(year(o_orderdate) AS VARCHAR) AS season,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'first' ELSE 'second' END AS body
+FROM orders
+"""
+)
+def season_crawl_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two crawls into the same seasons: the union of their files, the later one of each name."""
+    orders = table(spark, sf_dir, "orders")
+    worklist = orders.select(
+        F.col("o_orderkey").alias("player"), F.year("o_orderdate").cast("string").alias("season")
+    )
+    landing = scratch_dir(spark, "seasons")
+
+    def client(answer: str):
+        return lambda: lambda url: answer
+
+    for left_out, answer in ((2, "first"), (0, "second")):
+        requests = with_requests(
+            worklist.where(F.col("player") % 3 != left_out), "https://x.invalid/{player}", "{player}.json"
+        )
+        fetched = fetch_documents(requests, client(answer), parallelism=4, wait=0.0)
+        land_documents(fetched, landing, "season")
+    schema = "player bigint, file_name string, body string, season string"
+    return read_landed(spark, landing, schema, "season").select("player", "season", "body")
+
+
 def _listed_price():
     return F.col("l_extendedprice").cast("decimal(18,2)")
 

@@ -16,7 +16,7 @@ from tidemark.plans.queries.tables import HOURLY_UPSERT_SQL, split_events
 from tidemark.session import scratch_dir
 from tidemark.sinks.archive import archive_documents
 from tidemark.sinks.export import export_all, export_csv
-from tidemark.sources.crawl import land_documents, parameter_ids, with_requests
+from tidemark.sources.crawl import parameter_ids, with_requests
 from tidemark.sources.files import (
     LINEAGE,
     read_csv_dir,
@@ -196,8 +196,6 @@ def intraday_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-_ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>"""
-
 
 def _stripped(sql: str) -> str:
     return rf"regexp_replace({sql}, '^\s+|\s+$', '', 'g')"
@@ -219,15 +217,17 @@ def _unescaped(sql: str) -> str:
     rf"""
 WITH visible AS (
   SELECT page_id, regexp_replace(html, '{_HIDDEN}', '', 'g') AS html FROM pages
-), found AS (
-  SELECT page_id,
-    unnest(regexp_extract_all(html, '{_ANCHOR}', 1)) AS href,
-    unnest(regexp_extract_all(html, '{_ANCHOR}', 2)) AS label,
-    unnest(range(len(regexp_extract_all(html, '{_ANCHOR}', 1)))) AS position
+), pieces AS (
+  SELECT page_id, unnest(string_split(html, '<a ')[2:]) AS piece,
+    unnest(range(len(string_split(html, '<a ')) - 1)) AS position
   FROM visible
+), found AS (
+  SELECT page_id, position, split_part(split_part(piece, 'href="', 2), '"', 1) AS href,
+    split_part(substr(piece, position('>' IN piece) + 1), '</a>', 1) AS label
+  FROM pieces
 )
 SELECT page_id, CAST(position AS INTEGER) AS position, {_unescaped("href")} AS href,
-  {_unescaped(_stripped("regexp_replace(label, '(?s)<[^>]*>', '', 'g')"))} AS label
+  {_unescaped(_stripped("regexp_replace(label, '<[^>]*>', '', 'g')"))} AS label
 FROM found
 """
 )
@@ -274,7 +274,7 @@ def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     season = F.concat(year.cast("string"), (year + 1).cast("string")).alias("season")
     games = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", season)
     base = scratch_dir(spark, "seasons")
-    land_documents(games, base, partition_by="season")
+    games.write.partitionBy("season").parquet(base)
     return read_latest_partition(spark, base, "season", games.schema)
 
 

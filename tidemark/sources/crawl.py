@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -14,6 +16,11 @@ from tidemark.functions import fill_template
 
 Fetch = Callable[[str], str]
 
+# The error of a request whose template had a NULL value; it is not sent.
+NO_URL = "ValueError: the request has no URL"
+# The landing's own column: which run a document came with. Later runs have greater names.
+RUN = "landed_run"
+
 
 def with_requests(worklist: DataFrame, url: str, file_name: str) -> DataFrame:
     """``url`` and ``file_name`` columns filled from the work-list's own columns."""
@@ -22,7 +29,9 @@ def with_requests(worklist: DataFrame, url: str, file_name: str) -> DataFrame:
     )
 
 
-def _answer(fetch: Fetch, url: str) -> tuple[str | None, str | None]:
+def _answer(fetch: Fetch, url: str | None) -> tuple[str | None, str | None]:
+    if url is None:
+        return None, NO_URL
     try:
         return fetch(url), None
     except Exception as error:  # noqa: BLE001 - any failure of one request stays with its row
@@ -36,7 +45,7 @@ def _fetch_batch(
     are paid once per round and not once per URL."""
     answers = list(pool.map(lambda url: _answer(fetch, url), urls))
     for attempt in range(1, attempts):
-        failed = [i for i, (_, error) in enumerate(answers) if error is not None]
+        failed = [i for i, (_, error) in enumerate(answers) if error not in (None, NO_URL)]
         if not failed:
             break
         time.sleep(wait * 2 ** (attempt - 1))
@@ -60,34 +69,66 @@ def fetch_documents(
     ``open_client`` runs once per task and returns the fetch function, so a connection is shared by
     the task's requests; the function is called from ``in_flight`` threads. ``parallelism`` bounds
     the tasks, and with ``in_flight`` the load on the remote side; requests are dealt out evenly,
-    also where one URL repeats. A request that keeps failing has its error in the row and does not
-    stop the others.
+    also where one URL repeats. A request that keeps failing, or has no URL, has its error in the
+    row and does not stop the others. The work-list's own columns pass through unchanged.
     """
     schema = StructType(
         requests.schema.fields
     ).add("body", StringType()).add("error", StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fetch = open_client()
         with ThreadPoolExecutor(in_flight) as pool:
             for batch in batches:
-                done = _fetch_batch(fetch, list(batch["url"]), pool, attempts, wait)
-                yield batch.assign(body=[b for b, _ in done], error=[e for _, e in done])
+                done = _fetch_batch(fetch, batch.column("url").to_pylist(), pool, attempts, wait)
+                answers = [pa.array(list(column), pa.string()) for column in zip(*done)] or [pa.array([], pa.string())] * 2
+                names = [*batch.schema.names, "body", "error"]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *answers], names=names)
 
-    return requests.repartition(parallelism).mapInPandas(run, schema)
+    return requests.repartition(parallelism).mapInArrow(run, schema)
 
 
 def land_documents(documents: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write the fetched rows and read them back, so that no later step fetches again.
+    """Add fetched documents to a landing; returns this run's rows, the failed ones included.
 
-    Landing into a partitioned path replaces only the partitions that have new rows.
+    The rows are written once, beside the landing, so no later step fetches again; there the failed
+    requests stay with their errors. The documents that came are then added to the landing, and
+    nothing that was landed before is touched. ``read_landed`` takes the last of each file name.
     """
-    writer = documents.write.mode("overwrite")
+    spark = documents.sparkSession
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:6]}"
+    aside = f"{path.rstrip('/')}__runs/{run}"
+    documents.write.parquet(aside)
+    fetched = spark.read.schema(documents.schema).parquet(aside)
+    good = fetched.where("error IS NULL").drop("error").withColumn(RUN, F.lit(run))
+    writer = good.write.mode("append")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
+        writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    # The partition column keeps its declared type instead of one guessed from directory names.
-    return documents.sparkSession.read.schema(documents.schema).parquet(path)
+    return fetched
+
+
+def read_landed(
+    spark: SparkSession, path: str, schema: StructType | str, partition_by: str | None = None
+) -> DataFrame:
+    """The landed documents, one of each file name (in each partition): that of the last run.
+
+    Only names and runs are grouped; the bodies are joined to the winners. Nothing landed gives no
+    rows. The partition column has its declared type instead of one guessed from directory names.
+    """
+    fields = spark.createDataFrame([], schema).schema
+    try:
+        rows = spark.read.schema(StructType([*fields.fields]).add(RUN, StringType())).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], fields)
+    key = ["file_name", *([partition_by] if partition_by else [])]
+    last = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.max(RUN).alias("_run"))
+    same = F.col(RUN) == F.col("_run")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return rows.join(last, same, "left_semi").select(*[f.name for f in fields.fields])
 
 
 def parameter_ids(ids: DataFrame, column: str) -> DataFrame:

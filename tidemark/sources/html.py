@@ -2,21 +2,48 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Comments, scripts and styles are not page content.
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
+# Attributes up to one; a quoted value is passed over as a whole.
+_SKIP = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+# href with a double-quoted, single-quoted or bare value: groups 1 to 3. Group 4 is the content.
+ANCHOR = (
+    rf"""(?is)<a\s{_SKIP}?(?<=\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    rf"""{_SKIP}>(.*?)</a\s*>"""
+)
 TAG = r"(?s)<[^>]*>"
 EDGE_SPACE = r"^\s+|\s+$"
-# The named references that HTML shares with XML. The ampersand goes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+# The names HTML shares with XML, and those of the Latin-1 characters.
+NAMES = {"lt": "<", "gt": ">", "quot": '"', "amp": "&", "apos": "'"} | {
+    name: chr(code) for name, code in name2codepoint.items() if 160 <= code <= 255
+}
+
+
+def _referred(reference: Column) -> Column:
+    """The character of one reference; an unknown one stays as it is."""
+    inner = F.regexp_extract(reference, REFERENCE, 1)
+    hexadecimal = F.when(inner.rlike("^#[xX]"), F.substring(inner, 3, 10)).when(
+        inner.startswith("#"), F.hex(F.substring(inner, 2, 10).try_cast("bigint"))
+    )
+    code = F.conv(hexadecimal, 16, 10).try_cast("bigint")
+    known = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+    # Surrogates and numbers beyond Unicode are no characters.
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    character = F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32")
+    return F.coalesce(F.when(valid, character), F.try_element_at(known, inner), reference)
 
 
 def unescape(text: Column) -> Column:
-    for reference, character in ENTITIES:
-        text = F.replace(text, F.lit(reference), F.lit(character))
-    return text
+    """``text`` with its character references resolved, each once."""
+    parts = F.split(text, REFERENCE)
+    found = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _referred)
+    joined = F.zip_with(parts, found, lambda p, c: F.concat(p, F.coalesce(c, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(joined, "")).otherwise(text)
 
 
 def stripped(text: Column) -> Column:
@@ -33,15 +60,18 @@ def links(pages: DataFrame, html: str = "html") -> DataFrame:
     rest = [c for c in pages.columns if c != html]
     anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
     rows = pages.select(*rest, F.posexplode(anchors).alias("position", "anchor"))
-    label = stripped(F.regexp_replace(F.regexp_extract("anchor", ANCHOR, 2), TAG, ""))
+    label = stripped(F.regexp_replace(F.regexp_extract("anchor", ANCHOR, 4), TAG, ""))
+    # Of the three ways to write the value one matches; the others are empty.
+    href = F.concat(*[F.regexp_extract("anchor", ANCHOR, group) for group in (1, 2, 3)])
     return rows.select(
         *rest,
         "position",
-        unescape(F.regexp_extract("anchor", ANCHOR, 1)).alias("href"),
+        unescape(href).alias("href"),
         unescape(label).alias("label"),
     )
 
 
-def page_title(html: Column) -> Column:
-    """The text of the first title element, empty where there is none."""
-    return unescape(stripped(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
+def page_title(html: Column | str) -> Column:
+    """The text of the first title element, empty where there is none; comments do not count."""
+    visible = F.regexp_replace(html, HIDDEN, "")
+    return unescape(stripped(F.regexp_extract(visible, r"(?is)<title[^>]*>(.*?)</title>", 1)))
