@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidemark.plans.jobs import (
     refresh_jobs,
 )
 from tidemark.sources.crawl import single_request
-from tidemark.sources.files import read_latest_partition
+from tidemark.sources.files import read_latest_partition, read_rejects
 from tidemark.streaming.ingest import ingest_files
 
 
@@ -231,7 +232,7 @@ def test_stream_loads_each_file_once(spark, warehouse, tmp_path, rows):
 
 def test_stream_orders_two_files_of_one_batch(spark, warehouse, tmp_path, rows):
     landing = tmp_path / "landing"
-    warehouse.create_table("raw.h", HOURS, key=["datetime"])
+    warehouse.create_table("raw.h", f"{HOURS}, sent int", key=["datetime"])
     drop(landing, "1.json", ("2024-01-01T01:10:00", 5.0, 2))
     drop(landing, "2.json", ("2024-01-01T01:10:00", 2.0, 1))
 
@@ -241,11 +242,21 @@ def test_stream_orders_two_files_of_one_batch(spark, warehouse, tmp_path, rows):
     ingest_files(
         spark, str(landing), SCHEMA, str(tmp_path / "c1"), warehouse, {"raw.h": last_sent}, order_by=["sent"]
     )
-    assert rows(warehouse.read("raw.h")) == [("2024-01-01 01:00:00", 5.0)]
+    assert rows(warehouse.read("raw.h")) == [("2024-01-01 01:00:00", 5.0, 2)]
+    drop(landing, "3.json", ("2024-01-01T01:10:00", 1.0, 1), ("2024-01-01T02:10:00", 7.0, 1))
+    ingest_files(
+        spark, str(landing), SCHEMA, str(tmp_path / "c1"), warehouse, {"raw.h": last_sent}, order_by=["sent"]
+    )
+    assert rows(warehouse.read("raw.h")) == [("2024-01-01 01:00:00", 5.0, 2), ("2024-01-01 02:00:00", 7.0, 1)]
+    warehouse.create_table("raw.h2", HOURS, key=["datetime"])
+    with pytest.raises(Exception, match="lacks the order columns"):
+        ingest_files(
+            spark, str(landing), SCHEMA, str(tmp_path / "c3"), warehouse, {"raw.h2": last_sent}, order_by=["sent"]
+        )
     with pytest.raises(Exception, match="more than once"):
         ingest_files(
             spark, str(landing), SCHEMA, str(tmp_path / "c2"), warehouse,
-            {"raw.h": lambda b: last_sent(b).drop("sent")},
+            {"raw.h2": lambda b: last_sent(b).drop("sent")},
         )
 
 
@@ -255,13 +266,14 @@ def test_stream_into_a_partitioned_table(spark, warehouse, tmp_path, rows):
     warehouse.create_table("raw.h", HOURS, key=["datetime"], partition=by_day)
     drop(landing, "1.json", ("2024-01-01T00:10:00", 1.0, 1), ("2024-01-02T01:10:00", 2.0, 1))
     drop(landing, "2.json", ("2024-01-02T01:20:00", 7.0, 2))
+    os.utime(landing / "1.json", (1, 1))
     batches = ingest_files(
         spark, str(landing), SCHEMA, str(tmp_path / "c"), warehouse, {"raw.h": by_hour}, max_files=1
     )
     assert batches == 2
     first, second = rows(warehouse.read("raw.h"))
     assert first == ("2024-01-01 00:00:00", 1.0, "2024-01-01")
-    assert second[0] == "2024-01-02 01:00:00" and second[1] in (2.0, 7.0)
+    assert second[0] == "2024-01-02 01:00:00" and second[1] == 7.0
 
 
 def test_stream_refuses_null_keys(spark, warehouse, tmp_path, rows):
@@ -274,3 +286,22 @@ def test_stream_refuses_null_keys(spark, warehouse, tmp_path, rows):
             {"raw.h": lambda b: b.selectExpr("cast(ts AS string) AS datetime", "value AS energy")},
         )
     assert rows(warehouse.read("raw.h")) == []
+
+
+def test_stream_keeps_bad_records_aside(spark, warehouse, tmp_path, rows):
+    landing, rejects = tmp_path / "landing", str(tmp_path / "rejects")
+    warehouse.create_table("raw.h", HOURS, key=["datetime"])
+    drop(landing, "1.json", ("2024-01-01T01:10:00", 5.0, 2))
+    (landing / "bad 1.json").write_text("{bad")
+
+    def ingest(checkpoint, **options):
+        ingest_files(
+            spark, str(landing), SCHEMA, str(tmp_path / checkpoint), warehouse, {"raw.h": by_hour}, **options
+        )
+
+    with pytest.raises(Exception, match="bad record in bad 1.json"):
+        ingest("c1")
+    assert rows(warehouse.read("raw.h")) == []
+    ingest("c2", rejects=rejects)
+    assert rows(warehouse.read("raw.h")) == [("2024-01-01 01:00:00", 5.0)]
+    assert rows(read_rejects(spark, rejects)) == [("bad 1.json", "{bad")]

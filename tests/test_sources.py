@@ -12,6 +12,7 @@ from tidemark.sources.files import (
     read_documents,
     read_json_dir,
     read_latest_partition,
+    read_rejects,
     read_text_csv,
     read_typed_csv,
 )
@@ -172,3 +173,28 @@ def test_title_outside_comments(spark, rows):
     page = "<!-- <title>old</title> --><title lang=pt>\n Não &amp;lt; </title><title>second</title>"
     df = spark.createDataFrame([(page,), ("none",)], "html string")
     assert rows(df.select(page_title("html"))) == [("",), ("Não &lt;",)]
+
+
+def test_surplus_cells_are_not_lost(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('a;b\n1;2\n1;2;3\n4\n"x;y";"p;""q"\n"l;1";2;""\n')
+    path, rejects = str(tmp_path / "a.csv"), str(tmp_path / "rejects")
+    with pytest.raises(Exception, match="bad record in a.csv: 1;2;3"):
+        read_text_csv(spark, path, ";").collect()
+    for multi_line in (True, False):
+        good = read_text_csv(spark, path, ";", multi_line=multi_line, rejects=rejects)
+        assert rows(good) == [("1", "2"), ("4", None), ("x;y", 'p;"q')]
+    assert rows(read_rejects(spark, rejects), "source_filename") == [("a.csv",)] * 4
+    typed = read_csv_dir(spark, str(tmp_path), schema="a string, b string, c int", one_header=True, rejects=rejects)
+    assert rows(typed, "a", "c", "source_filename") == [("1", None, "a.csv"), ("4", None, "a.csv"), ("x;y", None, "a.csv")]
+
+
+@pytest.mark.parametrize("schema", [None, "a int"])
+def test_corrupt_json_is_not_lost(spark, tmp_path, rows, schema):
+    (tmp_path / "good.json").write_text('[{"a": 1}, {"a": 2}]')
+    (tmp_path / "bad.json").write_text("{bad")
+    rejects = str(tmp_path / "rejects")
+    with pytest.raises(Exception, match="bad record in bad.json"):
+        read_json_dir(spark, str(tmp_path), schema).collect()
+    good = read_json_dir(spark, str(tmp_path), schema, rejects=rejects)
+    assert rows(good) == [(1, "good.json"), (2, "good.json")]
+    assert rows(read_rejects(spark, rejects)) == [("bad.json", "{bad")]

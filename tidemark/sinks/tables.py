@@ -24,6 +24,8 @@ from tidemark.operators.quality import GateFailed, require_keys, require_unique
 
 How = Literal["replace", "append", "fail"]
 
+# Values are kept in hexadecimal: Spark hides, in its listing, what looks like a URL or a secret.
+PROPERTIES = "tidemark."
 KEY_PROPERTY = "tidemark.key"
 PARTITION_PROPERTY = "tidemark.partition"
 PARTITION_EXPRESSION_PROPERTY = "tidemark.partition.expression"
@@ -122,8 +124,11 @@ class Warehouse:
         return self.definition(table).key
 
     def _properties(self, table: str) -> dict[str, str]:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").collect()
-        return {r["key"]: r["value"] for r in rows}
+        return self._properties_of(self.full_name(table))
+
+    def _properties_of(self, full_name: str) -> dict[str, str]:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {full_name}").collect()
+        return {r["key"]: bytes.fromhex(r["value"]).decode() for r in rows if r["key"].startswith(PROPERTIES)}
 
     def _new_version(self, table: str) -> str:
         database, name = table.split(".")
@@ -158,7 +163,7 @@ class Warehouse:
         self.spark.sql(
             f"CREATE TABLE {version} ({columns}) USING parquet"
             + (f" PARTITIONED BY (`{partition[0]}`)" if partition else "")
-            + f" LOCATION {_literal(path)} TBLPROPERTIES ({_literal(PATH_PROPERTY)}={_literal(path)})"
+            + f" LOCATION {_literal(path)} TBLPROPERTIES ({_listed({PATH_PROPERTY: path})})"
         )
         if partition:
             if folders is None:
@@ -171,9 +176,9 @@ class Warehouse:
         if partition:
             properties[PARTITION_PROPERTY] = partition[0]
             properties[PARTITION_EXPRESSION_PROPERTY] = partition[1]
-        listed = ", ".join(f"{_literal(k)}={_literal(v)}" for k, v in properties.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.full_name(table)} TBLPROPERTIES ({listed}) AS SELECT * FROM {version}"
+            f"CREATE OR REPLACE VIEW {self.full_name(table)} TBLPROPERTIES ({_listed(properties)})"
+            f" AS SELECT * FROM {version}"
         )
 
     def _folders(self, path: str) -> DataFrame:
@@ -222,8 +227,7 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE {version}")
         in_use: set[str] = set()
         for version in versions[-keep:]:
-            properties = self.spark.sql(f"SHOW TBLPROPERTIES {version}").collect()
-            path = next(r["value"] for r in properties if r["key"] == PATH_PROPERTY)
+            path = self._properties_of(version)[PATH_PROPERTY]
             in_use.update((path, _manifest(path)))
             if column:
                 in_use.update(r["folder"] for r in self._folders(path).toLocalIterator())
@@ -502,6 +506,10 @@ def _type_name(kind: DataType) -> str:
     return kind.simpleString()
 
 
+def _listed(properties: dict[str, str]) -> str:
+    return ", ".join(f"{_literal(k)}={_literal(v.encode().hex())}" for k, v in properties.items())
+
+
 def _literal(text: str) -> str:
     """``text`` as a SQL string."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import logging
+import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import decoded_file_name, na_to_null
 from tidemark.operators.merge import union_by_name
+from tidemark.session import stored
 
 log = logging.getLogger(__name__)
 
 LINEAGE = "source_filename"
+# Where Spark puts the text of a record that does not fit.
+CORRUPT = "_corrupt_record"
 
 # Plain decimal notation. A bare cast would also take a trailing "d" or "f".
 _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -44,8 +49,40 @@ def lineage_column() -> Column:
     return decoded_file_name(F.col("_metadata.file_name")).alias(LINEAGE)
 
 
-def _csv_reader(spark: SparkSession, separator: str, multi_line: bool):
-    return (
+def without_rejects(rows: DataFrame, bad: Column, rejects: str | None) -> DataFrame:
+    """``rows`` with a ``_corrupt_record`` and a lineage column, without the records that are bad.
+
+    Without a ``rejects`` folder the first bad record raises, with its file and text, in the one
+    pass that reads the rows. With one, the rows are parsed once into a copy; bad records are added
+    to the folder as ``source_filename, record`` and counted in the log, and the good rows go on.
+    """
+    if rejects is None:
+        told = F.concat(F.lit("bad record in "), F.col(LINEAGE), F.lit(": "), F.col(CORRUPT))
+        return rows.where(F.when(bad, F.raise_error(told).cast("boolean")).otherwise(F.lit(True))).drop(CORRUPT)
+    copy = stored(rows.withColumn("_bad", bad), "parsed")
+    refused = copy.where("_bad").select(LINEAGE, F.col(CORRUPT).alias("record"))
+    n = refused.count()
+    if n:
+        log.warning("%s bad records, kept in %s", n, rejects)
+        refused.write.mode("append").parquet(rejects)
+    return copy.where("NOT _bad").drop(CORRUPT, "_bad")
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """``source_filename, record`` of all records refused so far."""
+    schema = f"{LINEAGE} string, record string"
+    rows = or_none(lambda: spark.read.schema(schema).parquet(rejects))
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
+def _csv_rows(
+    spark: SparkSession, path, separator: str, multi_line: bool, rejects: str | None, lineage: bool
+) -> DataFrame:
+    """Text cells of CSV files with one header, missing-value tokens as NULL.
+
+    A short line is filled up with NULL; a line with more cells than the header is a bad record.
+    """
+    reader = (
         spark.read.option("header", True)
         .option("sep", separator)
         .option("quote", '"')
@@ -53,17 +90,31 @@ def _csv_reader(spark: SparkSession, separator: str, multi_line: bool):
         .option("encoding", "UTF-8")
         .option("multiLine", multi_line)
     )
+    names = reader.csv(path).columns
+    schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    outside = F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', "")
+    cells = F.size(F.split(outside, re.escape(separator), -1))
+    bad = F.col(CORRUPT).isNotNull() & (cells > len(names))
+    good = without_rejects(rows.select("*", lineage_column()), bad, rejects)
+    return na_to_null(good if lineage else good.drop(LINEAGE))
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, separator: str = ",", *, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    separator: str = ",",
+    *,
+    multi_line: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Every column as text, kept as written; missing-value tokens are NULL.
 
     ``multi_line`` allows line breaks inside quoted cells, at the price of one task per file. Data
-    known to have none should pass False, and then a large file is split.
+    known to have none should pass False, and then a large file is split. A line with more cells
+    than the header raises, or goes to the ``rejects`` folder.
     """
-    return na_to_null(_csv_reader(spark, separator, multi_line).csv(path))
+    return _csv_rows(spark, path, separator, multi_line, rejects, lineage=False)
 
 
 def read_typed_csv(
@@ -73,19 +124,26 @@ def read_typed_csv(
     separator: str = ";",
     *,
     multi_line: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame:
     """A CSV with a declared schema, or with types found in the data when none is given.
 
     Cells are read as text first, so a missing-value token is NULL in a typed column too and a
     cell that does not fit its declared type raises.
     """
-    text = read_text_csv(spark, path, separator, multi_line=multi_line)
-    if schema is None:
-        return infer_types(text)
-    wanted = spark.createDataFrame([], schema).schema
-    return text.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields]
-    )
+    text = read_text_csv(spark, path, separator, multi_line=multi_line, rejects=rejects)
+    return infer_types(text) if schema is None else _typed(text, schema)
+
+
+def _typed(text: DataFrame, schema: StructType | str) -> DataFrame:
+    """Text cells as the declared types, then the lineage where there is one; absent columns are
+    NULL."""
+    wanted = text.sparkSession.createDataFrame([], schema).schema
+    cells = [
+        (F.col(f"`{f.name}`") if f.name in text.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in wanted.fields
+    ]
+    return text.select(*cells, *[LINEAGE for c in text.columns if c == LINEAGE])
 
 
 def infer_types(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -130,11 +188,11 @@ def infer_types(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def _files_by_header(spark: SparkSession, glob: str) -> dict[str, list[str]] | None:
-    """Header line to the files that start with it.
+def _headers(spark: SparkSession, glob: str) -> DataFrame | None:
+    """``file, header`` of each file: its first line that is not blank.
 
     Lines of a split come in order within a task, so the least row number among a file's first
-    split marks its header, the first line that is not blank. Only one line per file leaves the executors.
+    split marks its header. Only one line per file leaves a task.
     """
     lines = or_none(lambda: spark.read.text(glob))
     if lines is None:
@@ -146,10 +204,14 @@ def _files_by_header(spark: SparkSession, glob: str) -> dict[str, list[str]] | N
         F.monotonically_increasing_id().alias("row"),
     )
     first_split = numbered.where((F.col("start") == 0) & (F.trim("value") != ""))
-    headers = first_split.groupBy("file").agg(F.min_by("value", "row").alias("header"))
-    files = F.sort_array(F.collect_list(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))))
-    grouped = headers.groupBy("header").agg(files.alias("files"))
-    return {r["header"]: r["files"] for r in grouped.orderBy("header").collect()}
+    return first_split.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+
+
+def _files_of(headers: DataFrame, header: str) -> list[str]:
+    """Paths of the files with a header, streamed to the driver, which has to list them anyway."""
+    path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
+    picked = headers.where(F.col("header") == header).select(path.alias("path"))
+    return sorted(r["path"] for r in picked.toLocalIterator())
 
 
 def read_csv_dir(
@@ -157,54 +219,82 @@ def read_csv_dir(
     directory: str,
     separator: str = ";",
     *,
+    schema: StructType | str | None = None,
+    one_header: bool = False,
     infer: bool = True,
     multi_line: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame | None:
     """All ``*.csv`` files of a directory, in any case, unioned by column name.
 
     Files with different headers must not share one read: Spark would put values under the wrong
-    names. They are grouped by header line, one read per distinct header. Returns None when there
-    is no file, which the caller takes as "keep what is loaded".
+    names. They are grouped by header line, one read per distinct header; ``one_header`` says that
+    all have the same one, and then no pass looks for them. ``schema`` declares the types, so that
+    none looks for those either. Returns None when there is no file, which the caller takes as
+    "keep what is loaded".
     """
     glob = directory_glob(directory, "csv")
-    groups = _files_by_header(spark, glob)
-    if not groups:
+    sources: list = [glob]
+    if one_header:
+        if or_none(lambda: spark.read.text(glob)) is None:
+            sources = []
+    else:
+        headers = _headers(spark, glob)
+        if headers is not None:
+            headers = stored(headers, "headers")
+            distinct = [r["header"] for r in headers.groupBy("header").count().orderBy("header").collect()]
+            # One header, the usual case, needs no list of files.
+            sources = [glob] if len(distinct) == 1 else [_files_of(headers, h) for h in distinct]
+        if headers is None or not distinct:
+            sources = []
+    if not sources:
         log.warning("no CSV files in %s", directory)
         return None
-    # One header, the usual case, needs no list of files.
-    sources = [glob] if len(groups) == 1 else list(groups.values())
-    frames = []
-    for source in sources:
-        rows = _csv_reader(spark, separator, multi_line).csv(source)
-        frames.append(rows.select("*", lineage_column()))
-    text = na_to_null(union_by_name(frames))
+    text = union_by_name(
+        [_csv_rows(spark, source, separator, multi_line, rejects, lineage=True) for source in sources]
+    )
+    # The lineage goes last, also where a later header has more columns.
+    text = text.select(*[c for c in map(_tick, text.columns) if c != f"`{LINEAGE}`"], LINEAGE)
+    if schema is not None:
+        return _typed(text, schema)
     return infer_types(text, keep=(LINEAGE,)) if infer else text
 
 
+def _tick(column: str) -> str:
+    return f"`{column}`"
+
+
 def read_json_dir(
     spark: SparkSession,
     directory: str,
     schema: StructType | str | None = None,
     *,
     multi_line: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame | None:
     """All ``*.json`` files of a directory; fields a file lacks are NULL.
 
     ``multi_line`` reads each file as one document or one array of records; without it each line
-    is a record and files can be split.
+    is a record and files can be split. A record that is no JSON raises, or goes to the ``rejects``
+    folder, and the good ones are loaded.
     """
 
     def load() -> DataFrame:
-        reader = spark.read.option("multiLine", multi_line)
+        reader = spark.read.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
         if schema is not None:
-            reader = reader.schema(schema)
+            fields = spark.createDataFrame([], schema).schema
+            reader = reader.schema(StructType([*fields.fields]).add(CORRUPT, StringType()))
         return reader.json(directory_glob(directory, "json"))
 
     rows = or_none(load)
     if rows is None:
         log.warning("no JSON files in %s", directory)
         return None
-    return rows.select("*", lineage_column())
+    rows = rows.select("*", lineage_column())
+    # An inferred schema has the column only where a record was bad.
+    if CORRUPT not in rows.columns:
+        return rows
+    return without_rejects(rows, F.col(CORRUPT).isNotNull(), rejects)
 
 
 def read_documents(
@@ -260,8 +350,9 @@ def read_latest_partition(
 ) -> DataFrame:
     """The rows of the partition directory with the greatest name, compared as text.
 
-    The maximum is a subquery over directory values, so other partitions are pruned before any of
-    their data is opened. No partition at all gives no rows and a warning.
+    The greatest name comes from the directory listing that Spark makes for a partitioned table, not
+    from the rows, so no other partition's file is opened. No partition at all gives no rows and a
+    warning.
     """
     fields = spark.createDataFrame([], schema).schema
     columns = StructType([f for f in fields.fields if f.name != partition])
@@ -270,5 +361,17 @@ def read_latest_partition(
     if rows is None:
         log.warning("no %s directories under %s", partition, base)
         return spark.createDataFrame([], columns)
-    latest = rows.agg(F.max(partition)).scalar()
-    return rows.where(F.col(partition) == latest)
+    names = _partition_names(spark, base, partition)
+    if not names:
+        log.warning("no %s directories under %s", partition, base)
+        return spark.createDataFrame([], columns)
+    return rows.where(F.col(partition) == max(names))
+
+
+def _partition_names(spark: SparkSession, base: str, partition: str) -> list[str]:
+    """Values of the directories ``partition=...`` right below ``base``."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    pattern = path_of(f"{base.rstrip('/')}/{partition}=*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath().getName() for s in fs.globStatus(pattern) or [] if s.isDirectory()]
+    return [unquote(name.partition("=")[2]) for name in found]
