@@ -43,6 +43,13 @@ HEADLINE = (
     "latest_partition",
     "file_ingest_stream",
     "incremental_job",
+    "marts_job",
+    "rebuild_job",
+    "staged_crawl_job",
+    "batch_load_job",
+    "weather_job",
+    "document_archive",
+    "crawl_fetch",
 )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import Check, GateFailed
 from tidemark.operators.summary import hourly
 from tidemark.operators.worklist import missing_dates
-from tidemark.plans.catalog import EXPORTED_MARTS, KEYED_TABLES
+from tidemark.plans.catalog import EXPORTED_MARTS, KEYED_PARTITIONS, KEYED_TABLES
 from tidemark.plans.jobs import (
     CrawlJob,
     IncrementalJob,
@@ -18,6 +18,9 @@ from tidemark.plans.jobs import (
     RefreshJob,
     batch_load,
     consolidate,
+    crawl_job,
+    create_keyed,
+    parameter_worklist,
     refresh_jobs,
 )
 from tidemark.sources.crawl import single_request
@@ -84,8 +87,9 @@ def test_consolidate(spark, tmp_path):
 
 def test_keyed_tables_can_be_created(warehouse):
     for name, (columns, key) in KEYED_TABLES.items():
-        warehouse.create_table(name, columns, key=key)
+        create_keyed(warehouse, name)
         assert warehouse.key(name) == key
+        assert warehouse.definition(name).partition == KEYED_PARTITIONS[name]
         assert {t for _, t in warehouse.read(name).dtypes} == {"string"}
 
 
@@ -305,3 +309,35 @@ def test_stream_keeps_bad_records_aside(spark, warehouse, tmp_path, rows):
     ingest("c2", rejects=rejects)
     assert rows(warehouse.read("raw.h")) == [("2024-01-01 01:00:00", 5.0)]
     assert rows(read_rejects(spark, rejects)) == [("bad 1.json", "{bad")]
+
+
+def test_a_daily_delivery_rewrites_its_month_only(spark, warehouse):
+    name = "raw.solar_daily_energy"
+    create_keyed(warehouse, name)
+    columns, _ = KEYED_TABLES[name]
+    job = IncrementalJob(lambda w: None, lambda missing: None, {name: lambda rows: rows})
+
+    def deliver(*days):
+        job.publish(spark.createDataFrame([(d, "1", "2", "3", "4") for d in days], columns), warehouse)
+        found = warehouse.read(name).select("month", "_metadata.file_path").distinct().collect()
+        return {r["month"]: r["file_path"] for r in found}
+
+    before = deliver("2024-01-30", "2024-01-31", "2024-02-01")
+    after = deliver("2024-02-02")
+    assert after["2024-01"] == before["2024-01"] and after["2024-02"] != before["2024-02"]
+
+
+def test_crawl_from_a_configuration(spark, warehouse, tmp_path, rows):
+    (tmp_path / "ids.csv").write_text("id;name\n1;a\n2;b\n1;c\n;d\n")
+    config = JobConfig(
+        db_table="raw.people",
+        url_base="https://x.invalid/{id}",
+        landing_dir=str(tmp_path / "landing"),
+        landing_file="{id}.json",
+        parameter_file=str(tmp_path / "ids.csv"),
+    )
+    job = crawl_job(
+        config, lambda: lambda url: url[-1], load_documents=lambda d: d.select("file_name", "body"), wait=0.0
+    )
+    assert job.run(parameter_worklist(spark, config, "id"), warehouse, config.landing_dir).isEmpty()
+    assert rows(warehouse.read("raw.people")) == [("1.json", "1"), ("2.json", "2")]

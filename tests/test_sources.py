@@ -151,6 +151,8 @@ def test_jdbc_arguments_are_checked(spark):
         read_jdbc(spark, "jdbc:none:x")
     with pytest.raises(ValueError, match="needs bounds"):
         read_jdbc(spark, "jdbc:none:x", "t", split_by="id")
+    with pytest.raises(ValueError, match="at least two partitions"):
+        read_jdbc(spark, "jdbc:none:x", "t", split_by="id", bounds=(0, 9))
 
 
 def test_links_written_in_every_way(spark, rows):

@@ -22,6 +22,14 @@ KEYED_TABLES = {
     ),
 }
 
+# How those tables are cut, so that a daily delivery rewrites its month and not all history: one more
+# column and its expression over the key. Ours; a reader of the named columns does not notice.
+KEYED_PARTITIONS = {
+    "raw.solar_hourly_energy": ("month", "substring(datetime, 1, 7)"),
+    "raw.solar_daily_energy": ("month", "substring(date, 1, 7)"),
+    "raw.openweather_daily": ("month", "substring(date, 1, 7)"),
+}
+
 # The nested day document that flattens to the columns of the third table.
 WEATHER_DOCUMENT = (
     "date string, cloud_cover struct<afternoon: double>, humidity struct<afternoon: double>, "
@@ -91,6 +99,9 @@ BATCH_TARGETS = {
     "raw.vide_raw_category_pages": "json",
 }
 
+# Tags by which groups of models are refreshed.
+MART_TAGS = ("energia", "inflation", "nhl", "vide")
+
 # Marts exported as CSV.
 EXPORTED_MARTS = (
     "marts.mrt_governismo_parlamentares",

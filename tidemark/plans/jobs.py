@@ -13,20 +13,39 @@ from tidemark.operators.merge import union_by_name
 from tidemark.operators.quality import Check, require_valid
 from tidemark.session import run_together, stored
 from tidemark.sinks.archive import archive_documents
-from tidemark.plans.catalog import REFRESH_TABLES
+from tidemark.plans.catalog import KEYED_PARTITIONS, KEYED_TABLES, REFRESH_TABLES
 from tidemark.sinks.export import export_all, export_csv
 from tidemark.sinks.tables import How, Warehouse
-from tidemark.sources.crawl import Fetch, fetch_documents, land_documents, with_requests
-from tidemark.sources.files import LINEAGE, read_csv_dir, read_json_dir, read_typed_csv
+from tidemark.sources.crawl import (
+    Fetch,
+    fetch_documents,
+    land_documents,
+    parameter_ids,
+    with_requests,
+)
+from tidemark.sources.files import (
+    LINEAGE,
+    read_csv_dir,
+    read_json_dir,
+    read_text_csv,
+    read_typed_csv,
+)
 
 log = logging.getLogger(__name__)
 
 Step = Callable[[DataFrame], DataFrame]
 
+# Versions of a table that a job leaves for readers that still hold them.
+KEEP_VERSIONS = 8
+
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Where a job reads and writes. An unknown setting is refused."""
+    """Where a job reads and writes. An unknown setting is refused.
+
+    ``crawl_job`` and ``parameter_worklist`` take ``url_base``, a URL template, the landing and the
+    parameter file from here; ``RefreshJob`` takes the bronze file.
+    """
 
     db_table: str
     url_base: str | None = None
@@ -59,12 +78,23 @@ class RefreshJob:
     transform: Step | None = None
     checks: Sequence[Check] = ()
     load: Callable[[DataFrame, Warehouse, str], int] | None = None
+    # Of the bronze CSV: with a schema no pass finds types; without line breaks in cells it is split.
+    schema: str | None = None
+    multi_line: bool = True
+    rejects: str | None = None
+    keep_versions: int = KEEP_VERSIONS
 
     def staging(self, spark: SparkSession) -> DataFrame:
         if self.extract:
             rows = self.extract(spark, self.config)
         else:
-            rows = read_typed_csv(spark, self.config.bronze_path)
+            rows = read_typed_csv(
+                spark,
+                self.config.bronze_path,
+                self.schema,
+                multi_line=self.multi_line,
+                rejects=self.rejects,
+            )
         return rows.transform(self.transform or _same)
 
     def run(self, warehouse: Warehouse) -> int:
@@ -75,7 +105,9 @@ class RefreshJob:
             require_valid(staging, self.checks)
         if self.load:
             return self.load(staging, warehouse, self.target)
-        return warehouse.refresh(staging, self.target)
+        rows = warehouse.refresh(staging, self.target)
+        warehouse.expire(self.target, self.keep_versions)
+        return rows
 
 
 def refresh_jobs(
@@ -106,6 +138,7 @@ class IncrementalJob:
     derive: Mapping[str, Step]
     archive_table: str | None = None
     to_archive: Step = _same
+    keep_versions: int = KEEP_VERSIONS
 
     def run(self, warehouse: Warehouse) -> bool:
         """False when nothing was missing and no step ran."""
@@ -126,6 +159,7 @@ class IncrementalJob:
         def upsert(table: str, rows_of: Step) -> None:
             # The table's own types, text as a rule, are applied on the way in.
             warehouse.upsert(rows_of(documents), table)
+            warehouse.expire(table, self.keep_versions)
 
         run_together([partial(upsert, table, rows_of) for table, rows_of in self.derive.items()])
 
@@ -162,14 +196,35 @@ class CrawlJob:
         return landed.where(landed["error"].isNotNull())
 
 
+def crawl_job(config: JobConfig, open_client: Callable[[], Fetch], **options) -> CrawlJob:
+    """The crawl that a configuration describes: URL and file name templates and the raw table."""
+    return CrawlJob(config.url_base, config.landing_file, config.db_table, open_client, **options)
+
+
+def parameter_worklist(spark: SparkSession, config: JobConfig, column: str, separator: str = ";") -> DataFrame:
+    """The distinct ids in a column of the configuration's parameter file."""
+    return parameter_ids(read_text_csv(spark, config.parameter_file, separator), column)
+
+
 def read_landing(
-    spark: SparkSession, directory: str, file_type: str, separator: str = ";", *, multi_line: bool
+    spark: SparkSession,
+    directory: str,
+    file_type: str,
+    separator: str = ";",
+    *,
+    multi_line: bool,
+    schema: str | None = None,
+    rejects: str | None = None,
 ) -> DataFrame | None:
-    """All files of one type in a directory, with the file name; None without files."""
+    """All files of one type in a directory, with the file name; None without files.
+
+    A declared ``schema`` saves the pass that finds types.
+    """
+    options = {"schema": schema, "multi_line": multi_line, "rejects": rejects}
     if file_type == "csv":
-        return read_csv_dir(spark, directory, separator, multi_line=multi_line)
+        return read_csv_dir(spark, directory, separator, **options)
     if file_type == "json":
-        return read_json_dir(spark, directory, multi_line=multi_line)
+        return read_json_dir(spark, directory, **options)
     raise ValueError(f"unknown file type {file_type!r}")
 
 
@@ -182,9 +237,13 @@ def consolidate(
     separator: str = ";",
     unique: bool = False,
     multi_line: bool = True,
+    schema: str | None = None,
+    rejects: str | None = None,
 ) -> str | None:
     """Dated landing files as one CSV data set; ``unique`` drops rows that repeat as a whole."""
-    rows = read_landing(spark, directory, file_type, separator, multi_line=multi_line)
+    rows = read_landing(
+        spark, directory, file_type, separator, multi_line=multi_line, schema=schema, rejects=rejects
+    )
     if rows is None:
         return None
     rows = rows.drop(LINEAGE)
@@ -200,11 +259,15 @@ def batch_load(
     separator: str = ";",
     how: How = "replace",
     multi_line: bool = True,
+    schema: str | None = None,
+    rejects: str | None = None,
 ) -> int | None:
     """All files of a directory into one table, with the file name; None and no change without
     files."""
     spark = warehouse.spark
-    rows = read_landing(spark, directory, file_type, separator, multi_line=multi_line)
+    rows = read_landing(
+        spark, directory, file_type, separator, multi_line=multi_line, schema=schema, rejects=rejects
+    )
     if rows is None:
         return None
     loaded = warehouse.load(rows, table, how)
@@ -241,14 +304,31 @@ class Stage:
     landing: str
 
 
-def staged_crawl(warehouse: Warehouse, stages: Sequence[Stage]) -> DataFrame:
+@dataclass(frozen=True)
+class ModelStage:
+    """Models refreshed between crawls, so that the next work-lists read fresh ones."""
+
+    refresh: MartRefresh
+    tag: str | None = None
+
+
+def staged_crawl(warehouse: Warehouse, stages: Sequence[Stage | ModelStage]) -> DataFrame:
     """Run the stages in order; returns the failed requests with their error.
 
-    A work-list is evaluated when its stage starts, so it sees the tables of the stages before. A
-    failed request stays pending and is asked again by the next run.
+    A work-list is evaluated when its stage starts, so it sees the tables, and the models, of the
+    stages before. A failed request stays pending and is asked again by the next run.
     """
-    failed = [
-        stage.job.run(stage.worklist(warehouse), warehouse, stage.landing).select("url", "error")
-        for stage in stages
-    ]
+    failed = []
+    for stage in stages:
+        if isinstance(stage, ModelStage):
+            stage.refresh.run(warehouse, stage.tag)
+            continue
+        rows = stage.job.run(stage.worklist(warehouse), warehouse, stage.landing)
+        failed.append(rows.select("url", "error"))
     return union_by_name(failed)
+
+
+def create_keyed(warehouse: Warehouse, table: str) -> None:
+    """A keyed table of the catalog with its partitions, if it is absent."""
+    columns, key = KEYED_TABLES[table]
+    warehouse.create_table(table, columns, key=key, partition=KEYED_PARTITIONS[table])

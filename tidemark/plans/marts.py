@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import day_of
 from tidemark.operators.merge import latest_per_key
-from tidemark.session import cut
+from tidemark.session import stored
 
 
 def daily_join(
@@ -79,6 +79,16 @@ def snapshot_totals(snapshots: DataFrame, key: str, group: str, measure: Column)
     )
 
 
+def price_range(listing: DataFrame, category: str, price: str) -> DataFrame:
+    """Offers, least, mean and greatest price of each category of a shop's pages."""
+    return listing.groupBy(category).agg(
+        F.count(price).alias("offers"),
+        F.min(price).alias("least"),
+        F.avg(price).alias("mean"),
+        F.max(price).alias("greatest"),
+    )
+
+
 def one_big_table(
     entities: DataFrame, attributes: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
@@ -100,16 +110,16 @@ def include_related(
 ) -> DataFrame:
     """``one_big_table`` for a frame of a few rows, such as a top-k.
 
-    An attribute table is first cut down to the keys the frame holds, by a broadcast that is as
-    short as the frame. However big the table, it is filtered while it is scanned, not shuffled.
-    The frame is computed once, into the checkpoint folder. A table reached through another
+    The frame is computed once and stored, so Spark knows its size. An attribute table is first cut
+    down to the keys the frame holds; while these pass Spark's own size check they are broadcast and
+    the table is filtered where it is scanned. A table reached through another
     attribute is joined as it is.
     """
-    bounded = cut(bounded)
+    bounded = stored(bounded, "bounded")
     reduced = {}
     for column, (table, unique) in attributes.items():
         if column in bounded.columns:
-            keys = F.broadcast(bounded.select(F.col(column).alias("_wanted")).distinct())
+            keys = bounded.select(F.col(column).alias("_wanted")).distinct()
             table = table.join(keys, table[unique] == keys["_wanted"], "left_semi")
         reduced[column] = (table, unique)
     return one_big_table(bounded, reduced)

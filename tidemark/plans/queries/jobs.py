@@ -9,19 +9,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions import fill_template
 from tidemark.operators import summary
 from tidemark.operators.quality import Check
-from tidemark.operators.shape import flatten
+from tidemark.operators.shape import explode_parallel, flatten
 from tidemark.operators.worklist import missing_dates, pending_ids, request_flags
 from tidemark.plans import marts
-from tidemark.plans.catalog import KEYED_TABLES, WEATHER_DOCUMENT
+from tidemark.plans.catalog import MART_TAGS, WEATHER_DOCUMENT
 from tidemark.plans.jobs import (
     CrawlJob,
     IncrementalJob,
     JobConfig,
     MartRefresh,
+    ModelStage,
     RefreshJob,
     Stage,
     batch_load,
     consolidate,
+    create_keyed,
     staged_crawl,
 )
 from tidemark.plans.queries.marts import SHIFT, climate_days, energy_days
@@ -36,9 +38,18 @@ from tidemark.sources.crawl import (
     fetch_documents,
     land_documents,
     read_landed,
+    single_request,
     with_requests,
 )
-from tidemark.sources.files import LINEAGE, read_json_dir, read_typed_csv
+from tidemark.sources.files import (
+    CORRUPT,
+    LINEAGE,
+    lineage_column,
+    read_json_dir,
+    read_rejects,
+    read_typed_csv,
+    without_rejects,
+)
 
 
 @register(
@@ -113,12 +124,6 @@ def _energy_job(feed: DataFrame, end: str) -> IncrementalJob:
     )
 
 
-def _create_keyed(warehouse: Warehouse) -> None:
-    for name in (HOURLY, DAILY):
-        columns, key = KEYED_TABLES[name]
-        warehouse.create_table(name, columns, key=key)
-
-
 def _energy_rows(warehouse: Warehouse) -> DataFrame:
     """Text tables typed on the way out."""
     hours = warehouse.snapshot(HOURLY).select(
@@ -148,7 +153,8 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_drops(spark: SparkSession, sf_dir: str, warehouse: Warehouse) -> None:
-    _create_keyed(warehouse)
+    for name in (HOURLY, DAILY):
+        create_keyed(warehouse, name)
     feed = _feed(spark, sf_dir)
     for end in ("2024-01-10", "2024-01-20", "2024-01-30"):
         _energy_job(feed, end).run(warehouse)
@@ -202,9 +208,15 @@ def staged_crawl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_dir(spark, "crawl")
 
     def pending(warehouse: Warehouse) -> DataFrame:
+        return warehouse.read("marts.pending_games")
+
+    def pending_now(warehouse: Warehouse) -> DataFrame:
         games, details = warehouse.read("raw.games"), warehouse.read("raw.game_details")
         return pending_ids(games, "game_id", details, "game_id")
 
+    # The work-list is a model; each crawl reads it as refreshed after the one before.
+    models = ModelStage(MartRefresh({"marts.pending_games": pending_now}, {"nhl": ["marts.pending_games"]}), "nhl")
+
     def stage(run: int, failing: str | None) -> Stage:
         job = CrawlJob(
             url="https://games.invalid/{game_id}",
@@ -222,8 +234,8 @@ def staged_crawl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         games = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("game_id"))
         warehouse.load(games, "raw.games")
         warehouse.create_table("raw.game_details", "game_id bigint, run int")
-        staged_crawl(warehouse, [stage(1, "3"), stage(2, None)])
-        left = pending(warehouse).count()
+        staged_crawl(warehouse, [models, stage(1, "3"), models, stage(2, None)])
+        left = pending_now(warehouse).count()
         return warehouse.snapshot("raw.game_details").withColumn(
             "still_pending", F.lit(left).cast("long")
         )
@@ -244,6 +256,89 @@ def batch_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.snapshot("raw.people").select("id", "name", "balance", "nation")
 
 
+@register("SELECT p_partkey, p_type, p_retailprice FROM part")
+def batch_load_json_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory of JSON files with a declared schema into one raw table, twice."""
+    directory = scratch_dir(spark, "shop")
+    table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice").write.json(directory)
+    schema = "p_partkey bigint, p_type string, p_retailprice double"
+    with working_area(spark) as warehouse:
+        for _ in range(2):
+            batch_load(
+                warehouse, directory, "json", "raw.vide_raw_home_featured", schema=schema, multi_line=False
+            )
+        return warehouse.snapshot("raw.vide_raw_home_featured").drop(LINEAGE)
+
+
+@register(
+    """
+SELECT CAST(json_extract(body, '$.n') AS BIGINT) AS n_orders,
+  CAST(json_extract(body, '$.last') AS BIGINT) AS last_order
+FROM (SELECT '{"n":' || count(*) || ',"last":' || max(o_orderkey) || '}' AS body FROM orders)
+"""
+)
+def single_document_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document that sums up a source, fetched by a one-row work-list and replaced as a whole."""
+    told = table(spark, sf_dir, "orders").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last")
+    )
+    body = told.select(F.to_json(F.struct("n", "last")).alias("body")).first()["body"]
+    job = CrawlJob(
+        url="{url}",
+        file_name="{file_name}",
+        target="raw.summary",
+        open_client=lambda: lambda url: body,
+        load_documents=lambda landed: landed.select(
+            F.from_json("body", "n bigint, last bigint").alias("doc")
+        ).selectExpr("doc.n AS n_orders", "doc.last AS last_order"),
+        wait=0.0,
+        how="replace",
+    )
+    request = single_request(spark, "https://games.invalid/summary", "summary.json")
+    with working_area(spark) as warehouse:
+        for _ in range(2):
+            job.run(request, warehouse, scratch_dir(spark, "summary"))
+        return warehouse.snapshot("raw.summary")
+
+
+DAY_DOCUMENT = "date string, time array<string>, energy array<double>"
+
+
+@register(
+    """
+SELECT 'hourly' AS table_name, strftime(ts, '%Y-%m-%d %H:00:00') AS key, round(sum(value), 2) AS energy
+FROM events GROUP BY 2
+UNION ALL SELECT 'daily', strftime(ts, '%Y-%m-%d'), round(sum(value), 2) FROM events GROUP BY 2
+"""
+)
+def intraday_documents_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day documents with parallel arrays, one row per slot, into the hourly and the daily table."""
+    landing = scratch_dir(spark, "intraday")
+    events = table(spark, sf_dir, "events")
+    # Documents of a part of a day each, as a source sends them.
+    slots = F.sort_array(F.collect_list(F.struct(F.date_format("ts", "HH:mm:ss").alias("t"), "value")))
+    events.groupBy(F.to_date("ts").cast("string").alias("date"), F.hour("ts").alias("h")).agg(
+        slots.alias("s")
+    ).select("date", F.col("s.t").alias("time"), F.col("s.value").alias("energy")).write.json(landing)
+    documents = read_json_dir(spark, landing, DAY_DOCUMENT, multi_line=False)
+    readings = stored(
+        explode_parallel(documents, time="time", energy="energy").select(
+            F.to_timestamp_ntz(F.concat_ws(" ", "date", "time")).alias("ts"), F.col("energy").alias("value")
+        ),
+        "intraday",
+    )
+    derive = {
+        HOURLY: lambda rows: summary.hourly(rows, "ts", "value"),
+        DAILY: lambda rows: summary.daily_summary(rows, "ts", "value"),
+    }
+    with working_area(spark) as warehouse:
+        for name in derive:
+            create_keyed(warehouse, name)
+        job = IncrementalJob(lambda w: readings, lambda missing: readings, derive)
+        job.run(warehouse)
+        return _energy_rows(warehouse).select("table_name", "key", "energy")
+
+
 @register(
     """
 SELECT DISTINCT conv_id, role, CASE WHEN role = 'user' THEN turn END AS turn FROM conversations
@@ -288,13 +383,12 @@ def weather_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     with working_area(spark) as warehouse:
-        columns, key = KEYED_TABLES[WEATHER]
-        warehouse.create_table(WEATHER, columns, key=key)
+        create_keyed(warehouse, WEATHER)
         for end in ("2024-01-12", "2024-01-30"):
             job(end).run(warehouse)
-        stored = warehouse.snapshot(WEATHER)
-    return stored.select(
-        "date", *[F.col(c).try_cast("double").alias(c) for c in stored.columns if c != "date"]
+        days = warehouse.snapshot(WEATHER).drop("month")
+    return days.select(
+        "date", *[F.col(c).try_cast("double").alias(c) for c in days.columns if c != "date"]
     )
 
 
@@ -415,13 +509,23 @@ MARTS = {
         ),
         "has_games_details",
     ),
+    "marts.mrt_vide_precos": (
+        lambda w: marts.price_range(w.read("raw.part"), "p_type", "p_retailprice"),
+        "offers",
+    ),
 }
 
-MART_TAGS = {
-    "energia": ["marts.mrt_energia_clima", "marts.mrt_energia_hora"],
-    "inflation": ["marts.mrt_inflation"],
-    "nhl": ["marts.vw_stg_request_games_id"],
-}
+TAGGED = dict(
+    zip(
+        MART_TAGS,
+        (
+            ["marts.mrt_energia_clima", "marts.mrt_energia_hora"],
+            ["marts.mrt_inflation"],
+            ["marts.vw_stg_request_games_id"],
+            ["marts.mrt_vide_precos"],
+        ),
+    )
+)
 
 
 @register(
@@ -454,13 +558,15 @@ SELECT 'mrt_ecidadania_proposicoes', count(*), sum(turn)::DOUBLE FROM (
 UNION ALL
 SELECT 'vw_stg_request_games_id', count(*),
   (count(*) FILTER (WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)))::DOUBLE FROM orders
+UNION ALL
+SELECT 'mrt_vide_precos', count(DISTINCT p_type), count(*)::DOUBLE FROM part
 """
 )
 def marts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources published, marts refreshed by tag and as a whole, all exported, then counted."""
-    refresh = MartRefresh({name: plan for name, (plan, _) in MARTS.items()}, MART_TAGS)
+    refresh = MartRefresh({name: plan for name, (plan, _) in MARTS.items()}, TAGGED)
     with working_area(spark) as warehouse:
-        for name in ("events", "orders", "lineitem", "customer", "conversations"):
+        for name in ("events", "orders", "lineitem", "customer", "conversations", "part"):
             warehouse.load(table(spark, sf_dir, name), f"raw.{name}")
         refresh.run(warehouse, "energia")
         refresh.run(warehouse)
@@ -474,3 +580,27 @@ def marts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, (_, measure) in MARTS.items()
         ]
         return reduce(DataFrame.unionByName, totals)
+
+
+@register(
+    """
+SELECT 'loaded' AS kind, count(*) AS n FROM customer
+UNION ALL SELECT 'rejected', count(*) FROM supplier
+"""
+)
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as JSON lines with a broken line for each supplier between them."""
+    landing, rejects = scratch_dir(spark, "mixed"), scratch_dir(spark, "rejects")
+    good = table(spark, sf_dir, "customer").select(F.to_json(F.struct("c_custkey", "c_name")).alias("value"))
+    bad = table(spark, sf_dir, "supplier").select(F.concat(F.lit("{bad "), "s_name").alias("value"))
+    good.unionByName(bad).write.option("compression", "none").text(f"{landing}/lines")
+    # The text writer's suffix is another one; the loader takes every file it is given.
+    rows = spark.read.schema(f"c_custkey bigint, c_name string, {CORRUPT} string").option(
+        "columnNameOfCorruptRecord", CORRUPT
+    ).json(f"{landing}/lines")
+    loaded = without_rejects(rows.select("*", lineage_column()), F.col(CORRUPT).isNotNull(), rejects)
+    counts = [("loaded", loaded), ("rejected", read_rejects(spark, rejects))]
+    return reduce(
+        DataFrame.unionByName,
+        [rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, rows in counts],
+    )

@@ -35,11 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @contextmanager
 def working_area(spark: SparkSession) -> Iterator[Warehouse]:
-    """A warehouse in a fresh shared folder. Its catalog entries go at the end, its files stay for
-    the returned DataFrame to read."""
+    """A warehouse in a fresh shared folder, under a namespace of its own. Files and catalog entries
+    stay for the returned DataFrame to read."""
     name = uuid.uuid4().hex[:12]
-    warehouse = Warehouse(spark, scratch_dir(spark, "run"), namespace=f"run_{name}")
-    try:
-        yield warehouse
-    finally:
-        warehouse.release()
+    yield Warehouse(spark, scratch_dir(spark, "run"), namespace=f"run_{name}")

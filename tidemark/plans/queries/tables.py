@@ -12,6 +12,7 @@ from tidemark.operators.quality import duplicate_keys as find_duplicates
 from tidemark.operators.quality import row_counts
 from tidemark.operators.summary import daily_summary as summarise_days
 from tidemark.operators.summary import hourly
+from tidemark.operators.quality import GateFailed
 from tidemark.plans.queries.registry import register, table, working_area
 
 # The target holds the days before the first date, staging the days from the second on; in the
@@ -262,3 +263,34 @@ UNION ALL SELECT 'events', count(*) FROM events
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("orders", "lineitem", "events")
     return row_counts({n: table(spark, sf_dir, n) for n in names})
+
+
+@register("SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month FROM orders")
+def partitioned_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table cut by month, filled, then replaced as a whole; the view moves in one step."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_totalprice"
+    )
+    with working_area(spark) as warehouse:
+        name = "raw.orders_by_month"
+        schema = "o_orderkey bigint, day string, o_totalprice double"
+        warehouse.create_table(name, schema, key=["o_orderkey", "day"], partition=("month", "substring(day, 1, 7)"))
+        warehouse.upsert(orders.withColumn("o_totalprice", F.lit(0.0)), name)
+        warehouse.refresh(orders, name)
+        return warehouse.snapshot(name).select("o_orderkey", "o_totalprice", "month")
+
+
+@register("SELECT o_orderkey, o_totalprice FROM orders")
+def keyed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends to a keyed table; one that repeats keys is refused and changes nothing."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    with working_area(spark) as warehouse:
+        name = "raw.keyed_orders"
+        warehouse.create_table(name, orders.schema, key=["o_orderkey"])
+        for part in (0, 1):
+            warehouse.load(orders.where(F.pmod("o_orderkey", F.lit(2)) == part), name, "append")
+        try:
+            warehouse.load(orders, name, "append")
+        except GateFailed:
+            return warehouse.snapshot(name)
+        raise AssertionError("a repeated key was appended")

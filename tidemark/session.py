@@ -50,12 +50,6 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared checkpoint folder; later steps read the copy."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet under the shared folder and read again.
 

@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.sinks.tables import Warehouse
 
 ARCHIVE_SCHEMA = "key string, file_name string, length bigint, content binary"
-BY_FOLDER = ("folder", "regexp_extract(key, '^(.*)/', 1)")
+# Keys with a folder of their own below the prefix go by it. Flat keys, all in one folder, are dealt
+# by a hash, so that a delivery rewrites the shares it falls into and no share holds everything.
+BY_FOLDER = (
+    "folder",
+    "CASE WHEN key LIKE '%/%/%' THEN regexp_extract(key, '^(.*)/', 1)"
+    " ELSE concat(regexp_extract(key, '^(.*)/', 1), '/', substring(md5(key), 1, 2)) END",
+)
 
 
 def archive_documents(
@@ -22,8 +28,8 @@ def archive_documents(
     """Store ``file_name, content`` rows under ``prefix + file_name``, replacing a key sent again.
 
     Only names that end in ``suffix``, in that case, are taken. The archive is partitioned by the
-    folder part of the key, and only folders that receive a document are rewritten; names with a
-    date folder keep a daily delivery from touching the older days. ``documents`` must be a read of
+    folder part of the key, flat names by a share of their hash, and only partitions that receive a
+    document are rewritten; names with a date folder keep a daily delivery from touching older days. ``documents`` must be a read of
     landed files: it is read for the key check, where only the names matter, and for the write.
     """
     warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition=BY_FOLDER)

@@ -30,6 +30,8 @@ def read_jdbc(
     if split_by:
         if bounds is None:
             raise ValueError("split_by needs bounds")
+        if partitions < 2:
+            raise ValueError("split_by needs at least two partitions")
         # Spark does not split the query option; a parenthesised query works as a table.
         source = table or f"({query}) q"
         reader = (
