@@ -37,8 +37,9 @@ WINDOW = 13
 ANCHOR = 5
 # Words of a reference shard; it ends with the anchor that passes this.
 SHARD_WORDS = 20_000
-# Different passages of an anchor beyond which it is split by windows.
-CROWDED = 500
+# Different passages of an anchor beyond which it is split by windows: what a task can well hold as one
+# shard, about 80,000 words. Each passage of it then counts once for each of its windows.
+CROWDED = 4000
 
 
 class SuffixAutomaton:
