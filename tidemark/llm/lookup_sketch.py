@@ -149,16 +149,20 @@ def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first follows the last. Of several rows with one id, the one with the least text hash stands for
     it as a follower; a row without an id is followed by nothing. Null texts are empty.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    chain = successors(rows)
-    counts = rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n"))
+    whole = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    chain = successors(whole)
+    # Without null ids both joins below deal the texts alike, and one shuffle of them serves both.
+    rows = whole.where("id IS NOT NULL")
+    counts = rows.groupBy("id").agg(F.count("*").alias("n"))
     followers = rows
     if not counts.where("n > 1").isEmpty():
         followers = rows.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     following = followers.join(chain.select(F.col("id").alias("of"), "next_id", "half"), F.col("id") == F.col("next_id")).select(
         "of", F.expr("substring(text, 1, CAST(half AS INT))").alias("head"), F.expr(digests("text")).alias("next_keys")
     )
-    joined = rows.join(following, F.col("id") == F.col("of"), "left").select(
+    followed = rows.join(following, F.col("id") == F.col("of"), "left").select("id", "text", "head", "next_keys")
+    last = whole.where("id IS NULL").select("id", "text", F.lit("").alias("head"), F.expr(digests("''")).alias("next_keys"))
+    joined = followed.unionByName(last).select(
         "id", "text", F.length("text").alias("n_chars"), F.coalesce("head", F.lit("")).alias("head"),
         F.coalesce("next_keys", F.array().cast("array<bigint>")).alias("next_keys"),
     )
