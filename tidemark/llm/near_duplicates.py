@@ -8,8 +8,8 @@ rounds fill all of them. Coordinates of two sketches agree with the probability
 with concentration as for independent ones, and a large set needs about one round.
 
 Equal sets are one class. Classes that agree in a band of coordinates share a bucket. A bucket chooses
-leaders, and leaders are compared with the members not yet linked to them, on full sets. Links make
-components; the buckets that still hold more than one component choose further leaders, more in each
+leaders, and leaders are compared with the members not yet linked to them: by one bit of each
+coordinate, which sets far apart seldom pass, then on full sets. Links make components; the buckets that still hold more than one component choose further leaders, more in each
 round, until every member has been one. So no pair of a bucket that could add a link is left out, and
 yet a group of copies that holds together costs a few comparisons for each member.
 """
@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,10 @@ from tidemark.session import stored
 # Bands and coordinates of a band. At a similarity of 0.85 a pair shares no band with a probability
 # of 4e-7 (25 of 5), at 0.8 of 5e-8 (32 of 4).
 BANDS = {0.85: (25, 5), 0.8: (32, 4)}
+# How seldom the bits may refuse a pair that is alike.
+REFUSED = 1e-7
+# Of the narrow tables that the components are found in.
+ROWS_PER_FILE = 500_000
 SHINGLE_BYTES = 1_000_000
 
 
@@ -80,8 +86,32 @@ def _band_keys(filled: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return W.mixed(keys ^ W.mixed(np.arange(1, bands + 1).astype(np.uint64)))
 
 
+def most_differing(similarity: float, width: int) -> int:
+    """Differing bits, of ``width``, that a pair of this similarity exceeds with REFUSED at most.
+
+    Coordinates that differ have equal bits by chance half the time.
+    """
+    p = (1 - similarity) / 2
+    tail, k = 0.0, width
+    while k >= 0:
+        tail += comb(width, k) * p**k * (1 - p) ** (width - k)
+        if tail > REFUSED:
+            return k
+        k -= 1
+    return 0
+
+
+def _bits(filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lowest bit of each coordinate, of 128 at most, as two 64-bit numbers."""
+    bits = np.zeros((len(filled), 128), np.uint8)
+    bits[:, : filled.shape[1]] = filled & np.uint64(1)
+    words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+    return words[:, 0].copy(), words[:, 1].copy()
+
+
 def _sketched(keyed: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(id, tie, set_a, set_b, n_shingles, bands) of each row; set_a and set_b name its set."""
+    """(id, tie, set_a, set_b, n_shingles, bits_a, bits_b, bands) of each row; set_a and set_b name
+    its set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,7 +125,8 @@ def _sketched(keyed: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                     sums = np.zeros(n, np.uint64)
                     np.add.at(sums, text, W.mixed(hashes ^ np.uint64(salt)))
                     names.append(sums.view(np.int64))
-                keys = _band_keys(sketches(hashes, text, n, bands * rows), bands, rows)
+                filled = sketches(hashes, text, n, bands * rows)
+                keys = _band_keys(filled, bands, rows)
                 keys = keys[sizes > 0].view(np.int64).ravel()
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -105,14 +136,15 @@ def _sketched(keyed: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                         pa.array(names[0]),
                         pa.array(names[1]),
                         pa.array(sizes),
+                        *map(pa.array, _bits(filled)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
                     ],
-                    names=["id", "tie", "set_a", "set_b", "n_shingles", "bands"],
+                    names=["id", "tie", "set_a", "set_b", "n_shingles", "bits_a", "bits_b", "bands"],
                 )
 
     schema = T.StructType(
         [keyed.schema["id"]]
-        + [T.StructField(c, T.LongType()) for c in ("tie", "set_a", "set_b", "n_shingles")]
+        + [T.StructField(c, T.LongType()) for c in ("tie", "set_a", "set_b", "n_shingles", "bits_a", "bits_b")]
         + [T.StructField("bands", T.ArrayType(T.LongType()))]
     )
     return keyed.mapInArrow(sketch, schema)
@@ -157,12 +189,15 @@ def connected(links: DataFrame) -> DataFrame:
     adaptive execution.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    # No step has more rows than links; so many files hold them.
+    files = 1 + edges.count() // ROWS_PER_FILE
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = stored(
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star"
+            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct().coalesce(files),
+            "large-star",
         )
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = stored(
@@ -170,7 +205,8 @@ def connected(links: DataFrame) -> DataFrame:
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a <> b")
-            .distinct(),
+            .distinct()
+            .coalesce(files),
             "small-star",
         )
         state = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
@@ -178,7 +214,8 @@ def connected(links: DataFrame) -> DataFrame:
             break
         before = state
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return stored(roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "roots")
+    tops = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return stored(roots.unionByName(tops).coalesce(files), "roots")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -192,15 +229,21 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(open_members: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Pairs of a leader and a member of its bucket in another component, that could be alike."""
-    lead = leaders.select(
-        "bucket", F.col("node").alias("leader"), F.col("label").alias("l_label"), F.col("n").alias("l_n")
+def _cross_pairs(open_members: DataFrame, leaders: DataFrame, percent: int, differing: int) -> DataFrame:
+    """Pairs of a leader and a member of its bucket in another component, that could be alike: by
+    their sizes and by the bits in which they differ."""
+    lead = leaders.select("bucket", *(F.col(c).alias(f"l_{c}") for c in ("node", "label", "n", "bits_a", "bits_b")))
+    off = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("l_bits_a"))) + F.bit_count(
+        F.col("bits_b").bitwiseXOR(F.col("l_bits_b"))
     )
-    return (
-        open_members.join(lead, "bucket")
-        .where("label <> l_label")
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "n", "l_n")
+    near = (
+        (open_members["bucket"] == lead["bucket"])
+        & (F.col("label") != F.col("l_label"))
+        & (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n"))
+        & (off <= differing)
+    )
+    return open_members.join(lead, near).select(
+        F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")
     )
 
 
@@ -222,18 +265,19 @@ def components(
     ``tie`` is the hash of the text. An empty table gives an empty result.
     """
     bands, rows = BANDS[similarity]
-    percent = round(similarity * 100)
+    percent, differing = round(similarity * 100), most_differing(similarity, bands * rows)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     sketched = stored(_sketched(keyed, shingle, bands, rows), "sketches")
     full = sketched.where("n_shingles > 0")
     key = ["set_a", "set_b", "n_shingles"]
     classes = stored(
-        full.groupBy(*key).agg(F.min("id").alias("first"), F.min(F.struct("id", "tie")).alias("rep"), F.any_value("bands").alias("bands"))
+        full.groupBy(*key).agg(F.min("id").alias("first"), F.min(F.struct("id", "tie")).alias("rep"), F.any_value("bands").alias("bands"), *(F.min(c).alias(c) for c in ("bits_a", "bits_b")))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    banded = classes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
+    own = ["node", F.col("n_shingles").alias("n"), "bits_a", "bits_b"]
+    banded = classes.select(F.explode("bands").alias("bucket"), *own)
     crowded = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
     members = stored(banded.join(crowded, "bucket"), "buckets")
     wanted = members.select("node").distinct().join(classes.select("node", "rep.id", "rep.tie"), "node")
@@ -252,21 +296,17 @@ def components(
             candidates = candidates.join(done, ["bucket", "node"], "left_anti")
         # One leader for each share of a bucket; the shares grow in number.
         share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(4**turn))
-        order = F.struct(F.xxhash64("node"), "node", "label", "n") if turn else F.struct("node", "label", "n")
+        shown = ["node", "label", "n", "bits_a", "bits_b"]
+        order = F.struct(F.xxhash64("node"), *shown) if turn else F.struct(*shown)
         leaders = stored(
-            candidates.groupBy("bucket", share.alias("share")).agg(F.min(order).alias("l")).select("bucket", "l.node", "l.label", "l.n"),
+            candidates.groupBy("bucket", share.alias("share")).agg(F.min(order).alias("l")).select("bucket", *(f"l.{c}" for c in shown)),
             "leaders",
         )
         if leaders.isEmpty():
             break
         led = leaders.select("bucket", "node")
         done = led if done is None else done.unionByName(led)
-        pairs = (
-            _cross_pairs(open_members, leaders)
-            .where(100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n"))
-            .select("a", "b")
-            .distinct()
-        )
+        pairs = _cross_pairs(open_members, leaders, percent, differing).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
