@@ -16,10 +16,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Bytes of text handled at a time. A longer text spans several windows, cut at safe places.
-WINDOW_BYTES = 8_000_000
+# Bytes of text handled at a time. A longer text spans several windows, cut at safe places. A worker
+# keeps a few hundred MB at most by these two bounds.
+WINDOW_BYTES = 4_000_000
 # Distinct pieces a worker remembers; beyond that it starts anew.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 150_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 13, 32]] = True
@@ -43,6 +44,20 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def text_groups(column: pa.Array, limit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The texts of a column in groups of about ``limit`` bytes: first row, bytes, offsets.
+
+    A longer text is a group of its own. Only one group's bytes are held at a time.
+    """
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    row, before = 0, 0
+    while row < len(column):
+        end = max(int(np.searchsorted(ends, before + limit, "right")), row + 1)
+        yield row, *text_bytes(column.slice(row, end - row))
+        row, before = end, int(ends[end - 1])
+
+
 def safe_cuts(data: np.ndarray) -> np.ndarray:
     """Places where any supported tokenizer splits words, whatever stands around.
 

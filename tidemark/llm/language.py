@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.encoding import text_bytes
+from tidemark.llm.encoding import text_groups
 from tidemark.llm.words import mixed
 from tidemark.session import stored
 
@@ -163,7 +163,7 @@ def fit(
         for batch in batches:
             langs = batch.column("lang").dictionary_encode()
             code = langs.indices.to_numpy()
-            for row, data, offsets in _groups(batch.column("text")):
+            for row, data, offsets in text_groups(batch.column("text"), GROUP_BYTES):
                 codes, owner = letters_of(data, offsets)
                 for size in SIZES:
                     hashes, text = grams_of(codes, owner, size)
@@ -201,16 +201,6 @@ def fit(
     return Filters.build(grams)
 
 
-def _groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Texts of a column in groups of about GROUP_BYTES: first row, bytes, offsets."""
-    data, offsets = text_bytes(column)
-    row, n = 0, len(offsets) - 1
-    while row < n:
-        end = max(int(np.searchsorted(offsets, offsets[row] + GROUP_BYTES, "right")) - 1, row + 1)
-        yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
-        row = end
-
-
 def decide(filters: Filters, n_grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Language number, -1 for none, score, and the winner's share of the n-grams of each text.
 
@@ -247,7 +237,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
         names = np.array([*known.languages, "und"], object)
         for batch in batches:
             column = batch.column("row")
-            for row, data, offsets in _groups(column.field(text_col)):
+            for row, data, offsets in text_groups(column.field(text_col), GROUP_BYTES):
                 n = len(offsets) - 1
                 codes, owner = letters_of(data, offsets)
                 n_grams, counts = np.zeros(n, np.int64), np.zeros((n, len(known.languages)))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.encoding import text_bytes, worker_encoder
+from tidemark.llm.encoding import WINDOW_BYTES, text_groups, worker_encoder
 from tidemark.session import stored
 
 STEPS = 300
@@ -49,36 +49,36 @@ def encode_pieces(
         encoder, task = worker_encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            tokens, counts = encoder.ids_of(data, offsets)
-            tokens = np.insert(tokens, np.cumsum(counts), end_id).astype("<u4")
-            counts = counts + 1
-            n_pieces = -(-counts // capacity)
-            owner = np.repeat(np.arange(len(counts)), n_pieces)
-            first = np.cumsum(n_pieces) - n_pieces
-            piece = np.arange(len(owner)) - first[owner]
-            head = counts - (n_pieces - 1) * capacity  # length of the first piece
-            length = np.where(piece == 0, head[owner], capacity)
-            start = np.where(piece == 0, 0, head[owner] + (piece - 1) * capacity)
-            nth = _running_counts(length, seen)
-            ends = np.concatenate([[0], np.cumsum(length)])
-            blobs = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(length), [None, pa.py_buffer(ends * 4), pa.py_buffer(tokens)]
-            )
-            for at in range(0, len(length), 8192):
-                some = slice(at, at + 8192)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(owner[some])),
-                        pa.array(piece[some].astype(np.int32)),
-                        pa.array(start[some]),
-                        pa.array(length[some]),
-                        blobs[some].cast(pa.binary()),
-                        pa.array(np.full(len(length[some]), task, np.int64)),
-                        pa.array(nth[some]),
-                    ],
-                    names=["id", "piece", "start", "length", "ids", "task", "nth"],
+            for row, data, offsets in text_groups(batch.column(1), WINDOW_BYTES):
+                tokens, counts = encoder.ids_of(data, offsets)
+                tokens = np.insert(tokens, np.cumsum(counts), end_id).astype("<u4")
+                counts = counts + 1
+                n_pieces = -(-counts // capacity)
+                owner = np.repeat(np.arange(len(counts)), n_pieces)
+                first = np.cumsum(n_pieces) - n_pieces
+                piece = np.arange(len(owner)) - first[owner]
+                head = counts - (n_pieces - 1) * capacity  # length of the first piece
+                length = np.where(piece == 0, head[owner], capacity)
+                start = np.where(piece == 0, 0, head[owner] + (piece - 1) * capacity)
+                nth = _running_counts(length, seen)
+                ends = np.concatenate([[0], np.cumsum(length)])
+                blobs = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(length), [None, pa.py_buffer(ends * 4), pa.py_buffer(tokens)]
                 )
+                for at in range(0, len(length), 8192):
+                    some = slice(at, at + 8192)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(row + owner[some])),
+                            pa.array(piece[some].astype(np.int32)),
+                            pa.array(start[some]),
+                            pa.array(length[some]),
+                            blobs[some].cast(pa.binary()),
+                            pa.array(np.full(len(length[some]), task, np.int64)),
+                            pa.array(nth[some]),
+                        ],
+                        names=["id", "piece", "start", "length", "ids", "task", "nth"],
+                    )
 
     schema = T.StructType(
         [T.StructField("id", picked.schema["id"].dataType), T.StructField("piece", T.IntegerType())]

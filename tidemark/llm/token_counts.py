@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.encoding import text_bytes, worker_encoder
+from tidemark.llm.encoding import WINDOW_BYTES, text_groups, worker_encoder
 
 
 def count_tokens(
@@ -32,12 +32,12 @@ def count_tokens(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            tokens = encoder.lengths_of(data, offsets)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(offsets)), pa.array(tokens)],
-                names=["id", "n_bytes", "n_tokens"],
-            )
+            for row, data, offsets in text_groups(batch.column(1), WINDOW_BYTES):
+                tokens = encoder.lengths_of(data, offsets)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, len(tokens)), pa.array(np.diff(offsets)), pa.array(tokens)],
+                    names=["id", "n_bytes", "n_tokens"],
+                )
 
     schema = T.StructType(
         [

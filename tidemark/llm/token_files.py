@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.encoding import text_bytes, worker_encoder
+from tidemark.llm.encoding import WINDOW_BYTES, text_groups, worker_encoder
 from tidemark.llm.files import file_system
 from tidemark.session import scratch_dir, stored
 
@@ -138,12 +138,12 @@ def write_token_files(
             if writer is None:
                 shard = TaskContext.get().partitionId()
                 writer = ShardWriter(root, shard, batch.column(0).type, wide, length)
-            data, offsets = text_bytes(batch.column(1))
-            tokens, counts = encoder.ids_of(data, offsets)
-            if end_id is not None:
-                tokens = np.insert(tokens, np.cumsum(counts), end_id)
-                counts = counts + 1
-            writer.add(batch.column(0), tokens, counts)
+            for row, data, offsets in text_groups(batch.column(1), WINDOW_BYTES):
+                tokens, counts = encoder.ids_of(data, offsets)
+                if end_id is not None:
+                    tokens = np.insert(tokens, np.cumsum(counts), end_id)
+                    counts = counts + 1
+                writer.add(batch.column(0).slice(row, len(counts)), tokens, counts)
         if writer is not None:
             yield pa.RecordBatch.from_pylist([writer.close()], schema=manifest_schema)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.encoding import text_bytes
+from tidemark.llm.encoding import text_groups
 
 # Texts handled together, in bytes; a longer one is handled alone.
 GROUP_BYTES = 2_000_000
@@ -103,9 +103,4 @@ def words_of(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray, kind: np.n
 
 def groups(column: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The texts of a column in groups of about ``limit`` bytes: first row, bytes, offsets."""
-    data, offsets = text_bytes(column)
-    row, n = 0, len(offsets) - 1
-    while row < n:
-        end = max(int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1, row + 1)
-        yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
-        row = end
+    return text_groups(column, limit)
