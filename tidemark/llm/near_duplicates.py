@@ -8,8 +8,8 @@ rounds fill all of them. Coordinates of two sketches agree with the probability
 with concentration as for independent ones, and a large set needs about one round.
 
 Equal sets are one class. Classes that agree in a band of coordinates share a bucket. A bucket chooses
-leaders, and leaders are compared with the members not yet linked to them: by one bit of each
-coordinate, which sets far apart seldom pass, then on full sets. Links make components; the buckets that still hold more than one component choose further leaders, more in each
+leaders, and leaders are compared with the members not yet linked to them: by four bits of
+each coordinate, which sets far apart seldom pass, then on full sets. Links make components; the buckets that still hold more than one component choose further leaders, more in each
 round, until every member has been one. So no pair of a bucket that could add a link is left out, and
 yet a group of copies that holds together costs a few comparisons for each member.
 """
@@ -17,12 +17,12 @@ yet a group of copies that holds together costs a few comparisons for each membe
 from __future__ import annotations
 
 from collections.abc import Iterator
-
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,8 @@ from tidemark.session import stored
 # Bands and coordinates of a band. At a similarity of 0.85 a pair shares no band with a probability
 # of 4e-7 (25 of 5), at 0.8 of 5e-8 (32 of 4).
 BANDS = {0.85: (25, 5), 0.8: (32, 4)}
+# 64-bit numbers that hold four bits of each coordinate.
+PACKED = [f"bits_{k}" for k in range(8)]
 # How seldom the bits may refuse a pair that is alike.
 REFUSED = 1e-7
 # Of the narrow tables that the components are found in.
@@ -87,11 +89,9 @@ def _band_keys(filled: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def most_differing(similarity: float, width: int) -> int:
-    """Differing bits, of ``width``, that a pair of this similarity exceeds with REFUSED at most.
-
-    Coordinates that differ have equal bits by chance half the time.
-    """
-    p = (1 - similarity) / 2
+    """Differing coordinates, of ``width``, that a pair of this similarity exceeds with REFUSED at
+    most. Coordinates that differ have equal bits by chance one time in sixteen."""
+    p = (1 - similarity) * 15 / 16
     tail, k = 0.0, width
     while k >= 0:
         tail += comb(width, k) * p**k * (1 - p) ** (width - k)
@@ -101,16 +101,28 @@ def most_differing(similarity: float, width: int) -> int:
     return 0
 
 
-def _bits(filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lowest bit of each coordinate, of 128 at most, as two 64-bit numbers."""
+def _bits(filled: np.ndarray) -> list[np.ndarray]:
+    """The lowest four bits of each coordinate, of 128 at most, as eight 64-bit numbers."""
     bits = np.zeros((len(filled), 128), np.uint8)
-    bits[:, : filled.shape[1]] = filled & np.uint64(1)
-    words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
-    return words[:, 0].copy(), words[:, 1].copy()
+    bits[:, : filled.shape[1]] = filled & np.uint64(15)
+    words = np.ascontiguousarray(bits[:, ::2] | (bits[:, 1::2] << 4)).view("<i8")
+    return [words[:, k].copy() for k in range(8)]
+
+
+def _differing() -> Column:
+    """Coordinates in which a member's bits and its leader's differ."""
+    counts = []
+    for name in PACKED:
+        x = F.col(name).bitwiseXOR(F.col(f"l_{name}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        # The lowest bit of each four is now set where any of them was.
+        counts.append(F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111))))
+    return reduce(lambda a, b: a + b, counts)
 
 
 def _sketched(keyed: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(id, tie, set_a, set_b, n_shingles, bits_a, bits_b, bands) of each row; set_a and set_b name
+    """(id, tie, set_a, set_b, n_shingles, bits, bands) of each row; set_a and set_b name
     its set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,12 +151,12 @@ def _sketched(keyed: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                         *map(pa.array, _bits(filled)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
                     ],
-                    names=["id", "tie", "set_a", "set_b", "n_shingles", "bits_a", "bits_b", "bands"],
+                    names=["id", "tie", "set_a", "set_b", "n_shingles", *PACKED, "bands"],
                 )
 
     schema = T.StructType(
         [keyed.schema["id"]]
-        + [T.StructField(c, T.LongType()) for c in ("tie", "set_a", "set_b", "n_shingles", "bits_a", "bits_b")]
+        + [T.StructField(c, T.LongType()) for c in ("tie", "set_a", "set_b", "n_shingles", *PACKED)]
         + [T.StructField("bands", T.ArrayType(T.LongType()))]
     )
     return keyed.mapInArrow(sketch, schema)
@@ -232,15 +244,12 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 def _cross_pairs(open_members: DataFrame, leaders: DataFrame, percent: int, differing: int) -> DataFrame:
     """Pairs of a leader and a member of its bucket in another component, that could be alike: by
     their sizes and by the bits in which they differ."""
-    lead = leaders.select("bucket", *(F.col(c).alias(f"l_{c}") for c in ("node", "label", "n", "bits_a", "bits_b")))
-    off = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("l_bits_a"))) + F.bit_count(
-        F.col("bits_b").bitwiseXOR(F.col("l_bits_b"))
-    )
+    lead = leaders.select("bucket", *(F.col(c).alias(f"l_{c}") for c in ("node", "label", "n", *PACKED)))
     near = (
         (open_members["bucket"] == lead["bucket"])
         & (F.col("label") != F.col("l_label"))
         & (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n"))
-        & (off <= differing)
+        & (_differing() <= differing)
     )
     return open_members.join(lead, near).select(
         F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")
@@ -272,11 +281,11 @@ def components(
     full = sketched.where("n_shingles > 0")
     key = ["set_a", "set_b", "n_shingles"]
     classes = stored(
-        full.groupBy(*key).agg(F.min("id").alias("first"), F.min(F.struct("id", "tie")).alias("rep"), F.any_value("bands").alias("bands"), *(F.min(c).alias(c) for c in ("bits_a", "bits_b")))
+        full.groupBy(*key).agg(F.min("id").alias("first"), F.min(F.struct("id", "tie")).alias("rep"), F.any_value("bands").alias("bands"), *(F.min(c).alias(c) for c in PACKED))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    own = ["node", F.col("n_shingles").alias("n"), "bits_a", "bits_b"]
+    own = ["node", F.col("n_shingles").alias("n"), *PACKED]
     banded = classes.select(F.explode("bands").alias("bucket"), *own)
     crowded = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
     members = stored(banded.join(crowded, "bucket"), "buckets")
@@ -296,7 +305,7 @@ def components(
             candidates = candidates.join(done, ["bucket", "node"], "left_anti")
         # One leader for each share of a bucket; the shares grow in number.
         share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(4**turn))
-        shown = ["node", "label", "n", "bits_a", "bits_b"]
+        shown = ["node", "label", "n", *PACKED]
         order = F.struct(F.xxhash64("node"), *shown) if turn else F.struct(*shown)
         leaders = stored(
             candidates.groupBy("bucket", share.alias("share")).agg(F.min(order).alias("l")).select("bucket", *(f"l.{c}" for c in shown)),
