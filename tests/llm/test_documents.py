@@ -279,6 +279,40 @@ def test_lookup_sketches(spark):
     assert found[3]["fingerprint"] == found[6]["fingerprint"] != found[9]["fingerprint"]
 
 
+def test_lookup_sketches_of_texts_without_sentences(spark):
+    chance = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    makers = {
+        "words": lambda: " ".join(wordy(chance.random(), 2000)),
+        "marked": lambda: " ".join(w + chance.choice([".&&&", "%%%", "!#"]) for w in wordy(chance.random(), 2000)),
+        "letters": lambda: "".join(chance.choices(letters, k=8000)),
+        "han": lambda: "".join(chr(0x4E00 + chance.randrange(3000)) for _ in range(8000)),
+        "signs": lambda: "".join(chr(0x1F300 + chance.randrange(200)) for _ in range(8000)),
+        "sentences": lambda: "".join(f"{chr(0x4E00 + chance.randrange(3000))}{k}。" for k in chance.sample(range(9999), 30)),
+    }
+    texts = [make() for make in makers.values() for _ in range(2)]
+    # The second text of each pair is the first behind some words, so half of the paragraphs are edited away.
+    for k in range(0, len(texts), 2):
+        texts[k + 1] = " ".join(wordy(k, 20)) + (" " if k < 4 else "\n") + texts[k]
+    found = {r["doc_id"]: r for r in lookup_sketch.compare_versions(frame(spark, list(enumerate(texts)))).collect()}
+    for k in range(0, len(texts), 2):
+        assert 0.4 < found[k]["near_edited"] < 0.55
+        assert found[k]["near_next"] > 0.8
+
+
+def test_lookup_sketches_of_repeated_words(spark):
+    texts = ["so " * 3000, "a b c " * 900, "abc" * 3000, "一二三" * 3000, "x\ty  z" * 500, "end"]
+    found = {r["doc_id"]: r for r in lookup_sketch.compare_versions(frame(spark, list(enumerate(texts)))).collect()}
+    assert all(found[k]["near_edited"] > 0 for k in range(5))
+
+
+def test_parts_are_the_paragraph(spark):
+    chance = random.Random(8)
+    texts = ["".join(chance.choices(["w", "xy", " ", "\t", "  ", "é", "日", "😀", "q" * 70, "ab" * 50], k=300)) for _ in range(40)]
+    rows = spark.createDataFrame([(t,) for t in texts], "p string").selectExpr("p", f"{lookup_sketch._cut('p')} AS parts").collect()
+    assert all("".join(r["parts"]) == r["p"] for r in rows)
+
+
 def test_lookup_sketches_of_repeated_and_missing_ids(spark):
     rows = [(1, "a b\nc d"), (1, "a b\nc d"), (None, "x"), (2, "e")]
     found = lookup_sketch.compare_versions(frame(spark, rows)).collect()

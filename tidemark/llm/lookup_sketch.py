@@ -1,7 +1,9 @@
 """Fingerprints of texts as invertible Bloom lookup sketches of their paragraphs, in SQL alone.
 
-A paragraph is a line; a line is cut further after each sentence mark that a blank follows, so that a
-text of one line has parts as well. Each distinct paragraph has a 64-bit digest: 40 bits of its hash
+A paragraph is a line; a line is cut further after each sentence mark that a blank follows, or that
+belongs to a script without blanks, so that a text of one line has parts as well. What is still long is
+cut where its own words say so, so that equal stretches of two texts are cut alike whatever surrounds
+them. Each distinct paragraph has a 64-bit digest: 40 bits of its hash
 and 24 check bits made from them. A sketch has three tables of cells; a digest is xored into one cell
 of each. The sketches of two versions, subtracted cell by cell, hold only the digests in which they
 differ. A cell whose check bits fit holds one digest alone; taking it out of its other cells may lay
@@ -24,15 +26,44 @@ CELL_BITS = (3, 5, 6)
 ROUNDS = 12
 # Digests of a version that share one of the dealt sketches, on average, at most.
 SHARE = 4
-# Where a line is cut into paragraphs.
-SENTENCE = r"\n+|(?<=[.!?])[ \t]+"
+# Where a line is cut into paragraphs. The marks of other scripts need no blank after them.
+MARKS = "。！？｡．।॥؟۔።။។"
+SENTENCE = rf"\n+|(?<=[.!?])[ \t]+|(?<=[{MARKS}])(?![{MARKS}])"
+# A longer paragraph, in characters, is cut after some of its words; a longer word is many words there.
+LONG_PARAGRAPH, LONG_WORD = 160, 64
+# One word in so many ends a part, by its hash and that of the word before it; a part has at most so many.
+PART_EVERY, PART_MOST = 8, 16
 
 _LOW, _HIGH = 16777215, -16777216
 
 
+def _parts(units: str, tag: str) -> str:
+    """SQL: an array of words joined to parts that end at words chosen by their hash."""
+    last = f"i{tag} = size({units}) OR pmod(xxhash64(get({units}, i{tag} - 2), {units}[i{tag} - 1]), {PART_EVERY}) = 0"
+    ends = f"filter(sequence(1, size({units})), i{tag} -> {last})"
+    begin = f"if(k{tag} = 0, 0, get(n{tag}, k{tag} - 1))"
+    part = f"array_join(slice({units}, b{tag} + 1, least({PART_MOST}, e{tag} - b{tag})), '')"
+    return (
+        f"transform(array({ends}), n{tag} -> flatten(transform(n{tag}, (e{tag}, k{tag}) ->"
+        f" transform(sequence({begin}, e{tag} - 1, {PART_MOST}), b{tag} -> {part}))))[0]"
+    )
+
+
+def _cut(paragraph: str) -> str:
+    """SQL: the parts of a long paragraph. Joined they are the paragraph; blanks stay with the word before.
+
+    The characters of a long word are joined to words in the same way, unless they are all the same.
+    """
+    chars = f"transform(array(split(w, '')), c -> if(size(array_distinct(c)) < 2, array(w), {_parts('c', 'c')}))[0]"
+    split = f"split({paragraph}, r'(?<=[ \\t])(?=[^ \\t])')"
+    words = f"flatten(transform({split}, w -> if(char_length(w) <= {LONG_WORD}, array(w), {chars})))"
+    return f"transform(array({words}), u -> {_parts('u', 'u')})[0]"
+
+
 def digests(text: str) -> str:
     """SQL: the distinct digests of a text's paragraphs; blank ones do not count."""
-    pieces = f"filter(split({text}, r'{SENTENCE}'), p -> p <> '')"
+    lines = f"filter(split({text}, r'{SENTENCE}'), p -> p <> '')"
+    pieces = f"flatten(transform({lines}, p -> if(char_length(p) <= {LONG_PARAGRAPH}, array(p), {_cut('p')})))"
     keys = f"transform({pieces}, p -> xxhash64(p) & {_HIGH}L)"
     return f"array_distinct(transform({keys}, k -> k | (xxhash64(k) & {_LOW}L)))"
 
