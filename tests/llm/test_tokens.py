@@ -95,6 +95,16 @@ def test_token_files_hold_all_ids_in_order(spark):
     assert token_files.read_token_files(empty, T.LongType()).count() == 0
 
 
+def test_ids_beyond_the_width_raise(spark):
+    docs = frame(spark, [(1, "a b"), (2, None)])
+    with pytest.raises(Exception, match="token id 65536 is over 65535"):
+        token_files.write_token_files(docs, BYTES, end_id=65536)
+    manifest = token_files.write_token_files(docs, BYTES, end_id=65536, wide=True)
+    got = {r["doc_id"]: r["ids_crc32"] for r in token_files.read_token_files(manifest, T.LongType()).collect()}
+    assert got == {1: crc([*ids(BYTES, "a b"), 65536]), 2: crc([65536])}
+    token_files.write_token_files(docs, BYTES, end_id=65535)
+
+
 def test_sequences_are_read_in_place(spark):
     text = " ".join(f"word{i}" for i in range(5000))
     shard = token_files.write_token_files(frame(spark, [(1, text)]), BYTES, length=8).collect()[0]

@@ -59,6 +59,9 @@ class ShardWriter:
         self.n_held = self.n_docs = self.n_tokens = self.n_sequences = 0
 
     def add(self, ids: pa.Array, tokens: np.ndarray, counts: np.ndarray) -> None:
+        most = np.iinfo(self.item).max
+        if len(tokens) and tokens.max() > most:
+            raise ValueError(f"token id {tokens.max()} is over {most}; write with wide=True")
         starts = self.n_tokens + np.cumsum(counts) - counts
         self.docs_file.write_batch(
             pa.record_batch([ids, pa.array(starts), pa.array(counts)], schema=self.docs_schema)
@@ -117,7 +120,8 @@ def write_token_files(
     """Write all texts as token shards; the result is the manifest, one row for each shard.
 
     Rows are dealt to shards by ranges of the id (rows with one id by their text's hash), so shard
-    order is id order, null first. ``wide`` stores ids as uint32, for vocabularies over 65,536.
+    order is id order, null first. ``wide`` stores ids as uint32, for vocabularies over 65,536;
+    without it an id that does not fit raises.
     Null and empty texts hold ``end_id`` alone; repeated rows are written each; other columns are
     not read; an empty table gives an empty manifest. A task that is repeated after a loss writes
     new files, and only the files of the attempt that Spark committed are in the manifest.
