@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, lookup_sketch, near_duplicates, packing, substrings, warc
+from tidemark.llm import chat, language, lookup_sketch, merkle, near_duplicates, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -244,3 +244,86 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op4_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_sketch.compare_versions(table(spark, sf_dir, "documents"))
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# DuckDB has no crc32: of a decimal number's bytes it is a fold over 256 table entries made here.
+_CRC = """
+    WITH RECURSIVE entry(i, k, c) AS (
+      SELECT i::BIGINT, 0, i::BIGINT FROM range(256) t(i)
+      UNION ALL
+      SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c // 2) ELSE c // 2 END FROM entry WHERE k < 8
+    ), crcs AS (SELECT list(c ORDER BY i) AS crc FROM entry WHERE k = 8),
+"""
+
+
+@register(
+    f"""
+    {_CRC}
+    sums(doc_id, rest, c) AS (
+      SELECT DISTINCT doc_id, doc_id::VARCHAR, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+      UNION ALL
+      SELECT doc_id, rest[2:], xor(crc[1 + xor(c, ord(rest[1]))::BIGINT % 256], c // 256) FROM sums, crcs WHERE rest <> ''
+    ), picked AS (SELECT doc_id FROM sums WHERE rest = '' AND xor(c, 4294967295::BIGINT) % 5 = 0),
+    digests AS (
+      SELECT doc_id, source, sha256({_HEAD} || {_FIELD.format("text")}) AS leaf,
+        sha256({_HEAD} || CASE WHEN p.doc_id IS NULL THEN {_FIELD.format("text")} ELSE {_FIELD.format(_LOWERED)} END) AS shown
+      FROM documents LEFT JOIN picked p USING (doc_id)
+    ), leaves AS (
+      SELECT doc_id, leaf, shown, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY source) AS n
+      FROM digests
+    ), up(tree, level, pos, h, n) AS (
+      SELECT tree, 0, pos, leaf, n FROM leaves
+      UNION ALL
+      SELECT tree, level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16 FROM up
+      WHERE n > 1 GROUP BY tree, level, pos // 16, n
+    ), subroots AS (SELECT tree, h AS subroot, count(*) OVER () AS trees FROM up WHERE n = 1),
+    top(level, pos, h, n) AS (
+      SELECT 0, tree, subroot, trees FROM subroots
+      UNION ALL
+      SELECT level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16 FROM top
+      WHERE n > 1 GROUP BY level, pos // 16, n
+    ), whole AS (SELECT h AS root FROM top WHERE n = 1),
+    runs AS (
+      SELECT tree, level, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM up WHERE n > 1 GROUP BY tree, level, pos // 16
+      UNION ALL
+      SELECT -1, level, pos // 16, list(h ORDER BY pos) FROM top WHERE n > 1 GROUP BY level, pos // 16
+    ), climb(doc_id, leaf, home, tree, level, pos, folded, proof) AS (
+      SELECT doc_id, leaf, tree, tree, 0, pos, shown, '' FROM leaves
+      UNION ALL
+      SELECT c.doc_id, c.leaf, c.home, coalesce(r.tree, -1), CASE WHEN r.tree IS NULL THEN 0 ELSE c.level + 1 END,
+        CASE WHEN r.tree IS NULL THEN c.home ELSE c.pos // 16 END,
+        CASE WHEN r.tree IS NULL THEN c.folded ELSE sha256(array_to_string(hs[: c.pos % 16], '')
+          || c.folded || array_to_string(hs[c.pos % 16 + 2 :], '')) END,
+        CASE WHEN r.tree IS NULL THEN c.proof ELSE c.proof || array_to_string(hs[: c.pos % 16], '')
+          || array_to_string(hs[c.pos % 16 + 2 :], '') END
+      FROM climb c LEFT JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = c.pos // 16
+      WHERE r.tree IS NOT NULL OR c.tree >= 0
+    ), tops AS (SELECT max(level) AS highest FROM top)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM climb JOIN tops ON climb.tree = -1 AND climb.level = highest JOIN subroots ON subroots.tree = home, whole
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        F.col("source").alias("tree"),
+        F.col("doc_id").alias("id"),
+        merkle.leaf_digest(*head, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.leaf_digest(*head, merkle.ascii_lower(F.col("text")))).alias("shown"),
+    )
+    return merkle.climb(merkle.build(leaves)).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
