@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, lookup_sketch, merkle, near_duplicates, packing, substrings, warc
+from tidemark.llm import alignment, chat, language, lookup_sketch, merkle, near_duplicates, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -246,6 +246,16 @@ def op4_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_sketch.compare_versions(table(spark, sf_dir, "documents"))
 
 
+@register()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return found.withColumnRenamed("id", "doc_id")
+
+
 _FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
 _HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
 _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
