@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, chat, language, lookup_sketch, merkle, near_duplicates, packing, substrings, warc
+from tidemark.llm import alignment, chat, column_wise, language, lookup_sketch, merkle, near_duplicates, packing, substrings, warc
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -246,6 +246,42 @@ def op4_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_sketch.compare_versions(table(spark, sf_dir, "documents"))
 
 
+@register(
+    """
+    WITH t AS (
+      SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents
+    ), b AS (SELECT r, doc_id, x, length(x) // 2 AS n FROM t),
+    windows AS (
+      SELECT r, doc_id, i, x[2 * i + 1 : 2 * i + 200] AS run
+      FROM (SELECT r, doc_id, x, unnest(range(0, n - 99)) AS i FROM b WHERE n >= 100 AND doc_id IS NOT NULL)
+    ), firsts AS (SELECT run, min({'d': doc_id, 'i': i}) AS f FROM windows GROUP BY run),
+    lost AS (
+      SELECT r, i, lag(i) OVER w AS before, lead(i) OVER w AS next
+      FROM windows JOIN firsts USING (run) WHERE f < {'d': doc_id, 'i': i}
+      WINDOW w AS (PARTITION BY r ORDER BY i)
+    ), spans AS (
+      SELECT r, min(i) AS a, max(i) + 100 AS z
+      FROM (SELECT r, i, sum(CASE WHEN i <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM lost)
+      GROUP BY r, g
+    ), pieces AS (
+      SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS from_ FROM spans
+    ), heads AS (
+      SELECT r, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last,
+        string_agg(x[2 * from_ + 1 : 2 * a], '' ORDER BY a) AS head
+      FROM pieces JOIN b USING (r) GROUP BY r
+    )
+    SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+      sha256(unhex(coalesce(head, '') || x[2 * coalesce(last, 0) + 1 :])) AS kept_sha256
+    FROM b LEFT JOIN heads USING (r)
+    """
+)
+def op11_column_wise_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return column_wise.remove_repeated(docs).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @register()
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(
