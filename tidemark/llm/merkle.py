@@ -164,30 +164,26 @@ def build(leaves: DataFrame) -> Manifest:
     )
 
 
-# A leaf in its run: its siblings there and what its parent's digest becomes.
-_START = """
-    transform(members, (m, i) -> named_struct('id', m.id, 'leaf', m.leaf,
-      'own', CASE WHEN alone THEN ''
-        ELSE concat(array_join(slice(run, 1, i), ''), array_join(slice(run, i + 2, size(run)), '')) END,
-      'folded', CASE WHEN alone THEN coalesce(m.shown, m.leaf)
-        ELSE sha2(concat(array_join(slice(run, 1, i), ''), coalesce(m.shown, m.leaf),
-          array_join(slice(run, i + 2, size(run)), '')), 256) END))
+# What the parent's digest becomes with the digest ``x`` in a run at a place.
+_FOLD = "sha2(concat(array_join(slice(run, 1, {0}), ''), {1}, array_join(slice(run, {0} + 2, size(run)), '')), 256)"
+_START = f"""
+    transform(members, (m, i) -> unhex(CASE WHEN alone THEN coalesce(m.shown, m.leaf)
+      ELSE {_FOLD.format("i", "coalesce(m.shown, m.leaf)")} END))
 """
-# Each step goes from a node to its parent.
+# Each step goes from a node to its parent. Digests on the way are kept as bytes. The join is always a
+# shuffle: neither side has a bound.
 _CLIMB = """
-    WITH RECURSIVE climb(node, members, siblings, subroot) MAX RECURSION LEVEL {most} AS (
-      SELECT node, members, '' AS siblings, CAST(NULL AS STRING) AS subroot FROM {{starts}}
+    WITH RECURSIVE climb(pack, node, folded, siblings, subroot) MAX RECURSION LEVEL {most} AS (
+      SELECT node AS pack, node, folded, unhex('') AS siblings, CAST(NULL AS STRING) AS subroot FROM {{starts}}
       UNION ALL
-      SELECT n.parent, transform(c.members, m -> named_struct(
-          'id', m.id, 'leaf', m.leaf, 'own', m.own,
-          'folded', sha2(concat(array_join(slice(n.run, 1, n.place), ''), m.folded,
-            array_join(slice(n.run, n.place + 2, size(n.run)), '')), 256))),
-        concat(c.siblings, array_join(slice(n.run, 1, n.place), ''),
-          array_join(slice(n.run, n.place + 2, size(n.run)), '')),
+      SELECT /*+ MERGE(n) */ c.pack, n.parent,
+        transform(c.folded, f -> unhex({fold})),
+        concat(c.siblings,
+          unhex(concat(array_join(slice(run, 1, place), ''), array_join(slice(run, place + 2, size(run)), '')))),
         CASE WHEN n.is_subroot THEN n.run[n.place] ELSE c.subroot END
       FROM climb c JOIN {{nodes}} n ON n.node = c.node
     )
-    SELECT members, siblings, subroot FROM climb WHERE node = '{top}'
+    SELECT pack, folded, siblings, subroot FROM climb WHERE node = '{top}'
 """
 
 
@@ -199,24 +195,30 @@ def climb(manifest: Manifest) -> DataFrame:
     gives no row.
     """
     spark = manifest.packs.sparkSession
-    runs = manifest.packs.withColumn("run", F.col("members.leaf"))
-    starts = runs.select("node", F.expr(_START).alias("members"))
+    packs = manifest.packs.withColumn("run", F.col("members.leaf"))
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit)
     # The rows are as many as runs times levels; the levels are bounded.
     spark.conf.set(limit, "-1")
     try:
-        query = _CLIMB.format(most=_HIGHEST, top=manifest.top)
+        query = _CLIMB.format(most=_HIGHEST, top=manifest.top, fold=_FOLD.format("place", "lower(hex(f))"))
+        starts = packs.select("node", F.expr(_START).alias("folded"))
         done = stored(spark.sql(query, starts=starts, nodes=manifest.nodes), "climbed")
     finally:
         spark.conf.set(limit, before)
     root = F.lit(manifest.root)
-    each = done.select("siblings", "subroot", F.explode("members").alias("m"))
+    above = F.lower(F.hex("siblings"))
+    others = F.array_join(F.filter("run", lambda x, i: (i != F.col("place")) & ~F.col("alone")), "")
+    each = (
+        packs.withColumnRenamed("node", "pack")
+        .join(done, "pack")
+        .select("alone", "run", "subroot", above.alias("above"), F.posexplode(F.arrays_zip("members", "folded")).alias("place", "m"))
+    )
     return each.select(
-        "m.id",
-        "m.leaf",
+        "m.members.id",
+        "m.members.leaf",
         F.coalesce("subroot", root).alias("subroot"),
         root.alias("root"),
-        F.sha2(F.concat("m.own", "siblings"), 256).alias("proof"),
-        F.col("m.folded").alias("folded_root"),
+        F.sha2(F.concat(others, "above"), 256).alias("proof"),
+        F.lower(F.hex("m.folded")).alias("folded_root"),
     )
