@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.sources.files import (
     infer_types,
@@ -171,6 +172,40 @@ line</a><a name="n">no target</a><!-- <a href="/hidden">h</a> --><area href="/ar
     ]
 
 
+def test_long_tags_and_broken_pages(spark, rows):
+    many = 100_000
+    pages = [
+        f"<a x{'y' * many} href=/bare>1</a>",
+        f"<a title=\"{'> ' * many}\" href='/quoted'>2</a>",
+        f"<a {'q=\"v\" ' * (many // 6)}href=/many>3</a>",
+        f"<a href=/value{'z' * many}>4</a>",
+        f"<a href=/text>{'<b> ' * (many // 4)}5</a>",
+        # None of these may take time that grows with the square of the length.
+        "<a href=/open>" * (many // 14) + "6",
+        "<!-- " * (many // 5),
+        "<script " * (many // 8),
+        "<a " * (many // 3),
+        "<a href=/space>" + "7" + " " * many + "8</a>",
+        "<" * many,
+        "<title " * (many // 7),
+        '<a "' * (many // 4),
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    found = rows(links(df).where("id <> 5"), "id", "label", F.substring("href", 1, 9))
+    assert found == [
+        (0, "1", "/bare"), (1, "2", "/quoted"), (2, "3", "/many"), (3, "4", "/valuezzz"), (4, "5", "/text"),
+        (9, "7" + " " * many + "8", "/space"),
+    ]
+    unclosed = links(df).where("id = 5").agg(F.count("*"), F.max("position"), F.max_by("label", "position")).first()
+    assert tuple(unclosed) == (many // 14, many // 14 - 1, "6")
+    assert df.where(page_title("html") != "").count() == 0
+
+
+def test_an_anchor_ends_where_another_begins(spark, rows):
+    df = spark.createDataFrame([(1, "<a href=/1>one <A\nHREF=/2>two<abbr>!</abbr></a> x < y <a name=n>")], "id int, html string")
+    assert rows(links(df), "href", "label") == [("/1", "one"), ("/2", "two!")]
+
+
 def test_title_outside_comments(spark, rows):
     page = "<!-- <title>old</title> --><title lang=pt>\n Não &amp;lt; </title><title>second</title>"
     df = spark.createDataFrame([(page,), ("none",)], "html string")

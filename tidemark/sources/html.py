@@ -6,17 +6,24 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Comments, scripts and styles are not page content.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-# Attributes up to one; a quoted value is passed over as a whole.
-_SKIP = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-# href with a double-quoted, single-quoted or bare value: groups 1 to 3. Group 4 is the content.
+# All repetitions here are possessive or of one character class: they take one step a character, on
+# no stack, whatever the page holds.
+
+# Comments, scripts and styles are not page content. One that is not closed goes on to the end.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*+>|\z)|<style\b.*?(?:</style\s*+>|\z)"
+# Attributes up to the first href, and the ones behind it; a quoted value is passed over as a whole. A
+# new tag ends them.
+_BEFORE = r"""(?:[^<>"'\s]++|(?!\shref\s*+=)\s|"[^"]*+"|'[^']*+')*+"""
+_BEHIND = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+# href with a double-quoted, single-quoted or bare value: groups 1 to 3. Group 4 is the content; it
+# ends where the anchor is closed or another begins.
 ANCHOR = (
-    rf"""(?is)<a\s{_SKIP}?(?<=\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    rf"""{_SKIP}>(.*?)</a\s*>"""
+    rf"""(?i)<a(?=\s){_BEFORE}\shref\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
+    rf"""{_BEHIND}>((?:[^<]++|<(?!/?a[\s>]))*+)"""
 )
-TAG = r"(?s)<[^>]*>"
-EDGE_SPACE = r"^\s+|\s+$"
+TAG = r"<[^<>]*+>"
+TITLE = r"(?is)<title(?:\s[^<>]*+)?+>(.*?)(?:</title\s*+>|\z)"
+SPACE = " \t\n\x0b\f\r"
 REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 # The names HTML shares with XML, and those of the Latin-1 characters.
 NAMES = {"lt": "<", "gt": ">", "quot": '"', "amp": "&", "apos": "'"} | {
@@ -48,13 +55,14 @@ def unescape(text: Column) -> Column:
 
 def stripped(text: Column) -> Column:
     """Without white space, line breaks included, at both ends."""
-    return F.regexp_replace(text, EDGE_SPACE, "")
+    return F.trim(text, F.lit(SPACE))
 
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per link: its position on the page, target and visible text.
 
-    The page is searched once for whole anchors; target and text come from the short matches.
+    The page is searched once for whole anchors; target and text come from the short matches. The time
+    grows with the length of the page, not faster, and a tag may be of any length.
     """
     visible = F.regexp_replace(F.col(html), HIDDEN, "")
     rest = [c for c in pages.columns if c != html]
@@ -74,4 +82,4 @@ def links(pages: DataFrame, html: str = "html") -> DataFrame:
 def page_title(html: Column | str) -> Column:
     """The text of the first title element, empty where there is none; comments do not count."""
     visible = F.regexp_replace(html, HIDDEN, "")
-    return unescape(stripped(F.regexp_extract(visible, r"(?is)<title[^>]*>(.*?)</title>", 1)))
+    return unescape(stripped(F.regexp_extract(visible, TITLE, 1)))
