@@ -235,3 +235,42 @@ def test_corrupt_json_is_not_lost(spark, tmp_path, rows, schema):
     good = read_json_dir(spark, str(tmp_path), schema, rejects=rejects)
     assert rows(good) == [(1, "good.json"), (2, "good.json")]
     assert rows(read_rejects(spark, rejects)) == [("bad.json", "{bad")]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_long_quoted_cells_in_short_and_surplus_lines(spark, tmp_path, rows, multi_line):
+    long = 'x;""y""' * 150_000
+    lines = ["a;b;c", f'1;"{long}"', f'2;"{long}";3;4', f'"{long}";5;6', 'q"u;o"t;e', 'p"q;r']
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    rejects = str(tmp_path / "rejects")
+    found = read_text_csv(spark, str(tmp_path / "a.csv"), ";", multi_line=multi_line, rejects=rejects)
+    cell = long.replace('""', '"')
+    assert rows(found) == sorted([("1", cell, None), (cell, "5", "6"), ('q"u', 'o"t', "e"), ('p"q', "r", None)], key=lambda r: [(v is not None, str(v)) for v in r])
+    assert [r["record"][:2] for r in read_rejects(spark, rejects).collect()] == ["2;"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_fifty_headers_in_one_scan(spark, tmp_path, rows, multi_line):
+    for k in range(50):
+        names = ["id", f"only_{k}", *(["note"] if k % 2 else [])]
+        (tmp_path / f"f{k}.csv").write_text(";".join(reversed(names)) + "\n" + ";".join(reversed([str(k), f"v{k}", "n"][: len(names)])) + "\n")
+    df = read_csv_dir(spark, str(tmp_path), multi_line=multi_line)
+    assert set(df.columns) == {"id", "note", "source_filename", *(f"only_{k}" for k in range(50))}
+    for k in (0, 1, 49):
+        assert rows(df.where(f"id = {k}"), "id", "note", f"only_{k}", "only_7", "source_filename") == [
+            (k, "n" if k % 2 else None, f"v{k}", None, f"f{k}.csv")
+        ]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") - plan.count("parquet") == 1 and plan.count(" csv") == 1
+
+
+def test_mixed_headers_with_odd_names_and_lines(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('a;"b;x";;A\n1;2;3;4\n5;"p\nq"\n')
+    (tmp_path / "b.csv").write_text("B;a0\n1;2\n1;2;3\n")
+    rejects = str(tmp_path / "rejects")
+    df = read_csv_dir(spark, str(tmp_path), rejects=rejects)
+    assert df.columns == ["B", "a0", "b;x", "_c2", "A3", "source_filename"]
+    assert rows(df) == [
+        (None, 1, "2", 3, 4, "a.csv"), (None, 5, "p\nq", None, None, "a.csv"), (1, 2, None, None, None, "b.csv"),
+    ]
+    assert rows(read_rejects(spark, rejects)) == [("b.csv", "1;2;3")]

@@ -7,11 +7,10 @@ import re
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import decoded_file_name, na_to_null
-from tidemark.operators.merge import union_by_name
 from tidemark.session import stored
 
 log = logging.getLogger(__name__)
@@ -75,31 +74,95 @@ def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
     return spark.createDataFrame([], schema) if rows is None else rows
 
 
-def _csv_rows(
-    spark: SparkSession, path, separator: str, multi_line: bool, rejects: str | None, lineage: bool
-) -> DataFrame:
-    """Text cells of CSV files with one header, missing-value tokens as NULL.
-
-    A short line is filled up with NULL; a line with more cells than the header is a bad record.
-    """
-    reader = (
+def _csv_reader(spark: SparkSession, separator: str, multi_line: bool) -> DataFrameReader:
+    return (
         spark.read.option("header", True)
         .option("sep", separator)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
+
+
+def _cells(record: Column, separator: str) -> Column:
+    """Number of cells of a CSV record. A quote opens a cell only where the cell begins.
+
+    Quoted cells are cut out, each in one pass that takes no stack, and separators counted in the rest.
+    """
+    sep = re.escape(separator)
+    rest = F.regexp_replace(record, f'(^|{sep})"(?:[^"]++|"")*+"', "$1")
+    return 1 + F.floor((F.length(rest) - F.length(F.replace(rest, F.lit(separator), F.lit("")))) / len(separator))
+
+
+def _csv_rows(
+    spark: SparkSession, path, separator: str, multi_line: bool, rejects: str | None, lineage: bool
+) -> DataFrame:
+    """Text cells of CSV files with one header, missing-value tokens as NULL.
+
+    A short line is filled up with NULL; a line with more cells than the header is a bad record.
+    """
+    reader = _csv_reader(spark, separator, multi_line)
     names = reader.csv(path).columns
     schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
-    rows = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    outside = F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', "")
-    cells = F.size(F.split(outside, re.escape(separator), -1))
-    bad = F.col(CORRUPT).isNotNull() & (cells > len(names))
+    rows = reader.schema(schema).csv(path)
+    bad = F.col(CORRUPT).isNotNull() & (_cells(F.col(CORRUPT), separator) > len(names))
     good = without_rejects(rows.select("*", lineage_column()), bad, rejects)
     return na_to_null(good if lineage else good.drop(LINEAGE))
 
 
+def _header_names(cells: list[str | None]) -> list[str]:
+    """Column names of a header's cells, as Spark's reader gives them: empty ones by their place, and
+    ones that occur twice, in any case, with their place behind."""
+    lower = [(c or "").lower() for c in cells]
+    return [
+        f"_c{i}" if not c else f"{c}{i}" if lower.count(c.lower()) > 1 else c for i, c in enumerate(cells)
+    ]
+
+
+def _csv_mixed(
+    spark: SparkSession,
+    glob: str,
+    headers: DataFrame,
+    separator: str,
+    multi_line: bool,
+    rejects: str | None,
+) -> DataFrame:
+    """Text cells of CSV files with any number of headers, in one scan, aligned by column name.
+
+    Cells are read by place, as many as the widest header has. A row meets the header of its file in a
+    join, and each column takes the cell at the place that the header gives it.
+    """
+    distinct = stored(headers.select("header").distinct().withColumn("n", _cells(F.col("header"), separator)), "header-lines")
+    widest = distinct.agg(F.max("n")).first()[0]
+    places = [f"_p{i}" for i in range(widest)]
+    generic = StructType([StructField(name, StringType()) for name in places])
+    options = {"sep": separator, "quote": '"', "escape": '"'}
+    parsed = F.from_csv("header", F.lit(generic.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), options)
+    lists = distinct.select("header", "n", F.array(*[parsed[p] for p in places]).alias("cells")).orderBy("header").collect()
+    names_of = {row["header"]: _header_names(row["cells"][: row["n"]]) for row in lists}
+    # Spark takes names that differ by case only for one.
+    columns: dict[str, str] = {}
+    for names in names_of.values():
+        for name in names:
+            columns.setdefault(name.lower(), name)
+    index = [
+        (header, len(names), [lower.index(c) if c in lower else None for c in columns])
+        for header, names in names_of.items()
+        for lower in [[n.lower() for n in names]]
+    ]
+    by_header = spark.createDataFrame(index, "header string, width int, places array<int>")
+    by_file = headers.join(by_header, "header").select("file", "width", "places")
+    rows = _csv_reader(spark, separator, multi_line).schema(generic.add(CORRUPT, StringType())).csv(glob)
+    rows = rows.select(F.array(*places).alias("cells"), CORRUPT, lineage_column(), F.col("_metadata.file_path").alias("file"))
+    aligned = rows.join(by_file, "file")
+    bad = F.col(CORRUPT).isNotNull() & (_cells(F.col(CORRUPT), separator) > F.col("width"))
+    taken = [F.get("cells", F.col("places")[i]).alias(name) for i, name in enumerate(columns.values())]
+    marked = aligned.select(*taken, CORRUPT, LINEAGE, F.coalesce(bad, F.lit(False)).alias("_surplus"))
+    return na_to_null(without_rejects(marked, F.col("_surplus"), rejects).drop("_surplus"))
+
+
 def read_text_csv(
     spark: SparkSession,
     path: str,
@@ -207,13 +270,6 @@ def _headers(spark: SparkSession, glob: str) -> DataFrame | None:
     return first_split.groupBy("file").agg(F.min_by("value", "row").alias("header"))
 
 
-def _files_of(headers: DataFrame, header: str) -> list[str]:
-    """Paths of the files with a header, streamed to the driver, which has to list them anyway."""
-    path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
-    picked = headers.where(F.col("header") == header).select(path.alias("path"))
-    return sorted(r["path"] for r in picked.toLocalIterator())
-
-
 def read_csv_dir(
     spark: SparkSession,
     directory: str,
@@ -227,43 +283,32 @@ def read_csv_dir(
 ) -> DataFrame | None:
     """All ``*.csv`` files of a directory, in any case, unioned by column name.
 
-    Files with different headers must not share one read: Spark would put values under the wrong
-    names. They are grouped by header line, one read per distinct header; ``one_header`` says that
-    all have the same one, and then no pass looks for them. ``schema`` declares the types, so that
-    none looks for those either. Returns None when there is no file, which the caller takes as
-    "keep what is loaded".
+    All are read in one scan by place, and each row's cells go to the columns that its own file's
+    header names; ``one_header`` says that all files have the same one, and then no pass looks for
+    headers. ``schema`` declares the types, so that none looks for those either. Returns None when
+    there is no file, which the caller takes as "keep what is loaded".
     """
     glob = directory_glob(directory, "csv")
-    sources: list = [glob]
-    if one_header:
-        if or_none(lambda: spark.read.text(glob)) is None:
-            sources = []
-    else:
+    headers, n = None, 0
+    if not one_header:
         headers = _headers(spark, glob)
         if headers is not None:
             headers = stored(headers, "headers")
-            distinct = [r["header"] for r in headers.groupBy("header").count().orderBy("header").collect()]
-            # One header, the usual case, needs no list of files.
-            sources = [glob] if len(distinct) == 1 else [_files_of(headers, h) for h in distinct]
-        if headers is None or not distinct:
-            sources = []
-    if not sources:
+            n = headers.agg(F.count_distinct("header")).first()[0]
+    elif or_none(lambda: spark.read.text(glob)) is not None:
+        n = 1
+    if not n:
         log.warning("no CSV files in %s", directory)
         return None
-    text = union_by_name(
-        [_csv_rows(spark, source, separator, multi_line, rejects, lineage=True) for source in sources]
-    )
-    # The lineage goes last, also where a later header has more columns.
-    text = text.select(*[c for c in map(_tick, text.columns) if c != f"`{LINEAGE}`"], LINEAGE)
+    if n == 1:
+        text = _csv_rows(spark, glob, separator, multi_line, rejects, lineage=True)
+    else:
+        text = _csv_mixed(spark, glob, headers, separator, multi_line, rejects)
     if schema is not None:
         return _typed(text, schema)
     return infer_types(text, keep=(LINEAGE,)) if infer else text
 
 
-def _tick(column: str) -> str:
-    return f"`{column}`"
-
-
 def read_json_dir(
     spark: SparkSession,
     directory: str,
