@@ -22,6 +22,7 @@ import hashlib
 import os
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,14 +67,16 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         values = _byte_values()
         size = self.a.get_vocab_size()
-        self.bytes_a = [bytes(values.get(c, 0) for c in self.a.id_to_token(i) or "") for i in range(size)]
+        self.table_a = _Table([bytes(values.get(c, 0) for c in self.a.id_to_token(i) or "") for i in range(size)])
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(BLANK in p.lstrip(BLANK) for p in pieces):
             raise ValueError("an entry of the piece vocabulary goes on after a blank: texts cannot be cut there")
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
-            for i, p in enumerate(pieces)
-        ]
+        self.table_b = _Table(
+            [
+                bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
+                for i, p in enumerate(pieces)
+            ]
+        )
         self.forget()
 
     def forget(self) -> None:
@@ -81,7 +84,7 @@ class Aligner:
         self.held = 0
         self.measures = np.zeros((0, len(MEASURES)), np.int64)
         self.valid = np.zeros(0, bool)
-        self.groups: list[str] = []
+        self.groups: list[bytes] = []
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.pairs = np.zeros(0, np.int64)
@@ -100,48 +103,86 @@ class Aligner:
     def _add(self, new: list[str]) -> None:
         self.known.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
         self.held += sum(map(len, new))
-        ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        data = [p.encode() for p in new]
+        lengths = np.fromiter(map(len, data), np.int64, len(data))
+        data = np.frombuffer(b"".join(data), np.uint8)
         # The piece side puts the leading space there itself.
-        ids_b = self.b.encode([p[1:] for p in new], num_threads=1)
-        measures = np.zeros((len(new), len(MEASURES)), np.int64)
-        valid = np.zeros(len(new), bool)
-        sizes = np.zeros(len(new), np.int64)
-        pairs = []
-        for k, (piece, own_a, own_b) in enumerate(zip(new, ids_a, ids_b, strict=True)):
-            data = piece.encode()
-            tokens_a = [self.bytes_a[i] for i in own_a]
-            tokens_b = [self.bytes_b[i] for i in own_b]
-            valid[k] = b"".join(tokens_a) == data and b"".join(tokens_b) == data
-            if not valid[k]:
-                self.groups.append("")
-                continue
-            ends_a = np.cumsum([len(t) for t in tokens_a])
-            ends_b = np.cumsum([len(t) for t in tokens_b])
-            # A pair that overlaps does so in one run of bytes that holds no end of either side.
-            ends = np.union1d(ends_a, ends_b)
-            at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-            links = (np.array(own_a, np.int64)[at_a] << 32) | np.array(own_b, np.int64)[at_b]
-            both = np.intersect1d(ends_a, ends_b)
-            cuts_a = np.searchsorted(ends_a, both, "right").tolist()
-            cuts_b = np.searchsorted(ends_b, both, "right").tolist()
-            self.groups.append(_group_text(own_a, own_b, cuts_a, cuts_b))
-            measures[k] = len(own_a), len(own_b), len(both), len(links)
-            sizes[k] = len(links)
-            pairs.append(links)
-        before = len(self.pairs)
-        self.starts = np.concatenate([self.starts, before + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.pairs = np.concatenate([self.pairs, *pairs])
-        self.measures = np.concatenate([self.measures, measures])
+        sides = [
+            _Side(self.table_a, [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]),
+            _Side(self.table_b, self.b.encode([p[1:] for p in new], num_threads=1)),
+        ]
+        valid = (sides[0].totals == lengths) & (sides[1].totals == lengths)
+        inside = np.repeat(np.arange(len(new)), lengths)
+        data, inside = data[valid[inside]], inside[valid[inside]]
+        for side in sides:
+            valid[inside[side.bytes_of(valid) != data]] = False
+        a, b = (side.tokens_of(valid) for side in sides)
+        bounds = np.cumsum(np.where(valid, lengths, 0))
+        # A pair that overlaps does so in one run of bytes that holds no end of either side.
+        ends_a, ends_b = np.cumsum(self.table_a.sizes[a]), np.cumsum(self.table_b.sizes[b])
+        ends, both = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        links = (a[np.searchsorted(ends_a, ends)] << 32) | b[np.searchsorted(ends_b, ends)]
+        # An end belongs to the first piece that reaches it.
+        counts = [
+            np.bincount(np.searchsorted(bounds, each), minlength=len(new)) for each in (ends_a, ends_b, both, ends)
+        ]
+        text, edges = _group_texts(a, b, np.searchsorted(both, ends_a), np.searchsorted(both, ends_b))
+        before = np.concatenate([[0], np.cumsum(counts[0] + counts[1])])
+        cuts = edges[before].tolist()
+        self.groups.extend(text[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True))
+        self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(counts[3]) - counts[3]])
+        self.sizes = np.concatenate([self.sizes, counts[3]])
+        self.pairs = np.concatenate([self.pairs, links])
+        self.measures = np.concatenate([self.measures, np.stack(counts, axis=1)])
         self.valid = np.concatenate([self.valid, valid])
 
 
-def _group_text(own_a: list[int], own_b: list[int], cuts_a: list[int], cuts_b: list[int]) -> str:
-    parts, a, b = [], 0, 0
-    for to_a, to_b in zip(cuts_a, cuts_b, strict=True):
-        parts.append(f"{','.join(map(str, own_a[a:to_a]))}|{','.join(map(str, own_b[b:to_b]))}")
-        a, b = to_a, to_b
-    return ";".join(parts)
+class _Table:
+    """Byte strings by number, in a row."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        return self.data[_expand(self.starts[numbers], self.sizes[numbers])]
+
+
+class _Side:
+    """Token ids of pieces on one side."""
+
+    def __init__(self, table: _Table, ids: list[list[int]]):
+        self.table = table
+        self.counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.counts.sum()))
+        self.piece = np.repeat(np.arange(len(ids)), self.counts)
+        self.totals = np.bincount(self.piece, table.sizes[self.ids], len(ids)).astype(np.int64)
+
+    def tokens_of(self, picked: np.ndarray) -> np.ndarray:
+        return self.ids[picked[self.piece]]
+
+    def bytes_of(self, picked: np.ndarray) -> np.ndarray:
+        return self.table.joined(self.tokens_of(picked))
+
+
+_NUMBERS = None
+
+
+def _group_texts(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All tokens as text, group by group: ids of one side joined by commas, a bar after side a and a
+    semicolon after side b. Also where each token begins, and the end."""
+    global _NUMBERS
+    if _NUMBERS is None or len(_NUMBERS.sizes) <= max(a.max(initial=0), b.max(initial=0)):
+        _NUMBERS = _Table([f"{i},".encode() for i in range(1 << int(max(a.max(initial=0), b.max(initial=0)) + 1).bit_length())])
+    key = np.concatenate([2 * group_a, 2 * group_b + 1])
+    order = np.argsort(key, kind="stable")
+    key, ids = key[order], np.concatenate([a, b])[order]
+    text = _NUMBERS.joined(ids)
+    edges = np.concatenate([[0], np.cumsum(_NUMBERS.sizes[ids])])
+    last = np.flatnonzero(np.append(key[1:] != key[:-1], True)) if len(key) else np.zeros(0, np.int64)
+    text[edges[last + 1] - 1] = np.where(key[last] % 2 == 0, ord("|"), ord(";"))
+    return text.tobytes(), edges
 
 
 def _worker_aligner(path_a: str, path_b: str) -> Aligner:
@@ -216,8 +257,9 @@ def _aligned(aligner: Aligner, keys: list, weights: np.ndarray, data: np.ndarray
         ends = np.searchsorted(owner, np.arange(n + 1))
         block[name] = before[ends[1:]] - before[ends[:-1]]
     names = aligner.groups
-    texts = [";".join([names[s] for s in part]) for part in np.split(slots, ends[1:-1])] if n else []
-    block["groups_sha256"] = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+    texts = (b"".join([names[s] for s in part.tolist()]) for part in np.split(slots, ends[1:-1]))
+    # The last semicolon ends the text and separates nothing.
+    block["groups_sha256"] = [hashlib.sha256(t[:-1]).hexdigest() if t else "" for t in texts]
     # Each text's distinct pieces, then its distinct pairs, with how often it holds them.
     size = max(len(names), 1)
     pieces, times = _summed(owner * size + slots, np.ones(len(slots), np.int64))
