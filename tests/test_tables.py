@@ -331,6 +331,71 @@ def test_a_read_keeps_its_rows_after_later_writes(spark, days, rows):
     assert rows(held) == [("d1", 1), ("d2", 2)]
 
 
+@pytest.mark.parametrize("partition", [None, ("part", "substr(date, 1, 1)")])
+def test_a_read_keeps_its_rows_after_appends(spark, warehouse, rows, partition):
+    warehouse.create_table("raw.kept", DAYS, key=["date"], partition=partition)
+    versions = len(warehouse._versions("raw.kept"))
+    held = []
+    for k in range(4):
+        warehouse.load(spark.createDataFrame([(f"d{k}", k), (f"{k}d", k)], DAYS), "raw.kept", "append")
+        held.append(warehouse.read("raw.kept"))
+    assert [df.count() for df in held] == [2, 4, 6, 8]
+    assert len(warehouse._versions("raw.kept")) == versions + 4
+    assert held[0].columns == ["date", "total", *(["part"] if partition else [])]
+    assert warehouse.spark.table(warehouse.full_name("raw.kept")).count() == 8
+    warehouse.expire("raw.kept", keep=1)
+    assert held[3].count() == 8
+
+
+def test_an_append_writes_its_own_rows_only(spark, warehouse):
+    warehouse.load(spark.range(1000).selectExpr("id", "'a' AS t"), "raw.log")
+    before = set(warehouse._partition_folders(warehouse._versions("raw.log")[-1]))
+    warehouse.load(spark.range(5).selectExpr("id", "'b' AS t"), "raw.log", "append")
+    after = set(warehouse._partition_folders(warehouse._versions("raw.log")[-1]))
+    assert before < after and len(after) == len(before) + 1
+    assert spark.read.parquet((after - before).pop()).count() == 5
+    assert warehouse.load(spark.range(0).selectExpr("id", "'c' AS t"), "raw.log", "append") == 0
+    assert warehouse.read("raw.log").count() == 1005
+
+
+def statements(spark, run):
+    """How many SQL statements ``run`` sends."""
+    sent, plain = [], type(spark).sql
+    type(spark).sql = lambda self, text, *args, **kwargs: sent.append(text) or plain(self, text, *args, **kwargs)
+    try:
+        run()
+    finally:
+        type(spark).sql = plain
+    return sent
+
+
+def test_statements_follow_the_change_not_the_table(spark, warehouse):
+    sent = {}
+    for n in (3, 1000):
+        name = f"raw.p{n}"
+        warehouse.create_table(name, "id bigint, v bigint", key=["id"], partition=("part", "id"))
+        warehouse.load(spark.range(n).selectExpr("id", "id AS v"), name)
+        staged = spark.createDataFrame([(1, -1), (n, -2)], "id bigint, v bigint")
+        sent[n] = statements(spark, lambda staged=staged, name=name: warehouse.upsert(staged, name))
+        assert warehouse.read(name).where("v < 0").count() == 2 and warehouse.read(name).count() == n + 1
+    assert len(sent[3]) == len(sent[1000])
+    assert max(map(len, sent[1000])) < 1.2 * max(map(len, sent[3]))
+
+
+def test_an_upsert_writes_the_buckets_of_its_keys(spark, warehouse):
+    warehouse.create_table("raw.ids", "id bigint, v bigint", key=["id"], buckets=64)
+    warehouse.upsert(spark.range(20_000).selectExpr("id", "id AS v"), "raw.ids")
+    old = set(warehouse._partition_folders(warehouse._versions("raw.ids")[-1]))
+    staged = spark.createDataFrame([(7, -1), (7_000_000, -2), (None, -3)], "id bigint, v bigint")
+    warehouse.upsert(staged, "raw.ids")
+    new = set(warehouse._partition_folders(warehouse._versions("raw.ids")[-1]))
+    assert len(old) == len(new) == 64 and 1 <= len(new - old) <= 3
+    found = warehouse.read("raw.ids")
+    assert found.count() == 20_002 and sorted(r["v"] for r in found.where("v < 0").collect()) == [-3, -2, -1]
+    with pytest.raises(ValueError, match="buckets need a key"):
+        warehouse.create_table("raw.none", "id bigint", buckets=4)
+
+
 def test_declared_keys_stay_unique(spark, days, rows):
     twice = spark.createDataFrame([("k", 1), ("k", 2)], DAYS)
     for how in (lambda: days.refresh(twice, "raw.days"), lambda: days.load(twice, "raw.days", "append"), lambda: days.load(twice, "raw.days")):

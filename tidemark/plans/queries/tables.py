@@ -14,6 +14,7 @@ from tidemark.operators.summary import daily_summary as summarise_days
 from tidemark.operators.summary import hourly
 from tidemark.operators.quality import GateFailed
 from tidemark.plans.queries.registry import register, table, working_area
+from tidemark.sinks.tables import BUCKET
 
 # The target holds the days before the first date, staging the days from the second on; in the
 # overlap staging carries corrected readings, twice the old ones.
@@ -294,3 +295,32 @@ def keyed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         except GateFailed:
             return warehouse.snapshot(name)
         raise AssertionError("a repeated key was appended")
+
+
+# Orders are keyed by a number that says nothing about their date. The first delivery ends in the second one's
+# span; in the overlap the second corrects the price.
+ORDERS_END, ORDERS_START = "2001-07-15", "2001-07-01"
+
+
+@register(
+    f"""
+SELECT o_orderkey, o_custkey, round(o_totalprice * 2, 2) AS price FROM orders
+WHERE o_orderdate >= TIMESTAMP '{ORDERS_START}'
+UNION ALL
+SELECT o_orderkey, o_custkey, round(o_totalprice, 2) AS price FROM orders
+WHERE o_orderdate < TIMESTAMP '{ORDERS_START}'
+"""
+)
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders cut by a hash of their number; an upsert writes only the parts its keys fall into."""
+    orders = table(spark, sf_dir, "orders")
+    price = F.round("o_totalprice", 2)
+    first = orders.where(F.col("o_orderdate") < ORDERS_END).select("o_orderkey", "o_custkey", price.alias("price"))
+    price = F.round(F.col("o_totalprice") * 2, 2)
+    second = orders.where(F.col("o_orderdate") >= ORDERS_START).select("o_orderkey", "o_custkey", price.alias("price"))
+    with working_area(spark) as warehouse:
+        name = "raw.orders"
+        warehouse.create_table(name, first.schema, key=["o_orderkey"], buckets=32)
+        warehouse.upsert(first, name, copy=False)
+        warehouse.upsert(second, name)
+        return warehouse.read(name).drop(BUCKET)

@@ -4,19 +4,23 @@ A published table is a view over its current version; a version is an external P
 Spark catalog with a name and a folder of its own. New content is written to a new folder and
 registered as a new version first; then one ``CREATE OR REPLACE VIEW`` makes it the table. So a
 reader sees the old rows or the new ones at any moment, and a write that fails anywhere leaves the
-old ones. The partitions of a version that did not change are its predecessor's folders; a small
-manifest beside each partitioned version names them. Parquet tables have no MERGE.
+old ones. Parquet tables have no MERGE.
+
+Versions are partitioned: by the table's own partition column, or by load, so that an append is one
+more partition. A new version takes the entries of its predecessor over inside the catalog; only the
+partitions that changed are dropped and registered by statements. Which folder holds what is known to
+the catalog alone.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from tidemark.operators.merge import align_by_name, upsert_frame
@@ -38,10 +42,10 @@ STAGING = "__staging"
 # Partitions that one catalog statement names; more take more statements.
 PARTITIONS_PER_STATEMENT = 500
 
-# The characters Spark percent-encodes in the name of a partition folder, besides
-# control characters, and the folder name of a NULL.
-ENCODED_IN_FOLDERS = "\"#%'*/:=?\\{[]^\x7f"
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+# The partition column of versions of tables that declare none.
+LOAD = "_load"
+# The partition column of tables cut by a hash of their key.
+BUCKET = "_bucket"
 
 
 @dataclass(frozen=True)
@@ -104,10 +108,13 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """The rows as of now: later writes publish other versions and do not change this frame."""
-        return self.spark.table(self._properties(table)[VERSION_PROPERTY])
+        return self._rows(self._properties(table)[VERSION_PROPERTY])
 
     snapshot = read
 
+    def _rows(self, version: str) -> DataFrame:
+        return self.spark.table(version).drop(LOAD)
+
     def location(self, table: str) -> str:
         """The folder of the current version."""
         return self._properties(table)[PATH_PROPERTY]
@@ -118,7 +125,7 @@ class Warehouse:
         partition = None
         if PARTITION_PROPERTY in found:
             partition = found[PARTITION_PROPERTY], found[PARTITION_EXPRESSION_PROPERTY]
-        return Definition(self.spark.table(found[VERSION_PROPERTY]).schema, key, partition)
+        return Definition(self._rows(found[VERSION_PROPERTY]).schema, key, partition)
 
     def key(self, table: str) -> list[str]:
         return self.definition(table).key
@@ -149,61 +156,68 @@ class Warehouse:
         path: str,
         key: Sequence[str] = (),
         partition: tuple[str, str] | None = None,
-        folders: DataFrame | None = None,
+        *,
+        previous: str | None = None,
+        changed: Sequence[str | None] = (),
     ) -> None:
         """Register the folder as a version and make it the table's content in one step.
 
-        ``folders`` (value, folder) are the version's partitions; without it they are what was
-        written below ``path``.
+        With a ``previous`` version its partitions are part of the new one, but those with a
+        ``changed`` value, which are what was written below ``path``.
         """
+        if any(f.name == LOAD for f in schema.fields):
+            raise ValueError(f"{LOAD} is the name of a column of every version")
         database, name = table.split(".")
         self.create_database(database)
         version = f"{self.database(database)}.{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
         columns = ", ".join(f"`{f.name}` {_type_name(f.dataType)}" for f in schema.fields)
+        cut_by = partition[0] if partition else LOAD
         self.spark.sql(
-            f"CREATE TABLE {version} ({columns}) USING parquet"
-            + (f" PARTITIONED BY (`{partition[0]}`)" if partition else "")
-            + f" LOCATION {_literal(path)} TBLPROPERTIES ({_listed({PATH_PROPERTY: path})})"
+            f"CREATE TABLE {version} ({columns}{'' if partition else f', {LOAD} string'}) USING parquet"
+            f" PARTITIONED BY (`{cut_by}`)"
+            f" LOCATION {_literal(path)} TBLPROPERTIES ({_listed({PATH_PROPERTY: path})})"
         )
+        if previous:
+            catalog = self._catalog()
+            catalog.createPartitions(self._identifier(version), self._partitions(previous), False)
+            for at in range(0, len(changed), PARTITIONS_PER_STATEMENT):
+                specs = [
+                    f"PARTITION (`{cut_by}`={'null' if v is None else _literal(v)})"
+                    for v in changed[at : at + PARTITIONS_PER_STATEMENT]
+                ]
+                self.spark.sql(f"ALTER TABLE {version} DROP IF EXISTS {', '.join(specs)}")
         if partition:
-            if folders is None:
-                folders = self._written_folders(path, schema, partition[0])
-            folders.coalesce(1).write.parquet(_manifest(path))
-            self._add_partitions(version, partition[0], self._folders(path).toLocalIterator())
+            self.spark.sql(f"ALTER TABLE {version} RECOVER PARTITIONS")
+        else:
+            load = path.rpartition("/")[2]
+            self.spark.sql(f"ALTER TABLE {version} ADD PARTITION ({LOAD}={_literal(load)}) LOCATION {_literal(path)}")
         properties = {VERSION_PROPERTY: version, PATH_PROPERTY: path}
         if key:
             properties[KEY_PROPERTY] = ",".join(key)
         if partition:
             properties[PARTITION_PROPERTY] = partition[0]
             properties[PARTITION_EXPRESSION_PROPERTY] = partition[1]
+        shown = ", ".join(f"`{f.name}`" for f in schema.fields)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.full_name(table)} TBLPROPERTIES ({_listed(properties)})"
-            f" AS SELECT * FROM {version}"
+            f" AS SELECT {shown} FROM {version}"
         )
 
-    def _folders(self, path: str) -> DataFrame:
-        """Partition values and folders of the version at ``path``."""
-        return self.spark.read.schema("value string, folder string").parquet(_manifest(path))
-
-    def _written_folders(self, path: str, schema: StructType, column: str) -> DataFrame:
-        """Partition values found below ``path``; only directory names are read."""
-        values = self.spark.read.schema(schema).parquet(path).select(F.col(f"`{column}`").alias("value"))
-        return values.distinct().select("value", _folder_path(path, column).alias("folder"))
+    def _catalog(self):
+        return self.spark._jsparkSession.sessionState().catalog()
 
-    def _add_partitions(self, version: str, column: str, rows: Iterable) -> None:
-        specs: list[str] = []
+    def _identifier(self, full_name: str):
+        return self.spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(full_name)
 
-        def add() -> None:
-            if specs:
-                self.spark.sql(f"ALTER TABLE {version} ADD IF NOT EXISTS {' '.join(specs)}")
-                specs.clear()
+    def _partitions(self, version: str):
+        """The catalog's own entries; they are handed on as they are."""
+        nothing = self.spark._jvm.scala.Option.empty()
+        return self._catalog().listPartitions(self._identifier(version), nothing)
 
-        for row in rows:
-            shown = "null" if row["value"] is None else _literal(row["value"])
-            specs.append(f"PARTITION (`{column}`={shown}) LOCATION {_literal(row['folder'])}")
-            if len(specs) == PARTITIONS_PER_STATEMENT:
-                add()
-        add()
+    def _partition_folders(self, version: str) -> Iterator[str]:
+        entries = self._partitions(version).iterator()
+        while entries.hasNext():
+            yield entries.next().location().toString()
 
     def _file_system(self):
         jvm = self.spark.sparkContext._jvm
@@ -227,10 +241,8 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE {version}")
         in_use: set[str] = set()
         for version in versions[-keep:]:
-            path = self._properties_of(version)[PATH_PROPERTY]
-            in_use.update((path, _manifest(path)))
-            if column:
-                in_use.update(r["folder"] for r in self._folders(path).toLocalIterator())
+            in_use.add(self._properties_of(version)[PATH_PROPERTY])
+            in_use.update(self._partition_folders(version))
         used = {fs.makeQualified(path_of(p)).toString() for p in in_use}
         holding = {u.rpartition("/")[0] for u in used}
         database, name = table.split(".")
@@ -259,15 +271,23 @@ class Warehouse:
         schema: StructType | str,
         key: Sequence[str] = (),
         partition: tuple[str, str] | None = None,
+        buckets: int | None = None,
     ) -> None:
         """An empty typed table with a declared unique key, if it is absent.
 
         ``partition`` names one more column and gives the SQL expression that computes it from the
         key columns, so a key cannot sit in two partitions. Upserts then touch only the partitions
-        they fall into.
+        they fall into. ``buckets`` is for keys without a date: the rows are cut by a hash of the key
+        into so many parts, and an upsert of few keys writes few of them.
         """
         if self.exists(table):
             return
+        if buckets:
+            if partition or not key:
+                raise ValueError("buckets need a key and no other partition")
+            columns = ", ".join(f"`{k}`" for k in key)
+            # Digits of one length, so that names and numbers have one order.
+            partition = BUCKET, f"lpad(pmod(xxhash64({columns}), {buckets}), {len(str(buckets - 1))}, '0')"
         empty = self.spark.createDataFrame([], schema)
         if partition:
             name, expression = partition
@@ -347,35 +367,21 @@ class Warehouse:
 
     def _append(self, df: DataFrame, table: str) -> int:
         found, definition = self._properties(table), self.definition(table)
-        shaped, aside = definition.shape(df), None
-        if definition.key:
-            # Written once; the key checks and the append read the copy.
-            aside = self._new_version(f"{table}{STAGING}")
-            shaped.write.parquet(aside)
-            shaped = self.spark.read.schema(definition.schema).parquet(aside)
-            require_unique(shaped, definition.key, f"rows for {table}")
-            known = shaped.join(self.read(table).select(*map(_quoted, definition.key)), definition.key, "left_semi")
+        key = definition.key
+        # Written once; the key checks read the copy, and without a partition column it is the load.
+        path, rows = self._write_version(definition.shape(df), table)
+        staged = self.spark.read.schema(definition.schema).parquet(path)
+        if key:
+            require_unique(staged, key, f"rows for {table}")
+            known = staged.join(self.read(table).select(*map(_quoted, key)), key, "left_semi")
             if not known.isEmpty():
                 raise GateFailed(f"rows for {table} have keys that are there already")
-        seen = Observation()
-        counted = shaped.observe(seen, F.count(F.lit(1)).alias("n_rows"))
-        counted.write.insertInto(found[VERSION_PROPERTY])
         if definition.partition:
-            # Spark has made the new partitions below the version's folder; the manifest follows.
-            self._republish(table, definition, shaped.select(_quoted(definition.partition[0])))
-        if aside:
-            self._remove(aside)
-        return seen.get["n_rows"]
-
-    def _republish(self, table: str, definition: Definition, touched: DataFrame) -> None:
-        """A version with the partitions that an append has added."""
-        path, column = self.location(table), definition.partition[0]
-        old = self._folders(path)
-        new = touched.select(F.col(f"`{column}`").alias("value")).distinct()
-        new = _without(new, old).select("value", _folder_path(path, column).alias("folder"))
-        fresh = self._new_version(table)
-        folders = old.unionByName(new)
-        self._publish(table, definition.schema, fresh, definition.key, definition.partition, folders)
+            self._merge_partitions(staged, table, definition, lambda old: old.unionByName(staged))
+            self._remove(path)
+        elif rows:
+            self._publish(table, definition.schema, path, key, previous=found[VERSION_PROPERTY])
+        return rows
 
     def _require_unique(self, path: str, schema: StructType, key: Sequence[str], what: str) -> None:
         if key:
@@ -434,7 +440,7 @@ class Warehouse:
         if reject_null_keys:
             require_keys(staged, keys, f"staging for {table}")
         if definition.partition:
-            self._merge_partitions(staged, table, definition, keys)
+            self._merge_partitions(staged, table, definition, lambda old: upsert_frame(old, staged, keys))
         else:
             if not first:
                 upsert_frame(target, staged, keys).write.parquet(path)
@@ -443,14 +449,18 @@ class Warehouse:
             self._remove(aside)
 
     def _merge_partitions(
-        self, staged: DataFrame, table: str, definition: Definition, keys: Sequence[str]
+        self,
+        staged: DataFrame,
+        table: str,
+        definition: Definition,
+        merged: Callable[[DataFrame], DataFrame],
     ) -> None:
-        """Merge the touched partitions into new folders; the others stay where they are."""
+        """Write the touched partitions anew, as ``merged`` makes them of their rows; the others stay
+        where they are."""
         column = definition.partition[0]
-        old = self._folders(self.location(table))
         touched = staged.select(F.col(f"`{column}`").alias("value")).distinct()
         # Partition names, not rows: literals, so that the catalog prunes the scan.
-        values = [r["value"] for r in touched.collect()]
+        values = [r["value"] for r in touched.toLocalIterator()]
         if not values:
             return
         hit = F.col(f"`{column}`").isin([v for v in values if v is not None])
@@ -458,12 +468,12 @@ class Warehouse:
             hit = hit | F.col(f"`{column}`").isNull()
         current = self.read(table).where(hit)
         # A dated delivery falls into new partitions as a rule: nothing to merge with.
-        rows = staged if current.isEmpty() else upsert_frame(current, staged, keys)
-        path = self._new_version(table)
+        rows = staged if current.isEmpty() else merged(current)
+        path, previous = self._new_version(table), self._properties(table)[VERSION_PROPERTY]
         self._write(rows, path, definition.partition)
-        moved = touched.select("value", _folder_path(path, column).alias("folder"))
-        folders = _without(old, touched).unionByName(moved)
-        self._publish(table, definition.schema, path, definition.key, definition.partition, folders)
+        self._publish(
+            table, definition.schema, path, definition.key, definition.partition, previous=previous, changed=values
+        )
 
 
 def _partition_value(expression: str) -> Column:
@@ -471,26 +481,6 @@ def _partition_value(expression: str) -> Column:
     return F.nullif(F.expr(expression).cast("string"), F.lit(""))
 
 
-def _folder_path(path: str, column: str) -> Column:
-    """The folder below ``path`` that Spark gives a partition ``value``."""
-    encoded = F.col("value")
-    # The sign of the encoding itself goes first.
-    for c in ["%", *(c for c in ENCODED_IN_FOLDERS if c != "%"), *map(chr, range(1, 32))]:
-        encoded = F.replace(encoded, F.lit(c), F.lit(f"%{ord(c):02X}"))
-    return F.concat(F.lit(f"{path}/{column}="), F.coalesce(encoded, F.lit(NULL_FOLDER)))
-
-
-def _without(folders: DataFrame, values: DataFrame) -> DataFrame:
-    """Rows whose partition value, NULL included, is not among ``values``."""
-    other = values.select(F.col("value").alias("other"), F.lit(True).alias("there"))
-    same = F.col("value").eqNullSafe(F.col("other"))
-    return folders.join(other, same, "left").where("there IS NULL").drop("other", "there")
-
-
-def _manifest(path: str) -> str:
-    return f"{path}__partitions"
-
-
 def _quoted(column: str) -> Column:
     return F.col(f"`{column}`")
 
