@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import day_of
 from tidemark.operators.merge import latest_per_key
+from tidemark.operators.states import Measures, finished, merged_states, partial_states
 from tidemark.session import stored
+from tidemark.sinks.tables import Warehouse
 
 
 def daily_join(
@@ -133,3 +135,35 @@ def top_ranked(
     chosen = listing if where is None else listing.where(where)
     top = chosen.orderBy(F.desc(score), F.asc(tie_break)).limit(take)
     return top.withColumn("rank", F.rank().over(Window.orderBy(F.desc(score))))
+
+
+def refresh_by_delta(
+    warehouse: Warehouse, source: str, mart: str, keys: Sequence[str], measures: Measures
+) -> list[str | None] | None:
+    """Bring ``mart``, aggregates of ``source`` per key, up to date; returns the partitions of the source
+    that were read, None for all.
+
+    Partial states are kept in ``<mart>__states``, per key and partition of the source. Only partitions that
+    changed since the version the states were made of are read; the mart is put together from states,
+    which are fewer than rows. The states and the version they stand for are published in one step, so
+    a run that fails is made good by the next one.
+    """
+    partition = warehouse.definition(source).partition
+    if partition is None:
+        raise ValueError(f"{source} has no partitions to refresh by")
+    column, states = partition[0], f"{mart}__states"
+    own = [*keys, column]
+    version, rows = warehouse.version(source), warehouse.read(source)
+    if not warehouse.exists(states):
+        empty = partial_states(rows.limit(0), own, measures)
+        warehouse.create_table(states, empty.schema, key=own, partition=("_part", f"`{column}`"))
+    changed = warehouse.changed_partitions(source, warehouse.source_version(states))
+    if changed is None or changed:
+        touched = rows
+        if changed is not None:
+            hit = F.col(f"`{column}`").isin([v for v in changed if v is not None])
+            touched = rows.where(hit | F.col(f"`{column}`").isNull() if None in changed else hit)
+        warehouse.replace_partitions(partial_states(touched, own, measures), states, changed, source=version)
+    merged = merged_states(warehouse.read(states), keys, measures)
+    warehouse.load(finished(merged, keys, measures), mart)
+    return changed

@@ -8,7 +8,7 @@ from tidemark.functions import normalise_text
 from tidemark.operators import summary
 from tidemark.operators.fuzzy import match_names
 from tidemark.plans import marts
-from tidemark.plans.queries.registry import register, table
+from tidemark.plans.queries.registry import register, table, working_area
 
 
 def energy_days(events: DataFrame) -> DataFrame:
@@ -215,3 +215,52 @@ def fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer"), bare("c_name"),
         table(spark, sf_dir, "supplier"), bare("s_name"),
     )
+
+
+# Three deliveries of hours: each starts before the one before ends, with corrected readings.
+DELIVERIES = (("2024-01-01", "2024-01-13", 1), ("2024-01-11", "2024-01-22", 2), ("2024-01-20", "2025-01-01", 3))
+
+
+@register(
+    """
+WITH hours AS (
+  SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS datetime,
+    sum(CAST(value AS DECIMAL(18, 4)) * CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 3 WHEN ts >= TIMESTAMP '2024-01-11' THEN 2 ELSE 1 END)
+      AS energy
+  FROM events GROUP BY 1
+)
+SELECT CAST(substr(datetime, 12, 2) AS INTEGER) AS hour, count(*) AS readings, CAST(sum(energy) AS DOUBLE) AS total,
+  CAST(min(energy) AS DOUBLE) AS least, CAST(max(energy) AS DOUBLE) AS most, round(CAST(sum(energy) AS DOUBLE) / count(*), 6) AS mean
+FROM hours GROUP BY 1
+"""
+)
+def marts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile of the day, refreshed after each delivery from the days that it touched."""
+    events = table(spark, sf_dir, "events")
+    value = F.col("value").cast("decimal(18,4)")
+    name = "raw.hours"
+    measures = {
+        "readings": ("count", "energy"),
+        "total": ("sum", "energy"),
+        "least": ("min", "energy"),
+        "most": ("max", "energy"),
+        "mean": ("avg", "energy"),
+    }
+    with working_area(spark) as warehouse:
+        warehouse.create_table(
+            name,
+            "datetime string, hour int, energy decimal(28,4)",
+            key=["datetime"],
+            partition=("day", "substr(datetime, 1, 10)"),
+        )
+        for start, end, factor in DELIVERIES:
+            sent = events.where((F.col("ts") >= start) & (F.col("ts") < end))
+            hours = sent.groupBy(F.date_format("ts", "yyyy-MM-dd HH:00:00").alias("datetime")).agg(
+                F.sum(value * factor).alias("energy")
+            )
+            warehouse.upsert(hours.withColumn("hour", F.substring("datetime", 12, 2).cast("int")), name)
+            marts.refresh_by_delta(warehouse, name, "marts.profile", ["hour"], measures)
+        profile = warehouse.read("marts.profile")
+    numbers = {c: F.col(c).cast("double") for c in ("total", "least", "most")}
+    mean = F.round(F.col("total").cast("double") / F.col("readings"), 6)
+    return profile.withColumn("mean", mean).withColumns(numbers)

@@ -35,6 +35,8 @@ PARTITION_PROPERTY = "tidemark.partition"
 PARTITION_EXPRESSION_PROPERTY = "tidemark.partition.expression"
 VERSION_PROPERTY = "tidemark.version"
 PATH_PROPERTY = "tidemark.path"
+# The version of another table that a table's rows were made of.
+SOURCE_PROPERTY = "tidemark.source"
 
 # Staged rows lie beside a table's own folder.
 STAGING = "__staging"
@@ -42,6 +44,8 @@ STAGING = "__staging"
 # Partitions that one catalog statement names; more take more statements.
 PARTITIONS_PER_STATEMENT = 500
 
+# Fixed value: what the catalog calls the partition of a NULL.
+NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # The partition column of versions of tables that declare none.
 LOAD = "_load"
 # The partition column of tables cut by a hash of their key.
@@ -159,6 +163,7 @@ class Warehouse:
         *,
         previous: str | None = None,
         changed: Sequence[str | None] = (),
+        source: str | None = None,
     ) -> None:
         """Register the folder as a version and make it the table's content in one step.
 
@@ -192,6 +197,8 @@ class Warehouse:
             load = path.rpartition("/")[2]
             self.spark.sql(f"ALTER TABLE {version} ADD PARTITION ({LOAD}={_literal(load)}) LOCATION {_literal(path)}")
         properties = {VERSION_PROPERTY: version, PATH_PROPERTY: path}
+        if source:
+            properties[SOURCE_PROPERTY] = source
         if key:
             properties[KEY_PROPERTY] = ",".join(key)
         if partition:
@@ -215,9 +222,7 @@ class Warehouse:
         return self._catalog().listPartitions(self._identifier(version), nothing)
 
     def _partition_folders(self, version: str) -> Iterator[str]:
-        entries = self._partitions(version).iterator()
-        while entries.hasNext():
-            yield entries.next().location().toString()
+        return (folder for _, folder in self._partition_entries(version))
 
     def _file_system(self):
         jvm = self.spark.sparkContext._jvm
@@ -228,6 +233,30 @@ class Warehouse:
         path_of, fs = self._file_system()
         fs.delete(path_of(path), True)
 
+    def version(self, table: str) -> str:
+        """The name of the current version."""
+        return self._properties(table)[VERSION_PROPERTY]
+
+    def source_version(self, table: str) -> str | None:
+        """The source's version that ``replace_partitions`` noted last."""
+        return self._properties(table).get(SOURCE_PROPERTY)
+
+    def changed_partitions(self, table: str, since: str | None) -> list[str | None] | None:
+        """Values of the partitions that were written, added or dropped since a version; None where
+        that version is not known any more. Only catalog entries are compared."""
+        if since is None or since not in self._versions(table):
+            return None
+        before, now = (dict(self._partition_entries(v)) for v in (since, self.version(table)))
+        return [v for v in sorted(before.keys() | now.keys(), key=str) if before.get(v) != now.get(v)]
+
+    def _partition_entries(self, version: str) -> Iterator[tuple[str | None, str]]:
+        """Partition values and folders of a version."""
+        entries = self._partitions(version).iterator()
+        while entries.hasNext():
+            entry = entries.next()
+            value = entry.spec().values().head()
+            yield (None if value in (None, NULL_VALUE) else value), entry.location().toString()
+
     def expire(self, table: str, keep: int = 2) -> int:
         """Forget all but the ``keep`` newest versions and delete the folders that none of those
         uses, staging folders included; returns how many folders went.
@@ -404,6 +433,23 @@ class Warehouse:
         self._publish(table, staging.schema, path, key, partition)
         return rows
 
+    def replace_partitions(
+        self, df: DataFrame, table: str, values: Sequence[str | None] | None, source: str | None = None
+    ) -> None:
+        """Give the partitions with these values, or all, the rows of ``df``; the others stay where
+        they are. ``df`` has rows of these partitions only; one that it has none of is dropped. ``source``
+        is noted as the version of another table that the rows were made of."""
+        definition = self.definition(table)
+        if not definition.partition:
+            raise ValueError(f"{table} has no partitions")
+        previous = self.version(table)
+        path, _ = self._write_version(definition.shape(df), table, definition.partition)
+        self._require_unique(path, definition.schema, definition.key, f"rows for {table}")
+        kept = {"previous": previous, "changed": values} if values is not None else {}
+        self._publish(
+            table, definition.schema, path, definition.key, definition.partition, source=source, **kept
+        )
+
     def upsert(
         self,
         staging: DataFrame,
