@@ -37,13 +37,56 @@ def test_captures_come_back_whole(spark):
     assert warc.assemble(empty).count() == 0
 
 
-def test_captures_without_request_or_metadata(spark):
-    pages = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
-    captures = warc.captures_of(pages)
-    archives = warc.write_archives(captures)
-    lost = warc.read_records(archives, "response")
-    assert lost.count() == 1 and warc.read_records(archives).count() == 3
-    assert warc.read_records(archives, "metadata").select(F.col("fields")["page-id"]).first()[0] == "1"
+def archive(spark, path, *records):
+    """An archive with records given as (type, id, block, headers)."""
+    with open(path, "wb") as out:
+        for kind, name, block, headers in records:
+            out.write(warc._record(kind, name, warc.DATE, block, "text/plain", **headers))
+    return spark.createDataFrame([(str(path), len(records))], "path string, n_records long")
+
+
+def test_captures_without_request_or_with_two(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    archives = archive(
+        spark, tmp_path / "a.warc.gz",
+        ("request", "<r2>", b"", {"Concurrent_To": "<a>", "Target_URI": "second"}),
+        ("request", "<r1>", b"", {"Concurrent_To": "<a>", "Target_URI": "first"}),
+        ("request", "<r3>", b"", {"Concurrent_To": "<none>"}),
+        ("request", "<r4>", b"", {}),
+        ("metadata", "<m1>", b"page-id: 7\r\n", {"Concurrent_To": "<a>"}),
+        ("response", "<a>", http, {}),
+        ("response", "<b>", http, {"Payload_Digest": "sha256:00"}),
+        ("revisit", "<c>", b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\n", {"Refers_To": "<a>"}),
+    )
+    got = {r["response"]["record_id"]: r for r in warc.assemble(archives).collect()}
+    assert set(got) == {"<a>", "<b>", "<c>"}
+    assert got["<a>"]["request"]["target_uri"] == "first" and got["<a>"]["metadata"]["fields"] == {"page-id": "7"}
+    assert got["<b>"]["request"] is None and got["<b>"]["metadata"] is None and got["<c>"]["request"] is None
+    digest = hashlib.sha256(b"body").hexdigest()
+    assert [got[k]["response"]["payload_sha256"] for k in ("<a>", "<b>", "<c>")] == [digest, digest, None]
+    assert [got[k]["response"]["payload_bytes"] for k in ("<a>", "<b>", "<c>")] == [4, 4, 4]
+
+
+def test_record_ids_do_not_depend_on_the_order_of_pages(spark):
+    rows = [(k % 40, f"http://h/{k % 3}", "page " * 30 + str(k % 5)) for k in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    # Shuffled input, dealt anew each time it is computed.
+    shuffled = pages.repartition(7, F.rand()).join(spark.range(40).withColumnRenamed("id", "page_id"), "page_id")
+    captures = warc.captures_of(shuffled).select("response_id", "refers_to", "name", "url", "digest")
+    one, two = (sorted(captures.collect(), key=str) for _ in range(2))
+    assert one == two and len({r["response_id"] for r in one}) == 300
+    ids = {r["response_id"] for r in one if r["refers_to"] is None}
+    assert len(ids) == 5 and {r["refers_to"] for r in one} == ids | {None}
+
+
+def test_archives_are_read_once_and_requests_joined(spark):
+    pages = spark.createDataFrame([(1, "http://h/p?q=1", "x")], "page_id long, url string, html string")
+    archives = warc.write_archives(warc.captures_of(pages))
+    found = warc.assemble(archives, payloads=False)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("Join LeftOuter") == 2
+    assert found.first()["request"]["target_uri"] == "http://h/p?q=1"
+    assert warc._request("http://h/p?q=1") == b"GET /p?q=1 HTTP/1.1\r\nHost: h\r\n\r\n"
 
 
 def test_escapes_are_reversible():

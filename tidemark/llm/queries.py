@@ -10,6 +10,7 @@ from tidemark.llm import alignment, chat, column_wise, language, lookup_sketch,
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.session import stored
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -129,12 +130,12 @@ def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     """
     WITH p AS (
-      SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+      SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
       FROM pages
     ), f AS (
       SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
     )
-    SELECT page_id, payload_bytes, payload_digest,
+    SELECT page_id, payload_bytes, payload_digest, url AS requested_uri,
       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
       CASE WHEN first < page_id THEN first END AS refers_to
     FROM p LEFT JOIN f USING (payload_digest)
@@ -143,27 +144,23 @@ def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     archives = warc.write_archives(warc.captures_of(pages))
-    kind = pages.schema["page_id"].dataType
-    page = F.col("metadata.fields")["page-id"].cast(kind)
-    rows = warc.assemble(archives).select(
+    captures = stored(warc.assemble(archives, payloads=False), "captures")
+    page = F.col("metadata.fields")["page-id"].cast(pages.schema["page_id"].dataType)
+    # What a revisit refers to: the capture of the response that it names.
+    responses = captures.where("response.type = 'response'").select(
+        F.col("response.record_id").alias("of"),
+        page.alias("refers_to"),
+        F.col("response.payload_sha256").alias("named_sha256"),
+    )
+    return captures.join(responses.hint("merge"), F.col("response.refers_to") == F.col("of"), "left").select(
         page.alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
-        # Of the payload itself where the archive has it.
-        F.coalesce(F.sha2("response.payload", 256), "response.payload_digest").alias("payload_digest"),
+        # Of the bytes that the archive has.
+        F.coalesce("response.payload_sha256", "named_sha256").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.col("response.record_id").alias("record_id"),
-    )
-    # What a revisit refers to: by the metadata of the response it names.
-    named = warc.read_records(archives, "metadata").select(
-        F.col("concurrent_to").alias("response_id"), F.col("fields")["page-id"].cast(kind).alias("refers_to")
-    )
-    targets = (
-        warc.read_records(archives, "revisit")
-        .select("record_id", F.col("refers_to").alias("response_id"))
-        .join(named, "response_id")
-        .select("record_id", "refers_to")
+        "refers_to",
+        F.col("request.target_uri").alias("requested_uri"),
     )
-    return rows.join(targets, "record_id", "left").drop("record_id")
 
 
 def _escaped_length(column: str) -> str:
