@@ -96,6 +96,49 @@ def pending_ids(entities: DataFrame, key: str, loaded: DataFrame, id_column: str
     return keys.join(loaded_ids(loaded, id_column, key), key, "left_anti")
 
 
+def id_bitmaps(rows: DataFrame, id_column: str) -> DataFrame:
+    """The ids of ``rows`` as bitmaps: ``bucket, bits``, one row for each stretch of 32,768 numbers.
+
+    Ids are whole numbers; NULL is no id. What a delivery brings is a small table of bitmaps that
+    ``merged_bitmaps`` adds to those kept for the detail table, so that nothing ever scans the details
+    again to know which ids they hold.
+    """
+    number = F.col(id_column).cast("bigint")
+    given = rows.where(number.isNotNull())
+    return given.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+    )
+
+
+def merged_bitmaps(*parts: DataFrame) -> DataFrame:
+    """The ids of all parts."""
+    return reduce(DataFrame.unionByName, parts).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def flags_by_bitmap(entities: DataFrame, key: str, details: Mapping[str, DataFrame]) -> DataFrame:
+    """``request_flags`` from bitmaps of the loaded ids instead of the detail tables.
+
+    The join is on the bucket, which has one bitmap; entities crowd in a bucket no more than numbers do,
+    32,768 at most.
+    """
+    number = F.col(key).cast("bigint")
+    position = F.bitmap_bit_position(number)
+    flagged = entities
+    for flag, bitmaps in details.items():
+        side = bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+        byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        there = F.getbit(byte, (position % 8).cast("int")) == 1
+        joined = flagged.join(side, F.bitmap_bucket_number(number) == F.col("_bucket"), "left")
+        flagged = joined.withColumn(flag, F.coalesce(there, F.lit(False))).drop("_bucket", "_bits")
+    return flagged
+
+
+def pending_by_bitmap(entities: DataFrame, key: str, loaded: DataFrame) -> DataFrame:
+    """``pending_ids`` from the bitmaps of the loaded ids."""
+    keys = entities.select(key).where(F.col(key).isNotNull()).distinct()
+    return flags_by_bitmap(keys, key, {"_loaded": loaded}).where("NOT _loaded").select(key)
+
+
 def request_tuples(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Distinct request parameters, e.g. (team, season, game type)."""
     exprs = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import normalise_text
-from tidemark.operators import summary
+from tidemark.operators import history, summary
 from tidemark.operators.fuzzy import match_names
 from tidemark.plans import marts
 from tidemark.plans.queries.registry import register, table, working_area
@@ -264,3 +264,33 @@ def marts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = {c: F.col(c).cast("double") for c in ("total", "least", "most")}
     mean = F.round(F.col("total").cast("double") / F.col("readings"), 6)
     return profile.withColumn("mean", mean).withColumns(numbers)
+
+
+@register(
+    """
+WITH dated AS (SELECT DISTINCT conv_id, role, turn FROM conversations WHERE turn IS NOT NULL),
+days AS (SELECT turn, row_number() OVER (ORDER BY turn) AS n FROM (SELECT DISTINCT turn FROM dated)),
+runs AS (
+  SELECT conv_id, role, min(turn) AS valid_from, max(n) AS last, count(*) AS snapshots
+  FROM (SELECT *, n - row_number() OVER (PARTITION BY conv_id, role ORDER BY n) AS run FROM dated JOIN days USING (turn))
+  GROUP BY conv_id, role, run
+), intervals AS (
+  SELECT conv_id, role, valid_from, d.turn AS valid_to, snapshots FROM runs LEFT JOIN days d ON d.n = last + 1
+)
+SELECT i.conv_id, i.role, i.valid_from, i.valid_to, i.snapshots, count(c.conv_id) AS votes,
+  CAST(coalesce(sum(length(c.text)), 0) AS BIGINT) AS weight
+FROM intervals i LEFT JOIN conversations c
+  ON c.conv_id = i.conv_id AND c.turn >= i.valid_from AND (i.valid_to IS NULL OR c.turn < i.valid_to)
+GROUP BY ALL
+"""
+)
+def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as days: who speaks in a conversation, from when until when, and what falls in that time."""
+    turns = table(spark, sf_dir, "conversations")
+    own = ["conv_id", "role", "valid_from", "valid_to", "snapshots"]
+    intervals = history.validity_intervals(turns, ["conv_id"], "turn", ["role"])
+    votes = turns.select("conv_id", "turn", F.length("text").alias("weight"))
+    cast = history.as_of(votes, intervals, ["conv_id"], "turn")
+    return cast.where("valid_from IS NOT NULL").groupBy(*own).agg(
+        F.count(F.lit(1)).alias("votes"), F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("weight")
+    )

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.worklist import dates_since_watermark as since_watermark
-from tidemark.operators.worklist import flagged
+from tidemark.operators.worklist import flagged, id_bitmaps, merged_bitmaps, pending_by_bitmap
 from tidemark.operators.worklist import missing_dates as find_missing
 from tidemark.operators.worklist import pending_ids as find_pending
 from tidemark.operators.worklist import request_flags as flag_requests
 from tidemark.operators.worklist import request_tuples
-from tidemark.plans.queries.registry import register, table
+from tidemark.plans.queries.registry import register, table, working_area
 from tidemark.sources.crawl import fetch_documents, with_requests
 
 
@@ -59,6 +59,27 @@ def pending_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pending(orders, "o_orderkey", lineitem, "l_orderkey")
 
 
+@register(
+    """
+SELECT o_orderkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+"""
+)
+def pending_ids_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from bitmaps of loaded ids, which each of two deliveries adds to."""
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    returned = F.col("l_returnflag") == "R"
+    schema = "bucket bigint, bits binary"
+    with working_area(spark) as warehouse:
+        name = "raw.loaded_orders"
+        warehouse.create_table(name, schema, key=["bucket"])
+        for delivery in (lineitem.where(returned), lineitem.where(~returned)):
+            bitmaps = id_bitmaps(delivery, "l_orderkey")
+            touched = warehouse.read(name).join(bitmaps.select("bucket"), "bucket", "left_semi")
+            warehouse.upsert(merged_bitmaps(touched, bitmaps), name)
+        return pending_by_bitmap(orders, "o_orderkey", warehouse.read(name))
+
+
 @register(
     """
 SELECT o_orderkey,
