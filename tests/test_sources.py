@@ -129,6 +129,22 @@ def test_latest_partition_by_name(spark, tmp_path, rows):
     assert "PartitionFilters: [isnotnull(season" in plan
 
 
+def test_latest_partition_of_json_documents(spark, tmp_path, rows):
+    base = tmp_path / "log"
+    for season, text in (("20232024", "{bad"), ("20242025", '[{"id": 2}, {"id": 3}]'), ("20241", '{"id": 9}')):
+        (base / f"season={season}").mkdir(parents=True)
+        (base / f"season={season}" / "a.json").write_text(text)
+    (base / "season=20242025" / "b.json").write_text("{bad")
+    schema, rejects = "id int, season string", str(tmp_path / "rejects")
+    with pytest.raises(Exception, match="bad record in b.json"):
+        read_latest_partition(spark, str(base), "season", schema, file_format="json").collect()
+    df = read_latest_partition(spark, str(base), "season", schema, file_format="json", rejects=rejects)
+    assert rows(df) == [(2, "20242025"), (3, "20242025")]
+    assert read_latest_partition(spark, str(tmp_path / "none"), "season", schema, file_format="json").count() == 0
+    with pytest.raises(ValueError, match="unknown format"):
+        read_latest_partition(spark, str(base), "season", schema, file_format="xml")
+
+
 def test_latest_partition_without_any(spark, tmp_path):
     df = read_latest_partition(spark, str(tmp_path / "none"), "season", "id int, season string")
     assert df.count() == 0

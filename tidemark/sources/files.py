@@ -391,26 +391,42 @@ def list_files(spark: SparkSession, directory: str, suffix: str) -> DataFrame |
 
 
 def read_latest_partition(
-    spark: SparkSession, base: str, partition: str, schema: StructType | str
+    spark: SparkSession,
+    base: str,
+    partition: str,
+    schema: StructType | str,
+    *,
+    file_format: str = "parquet",
+    multi_line: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame:
     """The rows of the partition directory with the greatest name, compared as text.
 
     The greatest name comes from the directory listing that Spark makes for a partitioned table, not
     from the rows, so no other partition's file is opened. No partition at all gives no rows and a
-    warning.
+    warning. ``file_format`` is ``parquet`` or ``json``; a JSON record that is none raises with its file, or goes
+    to the ``rejects`` folder, and ``multi_line`` reads each file as one document or array of records.
     """
     fields = spark.createDataFrame([], schema).schema
     columns = StructType([f for f in fields.fields if f.name != partition])
     columns = columns.add(partition, "string")
-    rows = or_none(lambda: spark.read.schema(columns).parquet(base))
-    if rows is None:
-        log.warning("no %s directories under %s", partition, base)
-        return spark.createDataFrame([], columns)
     names = _partition_names(spark, base, partition)
-    if not names:
+    reader = spark.read
+    if file_format == "json":
+        reader = reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
+        wanted = StructType([*columns.fields]).add(CORRUPT, StringType())
+    elif file_format == "parquet":
+        wanted = columns
+    else:
+        raise ValueError(f"unknown format {file_format!r}")
+    rows = or_none(lambda: reader.schema(wanted).format(file_format).load(base)) if names else None
+    if rows is None:
         log.warning("no %s directories under %s", partition, base)
         return spark.createDataFrame([], columns)
-    return rows.where(F.col(partition) == max(names))
+    latest = rows.where(F.col(partition) == max(names))
+    if file_format == "json":
+        latest = without_rejects(latest.select("*", lineage_column()), F.col(CORRUPT).isNotNull(), rejects)
+    return latest.select(*[f"`{f.name}`" for f in columns.fields])
 
 
 def _partition_names(spark: SparkSession, base: str, partition: str) -> list[str]:
