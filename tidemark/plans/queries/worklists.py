@@ -11,7 +11,9 @@ from tidemark.operators.worklist import pending_ids as find_pending
 from tidemark.operators.worklist import request_flags as flag_requests
 from tidemark.operators.worklist import request_tuples
 from tidemark.plans.queries.registry import register, table, working_area
-from tidemark.sources.crawl import fetch_documents, with_requests
+from tidemark.session import scratch_dir
+from tidemark.sources.crawl import fetch_documents, read_landed, with_requests
+from tidemark.streaming.crawl import crawl_queue, queue_requests
 
 
 @register(
@@ -205,3 +207,26 @@ def crawl_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
         people, "https://people.invalid/{c_nationkey}/{c_custkey}", "person_{c_custkey}.json"
     ).select("url", "file_name")
     return fetch_documents(requests, offline_client, parallelism=8, attempts=2, wait=0.0)
+
+
+@register(
+    """
+SELECT c_custkey AS id, 'customer_' || c_custkey || '.txt' AS file_name,
+  'answer to https://host' || (c_nationkey % 3) || '.example/customers/' || c_custkey AS body
+FROM customer
+"""
+)
+def queued_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A work-list in two deliveries, crawled batch by batch with a checkpoint."""
+    host = (F.col("c_nationkey") % 3).cast("string").alias("host")
+    work = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), host)
+    requests = with_requests(work, "https://host{host}.example/customers/{id}", "customer_{id}.txt")
+    queue, landing = scratch_dir(spark, "queue"), scratch_dir(spark, "landing")
+    checkpoint = scratch_dir(spark, "crawl")
+    for delivery in (requests.where("host = '0'"), requests.where("host <> '0'")):
+        queue_requests(delivery, queue)
+        crawl_queue(
+            spark, queue, requests.schema, checkpoint, landing, lambda: "answer to {}".format, parallelism=8
+        )
+    landed = read_landed(spark, landing, "id string, file_name string, body string")
+    return landed.withColumn("id", F.col("id").cast("long"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -20,6 +22,8 @@ Fetch = Callable[[str], str]
 NO_URL = "ValueError: the request has no URL"
 # The landing's own column: which run a document came with. Later runs have greater names.
 RUN = "landed_run"
+# Requests that a task has answers of at a time, per thread.
+SLICE = 8
 
 
 def with_requests(worklist: DataFrame, url: str, file_name: str) -> DataFrame:
@@ -55,6 +59,27 @@ def _fetch_batch(
     return answers
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(at, rows)
+
+
+def _paced(fetch: Fetch, pace: float) -> Fetch:
+    """``fetch`` with so many seconds between the starts of two requests to a host."""
+    lock, due = threading.Lock(), {}
+
+    def later(url: str) -> str:
+        host = urlsplit(url).netloc
+        with lock:
+            start = max(time.monotonic(), due.get(host, 0.0))
+            due[host] = start + pace
+        time.sleep(max(0.0, start - time.monotonic()))
+        return fetch(url)
+
+    return later
+
+
 def fetch_documents(
     requests: DataFrame,
     open_client: Callable[[], Fetch],
@@ -63,6 +88,7 @@ def fetch_documents(
     in_flight: int = 8,
     attempts: int = 3,
     wait: float = 0.5,
+    pace: float = 0.0,
 ) -> DataFrame:
     """``body`` and ``error`` for every request row.
 
@@ -71,34 +97,42 @@ def fetch_documents(
     the tasks, and with ``in_flight`` the load on the remote side; requests are dealt out evenly,
     also where one URL repeats. A request that keeps failing, or has no URL, has its error in the
     row and does not stop the others. The work-list's own columns pass through unchanged.
+
+    With ``pace`` the requests of one host are dealt to one task, which leaves so many seconds between
+    the starts of any two. A task holds the bodies of a few requests per thread at a time.
     """
     schema = StructType(
         requests.schema.fields
     ).add("body", StringType()).add("error", StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fetch = open_client()
+        fetch = _paced(open_client(), pace) if pace else open_client()
         with ThreadPoolExecutor(in_flight) as pool:
-            for batch in batches:
+            for batch in _slices(batches, SLICE * in_flight):
                 done = _fetch_batch(fetch, batch.column("url").to_pylist(), pool, attempts, wait)
                 answers = [pa.array(list(column), pa.string()) for column in zip(*done)] or [pa.array([], pa.string())] * 2
                 names = [*batch.schema.names, "body", "error"]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *answers], names=names)
 
-    return requests.repartition(parallelism).mapInArrow(run, schema)
+    host = F.coalesce(F.parse_url("url", F.lit("HOST")), F.lit(""))
+    dealt = requests.repartition(parallelism, host) if pace else requests.repartition(parallelism)
+    return dealt.mapInArrow(run, schema)
 
 
-def land_documents(documents: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def land_documents(
+    documents: DataFrame, path: str, partition_by: str | None = None, run: str | None = None
+) -> DataFrame:
     """Add fetched documents to a landing; returns this run's rows, the failed ones included.
 
     The rows are written once, beside the landing, so no later step fetches again; there the failed
     requests stay with their errors. The documents that came are then added to the landing, and
-    nothing that was landed before is touched. ``read_landed`` takes the last of each file name.
+    nothing that was landed before is touched. ``read_landed`` takes the last of each file name. A
+    ``run`` that is named can be tried again after a failure; later runs must have greater names.
     """
     spark = documents.sparkSession
-    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:6]}"
+    run = run or f"{time.time_ns():020d}-{uuid.uuid4().hex[:6]}"
     aside = f"{path.rstrip('/')}__runs/{run}"
-    documents.write.parquet(aside)
+    documents.write.mode("overwrite").parquet(aside)
     fetched = spark.read.schema(documents.schema).parquet(aside)
     good = fetched.where("error IS NULL").drop("error").withColumn(RUN, F.lit(run))
     writer = good.write.mode("append")
