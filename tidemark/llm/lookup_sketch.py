@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stored
 
-# Cells of a table in the sketches of rising size, as powers of two.
-CELL_BITS = (3, 5, 6)
+# Cells of a table in the fingerprint, as a power of two.
+CELL_BITS = 3
+# The same for dealt sketches, tried one after the other, and a salt for the places of their cells. A few digests
+# need few cells; after the small sizes each try has other places, so it fails with 2e-5 or less.
+TRIES = ((2, 0), (3, 0), (5, 0), (6, 1), (6, 2), (6, 3))
 # Rounds of peeling; each takes out all digests that lie open.
 ROUNDS = 12
 # Digests of a version that share one of the dealt sketches, on average, at most.
@@ -68,28 +71,36 @@ def digests(text: str) -> str:
     return f"array_distinct(transform({keys}, k -> k | (xxhash64(k) & {_LOW}L)))"
 
 
-def _cell(digest: str, cell: str, bits: int) -> str:
-    """SQL: whether a digest lies in a cell, counted over all three tables."""
-    place = f"shiftrightunsigned({digest}, 44 + {bits} * shiftright({cell}, {bits})) & {2**bits - 1}"
-    return f"({place}) = ({cell} & {2**bits - 1})"
+def _signed(number: int) -> int:
+    return (number & (1 << 64) - 1 ^ 1 << 63) - (1 << 63)
 
 
-def sketch(keys: str, bits: int, tag: str = "") -> str:
+def _places(bits: int) -> str:
+    """SQL: for each cell of all three tables which bits of a number place it there, and their value."""
+    cells = []
+    for cell in range(3 * 2**bits):
+        shift = 44 + bits * (cell >> bits)
+        mask, value = _signed((2**bits - 1) << shift), _signed((cell & 2**bits - 1) << shift)
+        cells.append(f"named_struct('m', {mask}L, 'v', {value}L)")
+    return f"array({', '.join(cells)})"
+
+
+def _within(digests_: str, start: str, place: str, tag: str, salt: int) -> str:
+    """SQL: ``start`` with all digests xored in that belong to a place."""
+    number = f"xxhash64(d{tag}, {salt})" if salt else f"d{tag}"
+    return f"aggregate({digests_}, {start}, (a{tag}, d{tag}) -> if(({number} & {place}.m) = {place}.v, a{tag} ^ d{tag}, a{tag}))"
+
+
+def sketch(keys: str, bits: int, tag: str = "", salt: int = 0) -> str:
     """SQL: the cells of a sketch of an array of digests."""
-    return (
-        f"transform(sequence(0, {3 * 2**bits - 1}), j{tag} -> aggregate({keys}, 0L,"
-        f" (a{tag}, d{tag}) -> if({_cell(f'd{tag}', f'j{tag}', bits)}, a{tag} ^ d{tag}, a{tag})))"
-    )
+    return f"transform({_places(bits)}, p{tag} -> {_within(keys, '0L', f'p{tag}', tag, salt)})"
 
 
-def peel(cells: str, bits: int, tag: str) -> str:
+def peel(cells: str, bits: int, tag: str, salt: int = 0) -> str:
     """SQL: how many digests a subtracted sketch holds, -1 if they cannot all be recovered."""
     lone = f"(v{tag} <> 0L AND (v{tag} & {_LOW}L) = (xxhash64(v{tag} & {_HIGH}L) & {_LOW}L))"
     found = f"array_distinct(filter(s{tag}.c, v{tag} -> {lone}))"
-    out = (
-        f"transform(s{tag}.c, (v{tag}, j{tag}) -> aggregate(f{tag}, v{tag},"
-        f" (a{tag}, d{tag}) -> if({_cell(f'd{tag}', f'j{tag}', bits)}, a{tag} ^ d{tag}, a{tag})))"
-    )
+    out = f"zip_with(s{tag}.c, {_places(bits)}, (v{tag}, p{tag}) -> {_within(f'f{tag}', f'v{tag}', f'p{tag}', tag, salt)})"
     # A round that finds nothing is the last; the rest of the sequence passes the state on.
     step = (
         f"if(NOT s{tag}.go, s{tag}, transform(array({found}), f{tag} -> if(size(f{tag}) = 0,"
@@ -103,13 +114,14 @@ def peel(cells: str, bits: int, tag: str) -> str:
 
 
 def _tried(a: str, b: str, level: int, tag: str) -> str:
-    """SQL: number of differing digests of two arrays by sketches of rising size."""
-    if level == len(CELL_BITS):  # a few digests that no size pulls apart are compared as they are
+    """SQL: number of differing digests of two arrays by sketches of rising size and other salts."""
+    if level == len(TRIES):  # not to be expected once in 10^13 comparisons
         return f"CAST(size(array_except({a}, {b})) + size(array_except({b}, {a})) AS BIGINT)"
-    bits, own = CELL_BITS[level], f"{tag}{level}"
-    cells = f"zip_with({sketch(a, bits, own + 'x')}, {sketch(b, bits, own + 'y')}, (x{own}, y{own}) -> x{own} ^ y{own})"
+    (bits, salt), own = TRIES[level], f"{tag}{level}"
+    sides = sketch(a, bits, own + "x", salt), sketch(b, bits, own + "y", salt)
+    cells = f"zip_with({sides[0]}, {sides[1]}, (x{own}, y{own}) -> x{own} ^ y{own})"
     again = _tried(a, b, level + 1, tag)
-    return f"transform(array({peel(cells, bits, own)}), n{own} -> if(n{own} >= 0L, n{own}, {again}))[0]"
+    return f"transform(array({peel(cells, bits, own, salt)}), n{own} -> if(n{own} >= 0L, n{own}, {again}))[0]"
 
 
 def _dealt(keys: str, tag: str) -> str:
@@ -128,7 +140,7 @@ def differing(frame: DataFrame, a: str, b: str, base_a: str, base_b: str, out: s
 
     ``base_a`` and ``base_b`` are their smallest sketches, tried first.
     """
-    first = peel(f"zip_with({base_a}, {base_b}, (x, y) -> x ^ y)", CELL_BITS[0], "z")
+    first = peel(f"zip_with({base_a}, {base_b}, (x, y) -> x ^ y)", CELL_BITS, "z")
     wanted = f"greatest(size({a}), size({b})) / {SHARE}"
     shares = f"CAST(power(2, least(20, greatest(0, ceil(log2(greatest({wanted}, 1)))))) AS BIGINT)"
     parts = f"zip_with({_dealt(a, 'p')}, {_dealt(b, 'q')}, (l, m) -> {_tried('l', 'm', 0, 't')})"
@@ -209,7 +221,7 @@ def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the part of all distinct paragraphs of both texts that both have. Equal texts have equal
     fingerprints; empty texts have no paragraphs and are alike; an empty table gives an empty result.
     """
-    base = CELL_BITS[0]
+    base = CELL_BITS
     keyed = versions(docs, id_col, text_col).select(
         "id",
         F.col("n_chars").cast("long").alias("n_chars"),
