@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import union_by_name
 from tidemark.operators.quality import Check, require_valid
-from tidemark.session import run_together, stored
+from tidemark.session import run_together, scratch_scope, stored
 from tidemark.sinks.archive import archive_documents
 from tidemark.plans.catalog import KEYED_PARTITIONS, KEYED_TABLES, REFRESH_TABLES
 from tidemark.sinks.export import export_all, export_csv
@@ -98,6 +98,10 @@ class RefreshJob:
         return rows.transform(self.transform or _same)
 
     def run(self, warehouse: Warehouse) -> int:
+        with scratch_scope(warehouse.spark):
+            return self._run(warehouse)
+
+    def _run(self, warehouse: Warehouse) -> int:
         staging = self.staging(warehouse.spark)
         if self.checks:
             # Parsed once: the checks, each on its own columns, and the load read the copy.
@@ -111,16 +115,32 @@ class RefreshJob:
 
 
 def refresh_jobs(
-    bronze_root: str, checks: Mapping[str, Sequence[Check]] | None = None
+    bronze_root: str,
+    checks: Mapping[str, Sequence[Check]] | None = None,
+    *,
+    schemas: Mapping[str, str] | None = None,
+    multi_line: bool = True,
+    rejects: str | None = None,
 ) -> dict[str, RefreshJob]:
-    """The full-refresh jobs of the catalog by target table, with the checks given per target."""
+    """The full-refresh jobs of the catalog by target table, with the checks and schemas given per target.
+
+    A target with a schema is read without a pass that finds types; ``multi_line=False``, for files without
+    line breaks in cells, lets one file be read by many tasks.
+    """
     jobs = {}
     for staging, target, path in REFRESH_TABLES:
         folder, _, name = path.rpartition("/")
         config = JobConfig(
             db_table=staging, bronze_dir=f"{bronze_root.rstrip('/')}/{folder}", bronze_file=name
         )
-        jobs[target] = RefreshJob(config, target, checks=(checks or {}).get(target, ()))
+        jobs[target] = RefreshJob(
+            config,
+            target,
+            checks=(checks or {}).get(target, ()),
+            schema=(schemas or {}).get(target),
+            multi_line=multi_line,
+            rejects=rejects,
+        )
     return jobs
 
 
@@ -142,6 +162,10 @@ class IncrementalJob:
 
     def run(self, warehouse: Warehouse) -> bool:
         """False when nothing was missing and no step ran."""
+        with scratch_scope(warehouse.spark):
+            return self._run(warehouse)
+
+    def _run(self, warehouse: Warehouse) -> bool:
         missing = self.worklist(warehouse)
         if missing.isEmpty():
             log.info("nothing is missing, skipped")
@@ -241,13 +265,14 @@ def consolidate(
     rejects: str | None = None,
 ) -> str | None:
     """Dated landing files as one CSV data set; ``unique`` drops rows that repeat as a whole."""
-    rows = read_landing(
-        spark, directory, file_type, separator, multi_line=multi_line, schema=schema, rejects=rejects
-    )
-    if rows is None:
-        return None
-    rows = rows.drop(LINEAGE)
-    return export_csv(rows.distinct() if unique else rows, path, separator)
+    with scratch_scope(spark):
+        rows = read_landing(
+            spark, directory, file_type, separator, multi_line=multi_line, schema=schema, rejects=rejects
+        )
+        if rows is None:
+            return None
+        rows = rows.drop(LINEAGE)
+        return export_csv(rows.distinct() if unique else rows, path, separator)
 
 
 def batch_load(
@@ -265,12 +290,13 @@ def batch_load(
     """All files of a directory into one table, with the file name; None and no change without
     files."""
     spark = warehouse.spark
-    rows = read_landing(
-        spark, directory, file_type, separator, multi_line=multi_line, schema=schema, rejects=rejects
-    )
-    if rows is None:
-        return None
-    loaded = warehouse.load(rows, table, how)
+    with scratch_scope(spark):
+        rows = read_landing(
+            spark, directory, file_type, separator, multi_line=multi_line, schema=schema, rejects=rejects
+        )
+        if rows is None:
+            return None
+        loaded = warehouse.load(rows, table, how)
     log.info("%s rows loaded into %s", loaded, table)
     return loaded
 
@@ -288,7 +314,8 @@ class MartRefresh:
             raise ValueError(f"unknown tag {tag!r}")
         names = list(self.marts) if tag is None else self.tags[tag]
         refresh = [lambda n=n: warehouse.refresh(self.marts[n](warehouse), n) for n in names]
-        return dict(zip(names, run_together(refresh)))
+        with scratch_scope(warehouse.spark):
+            return dict(zip(names, run_together(refresh)))
 
     def export(self, warehouse: Warehouse, directory: str, **options) -> DataFrame:
         tables = {n.split(".")[1]: (lambda n=n: warehouse.read(n)) for n in self.marts}

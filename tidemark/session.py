@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    held = _held.get()
+    if held is not None:
+        held.append(path)
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
@@ -68,11 +73,38 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# The stored frames of the scope that is open, if one is.
+_held: ContextVar[list[str] | None] = ContextVar("tidemark_stored", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Frames stored inside are deleted at the end, also after a failure.
+
+    For work whose result is published or counted, so that nothing reads its stored frames any more.
+    Inside another scope the outer one deletes.
+    """
+    if _held.get() is not None:
+        yield
+        return
+    held: list[str] = []
+    token = _held.set(held)
+    try:
+        yield
+    finally:
+        _held.reset(token)
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in held:
+            folder = path_of(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run_together(steps: Sequence[Callable[[], object]], at_once: int = 4) -> list:
     """Results of independent steps, each submitting its own Spark jobs. All are tried; then the
     first failure, if any, is raised."""
     with ThreadPoolExecutor(at_once) as pool:
-        started = [pool.submit(step) for step in steps]
+        # Each thread has a context of its own with the scope of the caller.
+        started = [pool.submit(copy_context().run, step) for step in steps]
     return [future.result() for future in started]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tidemark.operators.merge import latest_per_key
-from tidemark.session import stored
+from tidemark.session import scratch_scope, stored
 from tidemark.sinks.tables import Warehouse
 from tidemark.sources.files import CORRUPT, LINEAGE, lineage_column, without_rejects
 
@@ -58,6 +58,10 @@ def ingest_files(
     def load(batch: DataFrame, _: int) -> None:
         nonlocal batches
         batches += 1
+        with scratch_scope(spark):
+            load_batch(batch)
+
+    def load_batch(batch: DataFrame) -> None:
         # Parsed once; every table reads the copy.
         copy = stored(batch, "batch")
         good = without_rejects(copy, F.col(CORRUPT).isNotNull(), rejects).drop(LINEAGE)
