@@ -65,6 +65,20 @@ def test_archive_without_folders(spark, warehouse, rows):
     assert rows(stored) == [("a.json", "two", "/e5")]
 
 
+def test_archive_computes_its_source_once(spark, warehouse):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    sent = spark.createDataFrame([(f"{k}.json", "x") for k in range(40)], "file_name string, content string")
+    archive_documents(sent.mapInArrow(count, sent.schema), warehouse, "raw.once", digits=1)
+    assert seen.value == 40
+    assert warehouse.read("raw.once").select("folder").distinct().count() <= 16
+
+
 @pytest.mark.parametrize("with_json", [True, False])
 def test_loaded_files_are_moved_and_csv_removed(spark, tmp_path, with_json):
     staging, bronze = tmp_path / "staging", tmp_path / "bronze"

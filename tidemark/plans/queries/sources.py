@@ -338,8 +338,8 @@ def document_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, F.concat("html", F.lit("<!-- again -->")).alias("content")
     )
     with working_area(spark) as warehouse:
-        archive_documents(sent, warehouse, "raw.archive", suffix=".html")
-        archive_documents(again, warehouse, "raw.archive", suffix=".html")
+        archive_documents(sent, warehouse, "raw.archive", suffix=".html", digits=1)
+        archive_documents(again, warehouse, "raw.archive", suffix=".html", digits=1)
         stored = warehouse.snapshot("raw.archive")
     return stored.select("key", F.col("content").cast("string").alias("content"), "length")
 

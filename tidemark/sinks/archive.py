@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.sinks.tables import Warehouse
 
 ARCHIVE_SCHEMA = "key string, file_name string, length bigint, content binary"
-# Keys with a folder of their own below the prefix go by it. Flat keys, all in one folder, are dealt
-# by a hash, so that a delivery rewrites the shares it falls into and no share holds everything.
-BY_FOLDER = (
-    "folder",
-    "CASE WHEN key LIKE '%/%/%' THEN regexp_extract(key, '^(.*)/', 1)"
-    " ELSE concat(regexp_extract(key, '^(.*)/', 1), '/', substring(md5(key), 1, 2)) END",
-)
+
+
+def _by_folder(digits: int) -> tuple[str, str]:
+    """Keys with a folder of their own below the prefix go by it. Flat keys, all in one folder, are dealt
+    by a hash, so that a delivery rewrites the shares it falls into and no share holds everything."""
+    return (
+        "folder",
+        "CASE WHEN key LIKE '%/%/%' THEN regexp_extract(key, '^(.*)/', 1)"
+        f" ELSE concat(regexp_extract(key, '^(.*)/', 1), '/', substring(md5(key), 1, {digits})) END",
+    )
 
 
 def archive_documents(
@@ -24,22 +27,26 @@ def archive_documents(
     table: str,
     prefix: str = "bronze/",
     suffix: str = ".json",
+    *,
+    digits: int = 2,
 ) -> None:
     """Store ``file_name, content`` rows under ``prefix + file_name``, replacing a key sent again.
 
     Only names that end in ``suffix``, in that case, are taken. The archive is partitioned by the
     folder part of the key, flat names by a share of their hash, and only partitions that receive a
-    document are rewritten; names with a date folder keep a daily delivery from touching older days. ``documents`` must be a read of
-    landed files: it is read for the key check, where only the names matter, and for the write.
+    document are rewritten; names with a date folder keep a daily delivery from touching older days.
+    A new archive has 16 to the power of ``digits`` shares of flat names: choose it so that a share is
+    some GB at the size the archive is to reach. ``documents`` is computed once; the key check and the
+    write read the copy.
     """
-    warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition=BY_FOLDER)
+    warehouse.create_table(table, ARCHIVE_SCHEMA, key=["key"], partition=_by_folder(digits))
     rows = documents.where(F.col("file_name").endswith(suffix)).select(
         F.concat(F.lit(prefix), "file_name").alias("key"),
         "file_name",
         F.octet_length("content").cast("long").alias("length"),
         F.col("content").cast("binary").alias("content"),
     )
-    warehouse.upsert(rows, table, copy=False)
+    warehouse.upsert(rows, table)
 
 
 def unloaded_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
