@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidemark.functions import (
     seconds_between,
     template_fields,
 )
-from tidemark.operators.fuzzy import match_names
+from tidemark.operators.fuzzy import match_names, match_token_sets
 from tidemark.operators.merge import union_by_name
 from tidemark.operators.quality import Check, GateFailed, check_report, require_valid, row_counts
 from tidemark.operators.shape import as_text, explode_parallel, flatten
@@ -161,3 +162,44 @@ def test_include_related_keeps_unmatched(spark, rows):
 def test_rates_without_votes(spark, rows):
     df = spark.createDataFrame([("a", None), ("b", True), ("b", False), ("b", None)], "who string, yes boolean")
     assert rows(marts.alignment_rate(df, "who", F.col("yes"))) == [("a", 0, 0, None), ("b", 2, 1, 0.5)]
+
+
+def likely_names(seed, n):
+    chance = random.Random(seed)
+    words = ["da", "de", "silva", "souza", "ana", "maria", "jose", "lima", "x", "é"]
+    return [" ".join(chance.choices(words, k=chance.randrange(0, 7))) for _ in range(n)] + [None, "", "  ", " ana  lima "]
+
+
+@pytest.mark.parametrize("percent", [20, 50, 80, 100])
+def test_token_sets(spark, percent):
+    sides = likely_names(1, 80), likely_names(2, 80)
+    left, right = (spark.createDataFrame([(x,) for x in side], "name string") for side in sides)
+    found = {
+        (r["left_name"], r["right_name"]): (r["left_rows"], r["right_rows"], r["common"], r["total"])
+        for r in match_token_sets(left, F.col("name"), right, F.col("name"), percent).collect()
+    }
+    want = {}
+    for a in filter(None, set(sides[0])):
+        for b in filter(None, set(sides[1])):
+            x, y = set(a.split()), set(b.split())
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                want[a, b] = (sides[0].count(a), sides[1].count(b), len(x & y), len(x | y))
+    assert found == want and want
+
+
+def test_many_uniqueness_rules_are_one_scan(spark, tmp_path):
+    values = ", ".join(f"id % {k + 1} AS c{k}" for k in range(18))
+    spark.sql(f"SELECT CAST(nullif(id, 5) AS DOUBLE) * -1 AS d, array(id % 3, NULL) AS a, {values} FROM range(60)").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    report = check_report(df, [Check("unique", c) for c in df.columns])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2  # of the values, and of the row rules' count
+    found = {r["column"]: r["n_bad"] for r in report.collect()}
+    assert found == {"d": 0, "a": 57, **{f"c{k}": 60 - min(60, k + 1) for k in range(18)}}
+
+
+def test_uniqueness_of_values_that_look_alike(spark):
+    rows = [(0.0, b"\x00", "1"), (-0.0, b"\x01", "1 "), (None, None, None), (None, b"\xff", None), (float("nan"), b"\xfe", "é"), (float("nan"), b"", "e")]
+    df = spark.createDataFrame(rows, "d double, b binary, s string")
+    found = {r["column"]: r["n_bad"] for r in check_report(df, [Check("unique", c) for c in "dbs"]).collect()}
+    assert found == {"d": 2, "b": 0, "s": 0}

@@ -8,6 +8,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, MapType, StructType, TimestampType
 
 
 class GateFailed(ValueError):
@@ -53,9 +54,9 @@ def _broken(check: Check) -> Column:
 def check_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(check, column, n_bad)`` for every check.
 
-    All row rules share one aggregation, so the data is read once for them. A uniqueness rule
-    groups by its own column alone: that keeps the reduction per task and avoids multiplying every
-    row once per distinct count.
+    All row rules share one aggregation, so the data is read once for them, and so do all
+    uniqueness rules: each value is a row of its rule and text, values are reduced per task, and one
+    shuffle counts those of all columns.
     """
     for check in checks:
         if check.kind not in KINDS:
@@ -78,18 +79,40 @@ def check_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     reports = []
     if entries:
         reports.append(counted.select(F.inline(F.array(*entries))))
-    for check in checks:
-        if check.kind == "unique" and check.column not in absent:
-            per_value = duplicate_keys(df, [check.column])
-            surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_bad")
-            reports.append(
-                per_value.agg(surplus).select(
-                    F.lit(check.kind).alias("check"), F.lit(check.column).alias("column"), "n_bad"
-                )
-            )
+    unique = [c for c in checks if c.kind == "unique" and c.column not in absent]
+    if unique:
+        reports.append(_surplus(df, unique))
     return reduce(DataFrame.unionByName, reports)
 
 
+def _surplus(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``(check, column, n_bad)`` of uniqueness rules: values beyond the first of each kind."""
+    values = [F.struct(F.lit(i).alias("rule"), _as_text(df, c.column).alias("value")) for i, c in enumerate(checks)]
+    each = df.select(F.inline(F.array(*values))).where("value IS NOT NULL")
+    counted = each.groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = counted.groupBy("rule").agg(F.sum(F.col("n") - 1).alias("n_bad"))
+    names = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(c.kind).alias("check"), F.lit(c.column).alias("column")) for i, c in enumerate(checks)])
+    # One row for each rule.
+    rules = df.sparkSession.range(1).select(F.inline(names))
+    return rules.join(found, "rule", "left").select("check", "column", F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_bad"))
+
+
+def _as_text(df: DataFrame, column: str) -> Column:
+    """The value as text that is equal where the values are, and differs where they do."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(kind, (FloatType, DoubleType)):
+        # Both zeros are one value.
+        value = value + F.lit(0.0)
+    elif isinstance(kind, TimestampType):
+        # Local time may come twice.
+        value = F.unix_micros(value)
+    elif isinstance(kind, BinaryType):
+        value = F.hex(value)
+    elif isinstance(kind, (ArrayType, MapType, StructType)):
+        value = F.to_json(value, {"ignoreNullFields": "false"})
+    return value.cast("string")
+
+
 def _entry(check: Check, n_bad: Column) -> Column:
     return F.struct(
         F.lit(check.kind).alias("check"), F.lit(check.column).alias("column"), n_bad.alias("n_bad")

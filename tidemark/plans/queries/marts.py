@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import normalise_text
 from tidemark.operators import history, summary
-from tidemark.operators.fuzzy import match_names
+from tidemark.operators.fuzzy import match_names, match_token_sets
 from tidemark.plans import marts
 from tidemark.plans.queries.registry import register, table, working_area
 
@@ -217,6 +217,30 @@ def fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TOKENS = "list_distinct(list_filter(string_split({0}, ' '), lambda x: x <> ''))"
+
+
+@register(
+    f"""
+WITH p AS (SELECT p_name AS name, {_TOKENS.format("p_name")} AS w, count(*) AS n FROM part GROUP BY 1, 2),
+s AS (SELECT text AS name, {_TOKENS.format("text")} AS w, count(*) AS n FROM (
+  SELECT 'the ' || p_name || ' ' || p_brand AS text FROM part) GROUP BY 1, 2),
+c AS (
+  SELECT p.name AS left_name, s.name AS right_name, p.n AS left_rows, s.n AS right_rows,
+    CAST(len(list_intersect(p.w, s.w)) AS INTEGER) AS common, CAST(len(p.w) + len(s.w) AS INTEGER) AS n_words
+  FROM p, s
+)
+SELECT left_name, right_name, left_rows, right_rows, common, n_words - common AS total FROM c
+WHERE 100 * common >= 50 * (n_words - common)
+"""
+)
+def token_set_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names against longer ones with an article and a brand, by words in common."""
+    part = table(spark, sf_dir, "part")
+    longer = F.concat(F.lit("the "), "p_name", F.lit(" "), "p_brand")
+    return match_token_sets(part, F.col("p_name"), part, longer, percent=50)
+
+
 # Three deliveries of hours: each starts before the one before ends, with corrected readings.
 DELIVERIES = (("2024-01-01", "2024-01-13", 1), ("2024-01-11", "2024-01-22", 2), ("2024-01-20", "2025-01-01", 3))
 
