@@ -153,6 +153,40 @@ def test_near_duplicates(spark, similarity, size):
     assert sorted(got, key=str) == sorted(groups_by_hand(copies(), round(100 * similarity), size), key=str)
 
 
+def family(seed):
+    """Copies of two related texts with more and less changed, near the threshold on either side."""
+    chance = random.Random(seed)
+    one = wordy(seed, 120, 5000)
+    two = one[:90] + wordy(seed + 1, 40, 5000)
+    rows = []
+    for k in range(150):
+        text = list(chance.choice((one, one, two)))
+        for _ in range(chance.choice((0, 1, 2, 3, 4, 5, 6, 8))):
+            at = chance.randrange(len(text))
+            text[at : at + chance.randrange(2)] = wordy(chance.random(), chance.randrange(3), 5000)
+        # Some share what they have more.
+        rows.append((k, " ".join(text + (["shared", "tail", "of", "some", "words"] if k % 7 == 0 else []))))
+    return rows
+
+
+@pytest.mark.parametrize("similarity, size, hubs", [(0.85, 3, 1), (0.85, 3, 3), (0.8, 5, 1)])
+def test_near_duplicates_in_families(spark, similarity, size, hubs, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "HUBS", hubs)
+    rows = family(hubs)
+    found = near_duplicates.components(frame(spark, rows), similarity, size).collect()
+    got = [(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found]
+    want = groups_by_hand(rows, round(100 * similarity), size)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert len({w[2] for w in want}) > 5
+
+
+def test_bands_for_any_similarity():
+    for similarity in (0.3, 0.5, 0.7, 0.8, 0.85, 0.9, 0.99, 1.0):
+        bands, rows = near_duplicates.banding(similarity)
+        assert bands * rows <= near_duplicates.WIDTH
+        assert (1 - similarity**rows) ** bands <= near_duplicates.MISSED
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates.components(frame(spark, [])).count() == 0
 
@@ -256,6 +290,35 @@ def test_filter_masks_name_every_holder():
     assert n[0] == len(other) and np.allclose(hits[0] / n[0], filters.false_rate, atol=0.01)
 
 
+def test_held_out_labels_change_nothing(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    held = F.col("doc_id").cast("string").cast("binary")
+    changed = docs.withColumn("lang", F.when(F.crc32(held) % 4 == 2, "xx").otherwise(F.col("lang")))
+    changed.withColumn("source", F.lit("other")).write.parquet(str(tmp_path / "documents.parquet"))
+    plain, other = (
+        sorted(QUERIES["op1_language"](spark, where).collect()) for where in (SF_DIR, str(tmp_path))
+    )
+    assert plain == other
+    assert {r["held_out"] for r in plain} == {True, False} and "xx" not in {r["lang_pred"] for r in plain}
+
+
+def test_corrected_counts_are_near_those_of_plain_sets():
+    import numpy as np
+
+    chance = np.random.default_rng(3)
+    grams = {f"l{k}": near_duplicates.W.mixed(np.arange(k * 3000, k * 3000 + 4000).astype(np.uint64)) for k in range(5)}
+    filters = language.Filters.build(grams, positions=1 << 16)
+    pool = near_duplicates.W.mixed(np.arange(0, 40_000).astype(np.uint64))
+    texts = [chance.choice(pool[k * 3000 : k * 3000 + 8000], 2000) for k in range(5)]
+    hashes, owner = np.concatenate(texts), np.repeat(np.arange(5), 2000)
+    n, counts = filters.hits(hashes, owner, 5)
+    for k, text in enumerate(texts):
+        exact = np.array([np.isin(text, grams[name]).mean() for name in filters.languages])
+        corrected = (counts[k] / n[k] - filters.false_rate) / (1 - filters.false_rate)
+        assert np.allclose(corrected, exact, atol=0.02)
+        assert language.decide(filters, n, counts)[0][k] == exact.argmax()
+
+
 # Lookup sketches
 
 
