@@ -50,6 +50,13 @@ HEADLINE = (
     "weather_job",
     "document_archive",
     "crawl_fetch",
+    "bucketed_upsert",
+    "marts_incremental",
+    "partial_hours_stream",
+    "queued_crawl",
+    "snapshot_history",
+    "pending_ids_bitmap",
+    "token_set_names",
 )
 
 
