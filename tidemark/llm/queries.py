@@ -248,9 +248,13 @@ def op4_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH t AS (
       SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents
     ), b AS (SELECT r, doc_id, x, length(x) // 2 AS n FROM t),
-    windows AS (
-      SELECT r, doc_id, i, x[2 * i + 1 : 2 * i + 200] AS run
-      FROM (SELECT r, doc_id, x, unnest(range(0, n - 99)) AS i FROM b WHERE n >= 100 AND doc_id IS NOT NULL)
+    -- Windows are cut from parts of a text: to find a place in a long string takes time.
+    parts AS (
+      SELECT r, doc_id, o, x[2 * o + 1 : 2 * o + 1198] AS part, least(500, n - 99 - o) AS many
+      FROM (SELECT r, doc_id, x, n, unnest(range(0, n - 99, 500)) AS o FROM b WHERE n >= 100 AND doc_id IS NOT NULL)
+    ), windows AS (
+      SELECT r, doc_id, o + k AS i, part[2 * k + 1 : 2 * k + 200] AS run
+      FROM (SELECT r, doc_id, o, part, unnest(range(0, many)) AS k FROM parts)
     ), firsts AS (SELECT run, min({'d': doc_id, 'i': i}) AS f FROM windows GROUP BY run),
     lost AS (
       SELECT r, i, lag(i) OVER w AS before, lead(i) OVER w AS next
