@@ -7,18 +7,29 @@ many rounds as there are coordinates, each further round aims at one coordinate
 rounds fill all of them. Coordinates of two sketches agree with the probability of the sets' overlap,
 with concentration as for independent ones, and a large set needs about one round.
 
-Equal sets are one class. Classes that agree in a band of coordinates share a bucket. A bucket chooses
-leaders, and leaders are compared with the members not yet linked to them: by four bits of
-each coordinate, which sets far apart seldom pass, then on full sets. Links make components; the buckets that still hold more than one component choose further leaders, more in each
-round, until every member has been one. So no pair of a bucket that could add a link is left out, and
-yet a group of copies that holds together costs a few comparisons for each member.
+Equal sets are one class. Classes that agree in a band of coordinates share a bucket. Links are found
+in two steps, and only links between components matter:
+
+1. Each bucket has a hub: the member whose own buckets are the fullest, which in a family of copies is
+   near the text that the others were made from. Members are compared with their hub, by four bits of
+   each coordinate, which sets far apart seldom pass, then on full sets. Buckets that still hold
+   several components get another hub from the rest, ``HUBS`` at most, while hubs find links.
+2. What remains of a bucket is joined by differences from its first hub. Of a member x the hub lacks a
+   set A and the hub has a set D more; the symmetric difference of x and y is |A|+|D| of both less twice
+   what their A and D have in common. So two members that are alike, of which one is not alike to the
+   hub, must share an element of A, or else so many of D that few elements of each D, the first
+   in an order that all share, must hold one of them. Members are joined on these elements only, and
+   the pairs are verified on full sets.
+
+So no pair of a bucket that could add a link is left out, and yet a family of copies costs a few
+comparisons for each member: its members seldom differ from the hub in the same places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from math import comb
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +41,21 @@ from tidemark.llm import words as W
 from tidemark.llm.encoding import text_bytes
 from tidemark.session import stored
 
-# Bands and coordinates of a band. At a similarity of 0.85 a pair shares no band with a probability
-# of 4e-7 (25 of 5), at 0.8 of 5e-8 (32 of 4).
-BANDS = {0.85: (25, 5), 0.8: (32, 4)}
+# Coordinates that four bits are kept of, at most.
+WIDTH = 128
+# How seldom a pair at the threshold may share no band.
+MISSED = 5e-7
+# Hubs of a bucket.
+HUBS = 3
 # 64-bit numbers that hold four bits of each coordinate.
 PACKED = [f"bits_{k}" for k in range(8)]
 # How seldom the bits may refuse a pair that is alike.
 REFUSED = 1e-7
-# Of the narrow tables that the components are found in.
-ROWS_PER_FILE = 500_000
+# Of the narrow tables that links and components are found in.
+ROWS_PER_FILE = 200_000
 SHINGLE_BYTES = 1_000_000
+# For bounds in floating point.
+SLACK = 1e-6
 
 
 def shingle_sets(w: W.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +104,17 @@ def _band_keys(filled: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return W.mixed(keys ^ W.mixed(np.arange(1, bands + 1).astype(np.uint64)))
 
 
+def banding(similarity: float) -> tuple[int, int]:
+    """Bands and coordinates of a band: as many coordinates as let a pair at the threshold share no band
+    with MISSED at most, in WIDTH coordinates (25 of 5 at 0.85, 28 of 4 at 0.8). Below a similarity of
+    0.12 even bands of one coordinate are too few."""
+    for rows in range(16, 0, -1):
+        bands = ceil(log(MISSED) / log1p(-(similarity**rows))) if similarity < 1 else 1
+        if bands * rows <= WIDTH:
+            return bands, rows
+    raise ValueError(f"a similarity of {similarity} needs more than {WIDTH} coordinates")
+
+
 def most_differing(similarity: float, width: int) -> int:
     """Differing coordinates, of ``width``, that a pair of this similarity exceeds with REFUSED at
     most. Coordinates that differ have equal bits by chance one time in sixteen."""
@@ -103,7 +130,7 @@ def most_differing(similarity: float, width: int) -> int:
 
 def _bits(filled: np.ndarray) -> list[np.ndarray]:
     """The lowest four bits of each coordinate, of 128 at most, as eight 64-bit numbers."""
-    bits = np.zeros((len(filled), 128), np.uint8)
+    bits = np.zeros((len(filled), WIDTH), np.uint8)
     bits[:, : filled.shape[1]] = filled & np.uint64(15)
     words = np.ascontiguousarray(bits[:, ::2] | (bits[:, 1::2] << 4)).view("<i8")
     return [words[:, k].copy() for k in range(8)]
@@ -162,35 +189,98 @@ def _sketched(keyed: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
     return keyed.mapInArrow(sketch, schema)
 
 
-def _overlaps(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """(a, b, common, total) of pairs of classes: sizes of intersection and union of the full sets."""
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+def _both_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` of classes a and b with their texts."""
+    return pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
 
+
+def _two_sets(part: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of both texts of each row, ascending: hash, row, whether only this text has it, and
+    whether it is of text b."""
+    sets = []
+    for name in ("text_a", "text_b"):
+        w = W.words_of(*text_bytes(part.column(name)), W.LOWER, W.NOT_BLANK)
+        sets.append(shingle_sets(w, shingle))
+    hashes = np.concatenate([s[0] for s in sets])
+    row = np.concatenate([s[1] for s in sets])
+    side = np.repeat([False, True], [len(s[0]) for s in sets])
+    order = np.lexsort((hashes, row))
+    hashes, row, side = hashes[order], row[order], side[order]
+    twin = np.zeros(len(hashes) + 1, bool)
+    twin[1:-1] = (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])
+    return hashes, row, ~(twin[1:] | twin[:-1]), side
+
+
+def _overlaps(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(a, b, common, total) of pairs of classes: sizes of intersection and union of the full sets."""
+
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:
+            for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                sets = []
-                for name in ("text_a", "text_b"):
-                    w = W.words_of(*text_bytes(part.column(name)), W.LOWER, W.NOT_BLANK)
-                    sets.append(shingle_sets(w, shingle))
-                hashes = np.concatenate([s[0] for s in sets])
-                row = np.concatenate([s[1] for s in sets])
-                order = np.lexsort((hashes, row))
-                hashes, row = hashes[order], row[order]
-                twice = (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])
-                common = np.bincount(row[1:][twice], minlength=part.num_rows)
-                total = np.bincount(row, minlength=part.num_rows) - common
+                _, row, alone, _ = _two_sets(part, shingle)
+                single = np.bincount(row[alone], minlength=part.num_rows)
+                common = (np.bincount(row, minlength=part.num_rows) - single) // 2
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("a"), part.column("b"), pa.array(common), pa.array(total)],
+                    [part.column("a"), part.column("b"), pa.array(common), pa.array(common + single)],
                     names=["a", "b", "common", "total"],
                 )
-                at += 64
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(overlap, "a long, b long, common long, total long")
+    both = _both_texts(pairs, texts).select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(overlap, "a long, b long, common long, total long")
+
+
+def _differences(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b, n, extra, lacking, linked, extra_first, lacking_first) of hubs a and members b: the size of b's
+    set, how many elements it has that the hub lacks and the other way round, whether both are alike,
+    and the first elements of either kind, one of which must be shared by whatever b is to be linked to.
+
+    With t(x, y) the greatest symmetric difference of sets that are alike, a fixed part of the sum of
+    their sizes, a link of x and y needs 2 * shared >= |differences of x| + |of y| - t(x, y). Sets that
+    are alike differ in size by a known factor, which bounds t by x alone; the differences of y are not
+    less than those of x less t; and at least one of both is not alike to the hub.
+    """
+    part_of_sum = (1 - similarity) / (1 + similarity)
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                rows = part.num_rows
+                hashes, row, alone, side = _two_sets(part, shingle)
+                extra = np.bincount(row[alone & side], minlength=rows)
+                lacking = np.bincount(row[alone & ~side], minlength=rows)
+                total = np.bincount(row, minlength=rows)
+                size = (total + extra - lacking) // 2
+                differing = extra + lacking
+                linked = differing <= part_of_sum * total + SLACK
+                most = size * (1 - similarity) / similarity
+                # Elements that must be shared, of the extra ones and of the lacking ones.
+                of_extra = np.maximum(1, np.ceil(extra - most - SLACK))
+                other = np.where(linked, (differing - part_of_sum * extra) / 2, differing - most)
+                of_lacking = np.maximum(1, np.ceil(other - SLACK))
+                lists = []
+                for mine, count, least in (
+                    (alone & side, extra, of_extra), (alone & ~side, lacking, of_lacking)
+                ):
+                    order = np.flatnonzero(mine)
+                    rank = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
+                    shown = np.maximum(count - least + 1, 0).astype(np.int64)
+                    keep = rank < np.repeat(shown, count)
+                    ends = np.concatenate([[0], np.cumsum(np.minimum(shown, count))]).astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[order][keep].view(np.int64))))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), *map(pa.array, (size, extra, lacking, linked)), *lists],
+                    names=["a", "b", "n", "extra", "lacking", "linked", "extra_first", "lacking_first"],
+                )
+
+    both = _both_texts(pairs, texts).select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(
+        differ,
+        "a long, b long, n long, extra long, lacking long, linked boolean, extra_first array<long>, lacking_first array<long>",
+    )
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -230,29 +320,101 @@ def connected(links: DataFrame) -> DataFrame:
     return stored(roots.unionByName(tops).coalesce(files), "roots")
 
 
-def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _relabelled(labels: DataFrame, links: DataFrame, files: int) -> DataFrame:
     """``labels`` after links between labels."""
     roots = connected(links)
-    return stored(
-        labels.join(roots, F.col("label") == roots["node"], "left").select(
-            labels["node"], F.coalesce("root", "label").alias("label")
-        ),
-        "labels",
+    named = labels.join(roots, F.col("label") == roots["node"], "left").select(
+        labels["node"], F.coalesce("root", "label").alias("label")
+    )
+    return stored(named.coalesce(files), "labels")
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, files: int) -> DataFrame:
+    """The pairs (a, b) that are alike on full sets."""
+    found = _overlaps(pairs, texts, shingle).where(100 * F.col("common") >= percent * F.col("total"))
+    # Many tasks find few pairs each.
+    return stored(found.select("a", "b").repartition(files), "alike")
+
+
+def _linked(labels: DataFrame, alike: DataFrame, files: int) -> DataFrame:
+    """``labels`` (node, label) after links between nodes."""
+    links = (
+        alike.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
+        .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
+        .where("la <> lb")
+        .select(F.col("la").alias("a"), F.col("lb").alias("b"))
     )
+    return _relabelled(labels, links, files)
+
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with their labels, of buckets that hold several."""
+    labelled = members.join(labels, "node")
+    several = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+    return labelled.join(several.select("bucket"), "bucket")
 
-def _cross_pairs(open_members: DataFrame, leaders: DataFrame, percent: int, differing: int) -> DataFrame:
-    """Pairs of a leader and a member of its bucket in another component, that could be alike: by
-    their sizes and by the bits in which they differ."""
-    lead = leaders.select("bucket", *(F.col(c).alias(f"l_{c}") for c in ("node", "label", "n", *PACKED)))
+
+def _hub_pairs(members: DataFrame, hubs: DataFrame, percent: int, differing: int) -> DataFrame:
+    """Pairs of a hub and a member of its bucket in another component, that could be alike: by their
+    sizes and by the bits in which they differ."""
     near = (
-        (open_members["bucket"] == lead["bucket"])
+        (members["bucket"] == hubs["bucket"])
         & (F.col("label") != F.col("l_label"))
         & (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n"))
         & (_differing() <= differing)
     )
-    return open_members.join(lead, near).select(
-        F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")
+    pairs = members.join(hubs, near).select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b"))
+    return pairs.distinct()
+
+
+def _rest_pairs(
+    mixed: DataFrame, hubs: DataFrame, texts: DataFrame, shingle: int, similarity: float, files: int
+) -> DataFrame:
+    """Pairs of members of different components that share a bucket and could be alike by what they
+    share of their differences from its hub."""
+    of_hub = mixed.join(hubs.select("bucket", F.col("l_node").alias("a")), "bucket").where("node <> a")
+    pairs = of_hub.select("a", F.col("node").alias("b")).distinct()
+    found = stored(_differences(pairs, texts, shingle, similarity).repartition(files), "differences")
+    labels = mixed.select(F.col("node").alias("b"), "label").distinct()
+    # A member has a hub for each of its buckets, at most. Of the hubs that two have in common one serves.
+    hubs_of = found.groupBy("b").agg(F.collect_set("a").alias("hubs"))
+    labels_hubs = labels.join(hubs_of, "b")
+    shown = ["a", "b", "n", "extra", "lacking", "linked", "label", "hubs"]
+    kinds = [
+        found.join(labels_hubs, "b").select(*shown, F.lit(kind).alias("kind"), F.explode(f"{kind}_first").alias("element"))
+        for kind in ("extra", "lacking")
+    ]
+    elements = stored(kinds[0].unionByName(kinds[1]).coalesce(8 * files), "elements")
+    key = ["a", "kind", "element"]
+    useful = elements.groupBy(*key).agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.min("linked").alias("all_linked")
+    )
+    useful = stored(useful.where("x < y AND NOT all_linked").select(*key).coalesce(files), "useful")
+    left = elements.where("NOT linked").join(useful, key)
+    right = elements.join(useful, key)
+    right = right.select(*(F.col(c).alias(f"r_{c}") for c in (*shown, "kind", "element")))
+    rest = F.col("extra") + F.col("lacking") + F.col("r_extra") + F.col("r_lacking")
+    needed = (rest - (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("r_n"))) / 2 - SLACK
+    most = F.least("lacking", "r_lacking") + F.when(F.col("kind") == "extra", F.least("extra", "r_extra")).otherwise(0)
+    possible = (
+        (F.col("label") != F.col("r_label"))
+        & (F.col("a") == F.array_min(F.array_intersect("hubs", "r_hubs")))
+        # Two that are both not alike to the hub meet from either side.
+        & (F.col("r_linked") | (F.col("b") < F.col("r_b")))
+        & (F.least("n", "r_n") >= similarity * F.greatest("n", "r_n") - SLACK)
+        & (needed <= most)
+    )
+    on = [F.col(c) == F.col(f"r_{c}") for c in key]
+    pairs = left.join(right, reduce(lambda x, y: x & y, on) & possible)
+    # Links to the hub itself that the bits refused.
+    missed = found.where("linked").join(labels, "b").select("a", "b", "label")
+    of_hubs = mixed.select(F.col("node").alias("a"), F.col("label").alias("hub_label")).distinct()
+    missed = missed.join(of_hubs, "a").where("label <> hub_label")
+    return (
+        pairs.select(F.col("b").alias("a"), F.col("r_b").alias("b"))
+        .unionByName(missed.select("a", "b"))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
 
 
@@ -273,7 +435,7 @@ def components(
     take part, and count for ``component_id`` only where the whole component has none.
     ``tie`` is the hash of the text. An empty table gives an empty result.
     """
-    bands, rows = BANDS[similarity]
+    bands, rows = banding(similarity)
     percent, differing = round(similarity * 100), most_differing(similarity, bands * rows)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
@@ -285,52 +447,50 @@ def components(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    own = ["node", F.col("n_shingles").alias("n"), *PACKED]
-    banded = classes.select(F.explode("bands").alias("bucket"), *own)
-    crowded = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    members = stored(banded.join(crowded, "bucket"), "buckets")
+    # Numbers alone meet by bucket; only members of shared buckets bring their bits along.
+    banded = classes.select(F.explode("bands").alias("bucket"), "node")
+    crowded = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stored(banded.join(crowded, "bucket"), "memberships")
+    score = shared.groupBy("node").agg(F.sum("size").alias("score"))
+    own = classes.select("node", F.col("n_shingles").alias("n"), *PACKED).join(score, "node")
+    members = stored(shared.drop("size").join(own, "node"), "buckets")
+    files = 1 + members.count() // ROWS_PER_FILE
     wanted = members.select("node").distinct().join(classes.select("node", "rep.id", "rep.tie"), "node")
     same = keyed["tie"].eqNullSafe(wanted["tie"]) & keyed["id"].eqNullSafe(wanted["id"])
     texts = stored(
         keyed.join(wanted, same).select("node", "text", keyed["id"].alias("i")).dropDuplicates(["node"]).drop("i"), "texts"
     )
     labels = stored(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
-    tested, done, turn = None, None, 0
-    while True:
-        labelled = members.join(labels, "node")
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-        open_members = stored(labelled.join(mixed.select("bucket"), "bucket"), "open")
-        candidates = open_members
-        if done is not None:
-            candidates = candidates.join(done, ["bucket", "node"], "left_anti")
-        # One leader for each share of a bucket; the shares grow in number.
-        share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(4**turn))
-        shown = ["node", "label", "n", *PACKED]
-        order = F.struct(F.xxhash64("node"), *shown) if turn else F.struct(*shown)
-        leaders = stored(
-            candidates.groupBy("bucket", share.alias("share")).agg(F.min(order).alias("l")).select("bucket", *(f"l.{c}" for c in shown)),
-            "leaders",
+    # The fullest buckets of its own first; equal ones by hash.
+    order = F.struct("score", F.xxhash64("node").alias("h"), "node", "label", "n", *PACKED)
+    first, led = None, None
+    for _ in range(HUBS):
+        mixed = stored(_mixed(members, labels).coalesce(files), "mixed")
+        open_members = mixed
+        if led is not None:
+            # Not from a component that a hub of the bucket is in.
+            now = led.join(labels.withColumnRenamed("node", "l_node"), "l_node").select("bucket", "label")
+            open_members = mixed.join(now, ["bucket", "label"], "left_anti")
+        hubs = stored(
+            open_members.groupBy("bucket").agg(F.max(order).alias("l")).select(
+                "bucket", *(F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "label", "n", *PACKED))
+            ).coalesce(files),
+            "hubs",
         )
-        if leaders.isEmpty():
+        if hubs.isEmpty():
             break
-        led = leaders.select("bucket", "node")
-        done = led if done is None else done.unionByName(led)
-        pairs = _cross_pairs(open_members, leaders, percent, differing).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        alike = stored(
-            _overlaps(pairs, texts, shingle).where(100 * F.col("common") >= percent * F.col("total")).select("a", "b"), "alike"
-        )
-        links = (
-            alike.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
-            .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
-            .select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        )
-        if not alike.isEmpty():
-            labels = _relabelled(labels, links)
-        turn += 1
+        first = hubs if first is None else first
+        led = hubs.select("bucket", "l_node") if led is None else led.unionByName(hubs.select("bucket", "l_node"))
+        pairs = stored(_hub_pairs(mixed, hubs, percent, differing).coalesce(files), "pairs")
+        alike = _alike(pairs, texts, shingle, percent, files)
+        if alike.isEmpty():
+            break
+        labels = _linked(labels, alike, files)
+    if first is not None:
+        mixed = stored(_mixed(members, labels).coalesce(files), "mixed")
+        pairs = _rest_pairs(mixed, first, texts, shingle, similarity, files)
+        alike = _alike(stored(pairs.coalesce(files), "pairs"), texts, shingle, percent, files)
+        labels = labels if alike.isEmpty() else _linked(labels, alike, files)
     named = classes.select(*key, "first", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("first").alias("component"))
     found = stored(named.join(least, "label").select("set_a", "set_b", F.col("n_shingles").alias("n"), "component"), "components")
