@@ -13,7 +13,7 @@ whole collection. So the collections are made of short strings instead, and each
    equal anchors. Anchors that occur once are left out.
 2. Around each shared anchor, a document gives a passage: the bytes of the neighbouring windows that
    have this anchor. Equal passages are one string, at their first place (least id, then start).
-3. The distinct passages of some anchors are a collection. Its sorted suffixes give each window's
+3. The distinct passages of some anchors, of which each has several, are a collection. Its sorted suffixes give each window's
    first place: the least of all equal windows.
 4. What windows with an earlier first place cover is removed.
 
@@ -41,7 +41,8 @@ WINDOW = 100
 ANCHOR = 32
 # Bytes whose windows are anchored at a time; a longer text is taken in parts that overlap.
 PART_BYTES = 400_000
-# Bytes of a collection; it ends with the anchor that passes this.
+# Bytes of a collection; it ends with the anchor that passes this. About half of them are passages alone
+# under their anchor, which need no sorting.
 COLLECTION_BYTES = 200_000
 # Bytes of an anchor's distinct passages beyond which they are cut into classes.
 CROWDED_BYTES = 2_000_000
@@ -59,52 +60,57 @@ def sorted_suffixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     """
     m = len(offsets) - 1
     lengths = np.diff(offsets)
-    # One row for each suffix so far; the first m are the empty ones.
-    owner, size = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8)
+    # One row for each suffix so far; the first m are the empty ones, by string. Common prefixes are
+    # those with the row before.
     common = np.zeros(m + 1, np.uint8)
     place = np.arange(m)  # the row of the longest suffix so far, by string
-    # The transform without its open ends: symbol and row, ascending.
+    # The transform without its open ends: symbol and row, ascending. The k-th entry belongs to the
+    # suffix in row m + k, which is that of its row with the symbol before.
     keys = np.zeros(0, np.int64)
     low = np.int64(0xFFFFFFFF)
     for turn in range(int(lengths.max(initial=0))):
         active = np.flatnonzero(lengths > turn)
-        symbols = data[offsets[active + 1] - 1 - turn].astype(np.int64)
-        new = (symbols << 32) | place[active]
+        new = (data[offsets[active + 1] - 1 - turn].astype(np.int64) << 32) | place[active]
         order = np.argsort(new)
         new, active = new[order], active[order]
-        at = np.searchsorted(keys, new) + np.arange(len(new))
-        fresh = np.zeros(len(keys) + len(new), bool)
-        fresh[at] = True
-        merged = np.empty(len(fresh), np.int64)
-        merged[at], merged[~fresh] = new, keys
-        # A row behind a new one, and the new one itself, have a common prefix of one more symbol
-        # than any two neighbours from the row of the one before, had they the same symbol.
-        behind = at + 1
-        behind = behind[behind < len(merged)]
-        touched = np.concatenate([at, behind[~fresh[behind]]])
-        touched = touched[touched > 0]
+        behind = np.searchsorted(keys, new)  # the old entries that the new ones stand before
+        at = behind + np.arange(len(new))
+        old = np.ones(len(keys) + len(new), bool)
+        old[at] = False
+        merged = np.empty(len(old), np.int64)
+        merged[at], merged[old] = new, keys
+        # A new row, and an old one behind a new one, have a common prefix with the row before of one
+        # symbol, if it is the same, and the least of those between the rows the symbols stand in.
+        last = at[np.append(np.diff(at) > 1, True)] + 1
+        touched = np.concatenate([at, last])
+        touched = touched[(touched > 0) & (touched < len(merged))]
         before, here = merged[touched - 1], merged[touched]
         same = (before >> 32) == (here >> 32)
         touched, before, here = touched[same], before[same] & low, here[same] & low
-        least = np.zeros(len(touched), np.uint8)
+        kept = np.ones(m + len(merged) + 1, bool)
+        kept[m + at] = False
+        longer = np.zeros(len(kept), np.uint8)
+        longer[kept] = common
         if len(touched):
             by_row = np.argsort(before)
-            ends = np.stack([before[by_row] + 1, here[by_row] + 1], axis=1).ravel()
-            least[by_row] = np.minimum.reduceat(common, ends)[::2]
-        # Each entry of the transform is the row of one suffix, after the empty ones.
-        rows = m + at
-        n = m + len(merged)
-        kept = np.ones(n, bool)
-        kept[rows] = False
-        moved = np.flatnonzero(kept)
-        longer, owners, sizes = np.zeros(n + 1, np.uint8), np.empty(n, np.int32), np.empty(n, np.uint8)
-        longer[moved], owners[moved], sizes[moved] = common[:-1], owner, size
-        owners[rows], sizes[rows] = active, turn + 1
-        longer[m + touched] = least + 1
-        place[active] = rows
-        keys = (merged & ~low) | moved[merged & low]
-        owner, size, common = owners, sizes, longer
-    return owner, size, common[:-1]
+            ranges = np.empty(2 * len(touched), np.int64)
+            ranges[::2], ranges[1::2] = before[by_row] + 1, here[by_row] + 1
+            longer[m + touched[by_row]] = np.minimum.reduceat(common, ranges)[::2] + 1
+        # Each row moves by the number of new ones before it.
+        edges = np.concatenate([[0], m + behind, [len(common)]])
+        moved = np.repeat(np.arange(len(new) + 1), np.diff(edges))
+        merged += moved[merged & low]
+        place[active] = m + at
+        keys, common = merged, longer
+    step = np.zeros(m + len(keys), np.int64)
+    step[keys & low] = m + np.arange(len(keys))
+    string, size = np.empty(len(step), np.int64), np.empty(len(step), np.int64)
+    row = whose = np.arange(m)
+    for turn in range(int(lengths.max(initial=0)) + 1):
+        string[row], size[row] = whose, turn
+        going = lengths[whose] > turn
+        row, whose = step[row[going]], whose[going]
+    return string, size, common[:-1]
 
 
 def first_places(
@@ -248,7 +254,10 @@ def _passages(routed: DataFrame, window: int, anchor: int) -> DataFrame:
                 text, value, place, first, n = anchored(data, offsets, window, anchor)
                 lists = batch.column("keys").slice(row, len(offsets) - 1)
                 wanted = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-                keep = np.isin(_both(text, value), _both(wanted, lists.flatten().to_numpy()))
+                listed = np.sort(_both(wanted, lists.flatten().to_numpy()))
+                found = _both(text, value)
+                at = np.searchsorted(listed, found)
+                keep = (at < len(listed)) & (listed[np.minimum(at, len(listed) - 1)] == found)
                 text, value, place, first, n = (x[keep] for x in (text, value, place, first, n))
                 rows = pa.array(row + text)
                 yield pa.RecordBatch.from_arrays(
@@ -299,6 +308,20 @@ def _owners(distinct: DataFrame, window: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _collections(batches):
+            key = rows.column("key").to_numpy()
+            alone = np.ones(len(key) + 1, bool)
+            alone[1:-1] = key[1:] != key[:-1]
+            alone = alone[1:] & alone[:-1]
+            # The windows of a passage differ in the place of the anchor, so without another passage
+            # under the anchor each is the first of its kind.
+            own = rows.filter(pa.array(alone))
+            n = pc.subtract(pc.binary_length(own.column("passage")), window - 1).cast(pa.int64())
+            none = pa.array(np.zeros(len(own), np.int64))
+            columns = [own.column("key"), own.column("digest"), none, n, own.column("id"), own.column("first")]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            rows = rows.filter(pa.array(~alone))
+            if not rows.num_rows:
+                continue
             _, ends, data = rows.column("passage").cast(pa.large_binary()).buffers()
             offsets = np.frombuffer(ends, np.int64, len(rows) + 1)
             data = np.frombuffer(data, np.uint8)
@@ -313,18 +336,17 @@ def _owners(distinct: DataFrame, window: int) -> DataFrame:
             new[1:] = (string[1:] != string[:-1]) | (by[1:] != by[:-1]) | (shift[1:] != shift[:-1])
             begin = np.flatnonzero(new)
             mine = pa.array(string[begin])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("key").take(mine),
-                    rows.column("digest").take(mine),
-                    pa.array(offset[begin]),
-                    pa.array(np.diff(np.append(begin, len(string)))),
-                    ids.take(pa.array(by[begin])),
-                    pa.array(firsts[by[begin]] + start[begin]),
-                ],
-                names=["key", "digest", "offset", "n", "owner", "start"],
-            )
-
+            columns = [
+                rows.column("key").take(mine),
+                rows.column("digest").take(mine),
+                pa.array(offset[begin]),
+                pa.array(np.diff(np.append(begin, len(string)))),
+                ids.take(pa.array(by[begin])),
+                pa.array(firsts[by[begin]] + start[begin]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["key", "digest", "offset", "n", "owner", "start"]
     owner = T.StructField("owner", distinct.schema["id"].dataType)
     rest = T.StructType.fromDDL("key long, digest long, offset long, n long").fields
     schema = T.StructType([*rest, owner, T.StructField("start", T.LongType())])
@@ -391,7 +413,7 @@ def repeated_spans(
     keyed = _keyed(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.octet_length("text") >= window)
     anchors = stored(_anchors(keyed, window, anchor), "anchors")
     shared = anchors.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-    routes = anchors.join(shared, "key").groupBy("id", "tie").agg(F.collect_set("key").alias("keys"))
+    routes = anchors.join(shared, "key").groupBy("id", "tie").agg(F.collect_list("key").alias("keys"))
     routed = keyed.join(stored(routes, "routes"), ["id", "tie"])
     passages = stored(_passages(routed, window, anchor), "passages")
     distinct = stored(_distinct(passages), "distinct")
@@ -430,17 +452,20 @@ def remove_repeated(
             for row, data, offsets in W.groups(batch.column("text")):
                 n = len(offsets) - 1
                 begins, ends = (batch.column(c).slice(row, n) for c in ("begins", "ends"))
-                base = np.repeat(offsets[:-1], pc.fill_null(pc.list_value_length(begins), 0).to_numpy())
-                change = np.zeros(len(data) + 1, np.int64)
-                np.add.at(change, base + begins.flatten().to_numpy(), 1)
-                np.add.at(change, base + ends.flatten().to_numpy(), -1)
-                kept = np.cumsum(change[:-1]) == 0
+                kept = np.ones(len(data), bool)
+                if len(begins.flatten()):
+                    base = np.repeat(offsets[:-1], pc.fill_null(pc.list_value_length(begins), 0).to_numpy())
+                    change = np.zeros(len(data) + 1, np.int32)
+                    np.add.at(change, base + begins.flatten().to_numpy(), 1)
+                    np.add.at(change, base + ends.flatten().to_numpy(), -1)
+                    kept = np.cumsum(change[:-1], dtype=np.int32) == 0
                 # A run begins at a byte that goes after one that stays, or at the start of a text.
                 opens = ~kept
                 inner = np.ones(len(data), bool)
                 inner[offsets[:-1][np.diff(offsets) > 0]] = False
                 opens[1:] &= kept[:-1] | ~inner[1:]
-                n_kept, n_spans = (_counts(x, offsets) for x in (kept, opens))
+                n_kept = np.diff(offsets) - _counts(~kept, offsets)
+                n_spans = _counts(opens, offsets)
                 edges = np.concatenate([[0], np.cumsum(n_kept)]).astype(np.int32)
                 left = [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data[kept]))]
                 yield pa.RecordBatch.from_arrays(
@@ -459,5 +484,4 @@ def remove_repeated(
 
 
 def _counts(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    before = np.concatenate([[0], np.cumsum(marks)])
-    return before[offsets[1:]] - before[offsets[:-1]]
+    return np.diff(np.searchsorted(np.flatnonzero(marks), offsets))
