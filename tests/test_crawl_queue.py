@@ -79,6 +79,34 @@ def test_a_run_that_is_lost_asks_no_landed_request_again(crawl, monkeypatch, aft
     assert not again & landed
 
 
+def test_batches_are_noted_together_and_the_landing_read_once(crawl, monkeypatch, tmp_path):
+    # Name 3 comes twice; the later answer counts.
+    crawl.queue([*range(90), 3])
+    crawl.queue([3])
+    reads, plain = [], module._landed_runs
+    monkeypatch.setattr(module, "_landed_runs", lambda *args: reads.append(args) or plain(*args))
+    assert crawl() == 20
+    assert len(list((tmp_path / "checkpoint" / "commits").glob("[0-9]*"))) == 2 and len(reads) == 1
+    assert crawl.landed() == set(range(90)) - {13}
+    assert crawl.asked()["http://h0/3"] == 3
+
+
+def test_what_was_written_down_is_landed_and_not_asked_again(crawl, monkeypatch):
+    crawl.queue([13, 13, 13, 13, 13, *range(10)])
+
+    def lost(*args):
+        raise KeyError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(module, "add_runs", lost)
+        with pytest.raises(Exception, match="lost"):
+            crawl()
+    before = crawl.asked()
+    assert crawl.landed() == set() and sum(before.values()) == 15
+    crawl()
+    assert crawl.landed() == set(range(10)) and crawl.asked() == before
+
+
 def test_requests_of_a_host_keep_their_pace(spark):
     def open_client():
         return lambda url: f"{url} {time.time()}"

@@ -119,8 +119,13 @@ def fetch_documents(
     return dealt.mapInArrow(run, schema)
 
 
+def aside_of(path: str, run: str) -> str:
+    """The folder beside a landing that holds all rows of a run, failed ones included."""
+    return f"{path.rstrip('/')}__runs/{run}"
+
+
 def land_documents(
-    documents: DataFrame, path: str, partition_by: str | None = None, run: str | None = None
+    documents: DataFrame, path: str, partition_by: str | None = None, run: str | None = None, add: bool = True
 ) -> DataFrame:
     """Add fetched documents to a landing; returns this run's rows, the failed ones included.
 
@@ -128,18 +133,28 @@ def land_documents(
     requests stay with their errors. The documents that came are then added to the landing, and
     nothing that was landed before is touched. ``read_landed`` takes the last of each file name. A
     ``run`` that is named can be tried again after a failure; later runs must have greater names.
+    Without ``add`` the rows only stand beside the landing, until ``add_runs``.
     """
     spark = documents.sparkSession
     run = run or f"{time.time_ns():020d}-{uuid.uuid4().hex[:6]}"
-    aside = f"{path.rstrip('/')}__runs/{run}"
+    aside = aside_of(path, run)
     documents.write.mode("overwrite").parquet(aside)
-    fetched = spark.read.schema(documents.schema).parquet(aside)
-    good = fetched.where("error IS NULL").drop("error").withColumn(RUN, F.lit(run))
-    writer = good.write.mode("append")
+    if add:
+        add_runs(spark, path, documents.schema, [run], partition_by)
+    return spark.read.schema(documents.schema).parquet(aside)
+
+
+def add_runs(
+    spark: SparkSession, path: str, schema: StructType, runs: list[str], partition_by: str | None = None
+) -> None:
+    """Add the documents of runs that stand beside a landing to it, in one write."""
+    fetched = spark.read.schema(schema).parquet(*(aside_of(path, run) for run in runs))
+    # The folder that a row stands in has the name of its run.
+    run = F.lit(runs[0]) if len(runs) == 1 else F.element_at(F.split("_metadata.file_path", "/"), -2)
+    writer = fetched.where("error IS NULL").withColumn(RUN, run).drop("error").write.mode("append")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return fetched
 
 
 def read_landed(
