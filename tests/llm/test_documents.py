@@ -6,13 +6,16 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare
 from tidemark.llm import decontamination, language, lookup_sketch, near_duplicates, substrings
+from tidemark.llm import words as W
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,6 +75,26 @@ def test_repeated_passages(spark, crowded, monkeypatch):
     assert sorted(got, key=str) == sorted(kept_by_hand(passages()), key=str)
 
 
+def test_workers_hold_small_arrays():
+    """Of a batch of texts, what lives beside it in a worker is bounded, for passages and for languages."""
+    texts = pa.array([" ".join(wordy(k, 300)) for k in range(3000)])
+    language._kept.clear()
+    tracemalloc.start()
+    try:
+        for _, data, offsets in W.groups(texts):
+            substrings._anchored(W.words_of(data, offsets, W.AS_IS, W.NOT_BLANK), 13, 5)
+        _, passages = tracemalloc.get_traced_memory()
+        tracemalloc.reset_peak()
+        for _, data, offsets in W.groups(texts, language.GROUP_BYTES):
+            codes, owner = language.letters_of(data, offsets)
+            for size in language.SIZES:
+                language.grams_of(codes, owner, size)
+        _, languages = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert passages < 40e6 and languages < 40e6, (passages, languages)
+
+
 def test_repeated_passages_of_nothing(spark):
     assert substrings.remove_repeated(frame(spark, [])).count() == 0
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ POSITIONS = 1 << 20
 HASHES = 3
 KEPT = 60_000
 # Bytes of text handled at a time.
-GROUP_BYTES = 1_000_000
+GROUP_BYTES = 250_000
 
 
 def letters_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,10 +70,16 @@ _kept: list[np.ndarray] = []
 def _tables() -> list[np.ndarray]:
     """For each code point its lower case, where that is one code point, and whether it is a letter."""
     if not _kept:
-        points = [chr(c) if not 0xD800 <= c < 0xE000 else " " for c in range(0x110000)]
-        lower = (p.lower() for p in points)
-        _kept.append(np.fromiter((ord(x) if len(x) == 1 else ord(p) for x, p in zip(lower, points, strict=True)), np.uint32))
-        _kept.append(np.fromiter((p.isalpha() for p in points), bool))
+        lower, letter = np.arange(0x110000, dtype=np.uint32), np.zeros(0x110000, bool)
+        # Surrogates are no characters.
+        for code in chain(range(0xD800), range(0xE000, 0x110000)):
+            point = chr(code)
+            letter[code] = point.isalpha()
+            small = point.lower()
+            if small != point and len(small) == 1:
+                lower[code] = ord(small)
+        lower[0xD800:0xE000] = 32
+        _kept.extend((lower, letter))
     return _kept
 
 

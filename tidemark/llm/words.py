@@ -10,8 +10,9 @@ import pyarrow as pa
 
 from tidemark.llm.encoding import text_groups
 
-# Texts handled together, in bytes; a longer one is handled alone.
-GROUP_BYTES = 2_000_000
+# Texts handled together, in bytes; a longer one is handled alone. A byte takes some 60 in arrays that live
+# at once, in each worker of an executor.
+GROUP_BYTES = 250_000
 
 _ASCII = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_ASCII >= 65) & (_ASCII <= 90), _ASCII + 32, _ASCII).astype(np.uint8)
