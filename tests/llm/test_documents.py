@@ -406,6 +406,18 @@ def test_lookup_sketches_of_repeated_and_missing_ids(spark):
     assert lookup_sketch.compare_versions(frame(spark, [])).count() == 0
 
 
+def test_lookup_sketches_make_the_digests_of_a_text_once(spark, monkeypatch):
+    made, real = [], lookup_sketch.digests
+    monkeypatch.setattr(lookup_sketch, "digests", lambda text: made.append(text) or real(text))
+    rows = [(1, "a b\nc d"), (1, "x\ny"), (None, "a b\nc d"), (2, "x\ny"), (2, "e\nf"), (3, "x\ny")]
+    found = lookup_sketch.compare_versions(frame(spark, rows)).collect()
+    assert sorted(made) == ["''", "edited", "text"]
+    # Each row has the digests of its own text, also where another text stands for its id.
+    prints = {r["fingerprint"] for r in found if r["n_chars"] == 7}
+    assert len(found) == 6 and len(prints) == 1
+    assert len({r["fingerprint"] for r in found}) == 3
+
+
 # Pipeline
 
 

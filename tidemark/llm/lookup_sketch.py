@@ -187,31 +187,38 @@ def successors(docs: DataFrame) -> DataFrame:
 def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row of ``docs`` (id, text) beside its edited text and the whole of what follows it.
 
-    (id, text, n_chars, edited, next_keys): ``edited`` is the text with its last half, rounded down,
+    (id, text, n_chars, edited, own_keys, next_keys): the keys are the digests of the text and of what
+    follows it, made once for each row and carried to its neighbour. ``edited`` is the text with its last half, rounded down,
     replaced by as many first characters of the next document in order of id, or all it has; the
     first follows the last. Of several rows with one id, the one with the least text hash stands for
     it as a follower; a row without an id is followed by nothing. Null texts are empty.
     """
     whole = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     chain = successors(whole)
+    whole = whole.withColumn("own_keys", F.expr(digests("text")))
     # Without null ids both joins below deal the texts alike, and one shuffle of them serves both.
     rows = whole.where("id IS NOT NULL")
     counts = rows.groupBy("id").agg(F.count("*").alias("n"))
     followers = rows
     if not counts.where("n > 1").isEmpty():
-        followers = rows.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        first = F.min_by(F.struct("text", "own_keys"), F.xxhash64("text")).alias("first")
+        followers = rows.groupBy("id").agg(first).select("id", "first.*")
     following = followers.join(chain.select(F.col("id").alias("of"), "next_id", "half"), F.col("id") == F.col("next_id")).select(
-        "of", F.expr("substring(text, 1, CAST(half AS INT))").alias("head"), F.expr(digests("text")).alias("next_keys")
+        "of", F.expr("substring(text, 1, CAST(half AS INT))").alias("head"), F.col("own_keys").alias("next_keys")
+    )
+    followed = rows.join(following, F.col("id") == F.col("of"), "left").select(
+        "id", "text", "own_keys", "head", "next_keys"
+    )
+    last = whole.where("id IS NULL").select(
+        "id", "text", "own_keys", F.lit("").alias("head"), F.expr(digests("''")).alias("next_keys")
     )
-    followed = rows.join(following, F.col("id") == F.col("of"), "left").select("id", "text", "head", "next_keys")
-    last = whole.where("id IS NULL").select("id", "text", F.lit("").alias("head"), F.expr(digests("''")).alias("next_keys"))
     joined = followed.unionByName(last).select(
-        "id", "text", F.length("text").alias("n_chars"), F.coalesce("head", F.lit("")).alias("head"),
+        "id", "text", "own_keys", F.length("text").alias("n_chars"), F.coalesce("head", F.lit("")).alias("head"),
         F.coalesce("next_keys", F.array().cast("array<bigint>")).alias("next_keys"),
     )
     edited = "concat(substring(text, 1, n_chars - n_chars div 2), substring(head, 1, CAST(n_chars div 2 AS INT)))"
     edited = edited.replace("n_chars - n_chars div 2", "CAST(n_chars - n_chars div 2 AS INT)")
-    return joined.select("id", "text", "n_chars", F.expr(edited).alias("edited"), "next_keys")
+    return joined.select("id", "text", "n_chars", F.expr(edited).alias("edited"), "own_keys", "next_keys")
 
 
 def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,7 +233,7 @@ def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "id",
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.expr(digests("text")).alias("own_keys"),
+        "own_keys",
         F.expr(digests("edited")).alias("edited_keys"),
         "next_keys",
     )
