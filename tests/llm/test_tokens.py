@@ -74,6 +74,39 @@ def test_forgetting_pieces_changes_nothing(monkeypatch):
         assert flat.tolist() == ids(BYTES, "one two three") + ids(BYTES, "two one four")
 
 
+class Counted:
+    """A tokenizer that notes how many pieces each call encodes."""
+
+    def __init__(self, path):
+        self.calls = []
+        self.path = path
+
+    def encode_batch_fast(self, pieces, **options):
+        self.calls.append(len(pieces))
+        return tokenizer(self.path).encode_batch_fast(pieces, **options)
+
+
+def test_pieces_of_several_windows_are_encoded_once():
+    encoder = encoding.PieceEncoder(BYTES)
+    encoder.tokenizer = Counted(BYTES)
+    data, offsets = encoding.text_bytes(pa.array([" ".join(map(str, range(first, first + 90_000))) for first in (0, 90_000)]))
+    first, _ = encoder.ids_of(data, offsets)
+    sent = sum(encoder.tokenizer.calls)
+    assert sent == 180_000
+    again, _ = encoder.ids_of(data, offsets)
+    assert sum(encoder.tokenizer.calls) == sent
+    assert again.tolist() == first.tolist()
+
+
+def test_forgetting_by_ids_changes_nothing(monkeypatch):
+    monkeypatch.setattr(encoding, "KNOWN_IDS", 3)
+    encoder = encoding.PieceEncoder(BYTES)
+    for text in ("one two three four", "four five", "one two three four"):
+        flat, _ = encoder.ids_of(*encoding.text_bytes(pa.array([text])))
+        assert flat.tolist() == ids(BYTES, text)
+        assert encoder.filled <= 7
+
+
 def test_counts_of_odd_rows(spark, rows):
     got = rows(count_tokens(frame(spark, list(enumerate(TEXTS)) + [(None, "a")]), WORDS, limit=3))
     want = [(i, len((t or "").encode()), len(ids(WORDS, t))) for i, t in [*enumerate(TEXTS), (None, "a")]]

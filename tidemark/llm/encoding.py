@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,10 @@ import pyarrow.compute as pc
 # Bytes of text handled at a time. A longer text spans several windows, cut at safe places. A worker
 # keeps a few hundred MB at most by these two bounds.
 WINDOW_BYTES = 4_000_000
-# Distinct pieces a worker remembers; beyond that it starts anew.
-KNOWN_PIECES = 150_000
+# Distinct pieces a worker remembers, and ids of them; beyond either it starts anew. A window brings over 100,000
+# pieces, so fewer would be forgotten before they come again.
+KNOWN_PIECES = 600_000
+KNOWN_IDS = 6_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 13, 32]] = True
@@ -99,30 +102,32 @@ class PieceEncoder:
 
     def _slots(self, pieces: np.ndarray) -> np.ndarray:
         """Where the ids of each distinct piece are kept, after encoding those not seen yet."""
-        if len(self.known) > KNOWN_PIECES:
+        if len(self.known) > KNOWN_PIECES or self.filled > KNOWN_IDS:
             self._forget()
         known = self.known
         slots = np.fromiter((known.get(p, -1) for p in pieces), np.int64, len(pieces))
         missing = np.flatnonzero(slots < 0)
         if not len(missing):
             return slots
-        new = pieces[missing].tolist()
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = [e.ids for e in found]
+        first = len(known)
+        slots[missing] = np.arange(first, first + len(missing))
+        if len(missing):
+            self._learn(pieces[missing].tolist())
+        return slots
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces not seen yet and keep their ids."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, total = len(known), int(lengths.sum())
-        slots[missing] = np.arange(first, first + len(new))
-        known.update(zip(new, range(first, first + len(new)), strict=True))
+        first, total = len(self.known), int(lengths.sum())
+        self.known.update(zip(new, range(first, first + len(new)), strict=True))
         self.flat = _grown(self.flat, self.filled + total)
         self.starts = _grown(self.starts, first + len(new))
         self.lengths = _grown(self.lengths, first + len(new))
-        self.flat[self.filled : self.filled + total] = np.fromiter(
-            (i for each in ids for i in each), np.uint32, total
-        )
+        self.flat[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.starts[first : first + len(new)] = self.filled + np.cumsum(lengths) - lengths
         self.lengths[first : first + len(new)] = lengths
         self.filled += total
-        return slots
 
     def _windows(
         self, data: np.ndarray, offsets: np.ndarray
