@@ -114,6 +114,15 @@ def test_counts_of_odd_rows(spark, rows):
     assert count_tokens(frame(spark, []), WORDS).count() == 0
 
 
+def test_new_pieces_are_encoded_in_portions():
+    encoder = encoding.PieceEncoder(BYTES)
+    encoder.tokenizer = Counted(BYTES)
+    text = " ".join(map(str, range(20_000)))
+    flat, counts = encoder.ids_of(*encoding.text_bytes(pa.array([text])))
+    assert flat.tolist() == ids(BYTES, text) and counts.tolist() == [len(flat)]
+    assert len(encoder.tokenizer.calls) > 1 and max(encoder.tokenizer.calls) <= encoding.NEW_PIECES
+
+
 def test_token_files_hold_all_ids_in_order(spark):
     rows = [(9, "b c"), (-3, None), (5, "x " * 9000), (5, "x " * 9000), (None, "first"), (7, "")]
     manifest = token_files.write_token_files(frame(spark, rows), BYTES, length=16)

@@ -24,6 +24,8 @@ WINDOW_BYTES = 4_000_000
 # pieces, so fewer would be forgotten before they come again.
 KNOWN_PIECES = 600_000
 KNOWN_IDS = 6_000_000
+# New pieces encoded at a time: what the tokenizer returns for one is many times larger than its ids.
+NEW_PIECES = 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 13, 32]] = True
@@ -111,8 +113,8 @@ class PieceEncoder:
             return slots
         first = len(known)
         slots[missing] = np.arange(first, first + len(missing))
-        if len(missing):
-            self._learn(pieces[missing].tolist())
+        for at in range(0, len(missing), NEW_PIECES):
+            self._learn(pieces[missing[at : at + NEW_PIECES]].tolist())
         return slots
 
     def _learn(self, new: list[str]) -> None:
