@@ -203,6 +203,41 @@ def test_near_duplicates_in_families(spark, similarity, size, hubs, monkeypatch)
     assert len({w[2] for w in want}) > 5
 
 
+def around_a_short_text():
+    """Texts that hold a short one and a common passage, each among words of its own; some have near copies."""
+    chance = random.Random(5)
+    short, passage = wordy(1, 60, 5000), wordy(2, 8, 5000)
+    rows = [(0, " ".join(short))]
+    for k in range(1, 161):
+        tail = [f"own{k}x{n}" for n in range(60)]
+        at = chance.randrange(60)
+        text = short + tail[:at] + passage + tail[at:]
+        rows.append((k, " ".join(text)))
+        if k % 8 == 0:
+            text[chance.randrange(len(text))] = "other"
+            rows.append((1000 + k, " ".join(text)))
+    return rows
+
+
+def test_far_members_of_a_family_make_no_pairs(spark, monkeypatch):
+    made, plain = {}, near_duplicates.stored
+
+    def counted(frame, label):
+        made[label] = plain(frame, label)
+        return made[label]
+
+    monkeypatch.setattr(near_duplicates, "stored", counted)
+    # Nothing is found by hubs, so that all links are left to the join by differences.
+    monkeypatch.setattr(near_duplicates, "_hub_pairs", lambda members, *_: members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    rows = around_a_short_text()
+    found = near_duplicates.components(frame(spark, rows), 0.8, 5).collect()
+    got = [(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found]
+    assert sorted(got, key=str) == sorted(groups_by_hand(rows, 80, 5), key=str)
+    assert sum(not r["kept"] for r in found) == 20
+    # The last pairs stored are those to be verified: the 20 links and few others.
+    assert 20 <= made["pairs"].count() <= 60
+
+
 def test_bands_for_any_similarity():
     for similarity in (0.3, 0.5, 0.7, 0.8, 0.85, 0.9, 0.99, 1.0):
         bands, rows = near_duplicates.banding(similarity)

@@ -17,9 +17,12 @@ in two steps, and only links between components matter:
 2. What remains of a bucket is joined by differences from its first hub. Of a member x the hub lacks a
    set A and the hub has a set D more; the symmetric difference of x and y is |A|+|D| of both less twice
    what their A and D have in common. So two members that are alike, of which one is not alike to the
-   hub, must share an element of A, or else so many of D that few elements of each D, the first
-   in an order that all share, must hold one of them. Members are joined on these elements only, and
-   the pairs are verified on full sets.
+   hub, must share an element of A, or else of D, and of both together a number that their sizes
+   give. Elements that could make no such pair are dropped, the others of each A and D ordered by how
+   many members of the hub have them, the rarest first. Two members meet on an element only if as many
+   elements as they must share can follow it in both; so the first that they share is always one
+   of these, and those that much of a family has come last and make no pairs by themselves, however
+   far from the hub its members are. The pairs are verified on full sets.
 
 So no pair of a bucket that could add a link is left out, and yet a family of copies costs a few
 comparisons for each member: its members seldom differ from the hub in the same places.
@@ -233,14 +236,16 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def _differences(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(a, b, n, extra, lacking, linked, extra_first, lacking_first) of hubs a and members b: the size of b's
-    set, how many elements it has that the hub lacks and the other way round, whether both are alike,
-    and the first elements of either kind, one of which must be shared by whatever b is to be linked to.
+    """(a, b, label, n, extra, lacking, linked, least_extra, least, extra_all, lacking_all) of hubs a and
+    members b with their labels: the size of b's set, how many elements it has that the hub lacks and
+    the other way round, whether both are alike, how many of the extra elements and of all differences
+    whatever b is to be linked to must share, and the elements of either kind.
 
     With t(x, y) the greatest symmetric difference of sets that are alike, a fixed part of the sum of
     their sizes, a link of x and y needs 2 * shared >= |differences of x| + |of y| - t(x, y). Sets that
     are alike differ in size by a known factor, which bounds t by x alone; the differences of y are not
-    less than those of x less t; and at least one of both is not alike to the hub.
+    less than those of x less t; and at least one of both is not alike to the hub. Of x at most the part
+    1 - similarity is not in y, which bounds the extra elements that they do not share.
     """
     part_of_sum = (1 - similarity) / (1 + similarity)
 
@@ -257,29 +262,29 @@ def _differences(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: f
                 differing = extra + lacking
                 linked = differing <= part_of_sum * total + SLACK
                 most = size * (1 - similarity) / similarity
-                # Elements that must be shared, of the extra ones and of the lacking ones.
-                of_extra = np.maximum(1, np.ceil(extra - most - SLACK))
-                other = np.where(linked, (differing - part_of_sum * extra) / 2, differing - most)
-                of_lacking = np.maximum(1, np.ceil(other - SLACK))
+                # Elements that must be shared, of the extra ones and of all.
+                of_extra = np.ceil(extra - size * (1 - similarity) - SLACK)
+                of_all = np.where(linked, (differing - part_of_sum * extra) / 2, differing - most)
+                least = [np.maximum(0, of_extra), np.maximum(1, np.ceil(of_all - SLACK))]
                 lists = []
-                for mine, count, least in (
-                    (alone & side, extra, of_extra), (alone & ~side, lacking, of_lacking)
-                ):
-                    order = np.flatnonzero(mine)
-                    rank = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
-                    shown = np.maximum(count - least + 1, 0).astype(np.int64)
-                    keep = rank < np.repeat(shown, count)
-                    ends = np.concatenate([[0], np.cumsum(np.minimum(shown, count))]).astype(np.int32)
-                    lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[order][keep].view(np.int64))))
+                for mine, count in ((alone & side, extra), (alone & ~side, lacking)):
+                    ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[mine].view(np.int64))))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("a"), part.column("b"), *map(pa.array, (size, extra, lacking, linked)), *lists],
-                    names=["a", "b", "n", "extra", "lacking", "linked", "extra_first", "lacking_first"],
+                    [
+                        *(part.column(c) for c in ("a", "b", "label")),
+                        *map(pa.array, (size, extra, lacking, linked)),
+                        *(pa.array(x.astype(np.int64)) for x in least),
+                        *lists,
+                    ],
+                    names=["a", "b", "label", "n", "extra", "lacking", "linked", "least_extra", "least", "extra_all", "lacking_all"],
                 )
 
-    both = _both_texts(pairs, texts).select("a", "b", "text_a", "text_b")
+    both = _both_texts(pairs, texts).select("a", "b", "label", "text_a", "text_b")
     return both.mapInArrow(
         differ,
-        "a long, b long, n long, extra long, lacking long, linked boolean, extra_first array<long>, lacking_first array<long>",
+        "a long, b long, label long, n long, extra long, lacking long, linked boolean, least_extra long, least long, "
+        "extra_all array<long>, lacking_all array<long>",
     )
 
 
@@ -367,52 +372,72 @@ def _hub_pairs(members: DataFrame, hubs: DataFrame, percent: int, differing: int
     return pairs.distinct()
 
 
-def _rest_pairs(
-    mixed: DataFrame, hubs: DataFrame, texts: DataFrame, shingle: int, similarity: float, files: int
-) -> DataFrame:
-    """Pairs of members of different components that share a bucket and could be alike by what they
-    share of their differences from its hub."""
-    of_hub = mixed.join(hubs.select("bucket", F.col("l_node").alias("a")), "bucket").where("node <> a")
-    pairs = of_hub.select("a", F.col("node").alias("b")).distinct()
-    found = stored(_differences(pairs, texts, shingle, similarity).repartition(files), "differences")
-    labels = mixed.select(F.col("node").alias("b"), "label").distinct()
+def _meetings(found: DataFrame, similarity: float, files: int) -> DataFrame:
+    """Pairs (a, b) of members of different components that could be alike by what they share of their
+    ``_differences`` from a hub; some more than once."""
     # A member has a hub for each of its buckets, at most. Of the hubs that two have in common one serves.
     hubs_of = found.groupBy("b").agg(F.collect_set("a").alias("hubs"))
-    labels_hubs = labels.join(hubs_of, "b")
-    shown = ["a", "b", "n", "extra", "lacking", "linked", "label", "hubs"]
+    key = ["a", "kind", "element"]
     kinds = [
-        found.join(labels_hubs, "b").select(*shown, F.lit(kind).alias("kind"), F.explode(f"{kind}_first").alias("element"))
+        found.select("a", "b", "label", "linked", F.lit(kind).alias("kind"), F.explode(f"{kind}_all").alias("element"))
         for kind in ("extra", "lacking")
     ]
-    elements = stored(kinds[0].unionByName(kinds[1]).coalesce(8 * files), "elements")
-    key = ["a", "kind", "element"]
+    elements = kinds[0].unionByName(kinds[1])
     useful = elements.groupBy(*key).agg(
-        F.min("label").alias("x"), F.max("label").alias("y"), F.min("linked").alias("all_linked")
+        F.min("label").alias("x"), F.max("label").alias("y"), F.min("linked").alias("all_linked"), F.count("*").alias("size")
     )
-    useful = stored(useful.where("x < y AND NOT all_linked").select(*key).coalesce(files), "useful")
-    left = elements.where("NOT linked").join(useful, key)
-    right = elements.join(useful, key)
-    right = right.select(*(F.col(c).alias(f"r_{c}") for c in (*shown, "kind", "element")))
+    useful = stored(useful.where("x < y AND NOT all_linked").select(*key, "size").coalesce(files), "useful")
+    # The useful elements of each member, the rarest first. No pair shares any other.
+    lists = elements.join(useful, key).groupBy("a", "b").agg(
+        *(
+            F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("size", "element")))).alias(kind + "_useful")
+            for kind in ("extra", "lacking")
+        )
+    )
+    members = found.drop("extra_all", "lacking_all").join(lists, ["a", "b"]).join(hubs_of, "b")
+    members = stored(members.coalesce(files), "members")
+    shown = ["a", "b", "n", "extra", "lacking", "linked", "label", "hubs"]
+    # Members that share no extra element meet on a lacking one. Of an element and those after it in
+    # the list there are ``left``; lacking ones that extra ones come on top of are ``also``.
+    placed = []
+    for kind, also, least in (("extra", F.size("lacking_useful"), "least_extra"), ("lacking", F.lit(0), "least")):
+        at = F.posexplode(f"{kind}_useful").alias("at", "found")
+        rows = members.select(*shown, "least_extra", "least", F.size(f"{kind}_useful").alias("of"), also.alias("also"), at)
+        left = F.col("of") - F.col("at")
+        rows = rows.where((left >= F.col(least)) & (left + F.col("also") >= F.col("least")))
+        placed.append(rows.select(*shown, F.lit(kind).alias("kind"), "found.element", left.alias("left"), "also"))
+    elements = stored(placed[0].unionByName(placed[1]).coalesce(8 * files), "elements")
+    right = elements.select(*(F.col(c).alias(f"r_{c}") for c in (*shown, "kind", "element", "left", "also")))
     rest = F.col("extra") + F.col("lacking") + F.col("r_extra") + F.col("r_lacking")
     needed = (rest - (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("r_n"))) / 2 - SLACK
-    most = F.least("lacking", "r_lacking") + F.when(F.col("kind") == "extra", F.least("extra", "r_extra")).otherwise(0)
     possible = (
         (F.col("label") != F.col("r_label"))
         & (F.col("a") == F.array_min(F.array_intersect("hubs", "r_hubs")))
         # Two that are both not alike to the hub meet from either side.
         & (F.col("r_linked") | (F.col("b") < F.col("r_b")))
         & (F.least("n", "r_n") >= similarity * F.greatest("n", "r_n") - SLACK)
-        & (needed <= most)
+        & (needed <= F.least("left", "r_left") + F.least("also", "r_also"))
     )
     on = [F.col(c) == F.col(f"r_{c}") for c in key]
-    pairs = left.join(right, reduce(lambda x, y: x & y, on) & possible)
+    pairs = elements.where("NOT linked").join(right, reduce(lambda x, y: x & y, on) & possible)
+    return pairs.select(F.col("b").alias("a"), F.col("r_b").alias("b"))
+
+
+def _rest_pairs(
+    mixed: DataFrame, hubs: DataFrame, texts: DataFrame, shingle: int, similarity: float, files: int
+) -> DataFrame:
+    """Pairs of members of different components that share a bucket and could be alike by what they
+    share of their differences from its hub."""
+    of_hub = mixed.join(hubs.select("bucket", F.col("l_node").alias("a")), "bucket").where("node <> a")
+    pairs = of_hub.select("a", F.col("node").alias("b"), "label").distinct()
+    found = stored(_differences(pairs, texts, shingle, similarity).repartition(files), "differences")
+    pairs = _meetings(found, similarity, files)
     # Links to the hub itself that the bits refused.
-    missed = found.where("linked").join(labels, "b").select("a", "b", "label")
+    missed = found.where("linked").select("a", "b", "label")
     of_hubs = mixed.select(F.col("node").alias("a"), F.col("label").alias("hub_label")).distinct()
     missed = missed.join(of_hubs, "a").where("label <> hub_label")
     return (
-        pairs.select(F.col("b").alias("a"), F.col("r_b").alias("b"))
-        .unionByName(missed.select("a", "b"))
+        pairs.unionByName(missed.select("a", "b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
